@@ -119,7 +119,7 @@ def packed_ids(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int)
         enc = tokens.tokenizer_encoder(tokenizer, keeps_space)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for batch in batches:
-            ids = [p + end for p in enc.encode_in_chunks(batch.column(1).to_pylist())]
+            ids = [p + end for p in enc.encode_column(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids binary")

@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
         for batch in batches:
             rows: list[tuple] = []
             keys = batch.column(0).to_pylist()
-            for key, packed in zip(keys, enc.encode_in_chunks(batch.column(1).to_pylist()), strict=True):
+            for key, packed in zip(keys, enc.encode_column(batch.column(1)), strict=True):
                 raw = np.append(enc.ids(packed).astype("<u4"), np.uint32(end_id)).astype("<u4").tobytes()
                 start = 0
                 for k, size in enumerate(cut_lengths(len(raw) // 4, capacity)):

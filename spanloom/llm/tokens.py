@@ -1,117 +1,127 @@
 """Fast exact tokenising of whole texts: encode each distinct space-separated piece once, then join the ids.
 
 BPE tokenizers that split at spaces before merging give each piece the same ids wherever it stands, so a text's ids
-are its pieces' ids one after another. A cut is made only at a single U+0020 between two characters that are not white
-space, which is a boundary for such tokenizers; every other run of white space stays inside a piece and is left to the
-tokenizer itself.
+are its pieces' ids one after another. A text is cut at its U+0020 characters. Where the tokenizer keeps the space in
+front of a word, a cut is such a boundary only between two characters that are not white space; a text with any other
+space is encoded whole by the tokenizer itself.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
 #: Pieces kept per Python worker, so memory stays bounded for any vocabulary. A full table takes no more pieces; it is
 #: emptied once it misses a quarter of what a batch asks for.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 300_000
 #: Longer pieces (texts without spaces) are encoded each time.
 CACHED_CHARS = 64
-#: Pieces joined in one call of the tokenizers library.
+#: Pieces joined in one text for the tokenizers library.
 GROUP = 400
 
-_cut = re.compile(r"(?<=\S) (?=\S)").split
-
-
-def split_keep_space(text: str) -> list[str]:
-    """Pieces for tokenizers that keep the space in front of a word: all but the first begin with it."""
-    parts = _cut(text)
-    parts[1:] = [" " + p for p in parts[1:]]
-    return parts
-
-
-def split_drop_space(text: str) -> list[str]:
-    """Pieces for tokenizers that drop white space."""
-    return text.split(" ")
-
 
 class PieceEncoder:
     """Ids of texts as packed little-endian unsigned integers of ``dtype``.
 
-    encode_pieces takes a list of distinct pieces and returns the packed ids of each; split cuts a text in pieces.
+    encode_whole(texts, dtype) and encode_words(words, dtype), for words with their space in front if ``spaced``, give
+    packed ids. In the table a word's key is the word without that space, and a text's first word has a space in front.
     """
 
-    def __init__(self, encode_pieces, split, vocab_size: int):
-        self.encode_pieces, self.split = encode_pieces, split
+    def __init__(self, encode_whole, encode_words, spaced: bool, vocab_size: int):
+        self.encode_whole, self.encode_words, self.spaced = encode_whole, encode_words, spaced
         self.dtype = np.dtype("<u2" if vocab_size <= 65536 else "<u4")
         self.kept: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; null and empty texts have none."""
-        cut = [self.split(text) if text else [] for text in texts]
         kept = self.kept
-        new = list(set().union(*cut).difference(kept))
-        kept.update(self.encode_pieces(new, self.dtype))
-        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in cut]
+        cut = [text.split(" ") if text else [] for text in texts]
+        whole: dict[int, bytes] = {}
+        if self.spaced:
+            for words in cut:
+                if words:
+                    words[0] = " " + words[0]
+        new = set().union(*cut).difference(kept)
+        if self.spaced:
+            odd = {w for w in new if not w or w[-1].isspace() or (w[0].isspace() and w[0] != " ")}
+            if odd:
+                at = [i for i, words in enumerate(cut) if not odd.isdisjoint(words)]
+                whole = dict(zip(at, self.encode_whole([texts[i] for i in at], self.dtype), strict=True))
+                for i in at:
+                    cut[i] = []
+                new = set().union(*cut).difference(kept)
+            firsts = [w for w in new if w[0] == " "]
+            kept.update(zip(firsts, self.encode_whole([w[1:] for w in firsts], self.dtype), strict=True))
+            words = [w for w in new if w[0] != " "]
+            kept.update(zip(words, self.encode_words([" " + w for w in words], self.dtype), strict=True))
+        else:
+            words = list(new)
+            kept.update(zip(words, self.encode_words(words, self.dtype), strict=True))
+        out = [whole[i] if i in whole else b"".join(map(kept.__getitem__, words)) for i, words in enumerate(cut)]
         full = len(kept) > CACHE_PIECES
-        for p in new:
-            if full or len(p) > CACHED_CHARS:
-                del kept[p]
+        for w in new:
+            if full or len(w) > CACHED_CHARS:
+                del kept[w]
         if full and 4 * len(new) > sum(map(len, cut)):
             kept.clear()
         return out
 
-    def encode_in_chunks(self, texts: list[str | None], chunk: int = 500):
-        for i in range(0, len(texts), chunk):
-            yield from self.encode(texts[i : i + chunk])
+    def encode_column(self, column, chunk: int = 500):
+        """Packed ids of an Arrow column of texts, a few hundred texts at a time."""
+        for i in range(0, len(column), chunk):
+            yield from self.encode(column.slice(i, chunk).to_pylist())
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, dtype=self.dtype)
 
 
-def _joined(tokenizer, pieces: list[str], dtype, fits, join, ends) -> dict[str, bytes]:
-    """Encode pieces that fit several hundred a call, the others alone; ends gives the id position after each piece."""
-    out: dict[str, bytes] = {}
-    good, rest = [], []
-    for p in pieces:
-        (good if fits(p) else rest).append(p)
-    for e, p in zip(tokenizer.encode_batch_fast(rest, add_special_tokens=False), rest, strict=True):
-        out[p] = np.array(e.ids, dtype=dtype).tobytes()
-    groups = [good[i : i + GROUP] for i in range(0, len(good), GROUP)]
+def whole(tokenizer):
+    def encode(texts: list[str], dtype) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=dtype).tobytes() for e in found]
+
+    return encode
+
+
+def _joined(tokenizer, words: list[str], dtype, join, ends, skip: int) -> list[bytes]:
+    """Encode words several hundred a text; ends gives the id position after each word."""
+    out: list[bytes] = []
+    size = dtype.itemsize
+    groups = [words[i : i + GROUP] for i in range(0, len(words), GROUP)]
     for k in range(0, len(groups), 8):
         texts = [join(g) for g in groups[k : k + 8]]
         for g, e in zip(groups[k : k + 8], tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype=dtype)
-            stops, skip = ends(g, ids)
-            packed, size, start = ids.tobytes(), dtype.itemsize, 0
-            for p, stop in zip(g, stops.tolist(), strict=True):
-                out[p] = packed[start * size : stop * size]
-                start = stop + skip
+            packed, start = ids.tobytes(), 0
+            for stop in (ends(g, ids) * size).tolist():
+                out.append(packed[start:stop])
+                start = stop + skip * size
     return out
 
 
 def joined_by_length(tokenizer, id_bytes: np.ndarray):
-    """For tokenizers whose ids stand for bytes one to one: the pieces' byte counts tell their ids apart."""
-
-    def fits(p: str) -> bool:
-        return len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()
+    """For tokenizers whose ids stand for bytes one to one: the words' byte counts tell their ids apart."""
 
     def ends(group: list[str], ids: np.ndarray):
-        upto = np.cumsum([len(p.encode()) for p in group])
-        return np.searchsorted(np.cumsum(id_bytes[ids]), upto) + 1, 0
+        return np.searchsorted(np.cumsum(id_bytes[ids]), np.cumsum([len(w.encode()) for w in group])) + 1
 
-    return lambda pieces, dtype: _joined(tokenizer, pieces, dtype, fits, "".join, ends)
+    return lambda words, dtype: _joined(tokenizer, words, dtype, "".join, ends, 0)
 
 
 def joined_by_mark(tokenizer, mark: str = "\x01"):
-    """For tokenizers that drop white space: a mark of one id of its own stands between pieces."""
+    """For tokenizers that drop white space: a mark of one id of its own stands between words."""
     (mark_id,) = tokenizer.encode(mark, add_special_tokens=False).ids
 
     def ends(group: list[str], ids: np.ndarray):
-        return np.append(np.flatnonzero(ids == mark_id), len(ids)), 1
+        return np.append(np.flatnonzero(ids == mark_id), len(ids))
+
+    def encode(words: list[str], dtype) -> list[bytes]:
+        if not any(mark in w for w in words):
+            return _joined(tokenizer, words, dtype, f" {mark} ".join, ends, 1)
+        return whole(tokenizer)(words, dtype)
 
-    return lambda pieces, dtype: _joined(tokenizer, pieces, dtype, lambda p: mark not in p, f" {mark} ".join, ends)
+    return encode
 
 
 def _byte_level_lengths(tokenizer) -> np.ndarray:
@@ -136,9 +146,7 @@ def tokenizer_encoder(path: str, keeps_space: bool) -> PieceEncoder:
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True
-        if keeps_space:
-            made = PieceEncoder(joined_by_length(t, _byte_level_lengths(t)), split_keep_space, t.get_vocab_size())
-        else:
-            made = PieceEncoder(joined_by_mark(t), split_drop_space, t.get_vocab_size())
+        words = joined_by_length(t, _byte_level_lengths(t)) if keeps_space else joined_by_mark(t)
+        made = PieceEncoder(whole(t), words, keeps_space, t.get_vocab_size())
         _encoders[path, keeps_space] = made
     return _encoders[path, keeps_space]
