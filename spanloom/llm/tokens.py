@@ -1,9 +1,9 @@
 """Fast exact tokenising of whole texts: encode each distinct space-separated piece once, then join the ids.
 
 BPE tokenizers that split at spaces before merging give each piece the same ids wherever it stands, so a text's ids
-are its pieces' ids one after another. A text is cut at its U+0020 characters. Where the tokenizer keeps the space in
-front of a word, a cut is such a boundary only between two characters that are not white space; a text with any other
-space is encoded whole by the tokenizer itself.
+are its pieces' ids one after another. A text is cut in front of its spaces and newlines. Where the tokenizer keeps
+white space, a cut is such a boundary only at a single space or newline between two other characters; a text with any
+other white space at a cut is encoded whole by the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import numpy as np
 #: Pieces kept per Python worker, so memory stays bounded for any vocabulary. A full table takes no more pieces; it is
 #: emptied once it misses a quarter of what a batch asks for.
 CACHE_PIECES = 300_000
-#: Longer pieces (texts without spaces) are encoded each time.
-CACHED_CHARS = 64
+#: Longer pieces are seldom met again and are encoded each time.
+CACHED_CHARS = 14
 #: Pieces joined in one text for the tokenizers library.
 GROUP = 400
 
@@ -25,7 +25,8 @@ class PieceEncoder:
     """Ids of texts as packed little-endian unsigned integers of ``dtype``.
 
     encode_whole(texts, dtype) and encode_words(words, dtype), for words with their space in front if ``spaced``, give
-    packed ids. In the table a word's key is the word without that space, and a text's first word has a space in front.
+    packed ids. In the table a word's key is the word without that space, or with its newline in front; a text's first
+    word has a space in front.
     """
 
     def __init__(self, encode_whole, encode_words, spaced: bool, vocab_size: int):
@@ -36,7 +37,8 @@ class PieceEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; null and empty texts have none."""
         kept = self.kept
-        cut = [text.split(" ") if text else [] for text in texts]
+        line = " \n" if self.spaced else " "
+        cut = [text.replace("\n", line).split(" ") if text else [] for text in texts]
         whole: dict[int, bytes] = {}
         if self.spaced:
             for words in cut:
@@ -44,7 +46,8 @@ class PieceEncoder:
                     words[0] = " " + words[0]
         new = set().union(*cut).difference(kept)
         if self.spaced:
-            odd = {w for w in new if not w or w[-1].isspace() or (w[0].isspace() and w[0] != " ")}
+            # a first or last character that is white space, besides the key's own mark in front
+            odd = {w for w in new if not w or w[-1].isspace() or w[w[0] in " \n"].isspace()}
             if odd:
                 at = [i for i, words in enumerate(cut) if not odd.isdisjoint(words)]
                 whole = dict(zip(at, self.encode_whole([texts[i] for i in at], self.dtype), strict=True))
@@ -54,7 +57,8 @@ class PieceEncoder:
             firsts = [w for w in new if w[0] == " "]
             kept.update(zip(firsts, self.encode_whole([w[1:] for w in firsts], self.dtype), strict=True))
             words = [w for w in new if w[0] != " "]
-            kept.update(zip(words, self.encode_words([" " + w for w in words], self.dtype), strict=True))
+            led = [w if w[0] == "\n" else " " + w for w in words]
+            kept.update(zip(words, self.encode_words(led, self.dtype), strict=True))
         else:
             words = list(new)
             kept.update(zip(words, self.encode_words(words, self.dtype), strict=True))
