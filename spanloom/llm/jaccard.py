@@ -5,10 +5,13 @@
    n - ceil(t n) + 1 of each. Groups are joined on prefix shingles and filtered by size and by the shingles' positions.
 3. Group pairs are expanded to their members, which are verified on the whole sets.
 
-What is wanted are classes, so pairs within a class already known needn't be compared. The join goes in rounds: first
-each group is compared with one group per shingle and size class (linear in the postings), and what is similar becomes
-a class; the last round compares all remaining pairs of groups of different classes. No link between classes is lost,
-and a group of n near copies costs about n comparisons rather than their square.
+Prefixes are longer by SHARED - 1 than step 2 needs, so that a similar pair shares SHARED shingles of its prefixes; pairs
+with fewer, which common phrases make, are never fetched.
+
+What is wanted are classes, so pairs within a class already known needn't be compared. First, groups with a crowded
+shingle are compared with a few others of that shingle and size band (linear in the postings), and what is similar
+becomes a class. The last round compares all remaining pairs of groups of different classes. No link between classes is
+lost, and a crowd of n near copies costs a few times n comparisons rather than their square.
 
 The order needs no exact frequencies to be right, only to be the same everywhere: it is made of counts over all
 documents, kept in a table of fixed size.
@@ -19,18 +22,23 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, materialize
-from .shingles import shingle_set
+from .shingles import column_sets
 
 #: Entries of the table of shingle counts, and how often a shingle must occur in a task's chunk to be reported. A chunk
 #: has up to CHUNK_SHINGLES shingles; rarer ones count as 0, which changes the order, not the result.
-WEIGHTS, LOCAL_MIN, CHUNK_SHINGLES = 1 << 18, 6, 2_000_000
-#: Rounds against one group per shingle before the full one.
-HUB_ROUNDS = 2
+WEIGHTS, LOCAL_MIN, CHUNK_SHINGLES = 1 << 20, 3, 3_000_000
+#: Prefix shingles that a pair must share.
+SHARED = 4
+#: A shingle is crowded with so many groups; its groups are first compared with so many of them per size band.
+CROWD, HUBS = 8, 4
+#: Bits of the table that tells which documents' sets are needed; others pass it at random, which costs only time.
+WANTED_BITS = 1 << 23
 
 SETS = "doc_id long, n_shingles long, print binary, prefix array<long>"
 
@@ -52,9 +60,9 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(found[keep]), pa.array(n[keep])], names=["shingle", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                held.append(shingle_set(text.as_py(), size))
-                total += len(held[-1])
+            for one in column_sets(batch.column(0), size):
+                held.append(one)
+                total += len(one)
                 if total >= CHUNK_SHINGLES:
                     yield report()
                     held, total = [], 0
@@ -67,13 +75,14 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
         .groupBy(F.pmod("shingle", F.lit(WEIGHTS)).cast("int").alias("at")).agg(F.max("n").alias("n"))
         .toPandas()
     )  # at most WEIGHTS rows
-    out = np.zeros(WEIGHTS, dtype=np.int64)
-    out[rows["at"].to_numpy()] = rows["n"].to_numpy()
+    out = np.zeros(WEIGHTS, dtype=np.int32)
+    out[rows["at"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
     return out
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    least = -(-percent * n // 100)  # of the set that a similar one has
+    return n - least + min(SHARED, least)
 
 
 def sets_and_prefixes(docs: DataFrame, size: int, percent: int, weights: np.ndarray) -> DataFrame:
@@ -83,10 +92,9 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, weights: np.ndar
         weight = shared.value
         for batch in batches:
             sizes, prints, prefixes = [], [], []
-            for text in batch.column(1):
-                s = shingle_set(text.as_py(), size)
+            for s in column_sets(batch.column(1), size):
                 n = len(s)
-                order = np.lexsort((s, weight[np.mod(s, WEIGHTS)]))
+                order = np.argsort(weight[np.mod(s, WEIGHTS)], kind="stable")  # s is sorted already
                 sizes.append(n)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if n else None)
                 prefixes.append(s[order[: prefix_length(n, percent)]] if n else s)
@@ -104,7 +112,7 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, weights: np.ndar
 def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py(), size) for t in batch.column(1)]
+            sets = list(column_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
             )
@@ -112,15 +120,47 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _near(percent: int) -> str:
-    """Size and position filter of postings x and y of a shingle: the first common one of a similar pair passes."""
-    overlap = f"ceil({percent} * (x.n + y.n) / {100 + percent}.0)"
+def _sizes(percent: int, x: str = "x.n", y: str = "y.n") -> str:
+    return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+
+
+def _candidates(met: DataFrame, percent: int) -> DataFrame:
+    """met: x and y (g, n, at) of pairs of groups per common prefix shingle. Returns the pairs (a, b) that may be similar.
+
+    They share SHARED shingles, or fewer where a set is so small; and behind the first common one both are long enough.
+    """
+    own = lambda n: f"least({SHARED}, ceil({percent} * {n} / 100.0))"
     return (
-        f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) "
-        f"and 1 + least(x.n - x.at - 1, y.n - y.at - 1) >= {overlap}"
+        met.groupBy(F.col("x.g").alias("xg"), F.col("y.g").alias("yg"), F.col("x.n").alias("xn"), F.col("y.n").alias("yn"))
+        .agg(F.count(F.lit(1)).alias("common"), F.min("x.at").alias("xat"), F.min("y.at").alias("yat"))
+        .where(f"common >= least({own('xn')}, {own('yn')})")
+        .where(f"1 + least(xn - xat - 1, yn - yat - 1) >= ceil({percent} * (xn + yn) / {100 + percent}.0)")
+        .select(F.least("xg", "yg").alias("a"), F.greatest("xg", "yg").alias("b"))
     )
 
 
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in ids, and some others: a table of WANTED_BITS bits is looked up, no text moves."""
+    spare = WANTED_BITS // 64
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
+    words = (
+        ids.select(bit.alias("bit"))
+        .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+        .toPandas()
+    )  # at most WANTED_BITS / 64 rows
+    table = np.zeros(spare, dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def wanted(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return docs.where("doc_id is not null").where(wanted(bit))
+
+
 def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs (doc_id, text; others are ignored): doc_id, n_shingles, component_id.
 
@@ -145,70 +185,23 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     crowded = groups.where("size > 1").select("px", "n", "prefix", "g")
     fellows = materialize(members.join(crowded, ["px", "n", "prefix"]).select("node", "g"), "group-members")
     postings = groups.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
-    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle")
+    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     step = F.lit(float(np.log(100 / percent)))
-    postings = materialize(
-        postings.join(shared, "shingle").withColumn("band", F.floor(F.log(F.col("n")) / step).cast("int")), "postings"
-    )
-
-    def hubs(seed: int, classes: DataFrame | None) -> DataFrame:
-        """Pairs (a, b) of groups: each posting with one posting of its shingle in its own and the next size bands."""
-        p = _with_class(postings, classes)
-        pick = p.groupBy("shingle", "band").agg(
-            F.min(F.struct(F.xxhash64(F.lit(seed), "shingle", "g").alias("h"), "g", "n", "at", "class")).alias("hub")
-        )
-        hub = pick.select("shingle", "band", "hub.g", "hub.n", "hub.at", "hub.class").alias("y")
-        return (
-            p.alias("x")
-            .join(hub, F.expr("x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.class <> y.class and " + _near(percent)))
-            .select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
-            .distinct()
-        )
-
-    def remaining(classes: DataFrame | None) -> DataFrame:
-        """All pairs of groups of different classes that pass the filters. Classes that meet in a shingle come first."""
-        p = _with_class(postings, classes)
-        both = p.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-        p = materialize(p.join(both.select("shingle"), "shingle"), "postings-left")
-        met = p.groupBy("shingle", "class").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-        pairs = (
-            met.alias("c").join(
-                met.alias("d"),
-                F.expr(
-                    "c.shingle = d.shingle and c.class < d.class and "
-                    f"100 * c.most_n >= {percent} * d.least_n and 100 * d.most_n >= {percent} * c.least_n"
-                ),
-            )
-            .select("c.shingle", F.col("c.class").alias("c1"), F.col("d.class").alias("c2"))
-        )
-        left = p.withColumnRenamed("class", "c1").join(pairs, ["shingle", "c1"]).alias("x")
-        return (
-            left.join(p.alias("y"), F.expr("x.shingle = y.shingle and x.c2 = y.class and " + _near(percent)))
-            .select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
-            .distinct()
-        )
-
-    # whole sets of all nodes that any round may verify: those in a pair that passes the filters, and crowded groups'
-    near_band = postings.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("k"))
-    around = near_band.select("shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "k")
-    alive = around.groupBy("shingle", "band").agg(F.sum("k").alias("k")).where("k > 1").select("shingle", "band")
-    wanted = materialize(
-        postings.join(alive, ["shingle", "band"]).select("g").distinct()
-        .join(fellows, "g", "left").select(F.coalesce("node", "g").alias("doc_id"))
-        .union(fellows.select("node")).distinct(),
-        "wanted",
-    )
-    sets = materialize(
-        whole_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), size), "sets"
-    )
+    band = F.floor(F.log(F.col("n")) / step).cast("int")
+    postings = materialize(postings.join(shared, "shingle").withColumn("band", band), "postings")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """Of node pairs (a, b), those that are similar."""
+        """Of node pairs (a, b), those that are similar, by their whole sets."""
+        pairs = materialize(pairs.distinct(), "pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        sets = materialize(whole_sets(_only(texts, ids), size), "sets")
         x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
-        return pairs.join(x, "a").join(y, "b").where(common * 100 >= union * percent).select("a", "b")
+        found = pairs.join(x, "a").join(y, "b").where(common * 100 >= union * percent)
+        return materialize(found.select("a", "b"), "links")
 
     def expand(pairs: DataFrame) -> DataFrame:
         """Group pairs to pairs of members; a group that isn't crowded is its own only member."""
@@ -217,31 +210,56 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
             pairs = pairs.join(own, side, "left").withColumn("m" + side, F.coalesce("m" + side, side))
         return pairs.select(F.col("ma").alias("a"), F.col("mb").alias("b"))
 
+    # a few groups per crowded shingle and size band, in an order by hash that is the same for all shingles
+    crowd = postings.where(F.col("k") >= CROWD)
+    picked = [
+        F.min(F.struct(F.xxhash64(F.lit(seed), "g").alias("h"), "g", "n", "at")).alias(f"h{seed}") for seed in range(HUBS)
+    ]
+    hubs = (
+        crowd.groupBy("shingle", "band").agg(*picked)
+        .select("shingle", "band", F.array_distinct(F.array(*(F.struct(f"h{i}.g", f"h{i}.n", f"h{i}.at") for i in range(HUBS)))).alias("hubs"))
+        .select("shingle", "band", F.explode("hubs").alias("hub"))
+        .select("shingle", "band", "hub.*")
+    )
+    near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_sizes(percent)}")
     inner = fellows.where("node <> g").select(F.col("g").alias("a"), F.col("node").alias("b"))
-    links = materialize(similar(hubs(0, None).union(inner).distinct()), "links")
-    for seed in range(1, HUB_ROUNDS):
-        classes = materialize(components(links), "classes")
-        links = materialize(links.union(similar(hubs(seed, classes))), "links")
+    links = similar(_candidates(crowd.alias("x").join(hubs.alias("y"), near), percent).union(inner))
     classes = materialize(components(links), "classes")
+
     # a crowded group of which some member isn't in the first one's class takes part in the full round as a class of its own
-    loose = (
+    loose = materialize(
         fellows.where("node <> g")
         .join(classes.select("node", F.col("root").alias("r1")), "node", "left")
         .join(classes.select(F.col("node").alias("g"), F.col("root").alias("r2")), "g", "left")
         .where(F.coalesce("r1", "node") != F.coalesce("r2", "g"))
         .select("g")
-        .distinct()
+        .distinct(),
+        "loose-groups",
+    )
+    apart = classes.join(loose.withColumnRenamed("g", "node"), "node", "left_anti").union(loose.select("g", -1 - F.col("g")))
+    left = _with_class(postings, apart)
+    both = left.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
+    left = materialize(left.join(both.select("shingle"), "shingle"), "postings-left")
+    # classes that meet in a shingle, then their groups there
+    spans = left.groupBy("shingle", "class").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    meet = (
+        spans.alias("c").join(
+            spans.alias("d"),
+            F.expr(
+                "c.shingle = d.shingle and c.class < d.class and "
+                f"100 * c.most_n >= {percent} * d.least_n and 100 * d.most_n >= {percent} * c.least_n"
+            ),
+        )
+        .select("c.shingle", F.col("c.class").alias("class"), F.col("d.class").alias("other"))
     )
-    loose = materialize(loose, "loose-groups")
-    apart = classes.join(loose.withColumnRenamed("g", "node"), "node", "left_anti").union(
-        loose.select("g", -1 - F.col("g"))
+    met = left.join(meet, ["shingle", "class"]).alias("x").join(
+        left.alias("y"), F.expr(f"x.shingle = y.shingle and x.other = y.class and {_sizes(percent)}")
     )
-    full = expand(remaining(materialize(apart, "classes-apart")))
     split = fellows.join(loose, "g")
     within = split.alias("p").join(split.alias("q"), F.expr("p.g = q.g and p.node < q.node")).select(
         F.col("p.node").alias("a"), F.col("q.node").alias("b")
     )
-    more = similar(full.union(within).distinct())
+    more = similar(expand(_candidates(met, percent)).union(within))
     roots = components(links.union(more))
     known = nodes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
     return (
@@ -254,8 +272,6 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def _with_class(postings: DataFrame, classes: DataFrame | None) -> DataFrame:
-    if classes is None:
-        return postings.withColumn("class", F.col("g"))
-    c = classes.select(F.col("node").alias("g"), "root")
-    return postings.join(c, "g", "left").withColumn("class", F.coalesce("root", "g")).drop("root")
+def _with_class(postings: DataFrame, classes: DataFrame) -> DataFrame:
+    own = classes.select(F.col("node").alias("g"), "root")
+    return postings.join(own, "g", "left").withColumn("class", F.coalesce("root", "g")).drop("root")

@@ -25,20 +25,38 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: bytes | None, size: int) -> np.ndarray:
-    """Distinct shingles of ``size`` words, A-Z lower-cased, words between U+0020 and U+0009 to U+000D.
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """Of each text the distinct shingles of ``size`` words, sorted by hash.
 
-    Fewer words make one shingle of all of them; no words, none. The hash of a shingle depends on its words' order and
-    number; equal words give equal hashes everywhere.
+    A-Z are lower-cased; words are what stands between U+0020 and U+0009 to U+000D. Fewer words make one shingle of all
+    of them; no words, none. The hash of a shingle depends on its words, their order and number, and is the same
+    everywhere.
     """
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, dtype=np.int64)
     if len(_words) > KEPT_WORDS:
         _words.clear()
-    h = np.array([_words[w] for w in words], dtype=np.uint64)
-    n = min(size, len(h))
-    mixed = np.full(len(h) - n + 1, n, dtype=np.uint64)
-    for k in range(n):
-        mixed = _mix((mixed * _MIX[1]) ^ h[k : len(h) - n + 1 + k])
-    return np.unique(mixed.view(np.int64))
+    words = [t.lower().split() if t else [] for t in texts]
+    counts = [len(w) for w in words]
+    h = np.fromiter((x for w in words for x in map(_words.__getitem__, w)), dtype=np.uint64, count=sum(counts))
+    # the shingle that begins at each word; those that reach into the next text are left out below
+    mixed = np.full(max(0, len(h) - size + 1), size, dtype=np.uint64)
+    for k in range(size):
+        mixed = _mix((mixed * _MIX[1]) ^ h[k : len(h) - size + 1 + k])
+    out, at = [], 0
+    for n in counts:
+        if n >= size:
+            out.append(np.unique(mixed[at : at + n - size + 1].view(np.int64)))
+        elif n:
+            one = np.full(1, n, dtype=np.uint64)
+            for k in range(n):
+                one = _mix((one * _MIX[1]) ^ h[at + k : at + k + 1])
+            out.append(one.view(np.int64))
+        else:
+            out.append(np.zeros(0, dtype=np.int64))
+        at += n
+    return out
+
+
+def column_sets(column, size: int, chunk: int = 200):
+    """shingle_sets of an Arrow column of binary texts."""
+    for i in range(0, len(column), chunk):
+        yield from shingle_sets(column.slice(i, chunk).to_pylist(), size)

@@ -29,8 +29,9 @@ class PieceEncoder:
     word has a space in front.
     """
 
-    def __init__(self, encode_whole, encode_words, spaced: bool, vocab_size: int):
+    def __init__(self, encode_whole, encode_words, spaced: bool, vocab_size: int, odd_char: str | None = None):
         self.encode_whole, self.encode_words, self.spaced = encode_whole, encode_words, spaced
+        self.odd_char = odd_char  # texts with this character are encoded whole
         self.dtype = np.dtype("<u2" if vocab_size <= 65536 else "<u4")
         self.kept: dict[str, bytes] = {}
 
@@ -48,6 +49,8 @@ class PieceEncoder:
         if self.spaced:
             # a first or last character that is white space, besides the key's own mark in front
             odd = {w for w in new if not w or w[-1].isspace() or w[w[0] in " \n"].isspace()}
+            if self.odd_char:
+                odd.update(w for w in new if self.odd_char in w)
             if odd:
                 at = [i for i, words in enumerate(cut) if not odd.isdisjoint(words)]
                 whole = dict(zip(at, self.encode_whole([texts[i] for i in at], self.dtype), strict=True))
