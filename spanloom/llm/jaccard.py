@@ -3,6 +3,8 @@
 1. Documents with equal sets are one node. Nodes with equal size and prefix are one group.
 2. Shingles have one global order, rare ones first. Two sets with similarity >= t share a shingle among the first
    n - ceil(t n) + 1 of each. Groups are joined on prefix shingles and filtered by size and by the shingles' positions.
+   Signatures, the parity of a set's shingles by hash, differ in no more bits than the sets do in shingles, which leaves
+   out most pairs that aren't similar within the join.
 3. Group pairs are expanded to their members, which are verified on the whole sets.
 
 Prefixes are longer by SHARED - 1 than step 2 needs, so that a similar pair shares SHARED shingles of its prefixes; pairs
@@ -13,8 +15,9 @@ shingle are compared with a few others of that shingle and size band (linear in
 becomes a class. The last round compares all remaining pairs of groups of different classes. No link between classes is
 lost, and a crowd of n near copies costs a few times n comparisons rather than their square.
 
-The order needs no exact frequencies to be right, only to be the same everywhere: it is made of counts over all
-documents, kept in a table of fixed size.
+Shingles whose hash is in the lowest part of its range come first; these are counted exactly over all documents, and
+crowded ones come after all others of that part. The part is large enough for most prefixes to lie in it. The counts of
+crowded shingles are kept in a table of fixed size, which may be coarse, as any order is right that is the same everywhere.
 """
 
 from __future__ import annotations
@@ -24,31 +27,40 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, materialize
 from .shingles import column_sets
 
-#: Entries of the table of shingle counts, and how often a shingle must occur in a task's chunk to be reported. A chunk
-#: has up to CHUNK_SHINGLES shingles; rarer ones count as 0, which changes the order, not the result.
-WEIGHTS, LOCAL_MIN, CHUNK_SHINGLES = 1 << 20, 3, 3_000_000
+#: Entries of the table of crowded shingles; shingles counted by a task before it reports.
+WEIGHTS, CHUNK_SHINGLES = 1 << 20, 2_000_000
+#: Shingles are counted if their hash is in the lowest part of its range, this many times the share of a prefix.
+ZONE = 2.5
 #: Prefix shingles that a pair must share.
 SHARED = 4
 #: A shingle is crowded with so many groups; its groups are first compared with so many of them per size band.
-CROWD, HUBS = 8, 4
+CROWD, HUBS = 8, 8
 #: Bits of the table that tells which documents' sets are needed; others pass it at random, which costs only time.
 WANTED_BITS = 1 << 23
 
-SETS = "doc_id long, n_shingles long, print binary, prefix array<long>"
+#: Longs of a set's signature, the parity of its shingles by hash modulo 64 * SIGNATURE.
+SIGNATURE = 4
+
+SETS = "doc_id long, n_shingles long, print binary, prefix array<long>, sig array<long>"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
-def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """Counts of common shingles over all documents by shingle modulo WEIGHTS: WEIGHTS numbers, whatever the input."""
+def zone_end(percent: int) -> np.int64:
+    return np.int64(min(2**63 - 1, int(-(2**63) + min(1.0, ZONE * (100 - percent) / 100) * 2**64)))
+
+
+def crowded_shingles(docs: DataFrame, size: int, percent: int) -> np.ndarray:
+    """Document counts of crowded shingles of the counted zone, by shingle modulo WEIGHTS: as many numbers at any size."""
+    below = zone_end(percent)
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -56,13 +68,12 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
 
         def report():
             found, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= LOCAL_MIN
-            return pa.RecordBatch.from_arrays([pa.array(found[keep]), pa.array(n[keep])], names=["shingle", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["shingle", "n"])
 
         for batch in batches:
             for one in column_sets(batch.column(0), size):
-                held.append(one)
-                total += len(one)
+                held.append(one[: np.searchsorted(one, below)])  # sets are sorted
+                total += len(held[-1])
                 if total >= CHUNK_SHINGLES:
                     yield report()
                     held, total = [], 0
@@ -71,7 +82,7 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
 
     rows = (
         _texts(docs).select("text").mapInArrow(run, "shingle long, n long")
-        .groupBy("shingle").agg(F.sum("n").alias("n"))
+        .groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= CROWD)
         .groupBy(F.pmod("shingle", F.lit(WEIGHTS)).cast("int").alias("at")).agg(F.max("n").alias("n"))
         .toPandas()
     )  # at most WEIGHTS rows
@@ -87,23 +98,27 @@ def prefix_length(n: int, percent: int) -> int:
 
 def sets_and_prefixes(docs: DataFrame, size: int, percent: int, weights: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    below, last = zone_end(percent), np.int32(2**31 - 1)
 
     def run(batches):
         weight = shared.value
         for batch in batches:
-            sizes, prints, prefixes = [], [], []
+            sizes, prints, prefixes, sigs = [], [], [], []
             for s in column_sets(batch.column(1), size):
                 n = len(s)
-                order = np.argsort(weight[np.mod(s, WEIGHTS)], kind="stable")  # s is sorted already
+                rank = np.where(s < below, weight[np.mod(s, WEIGHTS)], last)
+                order = np.argsort(rank, kind="stable")  # s is sorted already
                 sizes.append(n)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if n else None)
                 prefixes.append(s[order[: prefix_length(n, percent)]] if n else s)
+                odd = np.bincount((s >> 9) & (64 * SIGNATURE - 1), minlength=64 * SIGNATURE) & 1
+                sigs.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "print", "prefix"],
+                names=["doc_id", "n_shingles", "print", "prefix", "sig"],
             )
 
     return _texts(docs).mapInArrow(run, SETS)
@@ -120,8 +135,18 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _sizes(percent: int, x: str = "x.n", y: str = "y.n") -> str:
-    return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+def _near(percent: int) -> str:
+    """A filter of postings x and y of one shingle.
+
+    By sizes; by how much can be common before and behind the shingle; and by the signatures, where a group has one.
+    """
+    overlap = f"ceil({percent} * (x.n + y.n) / {100 + percent}.0)"
+    differ = " + ".join(f"bit_count(x.sig[{i}] ^ y.sig[{i}])" for i in range(SIGNATURE))
+    return (
+        f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and least(x.inside, y.inside) + 1 "
+        f"+ least(x.n - x.at - 1, y.n - y.at - 1) >= {overlap} "
+        f"and coalesce({differ} <= x.n + y.n - 2 * {overlap}, true)"
+    )
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
@@ -169,26 +194,33 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     links with nothing; so does a null doc_id, whose component_id is null. Rows that share a doc_id are one node. No rows
     give no rows.
     """
-    weights = common_shingles(docs, size)
+    weights = crowded_shingles(docs, size, percent)
     base = materialize(sets_and_prefixes(docs, size, percent, weights), "shingle-sets")
     linkable = base.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(
         linkable.groupBy("print").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
+            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"),
+            F.first("sig").alias("sig"),
         ),
         "nodes",
     )
     # groups of equal prefix and size; a group is named by its smallest node
-    members = nodes.select("node", "n", "prefix", F.xxhash64("prefix").alias("px"))
-    groups = members.groupBy("px", "n", "prefix").agg(F.min("node").alias("g"), F.count(F.lit(1)).alias("size"))
+    members = nodes.select("node", "n", "prefix", "sig", F.xxhash64("prefix").alias("px"))
+    groups = members.groupBy("px", "n", "prefix").agg(
+        F.min("node").alias("g"), F.count(F.lit(1)).alias("size"), F.first("sig").alias("sig")
+    )
     groups = materialize(groups, "groups")
+    signatures = groups.where("size = 1").select("g", "sig")
     crowded = groups.where("size > 1").select("px", "n", "prefix", "g")
     fellows = materialize(members.join(crowded, ["px", "n", "prefix"]).select("node", "g"), "group-members")
     postings = groups.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
     shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     step = F.lit(float(np.log(100 / percent)))
     band = F.floor(F.log(F.col("n")) / step).cast("int")
-    postings = materialize(postings.join(shared, "shingle").withColumn("band", band), "postings")
+    # how many shingles of other prefixes precede: only those can be common with another set
+    inside = F.row_number().over(Window.partitionBy("g").orderBy("at")) - 1
+    postings = postings.join(shared, "shingle").withColumns({"band": band, "inside": inside})
+    postings = materialize(postings.join(signatures, "g", "left"), "postings")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -210,20 +242,23 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
             pairs = pairs.join(own, side, "left").withColumn("m" + side, F.coalesce("m" + side, side))
         return pairs.select(F.col("ma").alias("a"), F.col("mb").alias("b"))
 
-    # a few groups per crowded shingle and size band, in an order by hash that is the same for all shingles
+    # a few groups per crowded shingle and size band: those that have least of their own before it, as the source of
+    # near copies has, and some by hash, in an order that is the same for all shingles
     crowd = postings.where(F.col("k") >= CROWD)
-    picked = [
-        F.min(F.struct(F.xxhash64(F.lit(seed), "g").alias("h"), "g", "n", "at")).alias(f"h{seed}") for seed in range(HUBS)
+    orders = [
+        F.struct((F.col("at") - F.col("inside") if seed < HUBS // 2 else F.lit(0)).alias("o"), F.xxhash64(F.lit(seed), "g").alias("h"), "g", "n", "at", "inside", "sig")
+        for seed in range(HUBS)
     ]
+    named = F.array_distinct(F.array(*(F.struct(f"h{i}.g", f"h{i}.n", f"h{i}.at", f"h{i}.inside", f"h{i}.sig") for i in range(HUBS))))
     hubs = (
-        crowd.groupBy("shingle", "band").agg(*picked)
-        .select("shingle", "band", F.array_distinct(F.array(*(F.struct(f"h{i}.g", f"h{i}.n", f"h{i}.at") for i in range(HUBS)))).alias("hubs"))
-        .select("shingle", "band", F.explode("hubs").alias("hub"))
+        crowd.groupBy("shingle", "band").agg(*[F.min(o).alias(f"h{i}") for i, o in enumerate(orders)])
+        .select("shingle", "band", F.explode(named).alias("hub"))
         .select("shingle", "band", "hub.*")
     )
-    near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_sizes(percent)}")
+    near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_near(percent)}")
     inner = fellows.where("node <> g").select(F.col("g").alias("a"), F.col("node").alias("b"))
-    links = similar(_candidates(crowd.alias("x").join(hubs.alias("y"), near), percent).union(inner))
+    few = crowd.alias("x").join(hubs.alias("y"), near).select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
+    links = similar(few.union(inner))
     classes = materialize(components(links), "classes")
 
     # a crowded group of which some member isn't in the first one's class takes part in the full round as a class of its own
@@ -253,7 +288,7 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         .select("c.shingle", F.col("c.class").alias("class"), F.col("d.class").alias("other"))
     )
     met = left.join(meet, ["shingle", "class"]).alias("x").join(
-        left.alias("y"), F.expr(f"x.shingle = y.shingle and x.other = y.class and {_sizes(percent)}")
+        left.alias("y"), F.expr(f"x.shingle = y.shingle and x.other = y.class and {_near(percent)}")
     )
     split = fellows.join(loose, "g")
     within = split.alias("p").join(split.alias("q"), F.expr("p.g = q.g and p.node < q.node")).select(

@@ -29,8 +29,9 @@ class PieceEncoder:
     word has a space in front.
     """
 
-    def __init__(self, encode_whole, encode_words, spaced: bool, vocab_size: int, odd_char: str | None = None):
+    def __init__(self, encode_whole, encode_words, spaced: bool, vocab_size: int, odd_char: str | None = None, folds=False):
         self.encode_whole, self.encode_words, self.spaced = encode_whole, encode_words, spaced
+        self.folds = folds  # whether the tokenizer lower-cases texts
         self.odd_char = odd_char  # texts with this character are encoded whole
         self.dtype = np.dtype("<u2" if vocab_size <= 65536 else "<u4")
         self.kept: dict[str, bytes] = {}
@@ -63,8 +64,12 @@ class PieceEncoder:
             led = [w if w[0] == "\n" else " " + w for w in words]
             kept.update(zip(words, self.encode_words(led, self.dtype), strict=True))
         else:
-            words = list(new)
+            # the tokenizer lower-cases, so the other case of an ASCII word needn't be encoded again
+            lower = {w: w.lower() for w in new if w.isascii() and not w.islower()} if self.folds else {}
+            words = list({lower.get(w, w) for w in new}.difference(kept))
             kept.update(zip(words, self.encode_words(words, self.dtype), strict=True))
+            kept.update((w, kept[v]) for w, v in lower.items())
+            new.update(words)
         out = [whole[i] if i in whole else b"".join(map(kept.__getitem__, words)) for i, words in enumerate(cut)]
         full = len(kept) > CACHE_PIECES
         for w in new:
@@ -154,6 +159,7 @@ def tokenizer_encoder(path: str, keeps_space: bool) -> PieceEncoder:
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True
         words = joined_by_length(t, _byte_level_lengths(t)) if keeps_space else joined_by_mark(t)
-        made = PieceEncoder(whole(t), words, keeps_space, t.get_vocab_size())
+        folds = t.normalizer is not None and t.normalizer.normalize_str("Az") == "az"
+        made = PieceEncoder(whole(t), words, keeps_space, t.get_vocab_size(), folds=folds)
         _encoders[path, keeps_space] = made
     return _encoders[path, keeps_space]

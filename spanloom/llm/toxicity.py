@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .sampling import append, first_by_hash
 
 #: Bounds of the training sample, in documents.
-MOST_POSITIVE, MOST_UNLABELLED = 3000, 6000
+MOST_POSITIVE, MOST_UNLABELLED = 2000, 5000
 MOST_FEATURES = 1024
 #: Least number of toxic documents with a feature: an eightieth of P, within these bounds.
 SUPPORT = (4, 12)
@@ -97,16 +97,23 @@ def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float) -> tuple[np.ndarray, fl
     return w[:-1].astype(np.float64), float(w[-1])
 
 
-def train(positive: list[set[str]], unlabelled: list[set[str]], prior: float) -> Model:
-    """From feature sets. Without examples the model says the prior of every text."""
+def frequent(positive: list[list[str]]) -> dict[str, int]:
+    """Features of enough documents of P, with their numbers."""
+    support = min(max(len(positive) // 80, SUPPORT[0]), SUPPORT[1])
+    counts = Counter(f for words in positive for f in feature_set(words))
+    return {f: n for f, n in counts.items() if n >= support}
+
+
+def train(positive: list[list[str]], often: dict[str, int], unlabelled: list[set[str]], prior: float) -> Model:
+    """From the words of P, its frequent features, and the sets of these in U.
+
+    Without examples the model says the prior of every text.
+    """
     prior = min(max(prior, 1e-3), 0.5)
     flat = Model({}, float(np.log(prior / (1 - prior))))
     if not positive or not unlabelled:
         return flat
-    in_p = Counter(f for s in positive for f in s)
-    support = min(max(len(positive) // 80, SUPPORT[0]), SUPPORT[1])
-    often = {f: n for f, n in in_p.items() if n >= support}
-    in_u = Counter(f for s in unlabelled for f in s if f in often)
+    in_u = Counter(f for s in unlabelled for f in s)
     precision = {
         f: prior * (n / len(positive)) / max((in_u[f] + 0.5) / (len(unlabelled) + 1), prior * n / len(positive))
         for f, n in often.items()
@@ -116,48 +123,45 @@ def train(positive: list[set[str]], unlabelled: list[set[str]], prior: float) ->
         return flat
     at = {f: i for i, f in enumerate(names)}
 
-    def matrix(sets: list[set[str]]) -> np.ndarray:
+    def matrix(sets) -> np.ndarray:
         x = np.zeros((len(sets), len(names)), dtype=np.float32)
         for i, s in enumerate(sets):
-            x[i, [at[f] for f in s if f in at]] = 1
+            x[i, [at[f] for f in (feature_set(s) if isinstance(s, list) else s) if f in at]] = 1
         return x
 
     w, b = nnpu(matrix(positive), matrix(unlabelled), prior)
     return Model({f: float(w[i]) for f, i in at.items()}, b)
 
 
-def _distinct_copies(sets: list[set[str]]) -> list[set[str]]:
-    """One of each group of near copies, so that copies of a text don't make its words look toxic."""
-    kept: dict[tuple, set[str]] = {}
-    for s in sets:
-        key = tuple(sorted(zlib.crc32(f.encode()) for f in s if len(f) > 7)[:4])
-        kept.setdefault(key or tuple(sorted(s)), s)
-    return list(kept.values())
+def _copy_key(words: list[str]) -> tuple:
+    """Equal for most near copies of a text: its longer words of smallest hash."""
+    return tuple(sorted(zlib.crc32(w.encode()) for w in words if len(w) > 6)[:4]) or tuple(sorted(words))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """docs: doc_id, text; labels: doc_id, toxic, of the training rows only (null toxic is ignored).
 
-    P and U are bounded samples by hash; only their distinct words come to the driver. The prior is the labels' mean.
+    P and U are bounded samples by hash, one of each group of near copies, so that copies don't make a text's words look
+    toxic. Only distinct words of P and frequent features of U stay on the driver. The prior is the labels' mean.
     """
     spark = docs.sparkSession
     known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    chosen = first_by_hash(known.where("toxic = 1").select("doc_id").distinct(), MOST_POSITIVE, 1).withColumn("p", F.lit(1))
-    others = first_by_hash(docs.select(F.col("doc_id").cast("long").alias("doc_id")), MOST_UNLABELLED, 2)
-    ids = [(r["doc_id"], 1) for r in chosen.collect()] + [(r["doc_id"], 0) for r in others.collect()]
-    sample = spark.createDataFrame(ids, "doc_id long, p int").dropDuplicates()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = F.array_distinct(F.split(F.coalesce("text", F.lit("")), r"\s+"))
-    rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(F.broadcast(sample), "doc_id")  # at most MOST_POSITIVE + MOST_UNLABELLED ids
-        .select("p", words.alias("words"))
-        .toLocalIterator()
-    )
-    sets: dict[int, list[set[str]]] = {0: [], 1: []}
-    for r in rows:
-        sets[r["p"]].append(feature_set(r["words"]))
-    return train(_distinct_copies(sets[1]), _distinct_copies(sets[0]), prior)
+
+    def sample(ids: DataFrame, most: int, seed: int):
+        chosen = spark.createDataFrame(first_by_hash(ids, most, seed).collect(), "doc_id long")  # at most ``most`` ids
+        seen = set()
+        for r in texts.join(F.broadcast(chosen), "doc_id").select(words.alias("words")).toLocalIterator():
+            if (key := _copy_key(r["words"])) not in seen:
+                seen.add(key)
+                yield r["words"]
+
+    positive = list(sample(known.where("toxic = 1").select("doc_id").distinct(), MOST_POSITIVE, 1))
+    often = frequent(positive)
+    unlabelled = [{f for f in feature_set(w) if f in often} for w in sample(texts.select("doc_id"), MOST_UNLABELLED, 2)]
+    return train(positive, often, unlabelled, prior)
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
