@@ -1,9 +1,459 @@
-"""The catalogue of trace queries registered with the driver, and their DuckDB twins."""
+"""The catalogue of trace queries registered with the driver, and their DuckDB twins.
+
+Each entry names a TraceQL query (or a call), its adapter (E: events, O: orders) and SQL over the adapter's spans, which
+``{spans}`` stands for.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from spanloom.engine import TraceEngine
+from spanloom.operators import rollup, tree
+from spanloom.sources.adapters import events_as_spans, orders_as_spans
+
+DAY = 86_400_000_000_000
+#: 2024-01-01 to 2024-01-31, day buckets.
+START, END = 1_704_067_200_000_000_000, 1_706_659_200_000_000_000
+#: The orders' range, in buckets of 28 days.
+O_STEP = 28 * DAY
+O_START, O_END = 694_224_000_000_000_000 // O_STEP * O_STEP, 915_148_800_000_000_000 // O_STEP * O_STEP + O_STEP
+
+ADAPTERS = {"E": events_as_spans, "O": orders_as_spans}
+
+E_SQL = """
+ev AS (
+  SELECT *, epoch_us(ts) AS start_us, epoch_us(ts) // 604800000000 AS week FROM events
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, week ORDER BY start_us, event_id) AS span_no FROM ev
+), spans AS (
+  SELECT lpad(lower(to_hex(c.user_id * 100000 + c.week)), 32, '0') AS trace_id,
+    lpad(lower(to_hex(c.event_id)), 16, '0') AS span_id,
+    CASE WHEN c.span_no = 1 THEN NULL WHEN c.event_id % 97 = 0 THEN 'ffffffffffffffff'
+      ELSE lpad(lower(to_hex(p.event_id)), 16, '0') END AS parent_span_id,
+    c.start_us * 1000 AS start_ns, CAST(round(c.value * 100) AS BIGINT) * 10000 AS duration_ns, c.event_type AS name,
+    CASE c.event_type WHEN 'click' THEN 'client' WHEN 'view' THEN 'server' WHEN 'purchase' THEN 'producer'
+      WHEN 'signup' THEN 'consumer' WHEN 'error' THEN 'internal' ELSE 'unspecified' END AS kind,
+    CASE WHEN c.event_type = 'error' THEN 'error' WHEN c.event_id % 3 = 0 THEN 'ok' ELSE 'unset' END AS status,
+    'svc-' || (c.user_id % 5) AS service_name, CAST(json_extract_string(c.props, '$.k') AS BIGINT) AS k,
+    CASE WHEN c.event_type = 'error' THEN 'E' || (c.event_id % 7) END AS exc
+  FROM numbered c LEFT JOIN numbered p ON p.user_id = c.user_id AND p.week = c.week AND p.span_no = c.span_no // 2
+)"""
+O_SQL = """
+lines AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+    l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS no FROM lineitem
+), spans AS (
+  SELECT lpad(lower(to_hex(o_orderkey)), 32, '0') AS trace_id, lpad(lower(to_hex(o_orderkey * 1000)), 16, '0') AS span_id,
+    CAST(NULL AS VARCHAR) AS parent_span_id, epoch_us(o_orderdate) * 1000 AS start_ns,
+    CAST(round(o_totalprice * 100) AS BIGINT) * 1000 AS duration_ns, o_orderpriority AS name,
+    CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'P' THEN 'error' ELSE 'unset' END AS status, 'orders' AS service_name,
+    CAST(NULL AS DOUBLE) AS quantity
+  FROM orders
+  UNION ALL
+  SELECT lpad(lower(to_hex(l_orderkey)), 32, '0'), lpad(lower(to_hex(l_orderkey * 1000 + no)), 16, '0'),
+    lpad(lower(to_hex(l_orderkey * 1000)), 16, '0'), epoch_us(o_orderdate) * 1000 + no * 1000000,
+    CAST(round(l_extendedprice * 100) AS BIGINT) * 1000, l_returnflag,
+    CASE l_linestatus WHEN 'F' THEN 'ok' ELSE 'unset' END, 'supp-' || (l_suppkey % 10), l_quantity
+  FROM lines JOIN orders ON l_orderkey = o_orderkey
+)"""
+TREE_SQL = """
+tree AS (
+  SELECT trace_id, span_id, lpad(CAST(row_number() OVER (PARTITION BY trace_id ORDER BY start_ns, span_id) AS VARCHAR), 6, '0')
+      AS path, 0 AS depth, CAST(NULL AS VARCHAR) AS parent_path
+  FROM spans WHERE parent_span_id IS NULL
+  UNION ALL
+  SELECT c.trace_id, c.span_id, t.path || '.' || lpad(CAST(row_number() OVER (PARTITION BY c.trace_id, c.parent_span_id
+      ORDER BY c.start_ns, c.span_id) AS VARCHAR), 6, '0'), t.depth + 1, t.path
+  FROM tree t JOIN spans c ON c.trace_id = t.trace_id AND c.parent_span_id = t.span_id
+), sized AS (
+  SELECT t.trace_id, t.span_id, t.path, t.depth, t.parent_path,
+    row_number() OVER (PARTITION BY t.trace_id ORDER BY t.path) - 1 AS p,
+    (SELECT count(*) FROM tree d WHERE d.trace_id = t.trace_id AND (d.path = t.path OR starts_with(d.path, t.path || '.'))) AS size
+  FROM tree t
+), sets AS (
+  SELECT trace_id, span_id, path, parent_path, CAST(2 * p + 1 - depth AS INT) AS l, CAST(2 * p - depth + 2 * size AS INT) AS r
+  FROM sized
+), closure AS (
+  SELECT d.trace_id, a.span_id AS up, d.span_id AS down FROM sets d JOIN sets a
+    ON a.trace_id = d.trace_id AND a.l < d.l AND a.r > d.r
+), s AS (SELECT spans.*, l, r, path, parent_path FROM spans LEFT JOIN sets USING (trace_id, span_id))"""
+GRID = f"""
+grid AS (SELECT unnest(generate_series({START // 10**6}, {END // 10**6 - 86_400_000}, 86400000)) AS bucket_ms)"""
+
+B = "start_ns // 86400000000000 * 86400000 AS bucket_ms"
+INSIDE = f"start_ns >= {START} AND start_ns < {END}"
+
+
+def _filled(value: str, where: str = "true", by: dict[str, str] | None = None) -> str:
+    """SQL of a zero-filled count with optional labels (label -> expression)."""
+    if not by:
+        return f"""{GRID}, c AS (SELECT {B}, count(*) AS n FROM spans WHERE ({where}) AND {INSIDE} GROUP BY 1)
+SELECT bucket_ms, {value} AS value FROM grid LEFT JOIN c USING (bucket_ms)"""
+    keys = ", ".join(f'{e} AS "{k}"' for k, e in by.items())
+    names = ", ".join(f'"{k}"' for k in by)
+    return f"""{GRID}, c AS (SELECT {keys}, {B}, count(*) AS n FROM spans WHERE ({where}) AND {INSIDE} GROUP BY ALL),
+k AS (SELECT DISTINCT {names} FROM c)
+SELECT {names}, bucket_ms, {value} AS value FROM k CROSS JOIN grid LEFT JOIN c USING ({names}, bucket_ms)"""
+
+
+RATE, COUNT = "coalesce(n, 0) / 86400.0::DOUBLE", "coalesce(n, 0)::DOUBLE"
+
+
+def _grouped(value: str, by: str = "name", where: str = "true") -> str:
+    return f'SELECT {by} AS "{by}", {B}, {value} AS value FROM spans WHERE ({where}) AND {INSIDE} GROUP BY ALL'
+
+
+Q = "(count(*) / 86400.0::DOUBLE)"
+#: name -> (adapter, TraceQL, SQL after the adapter's WITH clauses). Metrics run over January 2024 in day buckets.
+METRICS: dict[str, tuple[str, str, str]] = {
+    "m_rate": ("E", "{} | rate()", ", " + _filled(RATE)),
+    "m_rate_by_name": ("E", '{ status = error || name = "click" } | rate() by (name)',
+                       ", " + _filled(RATE, "status = 'error' OR name = 'click'", {".name": "name"}).replace('".name"', '"name"')),
+    "m_count_over_time": ("E", "{ duration > 100ms } | count_over_time() by (resource.service.name)",
+                          ", " + _filled(COUNT, "duration_ns > 100000000", {"resource.service.name": "service_name"})),
+    "m_rate_multi": ("E", "{ kind != client } | rate() by (name, status, resource.service.name)",
+                     ", " + _filled(RATE, "kind <> 'client'", {"name": "name", "status": "status", "resource.service.name": "service_name"})),
+    "m_min": ("E", "{} | min_over_time(duration) by (name)", _grouped("min(duration_ns)::DOUBLE / 1e9")),
+    "m_max": ("E", "{} | max_over_time(duration) by (name)", _grouped("max(duration_ns)::DOUBLE / 1e9")),
+    "m_avg": ("E", "{} | avg_over_time(duration) by (name)", _grouped("sum(duration_ns)::DOUBLE / count(*) / 1e9")),
+    "m_sum": ("E", "{} | sum_over_time(duration) by (name)", _grouped("sum(duration_ns)::DOUBLE / 1e9")),
+    "m_attr_avg": ("E", "{ span.k != nil } | avg_over_time(span.k)",
+                   f"SELECT {B}, round(avg(k::DOUBLE), 9) AS value FROM spans WHERE k IS NOT NULL AND {INSIDE} GROUP BY ALL"),
+    "m_attr_by": ("E", "{ span.k < 5 } | count_over_time() by (span.k)", ", " + _filled(COUNT, "k < 5", {"span.k": "k::VARCHAR"})),
+    "m_quantile": ("E", "{} | quantile_over_time(duration, .5, .9, .99) by (name)", f""", q AS (
+SELECT name, {B}, quantile_cont(duration_ns, [0.5, 0.9, 0.99]) AS v FROM spans WHERE {INSIDE} GROUP BY ALL)
+SELECT name, bucket_ms, unnest(['0.5', '0.9', '0.99']) AS p, round(unnest(v) / 1e9, 9) AS value FROM q"""),
+    "m_histogram": ("E", "{} | histogram_over_time(duration)", f"""SELECT {B},
+(pow(2, ceil(log2(duration_ns))) / 1e9)::DOUBLE AS edge, count(*)::DOUBLE AS value
+FROM spans WHERE duration_ns > 0 AND {INSIDE} GROUP BY ALL"""),
+    "m_topk": ("E", "{} | rate() by (name) | topk(2)", ", x AS (" + "WITH " + _filled(RATE, "true", {"name": "name"}).strip() + """)
+SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY bucket_ms ORDER BY value DESC, name) <= 2"""),
+    "m_bottomk": ("E", "{} | rate() by (name) | bottomk(2)", ", x AS (" + "WITH " + _filled(RATE, "true", {"name": "name"}).strip() + """)
+SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY bucket_ms ORDER BY value, name) <= 2"""),
+    "m_threshold": ("E", "{} | avg_over_time(duration) by (name) > 100ms",
+                    "SELECT * FROM (" + _grouped("sum(duration_ns)::DOUBLE / count(*) / 1e9") + ") WHERE value > 0.1"),
+    "m_math_ratio": ("E", "({ status = error } | rate()) / ({} | rate())", f""", {GRID}, c AS (
+SELECT {B}, count(*) FILTER (status = 'error') / 86400.0::DOUBLE AS a, count(*) / 86400.0::DOUBLE AS b FROM spans WHERE {INSIDE} GROUP BY 1)
+SELECT bucket_ms, coalesce(a, 0) / b AS value FROM grid LEFT JOIN c USING (bucket_ms) WHERE b > 0"""),
+    "m_math_by": ("E", "({ status = error } | count_over_time() by (resource.service.name)) - ({ kind = server } | count_over_time() by (resource.service.name))",
+                  f""", {GRID}, c AS (SELECT service_name, {B}, count(*) FILTER (status = 'error') AS a, count(*) FILTER (kind = 'server') AS b
+FROM spans WHERE {INSIDE} GROUP BY ALL), k AS (SELECT service_name FROM c GROUP BY 1 HAVING sum(a) > 0 AND sum(b) > 0)
+SELECT service_name AS "resource.service.name", bucket_ms, (coalesce(a, 0) - coalesce(b, 0))::DOUBLE AS value
+FROM k CROSS JOIN grid LEFT JOIN c USING (service_name, bucket_ms)"""),
+    "m_math_scalar": ("E", "({} | rate() by (name)) * 60", ", " + _filled("coalesce(n, 0) / 86400.0::DOUBLE * 60.0::DOUBLE", "true", {"name": "name"})),
+    "m_math_join": ("E", "({} | max_over_time(duration) by (name)) / ({} | min_over_time(duration) by (name))",
+                    _grouped("(max(duration_ns)::DOUBLE / 1e9) / (min(duration_ns)::DOUBLE / 1e9)")),
+    "m_trace_duration": ("E", "{ traceDuration > 2d } | rate()", """, t AS (
+SELECT trace_id FROM spans GROUP BY 1 HAVING max(start_ns + duration_ns) - min(start_ns) > 172800000000000), """
+                         + _filled(RATE, "trace_id IN (SELECT trace_id FROM t)")),
+    "m_root_and_status": ("E", '{ rootName = "view" && status = error } | rate() by (name)', """, t AS (
+SELECT trace_id, min_by(name, struct_pack(c := (parent_span_id IS NOT NULL)::INT, s := start_ns, i := span_id)) AS root FROM spans GROUP BY 1), """
+                          + _filled(RATE, "status = 'error' AND trace_id IN (SELECT trace_id FROM t WHERE root = 'view')", {"name": "name"})),
+    "m_roots": ("E", "{ nestedSetParent < 0 } | count_over_time() by (name)", ", " + _filled(COUNT, "parent_span_id IS NULL", {"name": "name"})),
+    "m_structural": ("E", '{ name = "view" } >> { status = error } | count_over_time()', f""", RTREE, f AS (
+SELECT DISTINCT d.trace_id, d.span_id FROM closure c JOIN s a ON a.trace_id = c.trace_id AND a.span_id = c.up AND a.name = 'view'
+JOIN s d ON d.trace_id = c.trace_id AND d.span_id = c.down AND d.status = 'error'), """
+                     + _filled(COUNT, "(trace_id, span_id) IN (SELECT (trace_id, span_id) FROM f)")),
+}
+ROUNDED = {"m_attr_avg", "m_quantile"}
+
+#: name -> (TraceQL filter, SQL condition): ids of matching spans, adapter E.
+FILTERS: dict[str, tuple[str, str]] = {
+    "f_regex": ('{ name =~ "c.*|v.*w" }', "regexp_full_match(name, 'c.*|v.*w')"),
+    "f_not_regex": ('{ name !~ ".*i.*" }', "NOT regexp_full_match(name, '.*i.*')"),
+    "f_nil": ("{ span.missing = nil && event.exception.type = nil }", "exc IS NULL"),
+    "f_not_nil": ("{ span.k != nil && statusMessage = nil }", "k IS NOT NULL"),
+    "f_bool": ("{ true && !(status = ok) }", "status <> 'ok'"),
+    "f_arith": ("{ span.k * 2 + 1 > 11 && duration / 2 < 100ms }", "k * 2 + 1 > 11 AND duration_ns / 2.0 < 100000000"),
+    "f_mod": ("{ span.k % 3 = 1 }", "k % 3 = 1"),
+    "f_unscoped": ("{ .k >= 7 }", "k >= 7"),
+    "f_text_number": ('{ span.k = "7" }', "k::VARCHAR = '7'"),
+    "f_kind": ("{ kind = server || kind = client }", "kind IN ('server', 'client')"),
+    "f_status": ("{ status != unset }", "status <> 'unset'"),
+    "f_not": ('{ !(name = "click" || span.missing > 1) }', "name <> 'click'"),
+    "f_duration": ("{ duration >= 100ms && duration < 1m }", "duration_ns >= 100000000 AND duration_ns < 60000000000"),
+    "f_event": ('{ event.exception.type = "E3" && event:name = "exception" }', "exc = 'E3'"),
+    "f_event_not": ('{ event.exception.type != "E3" }', "exc IS NOT NULL AND exc <> 'E3'"),
+    "f_event_regex": ('{ event.exception.type =~ "E[12]" }', "exc IN ('E1', 'E2')"),
+    "f_attr_attr": ("{ span.k < duration }", "k < duration_ns"),
+    "f_root": ("{ nestedSetParent < 0 && duration > 0s }", "parent_span_id IS NULL AND duration_ns > 0"),
+    "f_ids": ('{ span:id =~ ".*0" && span:parentID != nil }', "regexp_full_match(span_id, '.*0') AND parent_span_id IS NOT NULL"),
+}
+
+A_SQL, B_SQL = "name = 'view'", "status = 'error'"
+A_QL, B_QL = '{ name = "view" }', "{ status = error }"
+_PAIRS = {
+    "descendant": (">>", "closure c JOIN s a ON a.trace_id = c.trace_id AND a.span_id = c.up JOIN s b ON b.trace_id = c.trace_id AND b.span_id = c.down"),
+    "ancestor": ("<<", "closure c JOIN s b ON b.trace_id = c.trace_id AND b.span_id = c.up JOIN s a ON a.trace_id = c.trace_id AND a.span_id = c.down"),
+    "child": (">", "s a JOIN s b ON b.trace_id = a.trace_id AND b.parent_path = a.path"),
+    "parent": ("<", "s a JOIN s b ON b.trace_id = a.trace_id AND a.parent_path = b.path"),
+    "sibling": ("~", "s a JOIN s b ON b.trace_id = a.trace_id AND a.span_id <> b.span_id AND a.path IS NOT NULL AND b.path IS NOT NULL "
+                     "AND coalesce(a.parent_path, '') = coalesce(b.parent_path, '')"),
+}
+
+
+def _structural() -> dict[str, tuple[str, str]]:
+    out = {}
+    for name, (op, pairs) in _PAIRS.items():
+        where = f"WHERE a.{A_SQL} AND b.{B_SQL}"
+        found = f"SELECT DISTINCT b.trace_id, b.span_id FROM {pairs} {where}"
+        out[f"t_{name}"] = (f"{A_QL} {op} {B_QL}", found)
+        out[f"t_not_{name}"] = (
+            f"{A_QL} !{op} {B_QL}",
+            f"SELECT trace_id, span_id FROM s WHERE {B_SQL} EXCEPT ({found})",
+        )
+        out[f"t_union_{name}"] = (
+            f"{A_QL} &{op} {B_QL}", f"{found} UNION SELECT DISTINCT a.trace_id, a.span_id FROM {pairs} {where}"
+        )
+    return out
+
+
+STRUCTURAL = _structural()
+
+#: name -> (TraceQL, SQL of trace_id, span_id), adapter E.
+SPANSETS: dict[str, tuple[str, str]] = {
+    "s_and": ('{ name = "purchase" } && { status = error }', """SELECT trace_id, span_id FROM spans WHERE (name = 'purchase' OR status = 'error')
+AND trace_id IN (SELECT trace_id FROM spans WHERE name = 'purchase') AND trace_id IN (SELECT trace_id FROM spans WHERE status = 'error')"""),
+    "s_or": ('{ name = "purchase" } || { status = error }', "SELECT trace_id, span_id FROM spans WHERE name = 'purchase' OR status = 'error'"),
+    "s_count": ("{ status = error } | count() > 2", "SELECT trace_id, span_id FROM spans WHERE status = 'error' QUALIFY count(*) OVER (PARTITION BY trace_id) > 2"),
+    "s_avg": ("{ kind = server } | avg(duration) > 200ms", """SELECT trace_id, span_id FROM spans WHERE kind = 'server'
+QUALIFY sum(duration_ns) OVER (PARTITION BY trace_id)::DOUBLE / count(*) OVER (PARTITION BY trace_id) > 200000000"""),
+    "s_sum_max": ("{} | max(duration) - min(duration) < 300ms", """SELECT trace_id, span_id FROM spans
+QUALIFY max(duration_ns) OVER (PARTITION BY trace_id) - min(duration_ns) OVER (PARTITION BY trace_id) < 300000000"""),
+    "s_by": ("{ duration > 50ms } | by(name) | count() > 1", """SELECT trace_id, span_id FROM spans WHERE duration_ns > 50000000
+QUALIFY count(*) OVER (PARTITION BY trace_id, name) > 1"""),
+    "s_coalesce": ("{ duration > 50ms } | by(name) | count() > 1 | coalesce() | count() > 6", """WITH x AS (SELECT trace_id, span_id, name FROM spans
+WHERE duration_ns > 50000000 QUALIFY count(*) OVER (PARTITION BY trace_id, name) > 1)
+SELECT trace_id, span_id FROM x QUALIFY count(*) OVER (PARTITION BY trace_id) > 6"""),
+    "s_chain": ("{ span.k > 3 } | { status = error }", "SELECT trace_id, span_id FROM spans WHERE k > 3 AND status = 'error'"),
+    "s_pipeline_operand": ("({ status = error } | count() > 1) && { kind = server }", """WITH e AS (SELECT trace_id, span_id FROM spans WHERE status = 'error'
+QUALIFY count(*) OVER (PARTITION BY trace_id) > 1), v AS (SELECT trace_id, span_id FROM spans WHERE kind = 'server')
+SELECT * FROM (SELECT * FROM e UNION SELECT * FROM v) WHERE trace_id IN (SELECT trace_id FROM e) AND trace_id IN (SELECT trace_id FROM v)"""),
+    "s_child_count": ("{ childCount > 1 && nestedSetParent < 0 }", """SELECT trace_id, span_id FROM spans p WHERE parent_span_id IS NULL
+AND (SELECT count(*) FROM spans c WHERE c.trace_id = p.trace_id AND c.parent_span_id = p.span_id) > 1"""),
+}
+
+ROLLUP_SQL = """SELECT trace_id, min(start_ns) AS trace_start_ns, max(start_ns + duration_ns) - min(start_ns) AS trace_duration_ns,
+  min_by(name, struct_pack(c := (parent_span_id IS NOT NULL)::INT, s := start_ns, i := span_id)) AS root_name,
+  min_by(service_name, struct_pack(c := (parent_span_id IS NOT NULL)::INT, s := start_ns, i := span_id)) AS root_service_name
+FROM spans GROUP BY 1"""
+
+
+def _metrics(name: str, spark, sf_dir: str) -> DataFrame:
+    adapter, query, _ = METRICS[name]
+    out = TraceEngine(ADAPTERS[adapter](spark, sf_dir)).metrics(query, START, END, DAY)
+    if name == "m_histogram":
+        return out.select("bucket_ms", F.col("__bucket").cast("double").alias("edge"), "value")
+    return out.withColumn("value", F.round("value", 9)) if name in ROUNDED else out
+
+
+def _ids(query: str, spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).spans_of(query).select("trace_id", "span_id")
+
+
+def m_instant(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).instant("{} | count_over_time() by (name)", START + 3 * DAY + 5, END - DAY)
+
+
+def m_exemplars(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | rate() by (name)", START, END, DAY, exemplars=100)
+
+
+def m_exemplars_thin(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | max_over_time(duration) by (name)", START, END, DAY, exemplars=7)
+
+
+def m_compare(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | compare({ status = error }, 3)", START, END, DAY)
+
+
+def t_nested_sets(spark, sf_dir: str) -> DataFrame:
+    return tree.nested_sets(events_as_spans(spark, sf_dir))
+
+
+def s_select_rank(spark, sf_dir: str) -> DataFrame:
+    query = "{ status = error } | select(span.k, resource.service.name)"
+    return TraceEngine(events_as_spans(spark, sf_dir)).search(query, limit=15, spss=2).drop("spanset")
+
+
+def s_legacy_tags(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(events_as_spans(spark, sf_dir)).search_tags({"service.name": "SVC-1"}, "100ms", limit=10, spss=0)
+    return made.select("trace_id", "span_id", "matched", "root_name", "trace_duration_ms")
+
+
+def g_tags(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tags().where("scope <> 'intrinsic'")
+
+
+def g_values(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tag_values("resource.service.name")
+
+
+def g_values_filtered(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tag_values("span.k", "{ status = error }", limit=5)
+
+
+def g_values_status(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tag_values("status")
+
+
+def g_event_values(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tag_values("event.exception.type", '{ resource.service.name != "svc-0" }')
+
+
+def x_trace_by_id(spark, sf_dir: str) -> DataFrame:
+    wanted = f"{3 * 100000 + 2816:x}"
+    made = TraceEngine(events_as_spans(spark, sf_dir)).trace(wanted)
+    return made.select("trace_id", "span_id", "parent_span_id", "start_ns", "duration_ns", "name", "kind", "status")
+
+
+def x_otlp(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(events_as_spans(spark, sf_dir)).trace_otlp(f"{3 * 100000 + 2816:x}")
+    scope = F.explode("resource.scope_spans").alias("scope")
+    rows = made.select("trace_id", F.explode("resource_spans").alias("resource")).select("trace_id", "resource", scope)
+    return rows.select(
+        "trace_id", F.col("resource.resource.`service.name`").alias("service"), F.size("scope.spans").cast("long").alias("n_spans")
+    )
+
+
+def e_spans(spark, sf_dir: str) -> DataFrame:
+    made = events_as_spans(spark, sf_dir)
+    return made.select(
+        "trace_id", "span_id", "parent_span_id", "start_ns", "duration_ns", "name", "kind", "status", "service_name",
+        F.try_variant_get("`attributes.custom`", "$.k", "bigint").alias("k"),
+        F.try_element_at(F.try_element_at("events", F.lit(1))["attributes"], F.lit("exception.type")).alias("exc"),
+    )
+
+
+def e_rollup(spark, sf_dir: str) -> DataFrame:
+    return rollup.trace_rollup(events_as_spans(spark, sf_dir))
+
+
+def e_service_stats(spark, sf_dir: str) -> DataFrame:
+    return rollup.service_stats(orders_as_spans(spark, sf_dir))
+
+
+def o_rate(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(orders_as_spans(spark, sf_dir)).metrics("{ status = ok } | rate() by (name)", O_START, O_END, O_STEP)
+
+
+def o_quantile(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(orders_as_spans(spark, sf_dir)).metrics("{ span.quantity > 10 } | quantile_over_time(duration, 0.5, 0.9)", O_START, O_END, O_STEP)
+    return made.withColumn("value", F.round("value", 9))
+
+
+def o_child(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(orders_as_spans(spark, sf_dir)).spans_of('{ name = "1-URGENT" } > { name = "R" && span.quantity >= 40 }')
+    return made.select("trace_id", "span_id")
+
+
+def o_rollup(spark, sf_dir: str) -> DataFrame:
+    return rollup.trace_rollup(orders_as_spans(spark, sf_dir))
+
+
+CALLS: dict[str, Callable] = {
+    f.__name__: f
+    for f in (
+        m_instant, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
+        g_values_filtered, g_values_status, g_event_values, x_trace_by_id, x_otlp, e_spans, e_rollup, e_service_stats, o_rate,
+        o_quantile, o_child, o_rollup,
+    )
+}
+
+_O_B = f"start_ns // {O_STEP} * {O_STEP // 10**6} AS bucket_ms"
+_O_GRID = f"grid AS (SELECT unnest(generate_series({O_START // 10**6}, {(O_END - O_STEP) // 10**6}, {O_STEP // 10**6})) AS bucket_ms)"
+_RANK = "struct_pack(v := {v}, s := start_ns, i := span_id)"
+_THINNED = """, n AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY bucket_ms) - 1 AS i, count(*) OVER (PARTITION BY name) AS n FROM x),
+kept AS (SELECT *, n <= 7 OR ceil(i * 7 / n::DOUBLE) * n < (i + 1) * 7 AS keep FROM n)"""
+CALL_SQL: dict[str, tuple[str, str]] = {
+    "m_instant": ("E", f"""SELECT name, {(START + 3 * DAY + 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans
+WHERE start_ns >= {START + 3 * DAY + 5} AND start_ns < {END - DAY} GROUP BY 1"""),
+    "m_exemplars": ("E", f""", {GRID}, c AS (SELECT name, {B}, count(*) AS n, max_by(struct_pack(t := trace_id, s := start_ns),
+  {_RANK.format(v='duration_ns')}) AS ex FROM spans WHERE {INSIDE} GROUP BY ALL), k AS (SELECT DISTINCT name FROM c)
+SELECT name, bucket_ms, {RATE} AS value, ex.t AS ex_trace_id, ex.s // 1000000 AS ex_ts_ms,
+  CASE WHEN n IS NOT NULL THEN {RATE} END AS ex_value
+FROM k CROSS JOIN grid LEFT JOIN c USING (name, bucket_ms)"""),
+    "m_exemplars_thin": ("E", f""", x AS (SELECT name, {B}, max(duration_ns)::DOUBLE / 1e9 AS value, max_by(struct_pack(t := trace_id, s := start_ns),
+  {_RANK.format(v='duration_ns')}) AS ex FROM spans WHERE {INSIDE} GROUP BY ALL){_THINNED}
+SELECT name, bucket_ms, value, CASE WHEN keep THEN ex.t END AS ex_trace_id, CASE WHEN keep THEN ex.s // 1000000 END AS ex_ts_ms,
+  CASE WHEN keep THEN value END AS ex_value FROM kept"""),
+    "m_compare": ("E", f""", {GRID}, long AS (
+  SELECT {B}, status = 'error' AS sel, unnest([NULL, 'resource.service.name', 'name', 'status', 'kind']) AS attribute,
+    unnest([NULL, service_name, name, status, kind]) AS attribute_value FROM spans WHERE {INSIDE}
+), c AS (SELECT attribute, attribute_value, sel, bucket_ms, count(*) AS n FROM long GROUP BY ALL),
+w AS (SELECT attribute, attribute_value, coalesce(sum(n) FILTER (sel), 0) AS chosen, sum(n) AS total FROM c GROUP BY 1, 2),
+v AS (SELECT attribute, attribute_value, row_number() OVER (PARTITION BY attribute ORDER BY chosen DESC, total DESC, attribute_value) AS rank FROM w),
+shown AS (SELECT * FROM v WHERE rank <= 3 OR attribute IS NULL), sides AS (SELECT unnest([true, false]) AS sel)
+SELECT CASE WHEN g.sel THEN 'selection' ELSE 'baseline' END || CASE WHEN g.attribute IS NULL THEN '_total' ELSE '' END AS __meta_type,
+  g.attribute, g.attribute_value, CAST(NULL AS VARCHAR) AS __meta_error, g.bucket_ms, coalesce(n, 0)::DOUBLE AS value
+FROM (SELECT * FROM shown CROSS JOIN sides CROSS JOIN grid) g LEFT JOIN c ON c.attribute IS NOT DISTINCT FROM g.attribute
+  AND c.attribute_value IS NOT DISTINCT FROM g.attribute_value AND c.sel = g.sel AND c.bucket_ms = g.bucket_ms
+UNION ALL SELECT 'baseline', attribute, NULL, '__too_many_values__', NULL, NULL FROM v WHERE rank = 4 AND attribute IS NOT NULL"""),
+    "t_nested_sets": ("E", """, RTREE
+SELECT trace_id, span_id, coalesce(l, 0)::INT AS nested_left, coalesce(r, 0)::INT AS nested_right,
+  (CASE WHEN l IS NULL THEN 0 WHEN parent_path IS NULL THEN -1 ELSE (SELECT u.l FROM sets u WHERE u.trace_id = s.trace_id AND u.path = s.parent_path) END)::INT
+    AS nested_parent,
+  (SELECT count(*) FROM spans c WHERE c.trace_id = s.trace_id AND c.parent_span_id = s.span_id)::INT AS child_count
+FROM s"""),
+    "s_select_rank": ("E", f""", f AS (SELECT * FROM spans WHERE status = 'error'),
+best AS (SELECT trace_id, max((k IS NOT NULL)::INT) + max((service_name IS NOT NULL)::INT) AS pref, min(start_ns) AS first_ns FROM f GROUP BY 1
+  ORDER BY pref DESC, first_ns DESC, trace_id LIMIT 15),
+x AS (SELECT f.*, count(*) OVER (PARTITION BY f.trace_id) AS matched, row_number() OVER (PARTITION BY f.trace_id ORDER BY start_ns, span_id) AS position
+  FROM f JOIN best USING (trace_id)), t AS ({ROLLUP_SQL})
+SELECT trace_id, root_service_name, root_name, trace_start_ns, trace_duration_ns // 1000000 AS trace_duration_ms, matched, position::INT AS position, span_id,
+  name, start_ns, duration_ns, status AS "attr.status", k::VARCHAR AS "attr.k", service_name AS "attr.service.name"
+FROM x JOIN t USING (trace_id) WHERE position <= 2"""),
+    "s_legacy_tags": ("E", f""", f AS (SELECT * FROM spans WHERE service_name = 'svc-1' AND duration_ns >= 100000000),
+best AS (SELECT trace_id, min(start_ns) AS first_ns FROM f GROUP BY 1 ORDER BY first_ns DESC, trace_id LIMIT 10), t AS ({ROLLUP_SQL})
+SELECT trace_id, span_id, count(*) OVER (PARTITION BY trace_id) AS matched, root_name, trace_duration_ns // 1000000 AS trace_duration_ms
+FROM f JOIN best USING (trace_id) JOIN t USING (trace_id)"""),
+    "g_tags": ("E", """SELECT scope, tag FROM (VALUES ('resource', 'service.name'), ('span', 'k'), ('event', 'exception.type')) v(scope, tag)"""),
+    "g_values": ("E", "SELECT service_name AS value, 'string' AS type, count(*) AS n FROM spans GROUP BY 1"),
+    "g_values_filtered": ("E", "SELECT k::VARCHAR AS value, 'string' AS type, count(*) AS n FROM spans WHERE status = 'error' GROUP BY 1 ORDER BY n DESC, value LIMIT 5"),
+    "g_values_status": ("E", "SELECT status AS value, 'keyword' AS type, count(*) AS n FROM spans GROUP BY 1"),
+    "g_event_values": ("E", "SELECT exc AS value, 'string' AS type, count(*) AS n FROM spans WHERE exc IS NOT NULL AND service_name <> 'svc-0' GROUP BY 1"),
+    "x_trace_by_id": ("E", f"""SELECT trace_id, span_id, parent_span_id, start_ns, duration_ns, name, kind, status FROM spans
+WHERE trace_id = '{3 * 100000 + 2816:032x}'"""),
+    "x_otlp": ("E", f"""SELECT trace_id, service_name AS service, count(*) AS n_spans FROM spans
+WHERE trace_id = '{3 * 100000 + 2816:032x}' GROUP BY 1, 2"""),
+    "e_spans": ("E", "SELECT trace_id, span_id, parent_span_id, start_ns, duration_ns, name, kind, status, service_name, k, exc FROM spans"),
+    "e_rollup": ("E", ROLLUP_SQL),
+    "e_service_stats": ("O", "SELECT trace_id, service_name, count(*) AS span_count, count(*) FILTER (status = 'error') AS error_count FROM spans GROUP BY 1, 2"),
+    "o_rate": ("O", f""", {_O_GRID}, c AS (SELECT name, {_O_B}, count(*) AS n FROM spans WHERE status = 'ok' AND start_ns >= {O_START} AND start_ns < {O_END} GROUP BY ALL),
+k AS (SELECT DISTINCT name FROM c)
+SELECT name, bucket_ms, coalesce(n, 0) / {O_STEP / 1e9}::DOUBLE AS value FROM k CROSS JOIN grid LEFT JOIN c USING (name, bucket_ms)"""),
+    "o_quantile": ("O", f""", q AS (SELECT {_O_B}, quantile_cont(duration_ns, [0.5, 0.9]) AS v FROM spans WHERE quantity > 10
+AND start_ns >= {O_START} AND start_ns < {O_END} GROUP BY 1) SELECT bucket_ms, unnest(['0.5', '0.9']) AS p, round(unnest(v) / 1e9, 9) AS value FROM q"""),
+    "o_child": ("O", """SELECT c.trace_id, c.span_id FROM spans c JOIN spans p ON p.trace_id = c.trace_id AND p.span_id = c.parent_span_id
+WHERE p.name = '1-URGENT' AND c.name = 'R' AND c.quantity >= 40"""),
+    "o_rollup": ("O", ROLLUP_SQL),
+}
 
 
 def queries() -> dict:
-    return {}
+    out: dict[str, Callable] = {name: partial(_metrics, name) for name in METRICS}
+    for table in (FILTERS, STRUCTURAL, SPANSETS):
+        out |= {name: partial(_ids, query) for name, (query, _) in table.items()}
+    return out | CALLS
+
+
+def _sql(adapter: str, rest: str) -> str:
+    """Adapter CTEs and the rest, which begins with a comma if it adds CTEs of its own."""
+    head = {"E": E_SQL, "O": O_SQL}[adapter]
+    rest = rest.strip()
+    if "RTREE" in rest:
+        return "WITH RECURSIVE " + head + rest.replace("RTREE", TREE_SQL, 1)
+    return "WITH " + head + (rest if rest.startswith(",") else "\n" + rest)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    out = {name: _sql(adapter, sql) for name, (adapter, _, sql) in METRICS.items()}
+    out |= {name: _sql("E", f"SELECT trace_id, span_id FROM spans WHERE {where}") for name, (_, where) in FILTERS.items()}
+    out |= {name: _sql("E", f", RTREE\n{sql}") for name, (_, sql) in STRUCTURAL.items()}
+    out |= {name: _sql("E", f"SELECT * FROM ({sql})") for name, (_, sql) in SPANSETS.items()}
+    return out | {name: _sql(adapter, sql) for name, (adapter, sql) in CALL_SQL.items()}
