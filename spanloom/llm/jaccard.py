@@ -12,7 +12,7 @@ with fewer, which common phrases make, are never fetched.
 
 What is wanted are classes, so pairs within a class already known needn't be compared. First, groups with a crowded
 shingle are compared with a few others of that shingle and size band (linear in the postings), and what is similar
-becomes a class. The last round compares all remaining pairs of groups of different classes. No link between classes is
+becomes a class. The last round compares all remaining pairs of members of different classes. No link between classes is
 lost, and a crowd of n near copies costs a few times n comparisons rather than their square.
 
 Shingles whose hash is in the lowest part of its range come first; these are counted exactly over all documents, and
@@ -212,9 +212,11 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     groups = materialize(groups, "groups")
     signatures = groups.where("size = 1").select("g", "sig")
     crowded = groups.where("size > 1").select("px", "n", "prefix", "g")
-    fellows = materialize(members.join(crowded, ["px", "n", "prefix"]).select("node", "g"), "group-members")
-    postings = groups.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
-    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    fellows = materialize(
+        members.join(crowded, ["px", "n", "prefix"]).select("node", "g", F.col("sig").alias("own_sig")), "group-members"
+    )
+    postings = groups.select("g", "size", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
+    shared = postings.groupBy("shingle").agg(F.sum("size").alias("k")).where("k > 1")  # by nodes
     step = F.lit(float(np.log(100 / percent)))
     band = F.floor(F.log(F.col("n")) / step).cast("int")
     # how many shingles of other prefixes precede: only those can be common with another set
@@ -235,13 +237,6 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         found = pairs.join(x, "a").join(y, "b").where(common * 100 >= union * percent)
         return materialize(found.select("a", "b"), "links")
 
-    def expand(pairs: DataFrame) -> DataFrame:
-        """Group pairs to pairs of members; a group that isn't crowded is its own only member."""
-        for side in ("a", "b"):
-            own = fellows.select(F.col("g").alias(side), F.col("node").alias("m" + side))
-            pairs = pairs.join(own, side, "left").withColumn("m" + side, F.coalesce("m" + side, side))
-        return pairs.select(F.col("ma").alias("a"), F.col("mb").alias("b"))
-
     # a few groups per crowded shingle and size band: those that have least of their own before it, as the source of
     # near copies has, and some by hash, in an order that is the same for all shingles
     crowd = postings.where(F.col("k") >= CROWD)
@@ -261,18 +256,11 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     links = similar(few.union(inner))
     classes = materialize(components(links), "classes")
 
-    # a crowded group of which some member isn't in the first one's class takes part in the full round as a class of its own
-    loose = materialize(
-        fellows.where("node <> g")
-        .join(classes.select("node", F.col("root").alias("r1")), "node", "left")
-        .join(classes.select(F.col("node").alias("g"), F.col("root").alias("r2")), "g", "left")
-        .where(F.coalesce("r1", "node") != F.coalesce("r2", "g"))
-        .select("g")
-        .distinct(),
-        "loose-groups",
+    # from here on groups are expanded to their members, each with its own signature and class
+    single = postings.join(fellows, "g", "left").withColumns(
+        {"g": F.coalesce("node", "g"), "sig": F.coalesce("own_sig", "sig")}
     )
-    apart = classes.join(loose.withColumnRenamed("g", "node"), "node", "left_anti").union(loose.select("g", -1 - F.col("g")))
-    left = _with_class(postings, apart)
+    left = _with_class(single.drop("node", "own_sig", "size"), classes)
     both = left.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
     left = materialize(left.join(both.select("shingle"), "shingle"), "postings-left")
     # classes that meet in a shingle, then their groups there
@@ -290,11 +278,7 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     met = left.join(meet, ["shingle", "class"]).alias("x").join(
         left.alias("y"), F.expr(f"x.shingle = y.shingle and x.other = y.class and {_near(percent)}")
     )
-    split = fellows.join(loose, "g")
-    within = split.alias("p").join(split.alias("q"), F.expr("p.g = q.g and p.node < q.node")).select(
-        F.col("p.node").alias("a"), F.col("q.node").alias("b")
-    )
-    more = similar(expand(_candidates(met, percent)).union(within))
+    more = similar(_candidates(met, percent))
     roots = components(links.union(more))
     known = nodes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
     return (
