@@ -9,6 +9,7 @@ other white space at a cut is encoded whole by the tokenizer itself.
 from __future__ import annotations
 
 import os
+from unicodedata import normalize
 
 import numpy as np
 
@@ -19,6 +20,8 @@ CACHE_PIECES = 300_000
 CACHED_CHARS = 14
 #: Pieces joined in one text for the tokenizers library.
 GROUP = 400
+#: Signs behind a word that a tokenizer which drops white space also keeps apart from letters.
+SIGNS = ".,;:!?"
 
 
 class PieceEncoder:
@@ -64,11 +67,24 @@ class PieceEncoder:
             led = [w if w[0] == "\n" else " " + w for w in words]
             kept.update(zip(words, self.encode_words(led, self.dtype), strict=True))
         else:
-            # the tokenizer lower-cases, so the other case of an ASCII word needn't be encoded again
-            lower = {w: w.lower() for w in new if w.isascii() and not w.islower()} if self.folds else {}
-            words = list({lower.get(w, w) for w in new}.difference(kept))
+            # letters and the signs behind them are separate words to the tokenizer, which lower-cases as well
+            parts: dict[str, tuple[str, str]] = {}
+            words = set()
+            for w in new:
+                core = w.rstrip(SIGNS)
+                if core.isalpha() and (core.isascii() or normalize("NFC", core).lower().isalpha()):
+                    signs = w[len(core) :]
+                    if self.folds and core.isascii():
+                        core = core.lower()
+                    if core != w:
+                        parts[w] = core, signs
+                        words.add(core)
+                        words.add(signs)
+                        continue
+                words.add(w)
+            words = list(words.difference(kept))
             kept.update(zip(words, self.encode_words(words, self.dtype), strict=True))
-            kept.update((w, kept[v]) for w, v in lower.items())
+            kept.update((w, kept[core] + kept[signs]) for w, (core, signs) in parts.items())
             new.update(words)
         out = [whole[i] if i in whole else b"".join(map(kept.__getitem__, words)) for i, words in enumerate(cut)]
         full = len(kept) > CACHE_PIECES
@@ -122,16 +138,38 @@ def joined_by_length(tokenizer, id_bytes: np.ndarray):
 
 
 def joined_by_mark(tokenizer, mark: str = "\x01"):
-    """For tokenizers that drop white space: a mark of one id of its own stands between words."""
+    """For tokenizers that drop white space: a mark of one id of its own stands between words.
+
+    Words of small ASCII letters go to a copy of the tokenizer without normaliser and with no cut but at white space, if
+    that gives a sample the same ids.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
     (mark_id,) = tokenizer.encode(mark, add_special_tokens=False).ids
+    plain = Tokenizer.from_str(tokenizer.to_str())
+    plain.normalizer = None
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    sample = f"the {mark} quick {mark} brownish foxes jumped zqxjk {mark} a"
+    if plain.encode(sample, add_special_tokens=False).ids != tokenizer.encode(sample, add_special_tokens=False).ids:
+        plain = tokenizer
 
     def ends(group: list[str], ids: np.ndarray):
         return np.append(np.flatnonzero(ids == mark_id), len(ids))
 
     def encode(words: list[str], dtype) -> list[bytes]:
-        if not any(mark in w for w in words):
-            return _joined(tokenizer, words, dtype, f" {mark} ".join, ends, 1)
-        return whole(tokenizer)(words, dtype)
+        if any(mark in w for w in words):
+            return whole(tokenizer)(words, dtype)
+        out: list[bytes] = [b""] * len(words)
+        sides: tuple[list[int], list[int]] = ([], [])
+        for i, w in enumerate(words):
+            sides[w.isascii() and w.isalpha() and w.islower()].append(i)
+        for t, side in zip((tokenizer, plain), sides, strict=True):
+            found = _joined(t, [words[i] for i in side], dtype, f" {mark} ".join, ends, 1)
+            for i, ids in zip(side, found, strict=True):
+                out[i] = ids
+        return out
 
     return encode
 
