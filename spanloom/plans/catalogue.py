@@ -307,13 +307,13 @@ def g_event_values(spark, sf_dir: str) -> DataFrame:
 
 
 def x_trace_by_id(spark, sf_dir: str) -> DataFrame:
-    wanted = f"{3 * 100000 + 2816:x}"
+    wanted = f"{3 * 100000 + 2819:x}"
     made = TraceEngine(events_as_spans(spark, sf_dir)).trace(wanted)
     return made.select("trace_id", "span_id", "parent_span_id", "start_ns", "duration_ns", "name", "kind", "status")
 
 
 def x_otlp(spark, sf_dir: str) -> DataFrame:
-    made = TraceEngine(events_as_spans(spark, sf_dir)).trace_otlp(f"{3 * 100000 + 2816:x}")
+    made = TraceEngine(events_as_spans(spark, sf_dir)).trace_otlp(f"{3 * 100000 + 2819:x}")
     scope = F.explode("resource.scope_spans").alias("scope")
     rows = made.select("trace_id", F.explode("resource_spans").alias("resource")).select("trace_id", "resource", scope)
     return rows.select(
@@ -418,9 +418,9 @@ FROM f JOIN best USING (trace_id) JOIN t USING (trace_id)"""),
     "g_values_status": ("E", "SELECT status AS value, 'keyword' AS type, count(*) AS n FROM spans GROUP BY 1"),
     "g_event_values": ("E", "SELECT exc AS value, 'string' AS type, count(*) AS n FROM spans WHERE exc IS NOT NULL AND service_name <> 'svc-0' GROUP BY 1"),
     "x_trace_by_id": ("E", f"""SELECT trace_id, span_id, parent_span_id, start_ns, duration_ns, name, kind, status FROM spans
-WHERE trace_id = '{3 * 100000 + 2816:032x}'"""),
+WHERE trace_id = '{3 * 100000 + 2819:032x}'"""),
     "x_otlp": ("E", f"""SELECT trace_id, service_name AS service, count(*) AS n_spans FROM spans
-WHERE trace_id = '{3 * 100000 + 2816:032x}' GROUP BY 1, 2"""),
+WHERE trace_id = '{3 * 100000 + 2819:032x}' GROUP BY 1, 2"""),
     "e_spans": ("E", "SELECT trace_id, span_id, parent_span_id, start_ns, duration_ns, name, kind, status, service_name, k, exc FROM spans"),
     "e_rollup": ("E", ROLLUP_SQL),
     "e_service_stats": ("O", "SELECT trace_id, service_name, count(*) AS span_count, count(*) FILTER (status = 'error') AS error_count FROM spans GROUP BY 1, 2"),
