@@ -37,11 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there and survives lost executors.
 
-    zstd keeps the shared tables small. The tables go when the Python process ends, as results may still read them.
+    zstd keeps the shared tables small, and small row groups the writers' buffers. The tables go when the Python process ends, as results may still read them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     if not _made:
         atexit.register(_sweep)
     _made.append((spark, path))

@@ -25,7 +25,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +33,7 @@ from .common import components, materialize
 from .shingles import column_sets
 
 #: Entries of the table of crowded shingles; shingles counted by a task before it reports.
-WEIGHTS, CHUNK_SHINGLES = 1 << 20, 2_000_000
+WEIGHTS, CHUNK_SHINGLES = 1 << 20, 1_000_000
 #: Shingles are counted if their hash is in the lowest part of its range, this many times the share of a prefix.
 ZONE = 2.5
 #: Prefix shingles that a pair must share.
@@ -124,15 +123,36 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, weights: np.ndar
     return _texts(docs).mapInArrow(run, SETS)
 
 
-def whole_sets(docs: DataFrame, size: int) -> DataFrame:
+def whole_sets(docs: DataFrame, size: int, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles) of the rows of docs whose doc_id is in ids, and of some others.
+
+    No text is shuffled: rows are looked up in a table of WANTED_BITS bits that is sent to the workers.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
+    words = (
+        ids.select(bit.alias("bit"))
+        .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+        .toPandas()
+    )  # at most WANTED_BITS / 64 rows
+    table = np.zeros(WANTED_BITS // 64, dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
     def run(batches):
+        table = shared.value
         for batch in batches:
-            sets = list(column_sets(batch.column(1), size))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
-            )
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            wanted = batch.take(pa.array(np.flatnonzero((table[at >> 6] >> (at & 63)) & 1)))
+            for i in range(0, len(wanted), 500):
+                part = wanted.slice(i, 500)
+                sets = list(column_sets(part.column(1), size))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                )
 
-    return _texts(docs).mapInArrow(run, "doc_id long, shingles array<long>")
+    rows = _texts(docs).where("doc_id is not null").select("doc_id", "text", bit.alias("bit"))
+    return rows.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
 def _near(percent: int) -> str:
@@ -164,28 +184,6 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in ids, and some others: a table of WANTED_BITS bits is looked up, no text moves."""
-    spare = WANTED_BITS // 64
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
-    words = (
-        ids.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-        .toPandas()
-    )  # at most WANTED_BITS / 64 rows
-    table = np.zeros(spare, dtype=np.int64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf("boolean")
-    def wanted(at: pd.Series) -> pd.Series:
-        at = at.to_numpy()
-        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
-
-    return docs.where("doc_id is not null").where(wanted(bit))
-
-
 def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs (doc_id, text; others are ignored): doc_id, n_shingles, component_id.
 
@@ -223,13 +221,12 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     inside = F.row_number().over(Window.partitionBy("g").orderBy("at")) - 1
     postings = postings.join(shared, "shingle").withColumns({"band": band, "inside": inside})
     postings = materialize(postings.join(signatures, "g", "left"), "postings")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Of node pairs (a, b), those that are similar, by their whole sets."""
         pairs = materialize(pairs.distinct(), "pairs")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = materialize(whole_sets(_only(texts, ids), size), "sets")
+        sets = materialize(whole_sets(docs, size, ids), "sets")
         x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hash a worker keeps; the table is emptied when full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
