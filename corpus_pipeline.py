@@ -6,7 +6,7 @@ stage's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import exact, jaccard, packing, q04_quality, q05_toxicity, q10_packing, rules, toxicity
@@ -14,6 +14,11 @@ from spanloom.llm.common import materialize, read
 from spanloom.llm.sampling import spare_name
 
 
+def same(docs: DataFrame) -> list[Column]:
+    """The columns of documents, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold."""
     model = q05_toxicity.fit_outside_fold(docs, read(spark, sf_dir, "labels"))
@@ -35,7 +40,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = materialize(exact.find_copies(docs).where("not kept").select("doc_id", "keep_id"), "copies")
     others = found.where("doc_id <> keep_id").select("doc_id").distinct()
-    left = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    left = docs.join(others, "doc_id", "left_anti").select(*same(docs))
     again = found.where("doc_id = keep_id").select("doc_id").distinct()
     if again.isEmpty():
         return left
@@ -43,17 +48,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     once = (
         left.join(again, "doc_id", "left_semi")
         .groupBy("doc_id", print_of.alias("print"))
-        .agg(F.max_by(F.struct(*docs.columns), F.char_length("text")).alias("row"))
+        .agg(F.max_by(F.struct(*same(docs)), F.char_length("text")).alias("row"))
         .select("row.*")
     )
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))
+    return left.join(again, "doc_id", "left_anti").select(*same(docs)).union(once.select(*same(docs)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each class of similar word shingle sets (five words, 0.8)."""
     found = jaccard.link_classes(docs, size=5, percent=80)
     dropped = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(dropped, "doc_id", "left_anti").select(*same(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,20 +21,18 @@ def first_by_hash(ids: DataFrame, most: int, seed: int) -> DataFrame:
 
 
 def append(docs: DataFrame, name: str, kind: T.DataType, arrow: pa.DataType, column: Callable) -> DataFrame:
-    """docs with one more column: ``column(texts)`` gives an Arrow array of type ``arrow`` for an Arrow column of texts.
+    """docs with one more column: ``column(texts)`` gives an Arrow array of type ``arrow`` for an Arrow array of texts.
 
-    ``column`` is called per batch on the workers. All other columns pass through, in place.
+    ``column`` is called per batch on the workers, which get the texts and return the new values only.
     """
     if name in docs.columns:
         raise ValueError(f"there is a column {name} already")
-    at = docs.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            made = column(batch.column(at)).cast(arrow)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
+    def compute(texts: pa.Array) -> pa.Array:
+        return column(texts).cast(arrow)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+    # nondeterministic, so that no plan computes it twice
+    return docs.withColumn(name, F.arrow_udf(compute, kind).asNondeterministic()(F.col("text")))
 
 
 def spare_name(docs: DataFrame, name: str) -> str:

@@ -32,7 +32,7 @@ SUPPORT = (4, 12)
 LEAST_PRECISION = 0.7
 PREFIXES = (4, 5, 6)
 STEPS, RATE, DECAY = 300, 0.05, 1e-4
-SEEN_WORDS = 500_000
+SEEN_WORDS = 200_000
 
 
 def features_of(word: str) -> list[str]:
