@@ -122,9 +122,11 @@ def filtered(spans: DataFrame, stages: tuple) -> DataFrame:
 
 def exemplar_count(wanted: int | None, hints: dict) -> int:
     n = hints.get("exemplars", wanted)
+    if n is False:
+        return 0
     if n is True or n is None or n == 0:
         n = EXEMPLARS
-    return 0 if n is False or n < 0 else min(int(n), MOST_EXEMPLARS)
+    return max(0, min(int(n), MOST_EXEMPLARS))
 
 
 def _exemplar(slowest: Column, best, start: Column) -> Column:
@@ -288,6 +290,8 @@ def combine(spans: DataFrame, node, window: Range, exemplars: int = 0) -> Series
         return node
     if isinstance(node, A.MetricsQuery):
         return evaluate(spans, node, window, exemplars)
+    if not isinstance(node, A.Math):
+        raise A.QueryError("not a metrics query")
     if fused := _fused(spans, node, window):
         return _second(fused, node.second)
     left, right = combine(spans, node.left, window, exemplars), combine(spans, node.right, window, exemplars)

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.predicate import Predicates, compare
-from spanloom.functions.resolve import TRACE, TREE, Resolver, quoted
+from spanloom.functions.resolve import OWN, TRACE, TREE, Resolver, quoted
 from spanloom.plans import ast as A
 
 from .rollup import trace_rollup
-from .tree import with_tree
+from .tree import nested_sets, with_tree
 
 
 def mentions(node, names) -> bool:
@@ -194,9 +194,12 @@ def search(spans: DataFrame, query: A.Query, limit: int = 20, spss: int = 3) ->
     the trace's values, spanset, matched (spans of the spanset), the span, and attr.<name> for each exposed attribute.
     """
     found = matching_spans(spans, query)
-    values = {}
+    values, late = {}, {}
     predicates = Predicates(Resolver(found))
     for node in exposed(query):
+        if isinstance(node, A.Intrinsic) and node.name in TREE and "nested_left" not in found.columns:
+            late[f"attr.{attribute_name(node)}"] = quoted(TREE[node.name][0]).cast("string")  # of the best traces only
+            continue
         value = predicates.resolver.resolve(node) if not isinstance(node, A.Intrinsic) or node.name in _all_names() else None
         values[f"attr.{attribute_name(node)}"] = value.text() if value is not None else F.lit(None).cast("string")
     found = found.withColumns(values) if values else found
@@ -218,18 +221,19 @@ def search(spans: DataFrame, query: A.Query, limit: int = 20, spss: int = 3) ->
         .withColumn("position", F.row_number().over(first))
     )
     rows = rows.where(F.col("position") <= spss) if spss else rows
-    traces = trace_rollup(spans.join(best.select("trace_id"), "trace_id", "left_semi"))
+    whole = spans.join(best.select("trace_id"), "trace_id", "left_semi")
+    if late:
+        rows = rows.join(nested_sets(whole), ["trace_id", "span_id"], "left").withColumns(late)
+    traces = trace_rollup(whole)
     rows = rows.drop("trace_start_ns", "trace_duration_ns", "root_name", "root_service_name").join(traces, "trace_id")
     return rows.select(
         F.lpad("trace_id", 32, "0").alias("trace_id"), "root_service_name", "root_name", "trace_start_ns",
         F.floor(F.col("trace_duration_ns") / 1_000_000).cast("long").alias("trace_duration_ms"), "spanset", "matched",
-        "position", "span_id", "name", "start_ns", "duration_ns", *[quoted(v) for v in values],
+        "position", "span_id", "name", "start_ns", "duration_ns", *[quoted(v) for v in (values | late)],
     )
 
 
 def _all_names() -> set[str]:
-    from spanloom.functions.resolve import OWN
-
     return {*OWN, *TRACE, *TREE}
 
 
