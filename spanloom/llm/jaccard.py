@@ -34,6 +34,9 @@ from .shingles import column_sets
 
 #: Entries of the table of crowded shingles; shingles counted by a task before it reports.
 WEIGHTS, CHUNK_SHINGLES = 1 << 20, 1_000_000
+#: Bits of the table of shingles that occur at least twice; others needn't leave the worker. A full table only lets more
+#: pass.
+SEEN_BITS = 1 << 26
 #: Shingles are counted if their hash is in the lowest part of its range, this many times the share of a prefix.
 ZONE = 2.5
 #: Prefix shingles that a pair must share.
@@ -46,7 +49,9 @@ WANTED_BITS = 1 << 23
 #: Longs of a set's signature, the parity of its shingles by hash modulo 64 * SIGNATURE.
 SIGNATURE = 4
 
-SETS = "doc_id long, n_shingles long, print binary, prefix array<long>, sig array<long>"
+SETS = (
+    "doc_id long, n_shingles long, print binary, px binary, prefix array<struct<shingle:long,at:int>>, sig array<long>"
+)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -57,8 +62,21 @@ def zone_end(percent: int) -> np.int64:
     return np.int64(min(2**63 - 1, int(-(2**63) + min(1.0, ZONE * (100 - percent) / 100) * 2**64)))
 
 
-def crowded_shingles(docs: DataFrame, size: int, percent: int) -> np.ndarray:
-    """Document counts of crowded shingles of the counted zone, by shingle modulo WEIGHTS: as many numbers at any size."""
+def bit_table(rows: DataFrame, bits: int) -> np.ndarray:
+    """A table of bits, set where a column ``bit`` says; at most bits / 64 rows come to the driver."""
+    words = (
+        rows.groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+        .toPandas()
+    )
+    table = np.zeros(bits // 64, dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return table
+
+
+def counted_shingles(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the counted zone: document counts of crowded shingles by shingle modulo WEIGHTS, and the bits of all that occur
+    at least twice, by shingle modulo SEEN_BITS. Both are of fixed size."""
     below = zone_end(percent)
 
     def run(batches):
@@ -79,15 +97,16 @@ def crowded_shingles(docs: DataFrame, size: int, percent: int) -> np.ndarray:
         if held:
             yield report()
 
+    counts = _texts(docs).select("text").mapInArrow(run, "shingle long, n long")
+    twice = materialize(counts.groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"), "shingle-counts")
     rows = (
-        _texts(docs).select("text").mapInArrow(run, "shingle long, n long")
-        .groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= CROWD)
+        twice.where(F.col("n") >= CROWD)
         .groupBy(F.pmod("shingle", F.lit(WEIGHTS)).cast("int").alias("at")).agg(F.max("n").alias("n"))
         .toPandas()
     )  # at most WEIGHTS rows
     out = np.zeros(WEIGHTS, dtype=np.int32)
     out[rows["at"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
-    return out
+    return out, bit_table(twice.select(F.pmod("shingle", F.lit(SEEN_BITS)).alias("bit")), SEEN_BITS)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -95,29 +114,41 @@ def prefix_length(n: int, percent: int) -> int:
     return n - least + min(SHARED, least)
 
 
-def sets_and_prefixes(docs: DataFrame, size: int, percent: int, weights: np.ndarray) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+def sets_and_prefixes(docs: DataFrame, size: int, percent: int, counted: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """One row per document in SETS: print of its set, px of its prefix, and the prefix shingles that can be shared."""
+    shared = docs.sparkSession.sparkContext.broadcast(counted)
+    pair = pa.struct([("shingle", pa.int64()), ("at", pa.int32())])
     below, last = zone_end(percent), np.int32(2**31 - 1)
 
     def run(batches):
-        weight = shared.value
+        weight, twice = shared.value
         for batch in batches:
-            sizes, prints, prefixes, sigs = [], [], [], []
+            sizes, prints, marks, kept, places, sigs = [], [], [], [], [], []
             for s in column_sets(batch.column(1), size):
                 n = len(s)
                 rank = np.where(s < below, weight[np.mod(s, WEIGHTS)], last)
                 order = np.argsort(rank, kind="stable")  # s is sorted already
                 sizes.append(n)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if n else None)
-                prefixes.append(s[order[: prefix_length(n, percent)]] if n else s)
+                prefix = s[order[: prefix_length(n, percent)]] if n else s
+                marks.append(hashlib.blake2b(prefix.tobytes(), digest_size=16).digest() if n else None)
+                bit = np.mod(prefix, SEEN_BITS)
+                place = np.flatnonzero((prefix >= below) | ((twice[bit >> 6] >> (bit & 63)) & 1 == 1))
+                kept.append(prefix[place])
+                places.append(place)
                 odd = np.bincount((s >> 9) & (64 * SIGNATURE - 1), minlength=64 * SIGNATURE) & 1
                 sigs.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            ends = np.cumsum([0, *map(len, kept)])
+            flat = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate([*kept, np.zeros(0, dtype=np.int64)])), pa.array(np.concatenate([*places, np.zeros(0, dtype=np.int64)]).astype(np.int32))],
+                fields=list(pair),
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int64())),
+                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(marks, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(sigs, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "print", "prefix", "sig"],
+                names=["doc_id", "n_shingles", "print", "px", "prefix", "sig"],
             )
 
     return _texts(docs).mapInArrow(run, SETS)
@@ -129,14 +160,7 @@ def whole_sets(docs: DataFrame, size: int, ids: DataFrame) -> DataFrame:
     No text is shuffled: rows are looked up in a table of WANTED_BITS bits that is sent to the workers.
     """
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
-    words = (
-        ids.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-        .toPandas()
-    )  # at most WANTED_BITS / 64 rows
-    table = np.zeros(WANTED_BITS // 64, dtype=np.int64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    table = bit_table(ids.select(bit.alias("bit")), WANTED_BITS)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
@@ -192,28 +216,27 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     links with nothing; so does a null doc_id, whose component_id is null. Rows that share a doc_id are one node. No rows
     give no rows.
     """
-    weights = crowded_shingles(docs, size, percent)
-    base = materialize(sets_and_prefixes(docs, size, percent, weights), "shingle-sets")
+    counted = counted_shingles(docs, size, percent)
+    base = materialize(sets_and_prefixes(docs, size, percent, counted), "shingle-sets")
     linkable = base.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(
         linkable.groupBy("print").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"),
-            F.first("sig").alias("sig"),
+            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("px").alias("px"),
+            F.first("prefix").alias("prefix"), F.first("sig").alias("sig"),
         ),
         "nodes",
     )
     # groups of equal prefix and size; a group is named by its smallest node
-    members = nodes.select("node", "n", "prefix", "sig", F.xxhash64("prefix").alias("px"))
-    groups = members.groupBy("px", "n", "prefix").agg(
-        F.min("node").alias("g"), F.count(F.lit(1)).alias("size"), F.first("sig").alias("sig")
+    groups = nodes.groupBy("px", "n").agg(
+        F.min("node").alias("g"), F.count(F.lit(1)).alias("size"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig")
     )
     groups = materialize(groups, "groups")
     signatures = groups.where("size = 1").select("g", "sig")
-    crowded = groups.where("size > 1").select("px", "n", "prefix", "g")
+    crowded = groups.where("size > 1").select("px", "n", "g")
     fellows = materialize(
-        members.join(crowded, ["px", "n", "prefix"]).select("node", "g", F.col("sig").alias("own_sig")), "group-members"
+        nodes.join(crowded, ["px", "n"]).select("node", "g", F.col("sig").alias("own_sig")), "group-members"
     )
-    postings = groups.select("g", "size", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "shingle"))
+    postings = groups.select("g", "size", F.col("n").cast("int").alias("n"), F.inline("prefix"))
     shared = postings.groupBy("shingle").agg(F.sum("size").alias("k")).where("k > 1")  # by nodes
     step = F.lit(float(np.log(100 / percent)))
     band = F.floor(F.log(F.col("n")) / step).cast("int")
@@ -234,46 +257,49 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         found = pairs.join(x, "a").join(y, "b").where(common * 100 >= union * percent)
         return materialize(found.select("a", "b"), "links")
 
-    # a few groups per crowded shingle and size band: those that have least of their own before it, as the source of
-    # near copies has, and some by hash, in an order that is the same for all shingles
-    crowd = postings.where(F.col("k") >= CROWD)
-    orders = [
-        F.struct((F.col("at") - F.col("inside") if seed < HUBS // 2 else F.lit(0)).alias("o"), F.xxhash64(F.lit(seed), "g").alias("h"), "g", "n", "at", "inside", "sig")
-        for seed in range(HUBS)
-    ]
-    named = F.array_distinct(F.array(*(F.struct(f"h{i}.g", f"h{i}.n", f"h{i}.at", f"h{i}.inside", f"h{i}.sig") for i in range(HUBS))))
-    hubs = (
-        crowd.groupBy("shingle", "band").agg(*[F.min(o).alias(f"h{i}") for i, o in enumerate(orders)])
-        .select("shingle", "band", F.explode(named).alias("hub"))
-        .select("shingle", "band", "hub.*")
-    )
-    near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_near(percent)}")
-    inner = fellows.where("node <> g").select(F.col("g").alias("a"), F.col("node").alias("b"))
-    few = crowd.alias("x").join(hubs.alias("y"), near).select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
-    links = similar(few.union(inner))
-    classes = materialize(components(links), "classes")
+    def hub_pairs(rows: DataFrame, seeds: range, central: int) -> DataFrame:
+        """Pairs (a, b) of rows of crowded shingles with a few rows of the same shingle and of a near size band.
+
+        The first ``central`` are those that have least of their own before the shingle, as the source of near copies
+        has; the others go by a hash that is the same for all shingles.
+        """
+        crowd = rows.where(F.col("k") >= CROWD)
+        names = ["g", "n", "at", "inside", "sig"]
+        orders = [
+            F.struct(
+                (F.col("at") - F.col("inside") if i < central else F.lit(0)).alias("o"),
+                F.xxhash64(F.lit(seed), "g").alias("h"), *names,
+            )
+            for i, seed in enumerate(seeds)
+        ]
+        picked = F.array(*(F.struct(*(F.col(f"h{i}.{n}").alias(n) for n in names)) for i in range(len(orders))))
+        hubs = (
+            crowd.groupBy("shingle", "band").agg(*[F.min(o).alias(f"h{i}") for i, o in enumerate(orders)])
+            .select("shingle", "band", F.explode(F.array_distinct(picked)).alias("hub"))
+            .select("shingle", "band", "hub.*")
+        )
+        near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_near(percent)}")
+        met = crowd.alias("x").join(hubs.alias("y"), near)
+        return met.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
 
+    inner = fellows.where("node <> g").select(F.col("g").alias("a"), F.col("node").alias("b"))
+    links = similar(hub_pairs(postings, range(HUBS), HUBS // 2).union(inner))
     # from here on groups are expanded to their members, each with its own signature and class
     single = postings.join(fellows, "g", "left").withColumns(
         {"g": F.coalesce("node", "g"), "sig": F.coalesce("own_sig", "sig")}
-    )
-    left = _with_class(single.drop("node", "own_sig", "size"), classes)
+    ).drop("node", "own_sig", "size")
+    # large classes are then compared with all others through the node in their middle
+    classes = materialize(components(links), "classes")
+    left = _with_class(single, classes)
+    middles = left.join(_middles(nodes, classes), "g", "left_semi")
+    near = F.expr(f"x.shingle = y.shingle and x.class <> y.class and {_near(percent)}")
+    met = left.alias("x").join(middles.alias("y"), near)
+    links = links.union(similar(met.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))))
+    left = _with_class(single, materialize(components(links), "classes"))
     both = left.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
     left = materialize(left.join(both.select("shingle"), "shingle"), "postings-left")
-    # classes that meet in a shingle, then their groups there
-    spans = left.groupBy("shingle", "class").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    meet = (
-        spans.alias("c").join(
-            spans.alias("d"),
-            F.expr(
-                "c.shingle = d.shingle and c.class < d.class and "
-                f"100 * c.most_n >= {percent} * d.least_n and 100 * d.most_n >= {percent} * c.least_n"
-            ),
-        )
-        .select("c.shingle", F.col("c.class").alias("class"), F.col("d.class").alias("other"))
-    )
-    met = left.join(meet, ["shingle", "class"]).alias("x").join(
-        left.alias("y"), F.expr(f"x.shingle = y.shingle and x.other = y.class and {_near(percent)}")
+    met = left.alias("x").join(
+        left.alias("y"), F.expr(f"x.shingle = y.shingle and x.class < y.class and {_near(percent)}")
     )
     more = similar(_candidates(met, percent))
     roots = components(links.union(more))
@@ -288,6 +314,21 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     )
 
 
+def _middles(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """The node (column g) of each class of CROWD or more whose signature is nearest to the majority of each bit."""
+    large = classes.groupBy("root").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= CROWD).select("root")
+    members = classes.join(large, "root").join(nodes.select("node", "sig"), "node")
+    words = members.select("root", F.posexplode("sig").alias("word", "bits"))
+    bits = words.select("root", "word", "bits", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
+    most = bits.groupBy("root", "word", "bit").agg(F.avg(F.getbit("bits", F.col("bit"))).alias("share"))
+    major = most.groupBy("root", "word").agg(
+        F.bit_or(F.expr("if(share > 0.5, shiftleft(1L, bit), 0L)")).alias("bits")
+    )
+    words = members.select("root", "node", F.posexplode("sig").alias("word", "own")).join(major, ["root", "word"])
+    away = words.groupBy("root", "node").agg(F.sum(F.expr("bit_count(own ^ bits)")).alias("away"))
+    return away.groupBy("root").agg(F.min_by("node", F.struct("away", "node")).alias("g")).select("g")
+
+
 def _with_class(postings: DataFrame, classes: DataFrame) -> DataFrame:
     own = classes.select(F.col("node").alias("g"), "root")
     return postings.join(own, "g", "left").withColumn("class", F.coalesce("root", "g")).drop("root")
