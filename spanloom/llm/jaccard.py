@@ -36,7 +36,7 @@ from .shingles import column_sets
 WEIGHTS, CHUNK_SHINGLES = 1 << 20, 1_000_000
 #: Bits of the table of shingles that occur at least twice; others needn't leave the worker. A full table only lets more
 #: pass.
-SEEN_BITS = 1 << 26
+SEEN_BITS = 1 << 25
 #: Shingles are counted if their hash is in the lowest part of its range, this many times the share of a prefix.
 ZONE = 2.5
 #: Prefix shingles that a pair must share.
@@ -67,7 +67,7 @@ def bit_table(rows: DataFrame, bits: int) -> np.ndarray:
     words = (
         rows.groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     table = np.zeros(bits // 64, dtype=np.int64)
     table[words["word"].to_numpy()] = words["bits"].to_numpy()
@@ -102,7 +102,7 @@ def counted_shingles(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarr
     rows = (
         twice.where(F.col("n") >= CROWD)
         .groupBy(F.pmod("shingle", F.lit(WEIGHTS)).cast("int").alias("at")).agg(F.max("n").alias("n"))
-        .toPandas()
+        .toArrow()
     )  # at most WEIGHTS rows
     out = np.zeros(WEIGHTS, dtype=np.int32)
     out[rows["at"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
