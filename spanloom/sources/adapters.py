@@ -30,10 +30,10 @@ def events_as_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "week", F.expr(f"start_us div {week_us}")
     )
     place = Window.partitionBy("user_id", "week").orderBy("start_us", "event_id")
-    rows = rows.withColumn("span_no", F.row_number().over(place))
-    # the parent is the row at half the place: in a window ordered by place it lies that many rows before
-    ids = F.collect_list("event_id").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    parent = F.when(F.col("span_no") > 1, F.element_at(ids, F.greatest(F.expr("span_no div 2"), F.lit(1)).cast("int")))
+    numbered = rows.withColumn("span_no", F.row_number().over(place)).withColumn("parent_no", F.expr("span_no div 2"))
+    above = numbered.select("user_id", "week", F.col("span_no").alias("parent_no"), F.col("event_id").alias("parent_event"))
+    rows = numbered.join(above, ["user_id", "week", "parent_no"], "left")
+    parent = F.col("parent_event")
     parent_id = F.when(F.col("span_no") == 1, F.lit(None).cast("string")).when(
         F.col("event_id") % 97 == 0, F.lit("f" * 16)
     ).otherwise(_hex(parent, 16))
