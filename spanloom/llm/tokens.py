@@ -15,9 +15,9 @@ import numpy as np
 
 #: Pieces kept per Python worker, so memory stays bounded for any vocabulary. A full table takes no more pieces; it is
 #: emptied once it misses a quarter of what a batch asks for.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 900_000
 #: Longer pieces are seldom met again and are encoded each time.
-CACHED_CHARS = 14
+CACHED_CHARS = 40
 #: Pieces joined in one text for the tokenizers library.
 GROUP = 400
 #: Signs behind a word that a tokenizer which drops white space also keeps apart from letters.
