@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SCHEMA = (
     "trace_id string, span_id string, nested_left int, nested_right int, nested_parent int, child_count int"
