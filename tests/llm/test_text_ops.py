@@ -6,7 +6,6 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
 from spanloom.llm import exact, huffman, jaccard, packing, spm, tokens
 from spanloom.llm.registry import queries
