@@ -12,6 +12,23 @@ from pyspark.sql import functions as F
 
 _made: list[tuple[SparkSession, str]] = []
 _local: dict[str, str] = {}
+#: Caches that operators keep in Python workers: owner -> what empties them.
+_caches: dict = {}
+
+
+def holding(owner: str, clear) -> None:
+    """Called on a worker by an operator about to use its cache: the caches of all others are emptied.
+
+    Workers are reused by later stages, so several operators' caches would add up.
+    """
+    _caches[owner] = clear
+    for other, empty in _caches.items():
+        if other != owner:
+            empty()
+
+
+#: Rows of an Arrow batch, at most, while a table is written: texts are long.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,7 +58,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+    held = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, min(int(held or BATCH_ROWS), BATCH_ROWS))
+    try:
+        df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+    finally:
+        spark.conf.set(BATCH, held) if held else spark.conf.unset(BATCH)
     if not _made:
         atexit.register(_sweep)
     _made.append((spark, path))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .common import holding
+
 #: Words whose hash a worker keeps; the table is emptied when full.
 KEPT_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -58,5 +60,6 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
 
 def column_sets(column, size: int, chunk: int = 200):
     """shingle_sets of an Arrow column of binary texts."""
+    holding("shingles", _words.clear)
     for i in range(0, len(column), chunk):
         yield from shingle_sets(column.slice(i, chunk).to_pylist(), size)

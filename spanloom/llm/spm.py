@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import holding
 from .tokens import PieceEncoder, joined_by_length, whole
 
 MARK = "▁"
@@ -202,6 +203,7 @@ _libraries: dict = {}
 
 
 def _worker(path: str, threads: int) -> SentencePieces:
+    holding("sentencepiece", _workers.clear)
     if (path, threads) not in _workers:
         _workers[path, threads] = SentencePieces(path, threads)
     return _workers[path, threads]

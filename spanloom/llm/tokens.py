@@ -13,11 +13,14 @@ from unicodedata import normalize
 
 import numpy as np
 
+from .common import holding
+
 #: Pieces kept per Python worker, so memory stays bounded for any vocabulary. A full table takes no more pieces; it is
-#: emptied once it misses a quarter of what a batch asks for.
-CACHE_PIECES = 900_000
+#: emptied once it misses a quarter of what a batch asks for. CACHE_WORDS is for tokenizers that drop white space, whose
+#: use writes files and holds little else.
+CACHE_PIECES, CACHE_WORDS = 300_000, 900_000
 #: Longer pieces are seldom met again and are encoded each time.
-CACHED_CHARS = 40
+CACHED_CHARS, CACHED_WORD_CHARS = 14, 40
 #: Pieces joined in one text for the tokenizers library.
 GROUP = 400
 #: Signs behind a word that a tokenizer which drops white space also keeps apart from letters.
@@ -87,9 +90,10 @@ class PieceEncoder:
             kept.update((w, kept[core] + kept[signs]) for w, (core, signs) in parts.items())
             new.update(words)
         out = [whole[i] if i in whole else b"".join(map(kept.__getitem__, words)) for i, words in enumerate(cut)]
-        full = len(kept) > CACHE_PIECES
+        most, longest = (CACHE_PIECES, CACHED_CHARS) if self.spaced else (CACHE_WORDS, CACHED_WORD_CHARS)
+        full = len(kept) > most
         for w in new:
-            if full or len(w) > CACHED_CHARS:
+            if full or len(w) > longest:
                 del kept[w]
         if full and 4 * len(new) > sum(map(len, cut)):
             kept.clear()
@@ -190,6 +194,7 @@ def tokenizer_encoder(path: str, keeps_space: bool) -> PieceEncoder:
 
     Strings of special tokens inside texts are ordinary text, and no special tokens are added.
     """
+    holding("tokens", _encoders.clear)
     if (path, keeps_space) not in _encoders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
