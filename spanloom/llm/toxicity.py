@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 from .sampling import append, first_by_hash
 
 #: Bounds of the training sample, in documents.
-MOST_POSITIVE, MOST_UNLABELLED = 2000, 5000
+MOST_POSITIVE, MOST_UNLABELLED = 1500, 3000
 MOST_FEATURES = 1024
+#: Documents after which features seen once are forgotten, which bounds the count's memory.
+PRUNE_EVERY = 500
 #: Least number of toxic documents with a feature: an eightieth of P, within these bounds.
 SUPPORT = (4, 12)
 #: Least share of toxic documents among those with a feature, as estimated from P, U and the prior.
@@ -100,7 +102,11 @@ def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float) -> tuple[np.ndarray, fl
 def frequent(positive: list[list[str]]) -> dict[str, int]:
     """Features of enough documents of P, with their numbers."""
     support = min(max(len(positive) // 80, SUPPORT[0]), SUPPORT[1])
-    counts = Counter(f for words in positive for f in feature_set(words))
+    counts: Counter[str] = Counter()
+    for i, words in enumerate(positive, 1):
+        counts.update(feature_set(words))
+        if i % PRUNE_EVERY == 0:
+            counts = Counter({f: n for f, n in counts.items() if n > 1})
     return {f: n for f, n in counts.items() if n >= support}
 
 
