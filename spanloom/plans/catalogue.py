@@ -19,7 +19,7 @@ from spanloom.sources.adapters import events_as_spans, orders_as_spans
 DAY = 86_400_000_000_000
 #: 2024-01-01 to 2024-01-31, day buckets.
 START, END = 1_704_067_200_000_000_000, 1_706_659_200_000_000_000
-#: The orders' range, in buckets of 28 days.
+#: A range within the orders' dates, in buckets of 28 days; o_rate_all and o_quantile_all take all of them.
 O_STEP = 28 * DAY
 O_START, O_END = 694_224_000_000_000_000 // O_STEP * O_STEP, 915_148_800_000_000_000 // O_STEP * O_STEP + O_STEP
 
@@ -347,6 +347,23 @@ def o_quantile(spark, sf_dir: str) -> DataFrame:
     return made.withColumn("value", F.round("value", 9))
 
 
+def whole(spans: DataFrame) -> tuple[int, int]:
+    """The range from the first span to just after the last one, whatever the table holds."""
+    first, last = spans.agg(F.min("start_ns"), F.max("start_ns")).first()
+    return (0, 1) if first is None else (first, last + 1)
+
+
+def o_rate_all(spark, sf_dir: str) -> DataFrame:
+    spans = orders_as_spans(spark, sf_dir)
+    return TraceEngine(spans).metrics("{ status = ok } | rate() by (name)", *whole(spans), O_STEP)
+
+
+def o_quantile_all(spark, sf_dir: str) -> DataFrame:
+    spans = orders_as_spans(spark, sf_dir)
+    made = TraceEngine(spans).metrics("{ span.quantity > 10 } | quantile_over_time(duration, 0.5, 0.9)", *whole(spans), O_STEP)
+    return made.withColumn("value", F.round("value", 9))
+
+
 def o_child(spark, sf_dir: str) -> DataFrame:
     made = TraceEngine(orders_as_spans(spark, sf_dir)).spans_of('{ name = "1-URGENT" } > { name = "R" && span.quantity >= 40 }')
     return made.select("trace_id", "span_id")
@@ -361,7 +378,7 @@ CALLS: dict[str, Callable] = {
     for f in (
         m_instant, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
         g_values_filtered, g_values_status, g_event_values, x_trace_by_id, x_otlp, e_spans, e_rollup, e_service_stats, o_rate,
-        o_quantile, o_child, o_rollup,
+        o_quantile, o_rate_all, o_quantile_all, o_child, o_rollup,
     )
 }
 
@@ -429,6 +446,12 @@ k AS (SELECT DISTINCT name FROM c)
 SELECT name, bucket_ms, coalesce(n, 0) / {O_STEP / 1e9}::DOUBLE AS value FROM k CROSS JOIN grid LEFT JOIN c USING (name, bucket_ms)"""),
     "o_quantile": ("O", f""", q AS (SELECT {_O_B}, quantile_cont(duration_ns, [0.5, 0.9]) AS v FROM spans WHERE quantity > 10
 AND start_ns >= {O_START} AND start_ns < {O_END} GROUP BY 1) SELECT bucket_ms, unnest(['0.5', '0.9']) AS p, round(unnest(v) / 1e9, 9) AS value FROM q"""),
+    "o_rate_all": ("O", f""", r AS (SELECT min(start_ns) // {O_STEP} AS lo, max(start_ns) // {O_STEP} AS hi FROM spans),
+grid AS (SELECT unnest(generate_series(lo, hi)) * {O_STEP // 10**6} AS bucket_ms FROM r),
+c AS (SELECT name, {_O_B}, count(*) AS n FROM spans WHERE status = 'ok' GROUP BY ALL), k AS (SELECT DISTINCT name FROM c)
+SELECT name, bucket_ms, coalesce(n, 0) / {O_STEP / 1e9}::DOUBLE AS value FROM k CROSS JOIN grid LEFT JOIN c USING (name, bucket_ms)"""),
+    "o_quantile_all": ("O", f""", q AS (SELECT {_O_B}, quantile_cont(duration_ns, [0.5, 0.9]) AS v FROM spans WHERE quantity > 10 GROUP BY 1)
+SELECT bucket_ms, unnest(['0.5', '0.9']) AS p, round(unnest(v) / 1e9, 9) AS value FROM q"""),
     "o_child": ("O", """SELECT c.trace_id, c.span_id FROM spans c JOIN spans p ON p.trace_id = c.trace_id AND p.span_id = c.parent_span_id
 WHERE p.name = '1-URGENT' AND c.name = 'R' AND c.quantity >= 40"""),
     "o_rollup": ("O", ROLLUP_SQL),

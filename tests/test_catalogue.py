@@ -2,6 +2,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.plans import catalogue
 
@@ -26,3 +27,15 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
     expected = duck.sql(f"SELECT {names} FROM ({SQL[name]})").fetchall()
     key = lambda r: tuple((x is None, str(x)) for x in r)
     assert sorted(rows, key=key) == sorted(expected, key=key)
+
+
+def test_orders_metrics_leave_no_row_out(spark, sf_dir):
+    spans = catalogue.orders_as_spans(spark, sf_dir)
+    lo, hi = catalogue.whole(spans)
+    assert spans.where((F.col("start_ns") < lo) | (F.col("start_ns") >= hi)).isEmpty()
+    counted = sum(round(r.value * catalogue.O_STEP / 1e9) for r in QUERIES["o_rate_all"](spark, sf_dir).collect())
+    assert counted == spans.where("status = 'ok'").count()
+    buckets = {r.bucket_ms * 10**6 for r in QUERIES["o_quantile_all"](spark, sf_dir).collect()}
+    wanted = spans.where("`attributes.quantity` > 10").select("start_ns").collect()
+    assert buckets == {r.start_ns // catalogue.O_STEP * catalogue.O_STEP for r in wanted}
+    assert catalogue.whole(spans.limit(0)) == (0, 1)
