@@ -145,8 +145,10 @@ def reduce_instance(stock: _Stock, plan: Plan) -> None:
     4. three more never fit and the largest item <= r is at least the best pair's sum: that single item dominates;
     5. three more never fit, and the best pair's members are each as large as any that a feasible pair has in that
        place, the first being also the largest single item: the pair dominates.
-    Sizes for which no rule holds stay for best-fit. Rules 3 to 5 fix one set at a time where the stock changes what is
-    largest; as many at once as the stock of the sizes concerned allows.
+    Sizes for which no rule holds stay for best-fit. A set is fixed as many times at once as the stock of its sizes allows,
+    also where s itself is among the others: taking items only makes the smallest ones larger and the largest ones and
+    pairs smaller, so what held for the first set holds for the next while there are items for it. Each round uses up a
+    size or leaves fewer of it than the set takes, so the plan doesn't grow with the rows.
     """
     for s in reversed(list(stock.sizes)):
         while stock.counts.get(s):
@@ -172,17 +174,14 @@ def reduce_instance(stock: _Stock, plan: Plan) -> None:
                         break
                 else:
                     break
-                n = 1
             sizes = dict(chosen)
             sizes[s] = sizes.get(s, 0) + 1
             if chosen:
                 n = min(stock.counts[x] // k for x, k in sizes.items())
-                if s * 2 <= plan.capacity or len(sizes) > 2 or max(sizes.values()) > 1:
-                    n = min(n, 1) if s in chosen else n
-            plan.add(sizes, max(n, 1))
-            plan.fixed += max(n, 1)
+            plan.add(sizes, n)
+            plan.fixed += n
             for x, k in sizes.items():
-                stock.take(x, k * max(n, 1))
+                stock.take(x, k * n)
 
 
 def best_fit(stock: _Stock, plan: Plan) -> None:

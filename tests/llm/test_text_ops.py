@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import exact, huffman, jaccard, packing, spm, tokens
 from spanloom.llm.registry import queries
@@ -184,6 +185,15 @@ def test_packing_is_valid_and_the_reduction_optimal():
         assert plan.sequences <= optimum(sizes, capacity) + 1
 
 
+def test_packing_plan_does_not_grow_with_the_rows(spark):
+    for counts, sequences in (({1024: 300_000}, 150_000), ({700: 300_000, 600: 150_000}, 150_000), ({682: 300_000}, 100_000)):
+        plan = packing.make_plan(counts, 2048)
+        assert plan.sequences == sequences and len(plan.rows) == len(counts)
+    items = spark.range(300_000).selectExpr("id AS doc_id", "0 AS piece", "1024L AS length", "id AS ids_crc32")
+    placed = packing.pack(items, 2048).groupBy("sequence_id").agg(F.collect_set("offset").alias("at"), F.count("*").alias("n"))
+    assert placed.where("n = 2 and array_sort(at) = array(0L, 1024L)").count() == placed.count() == 150_000
+
+
 def test_packing_documents(make_docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = packing.pack_documents(make_docs([*ODD, *some_texts(2, 20)], CLASHES[:4]), path, 0, 64).collect()
