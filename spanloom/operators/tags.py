@@ -22,13 +22,17 @@ INTRINSICS = (
     "rootName", "rootServiceName", "span:duration", "span:kind", "span:name", "span:status", "span:statusMessage",
     "status", "statusMessage", "trace:duration", "trace:rootName", "trace:rootService", "traceDuration",
 )
-#: Rows with a map or an array that are looked at for its keys, and tag values returned at most.
-SAMPLED, MOST_VALUES = 2000, 5000
+#: Tag values returned at most.
+MOST_VALUES = 5000
 
 
-def _map_keys(spans: DataFrame, column: str, sampled: int) -> DataFrame | None:
+def _sampled(rows: DataFrame, sampled: int | None) -> DataFrame:
+    return rows if sampled is None else rows.limit(sampled)
+
+
+def _map_keys(spans: DataFrame, column: str, sampled: int | None) -> DataFrame | None:
     kind = dict((f.name, f.dataType) for f in spans.schema.fields).get(column)
-    rows = spans.where(quoted(column).isNotNull()).select(quoted(column).alias("m")).limit(sampled) if kind else None
+    rows = _sampled(spans.where(quoted(column).isNotNull()).select(quoted(column).alias("m")), sampled) if kind else None
     if isinstance(kind, T.MapType):
         return rows.select(F.explode(F.map_keys("m")).alias("tag"))
     if isinstance(kind, T.VariantType):
@@ -36,8 +40,11 @@ def _map_keys(spans: DataFrame, column: str, sampled: int) -> DataFrame | None:
     return None
 
 
-def tag_names(spans: DataFrame, scope: str | None = None, sampled: int = SAMPLED) -> DataFrame:
-    """(scope, tag): flat columns by the schema, keys of maps, events and links from a sample taken before expanding."""
+def tag_names(spans: DataFrame, scope: str | None = None, sampled: int | None = None) -> DataFrame:
+    """(scope, tag): flat columns by the schema, keys of maps, events and links from all rows.
+
+    With ``sampled``, keys come from that many rows with a map or an array, whichever Spark reads first.
+    """
     spark = spans.sparkSession
     names = [f.name for f in spans.schema.fields]
     flat: dict[str, list[str]] = {s: [] for s in SCOPES}
@@ -54,7 +61,7 @@ def tag_names(spans: DataFrame, scope: str | None = None, sampled: int = SAMPLED
             found = found.union(keys.select(F.lit(where), "tag"))
     for where, holder in (("event", "events"), ("link", "links")):
         if holder in names:
-            rows = spans.where(F.size(holder) > 0).select(holder).limit(sampled)
+            rows = _sampled(spans.where(F.size(holder) > 0).select(holder), sampled)
             keys = rows.select(F.explode(holder).alias("e")).select(F.explode(F.map_keys("e.attributes")).alias("tag"))
             found = found.union(keys.select(F.lit(where), "tag"))
     found = found.distinct()

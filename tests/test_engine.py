@@ -145,6 +145,19 @@ def test_tags(engine):
     assert len(engine.tag_values("name", "{ not a query").collect()) == 4
 
 
+def test_tags_of_rare_keys(spark):
+    rare = F.when(F.col("id") == 4999, "rare").otherwise("usual")
+    texts = F.create_map(rare, F.lit("x"))
+    items = lambda: F.array(F.struct(texts.alias("attributes")))
+    made = spark.range(0, 5000, 1, 1).select(
+        F.col("id").cast("string").alias("trace_id"), texts.alias("resource.custom"), items().alias("events"), items().alias("links"),
+        F.try_parse_json(F.concat(F.lit('{"'), rare, F.lit('": 1}'))).alias("attributes.custom"),
+    )
+    found = {(r.scope, r.tag) for r in tags.tag_names(made).collect()}
+    assert {(s, "rare") for s in ("span", "resource", "event", "link")} <= found
+    assert ("span", "rare") not in {(r.scope, r.tag) for r in tags.tag_names(made, sampled=2000).collect()}
+
+
 def test_trace_by_id(engine):
     assert ids(engine.trace(TRACE_A.lstrip("0").upper())) == [A1, A2, A3]
     with pytest.raises(QueryError):
