@@ -256,10 +256,23 @@ def _ids(query: str, spark, sf_dir: str) -> DataFrame:
     return TraceEngine(events_as_spans(spark, sf_dir)).spans_of(query).select("trace_id", "span_id")
 
 
+def whole(spans: DataFrame) -> tuple[int, int]:
+    """The range from the first span to just after the last one, whatever the table holds."""
+    first, last = spans.agg(F.min("start_ns"), F.max("start_ns")).first()
+    return (0, 1) if first is None else (first, last + 1)
+
+
 def m_instant(spark, sf_dir: str) -> DataFrame:
     return TraceEngine(events_as_spans(spark, sf_dir)).instant("{} | count_over_time() by (name)", START + 3 * DAY + 5, END - DAY)
 
 
+def m_instant_all(spark, sf_dir: str) -> DataFrame:
+    """The unaligned range holds every event."""
+    spans = events_as_spans(spark, sf_dir)
+    first, after = whole(spans)
+    return TraceEngine(spans).instant("{} | count_over_time() by (name)", first - 5, after + 7)
+
+
 def m_exemplars(spark, sf_dir: str) -> DataFrame:
     return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | rate() by (name)", START, END, DAY, exemplars=100)
 
@@ -347,12 +360,6 @@ def o_quantile(spark, sf_dir: str) -> DataFrame:
     return made.withColumn("value", F.round("value", 9))
 
 
-def whole(spans: DataFrame) -> tuple[int, int]:
-    """The range from the first span to just after the last one, whatever the table holds."""
-    first, last = spans.agg(F.min("start_ns"), F.max("start_ns")).first()
-    return (0, 1) if first is None else (first, last + 1)
-
-
 def o_rate_all(spark, sf_dir: str) -> DataFrame:
     spans = orders_as_spans(spark, sf_dir)
     return TraceEngine(spans).metrics("{ status = ok } | rate() by (name)", *whole(spans), O_STEP)
@@ -376,7 +383,7 @@ def o_rollup(spark, sf_dir: str) -> DataFrame:
 CALLS: dict[str, Callable] = {
     f.__name__: f
     for f in (
-        m_instant, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
+        m_instant, m_instant_all, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
         g_values_filtered, g_values_status, g_event_values, x_trace_by_id, x_otlp, e_spans, e_rollup, e_service_stats, o_rate,
         o_quantile, o_rate_all, o_quantile_all, o_child, o_rollup,
     )
@@ -390,6 +397,8 @@ kept AS (SELECT *, n <= 7 OR ceil(i * 7 / n::DOUBLE) * n < (i + 1) * 7 AS keep F
 CALL_SQL: dict[str, tuple[str, str]] = {
     "m_instant": ("E", f"""SELECT name, {(START + 3 * DAY + 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans
 WHERE start_ns >= {START + 3 * DAY + 5} AND start_ns < {END - DAY} GROUP BY 1"""),
+    "m_instant_all": ("E", """SELECT name, ((SELECT min(start_ns) FROM spans) - 5) // 1000000 AS bucket_ms, count(*)::DOUBLE AS value
+FROM spans GROUP BY 1"""),
     "m_exemplars": ("E", f""", {GRID}, c AS (SELECT name, {B}, count(*) AS n, max_by(struct_pack(t := trace_id, s := start_ns),
   {_RANK.format(v='duration_ns')}) AS ex FROM spans WHERE {INSIDE} GROUP BY ALL), k AS (SELECT DISTINCT name FROM c)
 SELECT name, bucket_ms, {RATE} AS value, ex.t AS ex_trace_id, ex.s // 1000000 AS ex_ts_ms,

@@ -39,3 +39,8 @@ def test_orders_metrics_leave_no_row_out(spark, sf_dir):
     wanted = spans.where("`attributes.quantity` > 10").select("start_ns").collect()
     assert buckets == {r.start_ns // catalogue.O_STEP * catalogue.O_STEP for r in wanted}
     assert catalogue.whole(spans.limit(0)) == (0, 1)
+
+
+def test_instant_leaves_no_event_out(spark, sf_dir):
+    counted = sum(r.value for r in QUERIES["m_instant_all"](spark, sf_dir).collect())
+    assert counted == spark.read.parquet(f"{sf_dir}/events.parquet").count()
