@@ -5,12 +5,13 @@ With class prior p the risk is p E_P[l(g)] + max(0, E_U[l(-g)] - p E_P[l(-g)]):
 clean text and, where training drives it below zero, is pushed back up.
 
 Features are what a document's distinct words are: the words, lower-cased and stripped of signs around them, and their
-first 4, 5 and 6 letters, which stand for stems in languages that inflect. Those that P has far more often than U are
-kept, at most MOST_FEATURES.
+first 4, 5 and 6 letters, which stand for stems in languages that inflect. Those that P has far more often than all
+documents are kept, at most MOST_FEATURES; P and U bound the examples that the steps see, not these counts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -26,8 +27,8 @@ from .sampling import append, first_by_hash
 #: Bounds of the training sample, in documents.
 MOST_POSITIVE, MOST_UNLABELLED = 1500, 3000
 MOST_FEATURES = 1024
-#: Documents after which features seen once are forgotten, which bounds the count's memory.
-PRUNE_EVERY = 500
+#: Buckets of a first count of features by hash, which bounds the exact count's memory.
+BUCKETS = 1 << 20
 #: Least number of toxic documents with a feature: an eightieth of P, within these bounds.
 SUPPORT = (4, 12)
 #: Least share of toxic documents among those with a feature, as estimated from P, U and the prior.
@@ -54,6 +55,25 @@ def feature_set(words) -> set[str]:
     return {f for w in words for f in features_of(w)}
 
 
+class _Finder:
+    """Finds the features of a vocabulary in sets of words; keeps what it knows of words."""
+
+    def __init__(self, vocabulary):
+        self.vocabulary, self.seen = vocabulary, set()
+        self.hits: dict[str, tuple[str, ...]] = {}
+
+    def of(self, words: set[str]) -> set[str]:
+        for w in words - self.seen:
+            if found := tuple(f for f in features_of(w) if f in self.vocabulary):
+                self.hits[w] = found
+        self.seen |= words
+        found = {f for w in self.hits.keys() & words for f in self.hits[w]}
+        if len(self.seen) > SEEN_WORDS:
+            self.seen.clear()
+            self.hits.clear()
+        return found
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
@@ -61,18 +81,10 @@ class Model:
 
     def scores(self, texts) -> np.ndarray:
         """Scores from 0 to 1 of an iterable of texts (or None); looks at every word of the whole text."""
-        seen: set[str] = set()
-        hits: dict[str, tuple[str, ...]] = {}
+        finder = _Finder(self.weights)
         out = []
         for text in texts:
-            words = set(text.split()) if text else set()
-            for w in words - seen:
-                if found := tuple(f for f in features_of(w) if f in self.weights):
-                    hits[w] = found
-            seen |= words
-            if len(seen) > SEEN_WORDS:
-                seen.clear()
-            found = {f for w in hits.keys() & words for f in hits[w]}
+            found = finder.of(set(text.split()) if text else set())
             out.append(self.bias + sum(self.weights[f] for f in sorted(found)))
         return 1 / (1 + np.exp(-np.clip(np.array(out, dtype=np.float64), -60, 60)))
 
@@ -100,18 +112,27 @@ def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float) -> tuple[np.ndarray, fl
 
 
 def frequent(positive: list[list[str]]) -> dict[str, int]:
-    """Features of enough documents of P, with their numbers."""
+    """Features of enough documents of P, with their numbers.
+
+    A first pass counts buckets of features, each at least as often as any feature in it; the second pass counts those
+    features whose bucket has enough.
+    """
     support = min(max(len(positive) // 80, SUPPORT[0]), SUPPORT[1])
+    buckets = np.zeros(BUCKETS, dtype=np.int32)
+    at = lambda f: zlib.crc32(f.encode("utf-8", "surrogatepass")) % BUCKETS
+    for words in positive:
+        buckets[list({at(f) for f in feature_set(words)})] += 1
     counts: Counter[str] = Counter()
-    for i, words in enumerate(positive, 1):
-        counts.update(feature_set(words))
-        if i % PRUNE_EVERY == 0:
-            counts = Counter({f: n for f, n in counts.items() if n > 1})
+    for words in positive:
+        counts.update(f for f in feature_set(words) if buckets[at(f)] >= support)
     return {f: n for f, n in counts.items() if n >= support}
 
 
-def train(positive: list[list[str]], often: dict[str, int], unlabelled: list[set[str]], prior: float) -> Model:
-    """From the words of P, its frequent features, and the sets of these in U.
+def train(
+    positive: list[list[str]], often: dict[str, int], unlabelled: list[set[str]], prior: float,
+    in_all: dict[str, int], n_all: int,
+) -> Model:
+    """From the words of P, its frequent features, the sets of these in U, and how many of all n_all documents have each.
 
     Without examples the model says the prior of every text.
     """
@@ -119,9 +140,8 @@ def train(positive: list[list[str]], often: dict[str, int], unlabelled: list[set
     flat = Model({}, float(np.log(prior / (1 - prior))))
     if not positive or not unlabelled:
         return flat
-    in_u = Counter(f for s in unlabelled for f in s)
     precision = {
-        f: prior * (n / len(positive)) / max((in_u[f] + 0.5) / (len(unlabelled) + 1), prior * n / len(positive))
+        f: prior * (n / len(positive)) / max((in_all.get(f, 0) + 0.5) / (n_all + 1), prior * n / len(positive))
         for f, n in often.items()
     }
     names = sorted((f for f in often if precision[f] >= LEAST_PRECISION), key=lambda f: (-often[f], f))[:MOST_FEATURES]
@@ -144,11 +164,49 @@ def _copy_key(words: list[str]) -> tuple:
     return tuple(sorted(zlib.crc32(w.encode()) for w in words if len(w) > 6)[:4]) or tuple(sorted(words))
 
 
+def count_in_all(texts: DataFrame, often: dict[str, int]) -> tuple[dict[str, int], int]:
+    """How many documents have each feature of ``often``, and how many there are; near copies count as one.
+
+    Workers find the features; a shuffle of their numbers leaves one document of each group of near copies, and the
+    driver gets one row per feature.
+    """
+    spark = texts.sparkSession
+    names = sorted(often)
+    shared = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+
+    def mark(batches):
+        at = shared.value
+        finder = _Finder(at)
+        for batch in batches:
+            keys, hits = [], []
+            for text in batch.column(0):
+                words = set((text.as_py() or "").split())
+                key = repr(_copy_key(list(words))).encode("utf-8", "surrogatepass")
+                keys.append(int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True))
+                hits.append(np.array(sorted(at[f] for f in finder.of(words)), dtype="<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hits, pa.binary())], names=["key", "hits"])
+
+    def count(batches):
+        found, n = np.zeros(len(names), dtype=np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            joined = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u4")
+            found += np.bincount(joined, minlength=len(names))
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int64()), pa.array([n, *found[at].tolist()], pa.int64())], names=["feature", "n"])
+
+    one = texts.select("text").mapInArrow(mark, "key long, hits binary").groupBy("key").agg(F.min("hits").alias("hits"))
+    rows = one.select("hits").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    counts = {r["feature"]: r["n"] for r in rows}
+    return {names[i]: n for i, n in counts.items() if i >= 0}, counts.get(-1, 0)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """docs: doc_id, text; labels: doc_id, toxic, of the training rows only (null toxic is ignored).
 
     P and U are bounded samples by hash, one of each group of near copies, so that copies don't make a text's words look
-    toxic. Only distinct words of P and frequent features of U stay on the driver. The prior is the labels' mean.
+    toxic. Which features are kept is decided by counts over all documents. Only distinct words of P and frequent features
+    of U stay on the driver. The prior is the labels' mean.
     """
     spark = docs.sparkSession
     known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
@@ -167,7 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     positive = list(sample(known.where("toxic = 1").select("doc_id").distinct(), MOST_POSITIVE, 1))
     often = frequent(positive)
     unlabelled = [{f for f in feature_set(w) if f in often} for w in sample(texts.select("doc_id"), MOST_UNLABELLED, 2)]
-    return train(positive, often, unlabelled, prior)
+    in_all, n_all = count_in_all(texts, often) if often else ({}, 0)
+    return train(positive, often, unlabelled, prior, in_all, n_all)
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:

@@ -147,6 +147,16 @@ def test_lasso_rules_learn_and_compile(spark):
     assert rules.train(np.zeros((0, len(rules.STATISTICS))), np.zeros(0)).rules == []
 
 
+def test_toxicity_counts_every_document(spark, make_docs):
+    texts = [["usual"] for _ in range(1500)]
+    for i in (10, *range(600, 611)):  # once before the 500th, eleven times later
+        texts[i] = ["usual", "rareword"]
+    assert toxicity.frequent(texts)["=rareword"] == 12
+    docs = make_docs([f"w{i:b} usual" + " rareword" * (i % 100 == 7) for i in range(5000)] + ["near copies of longer words", "of longer copies near words"])
+    counts, n = toxicity.count_in_all(docs, {"=rareword": 12, "=usual": 1500, "=longer": 4, "=none": 4})
+    assert counts == {"=rareword": 50, "=usual": 5000, "=longer": 1} and n == 5001
+
+
 def test_learned_ops_on_odd_tables(spark, make_docs):
     from .conftest import CLASHES
 
