@@ -5,13 +5,16 @@ With class prior p the risk is p E_P[l(g)] + max(0, E_U[l(-g)] - p E_P[l(-g)]):
 clean text and, where training drives it below zero, is pushed back up.
 
 Features are what a document's distinct words are: the words, lower-cased and stripped of signs around them, and their
-first 4, 5 and 6 letters, which stand for stems in languages that inflect. Those that P has far more often than all
+first 4, 5 and 6 letters, which stand for stems in languages that inflect. A word with other signs inside has those of
+each run of letters too; runs that are long, or of scripts without spaces, have windows over their full length. Those that P has far more often than all
 documents are kept, at most MOST_FEATURES; P and U bound the examples that the steps see, not these counts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+import unicodedata
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -34,6 +37,11 @@ SUPPORT = (4, 12)
 #: Least share of toxic documents among those with a feature, as estimated from P, U and the prior.
 LEAST_PRECISION = 0.7
 PREFIXES = (4, 5, 6)
+#: Letters of a run that is a feature as a whole; windows of longer runs, and of runs of scripts without spaces.
+MOST_LETTERS = 64
+WINDOWS, UNSPACED_WINDOWS = (4, 5, 6), (2, 3, 4)
+#: Thai, Lao, Myanmar, Khmer; kana, Han ideographs.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 STEPS, RATE, DECAY = 300, 0.05, 1e-4
 SEEN_WORDS = 200_000
 
@@ -45,10 +53,37 @@ def features_of(word: str) -> list[str]:
         start += 1
     while end > start and not word[end - 1].isalpha():
         end -= 1
-    core = word[start:end].lower()[:64]
+    core = word[start:end].lower()
     if len(core) < 2:
         return []
-    return ["=" + core, *("^" + core[:n] for n in PREFIXES if len(core) >= n)]
+    out = _of_run(core[:MOST_LETTERS])
+    runs = [core] if core.isalpha() else _runs(core)
+    for run in runs:
+        if len(runs) > 1 and len(run) > 1:
+            out += _of_run(run[:MOST_LETTERS])
+        sizes = () if run.isascii() or not UNSPACED.search(run) else UNSPACED_WINDOWS
+        sizes = sizes or (WINDOWS if len(run) > MOST_LETTERS else ())
+        out += ["~" + run[i : i + n] for n in sizes for i in range(len(run) - n + 1)]
+    return out
+
+
+def _of_run(run: str) -> list[str]:
+    return ["=" + run, *("^" + run[:n] for n in PREFIXES if len(run) >= n)]
+
+
+def _runs(core: str) -> list[str]:
+    """Runs of letters; marks belong to the letter before."""
+    out, inside = [], False
+    for c in core:
+        if c.isalpha() or (inside and not c.isascii() and unicodedata.category(c)[0] == "M"):
+            if inside:
+                out[-1].append(c)
+            else:
+                out.append([c])
+            inside = True
+        else:
+            inside = False
+    return ["".join(run) for run in out]
 
 
 def feature_set(words) -> set[str]:
@@ -56,18 +91,21 @@ def feature_set(words) -> set[str]:
 
 
 class _Finder:
-    """Finds the features of a vocabulary in sets of words; keeps what it knows of words."""
+    """Finds the features of a vocabulary in sets of words; keeps what it knows of words that aren't long."""
 
     def __init__(self, vocabulary):
         self.vocabulary, self.seen = vocabulary, set()
         self.hits: dict[str, tuple[str, ...]] = {}
 
     def of(self, words: set[str]) -> set[str]:
+        long = {w for w in words if len(w) > MOST_LETTERS}
+        words = words - long if long else words
         for w in words - self.seen:
             if found := tuple(f for f in features_of(w) if f in self.vocabulary):
                 self.hits[w] = found
         self.seen |= words
         found = {f for w in self.hits.keys() & words for f in self.hits[w]}
+        found.update(f for w in long for f in features_of(w) if f in self.vocabulary)
         if len(self.seen) > SEEN_WORDS:
             self.seen.clear()
             self.hits.clear()

@@ -157,6 +157,16 @@ def test_toxicity_counts_every_document(spark, make_docs):
     assert counts == {"=rareword": 50, "=usual": 5000, "=longer": 1} and n == 5001
 
 
+def test_toxicity_sees_all_of_a_word():
+    assert {"=nice", "=idiot", "^idio"} <= set(toxicity.features_of("nice/idiot,"))
+    assert toxicity.features_of("(Idiot)") == ["=idiot", "^idio", "^idiot"]
+    assert "~idiot" in toxicity.features_of("abc" * 100 + "idiot" + "xyz" * 100)
+    assert "~\u7b28\u86cb" in toxicity.features_of("\u4f60\u662f\u4e2a\u7b28\u86cb\u5427")
+    assert "~\u7b28\u86cb" in toxicity.features_of("\u5929" * 500 + "\uff0c" + "\u5730" * 500 + "\u7b28\u86cb" + "\u4eba" * 500)
+    model = toxicity.Model({"=idiot": 9.0, "~\u7b28\u86cb": 9.0}, -4.0)
+    assert list(model.scores(["nice/idiot", "\u5730" * 500 + "\u7b28\u86cb", "nice"]) > 0.5) == [True, True, False]
+
+
 def test_learned_ops_on_odd_tables(spark, make_docs):
     from .conftest import CLASHES
 
