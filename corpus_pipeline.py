@@ -19,6 +19,18 @@ def same(docs: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
+def print_of() -> Column:
+    """The hash of a row's text that `exact.find_copies` returns as text_sha256."""
+    return F.sha2(exact.normalise(F.col("text")), 256)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs without the rows of dropped (doc_id, text_sha256); another text under the same doc_id stays."""
+    name = spare_name(docs, "print")
+    gone = dropped.withColumnRenamed("text_sha256", name)
+    return docs.withColumn(name, print_of()).join(gone, ["doc_id", name], "left_anti").select(*same(docs))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold."""
     model = q05_toxicity.fit_outside_fold(docs, read(spark, sf_dir, "labels"))
@@ -38,16 +50,15 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id and text are one document. Rows without a doc_id stay.
     """
-    found = materialize(exact.find_copies(docs).where("not kept").select("doc_id", "keep_id"), "copies")
-    others = found.where("doc_id <> keep_id").select("doc_id").distinct()
-    left = docs.join(others, "doc_id", "left_anti").select(*same(docs))
+    found = materialize(exact.find_copies(docs).where("not kept").select("doc_id", "keep_id", "text_sha256"), "copies")
+    others = found.where("doc_id <> keep_id").select("doc_id", "text_sha256").distinct()
+    left = without(docs, others)
     again = found.where("doc_id = keep_id").select("doc_id").distinct()
     if again.isEmpty():
         return left
-    print_of = F.sha2(exact.normalise(F.col("text")), 256)
     once = (
         left.join(again, "doc_id", "left_semi")
-        .groupBy("doc_id", print_of.alias("print"))
+        .groupBy("doc_id", print_of().alias("print"))
         .agg(F.max_by(F.struct(*same(docs)), F.char_length("text")).alias("row"))
         .select("row.*")
     )
@@ -55,10 +66,22 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class of similar word shingle sets (five words, 0.8)."""
-    found = jaccard.link_classes(docs, size=5, percent=80)
-    dropped = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(*same(docs))
+    """The document with the smallest doc_id of each class of similar word shingle sets (five words, 0.8).
+
+    Where a doc_id repeats, its texts are documents of their own: doc_id and text are numbered in their order, and the
+    smallest number of a class is kept.
+    """
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        found = jaccard.link_classes(docs, size=5, percent=80)
+        dropped = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+        return docs.join(dropped, "doc_id", "left_anti").select(*same(docs))
+    texts = docs.where("doc_id is not null").select("doc_id", print_of().alias("text_sha256"), "text")
+    numbers = materialize(exact.number(texts, ["doc_id", "text_sha256"], "numbered"), "numbers")
+    numbered = texts.join(numbers, ["doc_id", "text_sha256"]).select(F.col("name").alias("doc_id"), "text")
+    found = jaccard.link_classes(numbered, size=5, percent=80).where("doc_id <> component_id")
+    dropped = numbers.join(found.select(F.col("doc_id").alias("name")).distinct(), "name", "left_semi")
+    return without(docs, materialize(dropped.select("doc_id", "text_sha256"), "near-copies"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

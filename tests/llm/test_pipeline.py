@@ -33,3 +33,15 @@ def test_pipeline_on_odd_rows(spark, sf_dir, make_docs):
     for _, stage in p.STAGES:
         empty = materialize(stage(spark, empty, sf_dir), "empty")
     assert empty.count() == 0
+
+
+def test_other_text_of_a_repeated_doc_id_stays(spark, sf_dir, make_docs):
+    copied, alone = "one two three four", "a text of its own"
+    docs = make_docs([(3, copied), (7, copied), (7, alone), (9, alone + " still")])
+    left = {(r.doc_id, r.text) for r in p.drop_copies(spark, docs, sf_dir).collect()}
+    assert left == {(3, copied), (7, alone), (9, alone + " still")}
+    words = [f"word{i}" for i in range(60)]
+    near, first = " ".join(words), " ".join([*words[:-1], "other"])
+    docs = make_docs([(3, first), (7, near), (7, alone), (9, "q"), (None, near)])
+    left = {(r.doc_id, r.text) for r in p.drop_near_copies(spark, docs, sf_dir).collect()}
+    assert left == {(3, first), (7, alone), (9, "q"), (None, near)}
