@@ -3,21 +3,26 @@
 1. Documents with equal sets are one node. Nodes with equal size and prefix are one group.
 2. Shingles have one global order, rare ones first. Two sets with similarity >= t share a shingle among the first
    n - ceil(t n) + 1 of each. Groups are joined on prefix shingles and filtered by size and by the shingles' positions.
-   Signatures, the parity of a set's shingles by hash, differ in no more bits than the sets do in shingles, which leaves
-   out most pairs that aren't similar within the join.
-3. Group pairs are expanded to their members, which are verified on the whole sets.
+3. Group pairs are expanded to their members, which are verified on the whole sets. Signatures, the parity of a set's
+   shingles by hash, differ in no more bits than the sets do in shingles, which leaves out most pairs that aren't similar:
+   of groups with one member within the join, of others when they are expanded.
 
 Prefixes are longer by SHARED - 1 than step 2 needs, so that a similar pair shares SHARED shingles of its prefixes; pairs
 with fewer, which common phrases make, are never fetched.
 
 What is wanted are classes, so pairs within a class already known needn't be compared. First, groups with a crowded
-shingle are compared with a few others of that shingle and size band (linear in the postings), and what is similar
-becomes a class. The last round compares all remaining pairs of members of different classes. No link between classes is
-lost, and a crowd of n near copies costs a few times n comparisons rather than their square.
+shingle are compared with a few others of that shingle and size band (linear in the postings), and groups with their own
+members; what is similar becomes a class. Large classes are then compared with all others through the node in their
+middle. The last round joins all groups that aren't of one and the same class. Within a shingle, those of the class
+that most of its groups have are met by the others only, so a crowd of near copies that are one class costs nothing.
+No link between classes is lost.
 
 Shingles whose hash is in the lowest part of its range come first; these are counted exactly over all documents, and
 crowded ones come after all others of that part. The part is large enough for most prefixes to lie in it. The counts of
-crowded shingles are kept in a table of fixed size, which may be coarse, as any order is right that is the same everywhere.
+crowded shingles are kept in a table that may be coarse, as any order is right that is the same everywhere.
+
+Sets are of 64-bit hashes, so what is exact is so up to collisions of these: two shingles of a pair of sets collide with
+a probability of about their number squared / 2^65.
 """
 
 from __future__ import annotations
@@ -29,23 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, materialize, scratch
 from .shingles import column_sets
 
-#: Entries of the table of crowded shingles; shingles counted by a task before it reports.
-WEIGHTS, CHUNK_SHINGLES = 1 << 20, 1_000_000
-#: Bits of the table of shingles that occur at least twice; others needn't leave the worker. A full table only lets more
-#: pass.
-SEEN_BITS = 1 << 25
+#: Shingles counted by a task before it reports.
+CHUNK_SHINGLES = 1_000_000
+#: Tables of bits that are sent to the workers have 8 bits for each thing they hold, within these bounds; the largest takes
+#: 32 MB. A full one only lets more pass. Tables of counts have 4 entries for each, the largest takes 16 MB.
+BITS, COUNTS = (1 << 16, 1 << 28), (1 << 12, 1 << 22)
 #: Shingles are counted if their hash is in the lowest part of its range, this many times the share of a prefix.
 ZONE = 2.5
 #: Prefix shingles that a pair must share.
 SHARED = 4
 #: A shingle is crowded with so many groups; its groups are first compared with so many of them per size band.
 CROWD, HUBS = 8, 8
-#: Bits of the table that tells which documents' sets are needed; others pass it at random, which costs only time.
-WANTED_BITS = 1 << 23
-
 #: Longs of a set's signature, the parity of its shingles by hash modulo 64 * SIGNATURE.
 SIGNATURE = 4
 
@@ -58,6 +60,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
+def table_size(n: int, bounds: tuple[int, int]) -> int:
+    """The least power of two that is n at least, within bounds."""
+    return min(max(1 << max(0, n - 1).bit_length(), bounds[0]), bounds[1])
+
+
 def zone_end(percent: int) -> np.int64:
     return np.int64(min(2**63 - 1, int(-(2**63) + min(1.0, ZONE * (100 - percent) / 100) * 2**64)))
 
@@ -75,8 +82,8 @@ def bit_table(rows: DataFrame, bits: int) -> np.ndarray:
 
 
 def counted_shingles(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the counted zone: document counts of crowded shingles by shingle modulo WEIGHTS, and the bits of all that occur
-    at least twice, by shingle modulo SEEN_BITS. Both are of fixed size."""
+    """Of the counted zone: document counts of crowded shingles by shingle modulo the table's size, and the bits of all
+    that occur at least twice, likewise."""
     below = zone_end(percent)
 
     def run(batches):
@@ -99,14 +106,16 @@ def counted_shingles(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarr
 
     counts = _texts(docs).select("text").mapInArrow(run, "shingle long, n long")
     twice = materialize(counts.groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"), "shingle-counts")
+    n_twice, n_crowded = twice.agg(F.count(F.lit(1)), F.count_if(F.col("n") >= CROWD)).first()
+    entries, bits = table_size(4 * n_crowded, COUNTS), table_size(8 * n_twice, BITS)
     rows = (
         twice.where(F.col("n") >= CROWD)
-        .groupBy(F.pmod("shingle", F.lit(WEIGHTS)).cast("int").alias("at")).agg(F.max("n").alias("n"))
+        .groupBy(F.pmod("shingle", F.lit(entries)).cast("int").alias("at")).agg(F.max("n").alias("n"))
         .toArrow()
-    )  # at most WEIGHTS rows
-    out = np.zeros(WEIGHTS, dtype=np.int32)
+    )  # at most ``entries`` rows
+    out = np.zeros(entries, dtype=np.int32)
     out[rows["at"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
-    return out, bit_table(twice.select(F.pmod("shingle", F.lit(SEEN_BITS)).alias("bit")), SEEN_BITS)
+    return out, bit_table(twice.select(F.pmod("shingle", F.lit(bits)).alias("bit")), bits)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -114,25 +123,28 @@ def prefix_length(n: int, percent: int) -> int:
     return n - least + min(SHARED, least)
 
 
-def sets_and_prefixes(docs: DataFrame, size: int, percent: int, counted: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """One row per document in SETS: print of its set, px of its prefix, and the prefix shingles that can be shared."""
-    shared = docs.sparkSession.sparkContext.broadcast(counted)
+def sets_and_prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataFrame:
+    """One row per document in SETS: print of its set, px of its prefix, and the prefix shingles that can be shared.
+
+    shared: a broadcast of what `counted_shingles` gives.
+    """
     pair = pa.struct([("shingle", pa.int64()), ("at", pa.int32())])
     below, last = zone_end(percent), np.int32(2**31 - 1)
 
     def run(batches):
         weight, twice = shared.value
+        bits = 64 * len(twice)
         for batch in batches:
             sizes, prints, marks, kept, places, sigs = [], [], [], [], [], []
             for s in column_sets(batch.column(1), size):
                 n = len(s)
-                rank = np.where(s < below, weight[np.mod(s, WEIGHTS)], last)
+                rank = np.where(s < below, weight[np.mod(s, len(weight))], last)
                 order = np.argsort(rank, kind="stable")  # s is sorted already
                 sizes.append(n)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if n else None)
                 prefix = s[order[: prefix_length(n, percent)]] if n else s
                 marks.append(hashlib.blake2b(prefix.tobytes(), digest_size=16).digest() if n else None)
-                bit = np.mod(prefix, SEEN_BITS)
+                bit = np.mod(prefix, bits)
                 place = np.flatnonzero((prefix >= below) | ((twice[bit >> 6] >> (bit & 63)) & 1 == 1))
                 kept.append(prefix[place])
                 places.append(place)
@@ -155,28 +167,40 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, counted: tuple[n
 
 
 def whole_sets(docs: DataFrame, size: int, ids: DataFrame) -> DataFrame:
-    """(doc_id, shingles) of the rows of docs whose doc_id is in ids, and of some others.
+    """(doc_id, shingles) of the rows of docs whose doc_id is in ids, and of some others; written as a table.
 
-    No text is shuffled: rows are looked up in a table of WANTED_BITS bits that is sent to the workers.
+    No text is shuffled: rows are looked up in a table of bits that is sent to the workers.
     """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BITS))
-    table = bit_table(ids.select(bit.alias("bit")), WANTED_BITS)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    bits = table_size(8 * ids.count(), BITS)
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    with scratch() as here:
+        shared = here.share(docs.sparkSession, bit_table(ids.select(bit.alias("bit")), bits))
+
+        def run(batches):
+            table = shared.value
+            for batch in batches:
+                at = batch.column(2).to_numpy(zero_copy_only=False)
+                wanted = batch.take(pa.array(np.flatnonzero((table[at >> 6] >> (at & 63)) & 1)))
+                for i in range(0, len(wanted), 500):
+                    part = wanted.slice(i, 500)
+                    sets = list(column_sets(part.column(1), size))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                    )
+
+        rows = _texts(docs).where("doc_id is not null").select("doc_id", "text", bit.alias("bit"))
+        return here.keep(rows.mapInArrow(run, "doc_id long, shingles array<long>"), "sets")
 
-    def run(batches):
-        table = shared.value
-        for batch in batches:
-            at = batch.column(2).to_numpy(zero_copy_only=False)
-            wanted = batch.take(pa.array(np.flatnonzero((table[at >> 6] >> (at & 63)) & 1)))
-            for i in range(0, len(wanted), 500):
-                part = wanted.slice(i, 500)
-                sets = list(column_sets(part.column(1), size))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
-                )
 
-    rows = _texts(docs).where("doc_id is not null").select("doc_id", "text", bit.alias("bit"))
-    return rows.mapInArrow(run, "doc_id long, shingles array<long>")
+def _overlap(percent: int, x: str, y: str) -> str:
+    """Least number of common shingles of similar sets of x and y shingles."""
+    return f"ceil({percent} * ({x} + {y}) / {100 + percent}.0)"
+
+
+def _signed(percent: int, x: str, y: str, n_x: str, n_y: str) -> str:
+    """Whether signatures allow sets of n_x and n_y shingles to be similar; a null one allows any."""
+    differ = " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(SIGNATURE))
+    return f"coalesce({differ} <= {n_x} + {n_y} - 2 * {_overlap(percent, n_x, n_y)}, true)"
 
 
 def _near(percent: int) -> str:
@@ -184,27 +208,26 @@ def _near(percent: int) -> str:
 
     By sizes; by how much can be common before and behind the shingle; and by the signatures, where a group has one.
     """
-    overlap = f"ceil({percent} * (x.n + y.n) / {100 + percent}.0)"
-    differ = " + ".join(f"bit_count(x.sig[{i}] ^ y.sig[{i}])" for i in range(SIGNATURE))
     return (
         f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and least(x.inside, y.inside) + 1 "
-        f"+ least(x.n - x.at - 1, y.n - y.at - 1) >= {overlap} "
-        f"and coalesce({differ} <= x.n + y.n - 2 * {overlap}, true)"
+        f"+ least(x.n - x.at - 1, y.n - y.at - 1) >= {_overlap(percent, 'x.n', 'y.n')} "
+        f"and {_signed(percent, 'x.sig', 'y.sig', 'x.n', 'y.n')}"
     )
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """met: x and y (g, n, at) of pairs of groups per common prefix shingle. Returns the pairs (a, b) that may be similar.
+    """met: x and y (g, n, at) of groups, a row per common prefix shingle. Returns the pairs (a, b, na, nb) that may be
+    similar; a is x's group.
 
     They share SHARED shingles, or fewer where a set is so small; and behind the first common one both are long enough.
     """
     own = lambda n: f"least({SHARED}, ceil({percent} * {n} / 100.0))"
     return (
-        met.groupBy(F.col("x.g").alias("xg"), F.col("y.g").alias("yg"), F.col("x.n").alias("xn"), F.col("y.n").alias("yn"))
+        met.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
         .agg(F.count(F.lit(1)).alias("common"), F.min("x.at").alias("xat"), F.min("y.at").alias("yat"))
-        .where(f"common >= least({own('xn')}, {own('yn')})")
-        .where(f"1 + least(xn - xat - 1, yn - yat - 1) >= ceil({percent} * (xn + yn) / {100 + percent}.0)")
-        .select(F.least("xg", "yg").alias("a"), F.greatest("xg", "yg").alias("b"))
+        .where(f"common >= least({own('na')}, {own('nb')})")
+        .where(f"1 + least(na - xat - 1, nb - yat - 1) >= {_overlap(percent, 'na', 'nb')}")
+        .select("a", "b", "na", "nb")
     )
 
 
@@ -216,8 +239,13 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     links with nothing; so does a null doc_id, whose component_id is null. Rows that share a doc_id are one node. No rows
     give no rows.
     """
-    counted = counted_shingles(docs, size, percent)
-    base = materialize(sets_and_prefixes(docs, size, percent, counted), "shingle-sets")
+    with scratch() as here:
+        return here.keep(_link_classes(here, docs, size, percent), "link-classes")
+
+
+def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    shared = here.share(docs.sparkSession, counted_shingles(docs, size, percent))
+    base = materialize(sets_and_prefixes(docs, size, percent, shared), "shingle-sets")
     linkable = base.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(
         linkable.groupBy("print").agg(
@@ -231,25 +259,26 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         F.min("node").alias("g"), F.count(F.lit(1)).alias("size"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig")
     )
     groups = materialize(groups, "groups")
-    signatures = groups.where("size = 1").select("g", "sig")
-    crowded = groups.where("size > 1").select("px", "n", "g")
-    fellows = materialize(
-        nodes.join(crowded, ["px", "n"]).select("node", "g", F.col("sig").alias("own_sig")), "group-members"
+    members = materialize(
+        nodes.select("px", "n", "node", "sig").join(groups.select("px", "n", "g"), ["px", "n"]).select("node", "g", "sig"),
+        "group-members",
     )
-    postings = groups.select("g", "size", F.col("n").cast("int").alias("n"), F.inline("prefix"))
-    shared = postings.groupBy("shingle").agg(F.sum("size").alias("k")).where("k > 1")  # by nodes
+    # a group of one member has its signature
+    own = F.when(F.col("size") == 1, F.col("sig")).alias("sig")
+    postings = groups.select("g", "size", F.col("n").cast("int").alias("n"), own, F.inline("prefix"))
+    several = postings.groupBy("shingle").agg(F.sum("size").alias("k")).where("k > 1")  # by nodes
     step = F.lit(float(np.log(100 / percent)))
     band = F.floor(F.log(F.col("n")) / step).cast("int")
     # how many shingles of other prefixes precede: only those can be common with another set
     inside = F.row_number().over(Window.partitionBy("g").orderBy("at")) - 1
-    postings = postings.join(shared, "shingle").withColumns({"band": band, "inside": inside})
-    postings = materialize(postings.join(signatures, "g", "left"), "postings")
+    postings = postings.drop("size").join(several, "shingle").withColumns({"band": band, "inside": inside})
+    postings = materialize(postings, "postings")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Of node pairs (a, b), those that are similar, by their whole sets."""
         pairs = materialize(pairs.distinct(), "pairs")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = materialize(whole_sets(docs, size, ids), "sets")
+        sets = whole_sets(docs, size, materialize(ids, "wanted"))
         x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb"))
@@ -257,65 +286,110 @@ def link_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
         found = pairs.join(x, "a").join(y, "b").where(common * 100 >= union * percent)
         return materialize(found.select("a", "b"), "links")
 
-    def hub_pairs(rows: DataFrame, seeds: range, central: int) -> DataFrame:
-        """Pairs (a, b) of rows of crowded shingles with a few rows of the same shingle and of a near size band.
-
-        The first ``central`` are those that have least of their own before the shingle, as the source of near copies
-        has; the others go by a hash that is the same for all shingles.
-        """
-        crowd = rows.where(F.col("k") >= CROWD)
-        names = ["g", "n", "at", "inside", "sig"]
-        orders = [
-            F.struct(
-                (F.col("at") - F.col("inside") if i < central else F.lit(0)).alias("o"),
-                F.xxhash64(F.lit(seed), "g").alias("h"), *names,
-            )
-            for i, seed in enumerate(seeds)
-        ]
-        picked = F.array(*(F.struct(*(F.col(f"h{i}.{n}").alias(n) for n in names)) for i in range(len(orders))))
-        hubs = (
-            crowd.groupBy("shingle", "band").agg(*[F.min(o).alias(f"h{i}") for i, o in enumerate(orders)])
-            .select("shingle", "band", F.explode(F.array_distinct(picked)).alias("hub"))
-            .select("shingle", "band", "hub.*")
-        )
-        near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_near(percent)}")
-        met = crowd.alias("x").join(hubs.alias("y"), near)
-        return met.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
-
-    inner = fellows.where("node <> g").select(F.col("g").alias("a"), F.col("node").alias("b"))
-    links = similar(hub_pairs(postings, range(HUBS), HUBS // 2).union(inner))
-    # from here on groups are expanded to their members, each with its own signature and class
-    single = postings.join(fellows, "g", "left").withColumns(
-        {"g": F.coalesce("node", "g"), "sig": F.coalesce("own_sig", "sig")}
-    ).drop("node", "own_sig", "size")
-    # large classes are then compared with all others through the node in their middle
+    def expanded(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of different classes of group pairs (a, b, na, nb), as far as signatures allow."""
+        x = left.select(F.col("g").alias("a"), F.col("node").alias("xn"), F.col("sig").alias("xs"), F.col("class").alias("xc"))
+        y = right.select(F.col("g").alias("b"), F.col("node").alias("yn"), F.col("sig").alias("ys"), F.col("class").alias("yc"))
+        met = pairs.join(x, "a").join(y, "b").where(f"xc <> yc and {_signed(percent, 'xs', 'ys', 'na', 'nb')}")
+        return met.select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b"))
+
+    inner = members.where("node <> g").select(F.col("g").alias("a"), F.col("node").alias("b"))
+    links = similar(_hub_pairs(postings, percent).union(inner))
+
+    # large classes are compared with all groups through the node in their middle
     classes = materialize(components(links), "classes")
-    left = _with_class(single, classes)
-    middles = left.join(_middles(nodes, classes), "g", "left_semi")
-    near = F.expr(f"x.shingle = y.shingle and x.class <> y.class and {_near(percent)}")
-    met = left.alias("x").join(middles.alias("y"), near)
-    links = links.union(similar(met.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))))
-    left = _with_class(single, materialize(components(links), "classes"))
-    both = left.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-    left = materialize(left.join(both.select("shingle"), "shingle"), "postings-left")
-    met = left.alias("x").join(
-        left.alias("y"), F.expr(f"x.shingle = y.shingle and x.class < y.class and {_near(percent)}")
-    )
-    more = similar(_candidates(met, percent))
-    roots = components(links.union(more))
+    classed, placed = _with_classes(members, postings, classes)
+    middles = materialize(classed.join(_middles(nodes, classes), "node", "left_semi"), "middles")
+    posts = postings.drop("sig").join(middles.select("node", "g", "sig", "class"), "g")
+    posts = posts.select("shingle", F.col("node").alias("g"), "n", "at", "inside", "sig", "class")
+    other = "not (x.lo = x.hi and x.lo = y.class)"
+    met = placed.alias("x").join(posts.alias("y"), F.expr(f"x.shingle = y.shingle and {other} and {_near(percent)}"))
+    pairs = _candidates(met, percent)
+    central = middles.withColumn("g", F.col("node"))
+    links = links.union(similar(expanded(pairs, classed, central)))
+
+    # all groups that aren't of one and the same class
+    classes = materialize(components(links), "classes")
+    classed, placed = _with_classes(members, postings, classes)
+    met = _other_classes(placed, percent)
+    mixed = placed.where("lo < hi").select(F.col("g").alias("a"), F.col("g").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"))
+    pairs = materialize(_candidates(met, percent).union(mixed.distinct()), "group-pairs")
+    roots = components(links.union(similar(expanded(pairs, classed, classed))))
+
     known = nodes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
-    return (
-        base.select("doc_id", "n_shingles", "print")
-        .join(known, "print", "left")
-        .select(
-            "doc_id", "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"),
+    whole = linkable.select("doc_id", "n_shingles", "print").join(known, "print").select("doc_id", "n_shingles", F.col("root").alias("component_id"))
+    return whole.union(
+        base.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", "doc_id")
+    )
+
+
+def _hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of groups of crowded shingles with a few groups of the same shingle and of a near size band.
+
+    Half of these are those that have least of their own before the shingle, as the source of near copies has; the others
+    go by a hash that is the same for all shingles.
+    """
+    crowd = postings.where(F.col("k") >= CROWD)
+    names = ["g", "n", "at", "inside", "sig"]
+    orders = [
+        F.struct(
+            (F.col("at") - F.col("inside") if i < HUBS // 2 else F.lit(0)).alias("o"),
+            F.xxhash64(F.lit(i), "g").alias("h"), *names,
         )
+        for i in range(HUBS)
+    ]
+    picked = F.array(*(F.struct(*(F.col(f"h{i}.{n}").alias(n) for n in names)) for i in range(len(orders))))
+    hubs = (
+        crowd.groupBy("shingle", "band").agg(*[F.min(o).alias(f"h{i}") for i, o in enumerate(orders)])
+        .select("shingle", "band", F.explode(F.array_distinct(picked)).alias("hub"))
+        .select("shingle", "band", "hub.*")
+    )
+    near = F.expr(f"x.shingle = y.shingle and abs(x.band - y.band) <= 1 and x.g <> y.g and {_near(percent)}")
+    met = crowd.alias("x").join(hubs.alias("y"), near)
+    return met.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
+
+
+def _with_classes(members: DataFrame, postings: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their class, and postings with the smallest and largest class of their group's members."""
+    own = members.join(classes, "node", "left").select("node", "g", "sig", F.coalesce("root", "node").alias("class"))
+    own = materialize(own, "member-classes")
+    span = materialize(own.groupBy("g").agg(F.min("class").alias("lo"), F.max("class").alias("hi")), "group-classes")
+    return own, materialize(postings.join(span, "g"), "postings-placed")
+
+
+def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs x, y of postings of one shingle whose groups aren't of one and the same class, each pair in one order.
+
+    The class that most groups of a shingle have is its main class; groups wholly of that class meet the others only.
+    """
+    alone = F.col("lo") == F.col("hi")
+    per_class = placed.groupBy("shingle", F.when(alone, F.col("lo")).alias("class")).agg(
+        F.count(F.lit(1)).alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    main = per_class.groupBy("shingle").agg(
+        F.max_by("class", F.when(F.col("class").isNotNull(), F.struct("k", "class"))).alias("main"),
+        F.min("lo").alias("least"), F.max("hi").alias("most"),
+    )
+    main = materialize(main.where("least < most").select("shingle", "main"), "main-classes")
+    left = placed.join(main, "shingle").select(
+        "shingle", "g", "n", "at", "inside", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
+    )
+    left = materialize(left, "postings-left")
+    near = F.expr(
+        "x.shingle = y.shingle and x.g <> y.g and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo) "
+        f"and (y.is_main or x.g < y.g) and {_near(percent)}"
+    )
+    met = left.where("not is_main").alias("x").join(left.alias("y"), near)
+    # a pair may stand in either order, by the main class of a shingle
+    row = lambda side: F.struct(*(F.col(f"{side}.{n}").alias(n) for n in ("g", "n", "at")))
+    swap = F.col("x.g") > F.col("y.g")
+    return met.select(
+        F.when(swap, row("y")).otherwise(row("x")).alias("x"), F.when(swap, row("x")).otherwise(row("y")).alias("y")
     )
 
 
 def _middles(nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """The node (column g) of each class of CROWD or more whose signature is nearest to the majority of each bit."""
+    """The node of each class of CROWD or more whose signature is nearest to the majority of each bit."""
     large = classes.groupBy("root").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= CROWD).select("root")
     members = classes.join(large, "root").join(nodes.select("node", "sig"), "node")
     words = members.select("root", F.posexplode("sig").alias("word", "bits"))
@@ -326,9 +400,4 @@ def _middles(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     )
     words = members.select("root", "node", F.posexplode("sig").alias("word", "own")).join(major, ["root", "word"])
     away = words.groupBy("root", "node").agg(F.sum(F.expr("bit_count(own ^ bits)")).alias("away"))
-    return away.groupBy("root").agg(F.min_by("node", F.struct("away", "node")).alias("g")).select("g")
-
-
-def _with_class(postings: DataFrame, classes: DataFrame) -> DataFrame:
-    own = classes.select(F.col("node").alias("g"), "root")
-    return postings.join(own, "g", "left").withColumn("class", F.coalesce("root", "g")).drop("root")
+    return away.groupBy("root").agg(F.min_by("node", F.struct("away", "node")).alias("node")).select("node")

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import holding
 from .sampling import append, first_by_hash, spare_name
 
 #: Bound of the training sample, in labelled documents.
@@ -216,6 +217,7 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
     """docs with a struct of STATISTICS of the column text."""
 
     def column(texts: pa.Array) -> pa.Array:
+        holding("statistics")
         rows = np.array([statistics(t.as_py()) for t in texts], dtype=np.float64).reshape(-1, len(STATISTICS))
         return pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], names=STATISTICS)
 
@@ -225,23 +227,30 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> Ensemble:
     """docs: doc_id, text; labels: doc_id, quality, of the training rows only (null quality is ignored).
 
-    Only the statistics of at most MOST_LABELLED documents, chosen by hash, come to the driver.
+    Only the statistics of at most MOST_LABELLED documents, chosen by hash, come to the driver. A doc_id with several
+    labels has the largest; rows that repeat a doc_id are examples each; a null doc_id or a doc_id without a row is none.
+    Null and empty texts are examples whose statistics are 0. Without rows, or with one label only, the ensemble says
+    the labels' mean, which is a half where there is none.
     """
     known = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    sample = first_by_hash(known.groupBy("doc_id").agg(F.max("quality").alias("quality")), MOST_LABELLED, 3).collect()
-    ids = docs.sparkSession.createDataFrame([tuple(r) for r in sample], "doc_id long, quality int")
+    ids = first_by_hash(known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality")), MOST_LABELLED, 3)
     chosen = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(ids), "doc_id")  # at most MOST_LABELLED ids
         .select("doc_id", "quality", "text")
     )
-    rows = with_statistics(chosen, "stats").select("doc_id", "quality", "stats.*").toPandas().sort_values("doc_id")
-    x = rows[STATISTICS].to_numpy(dtype=np.float64).reshape(-1, len(STATISTICS))
-    return train(x, rows["quality"].to_numpy(dtype=np.float64))
+    rows = with_statistics(chosen, "stats").select("quality", "stats.*").toArrow()
+    x = np.stack([rows[s].to_numpy() for s in STATISTICS], axis=1)
+    y = rows["quality"].to_numpy().astype(np.float64)
+    order = np.lexsort([*x.T, y])  # the same for any order of rows
+    return train(x[order], y[order])
 
 
 def score(docs: DataFrame, ensemble: Ensemble, name: str = "score") -> DataFrame:
-    """docs with a column of scores; null and empty texts are scored by their statistics, which are 0."""
+    """docs with a column of scores; null and empty texts are scored by their statistics, which are 0.
+
+    Rows that repeat are scored each, and equal texts alike; no rows give no rows. A column of that name is refused.
+    """
     if name in docs.columns:
         raise ValueError(f"there is a column {name} already")
     held = spare_name(docs, "statistics")
