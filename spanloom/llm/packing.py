@@ -3,8 +3,10 @@
 Documents longer than a sequence are cut; the pieces are items of an integer size from 1 to the capacity. All that
 decides a packing is how many items there are of each size, so the whole reduction and the best-fit run on a histogram
 of at most ``capacity`` entries, and yield a plan: patterns (which sizes share a sequence) with multiplicities. The
-plan is as small as the capacity demands, whatever the number of items. Items are numbered within their size by a
-distributed ranking and look their place up in the plan.
+plan is as small as the capacity demands, whatever the number of items: each step of the reduction and of best-fit uses
+up a size or a class of open sequences, so classes are at most a few for each size, and a class holds at most
+sqrt(2 * capacity) sizes. Items are numbered within their size by a distributed ranking and look their place up in the
+plan's rows, which are sorted by size and rank.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tokens
 from .common import materialize
@@ -248,26 +251,46 @@ def ranked(items: DataFrame) -> DataFrame:
     )
 
 
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs at least, by the tokens alone."""
+    return -(-sum(size * n for size, n in counts.items()) // capacity)
+
+
+PLACE = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+#: Bits of a rank within its size, in the key that the plan's rows are sorted by.
+RANK_BITS = 44
+
+
+def places(plan: Plan):
+    """A function of Arrow arrays of sizes and ranks that gives their sequences and offsets."""
+    rows = np.array(sorted((size << RANK_BITS | lo, lo, first, copies, base) for size, lo, _, first, copies, base in plan.rows), dtype=np.int64)
+    keys, lows, firsts, copies, bases = rows.reshape(-1, 5).T.copy()
+
+    def look(sizes: pa.Array, ranks: pa.Array) -> pa.Array:
+        size, rank = sizes.to_numpy(zero_copy_only=False), ranks.to_numpy(zero_copy_only=False)
+        at = np.searchsorted(keys, size << RANK_BITS | rank, side="right") - 1
+        nth = rank - lows[at]
+        return pa.StructArray.from_arrays(
+            [pa.array(firsts[at] + nth // copies[at]), pa.array(bases[at] + nth % copies[at] * size)], names=PLACE.names
+        )
+
+    return look
+
+
 def pack(items: DataFrame, capacity: int) -> DataFrame:
     """Add sequence_id and offset to items (columns doc_id, piece, length, ids_crc32 and any others).
 
-    Items of no length or more than the capacity aren't accepted: `pieces` makes none. No items: an empty result.
+    Items of no length or more than the capacity aren't accepted: `pieces` makes none. Equal items, and a null doc_id,
+    are items each. No items: an empty result.
     """
-    spark = items.sparkSession
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = make_plan(counts, capacity)  # at most `capacity` counts came to the driver
-    schema = "length long, lo long, hi long, first long, copies long, base long"
-    table = spark.createDataFrame(plan.rows, schema)
-    assert len(plan.rows) <= 64 * capacity  # bounds the broadcast: a few MB
-    at = F.col("rank") - F.col("lo")
-    return (
-        ranked(items)
-        .join(F.broadcast(table), ["length"])
-        .where("rank >= lo and rank < hi")
-        .withColumn("sequence_id", F.col("first") + F.floor(at / F.col("copies")).cast("long"))
-        .withColumn("offset", F.col("base") + (at % F.col("copies")) * F.col("length"))
-        .drop("rank", "lo", "hi", "first", "copies", "base")
-    )
+    look = places(make_plan(counts, capacity))  # at most `capacity` counts came to the driver
+    place = F.arrow_udf(look, PLACE).asNondeterministic()  # so that no plan computes it twice
+    return ranked(items).withColumn("_place", place("length", "rank")).select(*_names(items), "_place.*")
+
+
+def _names(items: DataFrame) -> list:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in items.columns]
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
