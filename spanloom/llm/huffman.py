@@ -14,14 +14,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import materialize
+from .common import local_table, materialize, scratch, write_table
 
-#: Longest code. 16 bits suffice for up to 65536 ids, and one table look-up of 16 bits decodes an id.
-MAX_BITS = 16
+#: Bits of the first decoding table; up to 65536 ids have no longer codes. Codes of more ids are longer, up to MOST_BITS,
+#: and those beyond the first table are found in a second one.
+TABLE_BITS, MOST_BITS = 16, 32
 #: Ids between checkpoints, and ids after which a segment is closed.
 BLOCK = 512
 SEGMENT_IDS = 1 << 20
@@ -29,13 +30,19 @@ SEGMENT_IDS = 1 << 20
 SEGMENTS = "part int, segment int, doc_ids array<long>, lengths array<long>, n_ids long, payload binary, checkpoints array<long>"
 
 
-def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+def longest_code(n: int) -> int:
+    """The length limit for n ids: two bits more than the least possible one where the first table is too small."""
+    return TABLE_BITS if n <= 1 << TABLE_BITS else min((n - 1).bit_length() + 2, MOST_BITS)
+
+
+def code_lengths(counts: np.ndarray, max_bits: int | None = None) -> np.ndarray:
     """Optimal code lengths of at most max_bits by package-merge; 0 for ids that don't occur."""
     used = np.flatnonzero(counts)
     out = np.zeros(len(counts), dtype=np.uint8)
     if len(used) < 2:
         out[used] = 1
         return out
+    max_bits = max_bits or longest_code(len(used))
     if len(used) > 1 << max_bits:
         raise ValueError(f"{len(used)} ids don't fit codes of {max_bits} bits")
     order = used[np.lexsort((used, counts[used]))]
@@ -56,21 +63,33 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
 
 
 class Code:
-    """Canonical codes for lengths by id, with the decoding table."""
+    """Canonical codes for lengths by id, with the decoding tables.
+
+    The first table is looked up by TABLE_BITS bits. Canonical codes stand in order of their lengths, so longer ones are
+    at the end of the code space, from ``far`` on, which the second table covers.
+    """
 
     def __init__(self, lengths: np.ndarray):
         self.lengths = lengths.astype(np.int64)
         self.codes = np.zeros(len(lengths), dtype=np.uint64)
-        self.symbol = np.zeros(1 << MAX_BITS, dtype=np.uint32)
-        self.width = np.zeros(1 << MAX_BITS, dtype=np.uint8)
+        self.bits = bits = max(TABLE_BITS, int(self.lengths.max(initial=0)))
         used = np.flatnonzero(lengths)
         order = used[np.lexsort((used, lengths[used]))]
-        span = np.left_shift(1, MAX_BITS - self.lengths[order])
+        width = self.lengths[order]
+        span = np.left_shift(1, bits - width)
         start = np.cumsum(span) - span
-        self.codes[order] = start >> (MAX_BITS - self.lengths[order])
+        self.codes[order] = start >> (bits - width)
+        near = width <= TABLE_BITS
+        self.symbol, self.width = self._table(order[near], width[near], span[near] >> (bits - TABLE_BITS), 1 << TABLE_BITS)
+        self.far = int(span[near].sum())
+        self.far_symbol, self.far_width = self._table(order[~near], width[~near], span[~near], int(span[~near].sum()))
+
+    @staticmethod
+    def _table(ids, width, span, size: int) -> tuple[np.ndarray, np.ndarray]:
+        symbol, bits = np.zeros(size, dtype=np.uint32), np.zeros(size, dtype=np.uint8)
         total = int(span.sum())
-        self.symbol[:total] = np.repeat(order, span)
-        self.width[:total] = np.repeat(self.lengths[order], span)
+        symbol[:total], bits[:total] = np.repeat(ids, span), np.repeat(width, span)
+        return symbol, bits
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The payload and the bit offset of every BLOCK-th id."""
@@ -90,60 +109,126 @@ class Code:
             words[word[first] + 1] |= summed & np.uint64(0xFFFFFFFF)
         return words.astype(">u4").tobytes()[: (total + 7) // 8], start[::BLOCK]
 
-    def decode(self, payload: bytes, checkpoints: np.ndarray, n_ids: int) -> np.ndarray:
+    def decode(self, payload, checkpoints: np.ndarray, n_ids: int) -> np.ndarray:
         """All ids of a segment, its blocks read side by side from their checkpoints."""
         if not n_ids:
             return np.zeros(0, dtype=np.uint32)
-        raw = np.frombuffer(payload + b"\0\0\0\0", dtype=np.uint8).astype(np.uint32)
-        peek = (raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]
+        long = self.bits > TABLE_BITS
+        raw = np.zeros(len(payload) + 5, dtype=np.uint64 if long else np.uint32)
+        raw[: len(payload)] = np.frombuffer(payload, dtype=np.uint8)
+        seen = 5 if long else 3  # bytes that hold any code, wherever it begins in the first of them
+        peek = raw[: 1 - seen] << (8 * (seen - 1))
+        for k in range(1, seen):
+            peek |= raw[k : len(raw) - seen + 1 + k] << (8 * (seen - 1 - k))
         at = np.asarray(checkpoints, dtype=np.int64).copy()
         blocks = len(at)
         out = np.zeros((BLOCK, blocks), dtype=np.uint32)
         rest = n_ids - (blocks - 1) * BLOCK
+        shift, mask = 8 * seen - self.bits, (1 << self.bits) - 1
         for k in range(BLOCK):
             if k == rest:  # the last block ends
                 blocks -= 1
                 at = at[:blocks]
                 if not blocks:
                     break
-            bits = (peek[at >> 3] >> (8 - (at & 7)).astype(np.uint32)) & 0xFFFF
-            out[k, :blocks] = self.symbol[bits]
-            at += self.width[bits]
+            code = (peek[at >> 3] >> (shift - (at & 7)).astype(raw.dtype)) & raw.dtype.type(mask)
+            if long:
+                code = code.astype(np.int64)
+                first = code >> (self.bits - TABLE_BITS)
+                ids, width = self.symbol[first], self.width[first]
+                if len(beyond := np.flatnonzero(code >= self.far)):
+                    place = code[beyond] - self.far
+                    ids[beyond], width[beyond] = self.far_symbol[place], self.far_width[place]
+            else:
+                ids, width = self.symbol[code], self.width[code]
+            out[k, :blocks] = ids
+            at += width
         return out.T.reshape(-1)[:n_ids]
 
 
-def packed_ids(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int) -> DataFrame:
-    """(doc_id, ids): each text's packed ids with the end id; a null or empty text has only that."""
+def packed_ids(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, vocab_size: int) -> DataFrame:
+    """(doc_id, ids, counts): each text's packed ids with the end id; a null or empty text has only that.
+
+    A task's last row has counts only: how often its texts have each id of the vocabulary, as 64-bit integers.
+    """
 
     def run(batches):
         enc = tokens.tokenizer_encoder(tokenizer, keeps_space)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
+        total = np.zeros(vocab_size, dtype=np.int64)
+        names = ["doc_id", "ids", "counts"]
         for batch in batches:
-            ids = [p + end for p in enc.encode_column(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            ids = pa.array([p + end for p in enc.encode_column(batch.column(1))], pa.binary())
+            total += np.bincount(_flat(ids, enc.dtype)[0], minlength=vocab_size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.nulls(len(ids), pa.binary())], names=names)
+        if total.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], names=names
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids binary, counts binary")
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids binary")
 
+def _flat(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of an Arrow column of packed ids, and the ids a row, without a copy."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    size = np.dtype(dtype).itemsize
+    data = column.buffers()[2]
+    ids = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]].view(dtype) if data is not None else np.zeros(0, dtype)
+    return ids, np.diff(offsets) // size
 
-def global_counts(encoded: DataFrame, vocab_size: int, dtype: str) -> np.ndarray:
+
+def global_counts(encoded: DataFrame, vocab_size: int) -> np.ndarray:
     """How often each id occurs in all documents; the driver gets one row per id of the vocabulary."""
 
     def run(batches):
         total = np.zeros(vocab_size, dtype=np.int64)
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=dtype), minlength=vocab_size)
+            for counts in batch.column(0):
+                total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
-    rows = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = encoded.select("counts").where("counts is not null").mapInArrow(run, "id long, n long")
+    found = rows.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(vocab_size, dtype=np.int64)
-    for r in rows.collect():
-        counts[r["id"]] = r["n"]
+    counts[found["id"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
-def write(encoded: DataFrame, lengths: np.ndarray, dtype: str) -> tuple[DataFrame, DataFrame]:
-    """Write (doc_id, ids) in the file format; returns the codebook and the segments, read back."""
+class _Segment:
+    """Documents that wait to be written."""
+
+    def __init__(self):
+        self.keys: list[pa.Array] = []
+        self.sizes: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, keys: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.sizes.append(sizes)
+        self.ids.append(ids.copy())
+        self.held += len(ids)
+
+    def batch(self, code: Code, part: int, number: int) -> pa.RecordBatch:
+        payload, checks = code.encode(np.concatenate(self.ids))
+        whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([part], pa.int32()), pa.array([number], pa.int32()), whole(pa.concat_arrays(self.keys)),
+                whole(pa.array(np.concatenate(self.sizes))), pa.array([self.held], pa.int64()),
+                pa.array([payload], pa.binary()), whole(pa.array(checks)),
+            ],
+            names=["part", "segment", "doc_ids", "lengths", "n_ids", "payload", "checkpoints"],
+        )
+
+
+def write(encoded: DataFrame, lengths: np.ndarray, dtype: str, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write (doc_id, ids) in the file format; returns the codebook and the segments, read back.
+
+    Files under ``path`` stay; without one they are this session's.
+    """
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(lengths)
 
@@ -151,42 +236,40 @@ def write(encoded: DataFrame, lengths: np.ndarray, dtype: str) -> tuple[DataFram
         from pyspark import TaskContext
 
         code, part, made = Code(shared.value), TaskContext.get().partitionId(), 0
-        keys: list = []
-        blobs: list[bytes] = []
-        held = 0
-
-        def segment():
-            ids = np.frombuffer(b"".join(blobs), dtype=dtype)
-            payload, checks = code.encode(ids)
-            size = np.dtype(dtype).itemsize
-            values = [[part], [made], [keys], [[len(b) // size for b in blobs]], [len(ids)], [payload], [checks.tolist()]]
-            kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, type=k) for v, k in zip(values, kinds, strict=True)],
-                names=["part", "segment", "doc_ids", "lengths", "n_ids", "payload", "checkpoints"],
-            )
-
+        now = _Segment()
         for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                blobs.append(ids.as_py())
-                keys.append(key)
-                held += len(blobs[-1])
-                if held >= SEGMENT_IDS * np.dtype(dtype).itemsize:
-                    yield segment()
-                    keys, blobs, held, made = [], [], 0, made + 1
-        if blobs:
-            yield segment()
+            ids, sizes = _flat(batch.column(1), dtype)
+            ends = np.cumsum(sizes)
+            row, at = 0, 0
+            while row < len(sizes):
+                # as many documents as fill the segment, the last one whole
+                stop = min(int(np.searchsorted(ends, at + SEGMENT_IDS - now.held)) + 1, len(sizes))
+                now.add(batch.column(0).slice(row, stop - row), sizes[row:stop], ids[at : ends[stop - 1]])
+                row, at = stop, int(ends[stop - 1])
+                if now.held >= SEGMENT_IDS:
+                    yield now.batch(code, part, made)
+                    now, made = _Segment(), made + 1
+        if now.keys:
+            yield now.batch(code, part, made)
 
     parts = max(1, encoded.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = encoded.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "ids"
     )
-    segments = materialize(ordered.mapInArrow(run, SEGMENTS), "huffman-segments")
     used = np.flatnonzero(lengths)
-    book = spark.createDataFrame(
-        [(int(i), int(lengths[i])) for i in used], "id long, bits int"
-    )  # at most one row per id of the vocabulary
-    return materialize(book.coalesce(1), "huffman-codebook"), segments
+    book = local_table(spark, {"id": used, "bits": lengths[used].astype(np.int32)}, "id long, bits int").coalesce(1)
+    coded = ordered.mapInArrow(run, SEGMENTS)
+    if path is not None:
+        made = write_table(book, f"{path}/codebook"), write_table(coded, f"{path}/segments")
+    else:
+        made = materialize(book, "huffman-codebook"), materialize(coded, "huffman-segments")
+    shared.destroy()
+    return made
+
+
+def open_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The codebook and the segments of files that `write` made under ``path``."""
+    return spark.read.parquet(f"{path}/codebook"), spark.read.parquet(f"{path}/segments")
 
 
 def read_documents(codebook: DataFrame, segments: DataFrame, digest, schema: str) -> DataFrame:
@@ -196,10 +279,9 @@ def read_documents(codebook: DataFrame, segments: DataFrame, digest, schema: str
     window, plus the parts' totals; the payload isn't shuffled.
     """
     spark = segments.sparkSession
-    rows = codebook.collect()
-    lengths = np.zeros(1 + max((r["id"] for r in rows), default=0), dtype=np.uint8)
-    for r in rows:
-        lengths[r["id"]] = r["bits"]
+    rows = codebook.toArrow()  # at most one row per id of the vocabulary
+    lengths = np.zeros(1 + int(max(rows["id"].to_numpy(), default=0)), dtype=np.uint8)
+    lengths[rows["id"].to_numpy()] = rows["bits"].to_numpy()
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()  # one row a file
     base, at = {}, 0
     for r in parts:
@@ -218,38 +300,42 @@ def read_documents(codebook: DataFrame, segments: DataFrame, digest, schema: str
         lengths, base = shared.value
         code = Code(lengths)
         for batch in batches:
-            for r in batch.to_pylist():
-                ids = code.decode(r["payload"], np.array(r["checkpoints"], dtype=np.int64), r["n_ids"])
-                yield digest(r["doc_ids"], r["lengths"], ids, base[r["part"]] + r["before"])
+            for part, doc_ids, sizes, n_ids, payload, checks, before in zip(*batch.columns, strict=True):
+                ids = code.decode(payload.as_buffer(), checks.values.to_numpy(), n_ids.as_py())
+                yield digest(doc_ids.values, sizes.values.to_numpy(), ids, base[part.as_py()] + before.as_py())
 
     return single.select(columns).union(later.select(columns)).mapInArrow(run, schema)
 
 
-def crc_digest(doc_ids: list, lengths: list[int], ids: np.ndarray, start: int) -> pa.RecordBatch:
+def crc_digest(doc_ids: pa.Array, lengths: np.ndarray, ids: np.ndarray, start: int) -> pa.RecordBatch:
     """Per document: start, n_tokens and the crc32 of its ids as little-endian uint32."""
-    raw = ids.astype("<u4").tobytes()
+    raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
     ends = np.cumsum(lengths)
-    crcs = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths, strict=True)]
+    places = (4 * np.concatenate([[0], ends])).tolist()
+    crcs = [zlib.crc32(raw[a:b]) for a, b in zip(places, places[1:], strict=False)]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(doc_ids, pa.int64()),
-            pa.array(start + ends - np.array(lengths, dtype=np.int64), pa.int64()),
-            pa.array(lengths, pa.int64()),
-            pa.array(crcs, pa.int64()),
-        ],
+        [doc_ids, pa.array(start + ends - lengths, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())],
         names=["doc_id", "start", "n_tokens", "ids_crc32"],
     )
 
 
-def store_documents(docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int) -> tuple[DataFrame, DataFrame]:
-    """Tokenise all documents once, count their ids and write them; returns (codebook, segments).
+def store_documents(
+    docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Tokenise all documents once, count their ids on the way and write them; returns (codebook, segments).
 
-    Null and empty texts are written as the end id alone; null doc_ids come first; rows that repeat a doc_id are kept,
-    ordered by their ids. No rows: an empty codebook and no segments.
+    Files go under ``path``, which must not exist yet, and stay; without a path they are this session's. Null and empty
+    texts are written as the end id alone; null doc_ids come first; rows that repeat a doc_id are kept, ordered by their
+    ids. No rows: an empty codebook and no segments.
     """
     from tokenizers import Tokenizer
 
     vocab = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
     dtype = "<u2" if vocab <= 65536 else "<u4"
-    encoded = materialize(packed_ids(docs, tokenizer, keeps_space, end_id), "ids")
-    return write(encoded, code_lengths(global_counts(encoded, vocab, dtype)), dtype)
+    with scratch() as here:
+        encoded = materialize(packed_ids(docs, tokenizer, keeps_space, end_id, vocab), "ids")
+        lengths = code_lengths(global_counts(encoded, vocab))
+        made = write(encoded.where("counts is null").select("doc_id", "ids"), lengths, dtype, path)
+        if path is None:
+            here.leave(2)
+        return made
