@@ -1,117 +1,175 @@
 """Near-duplicate vectors: Euclidean p-stable hashing, then exact cosine checks.
 
-Vectors of unit length are hashed in TABLES tables; a table's key is HASHES random projections, each shifted by a random
-offset and quantised to width W (Datar et al., 2004). On the unit sphere cosine c is distance sqrt(2 - 2c), so close
-vectors share a bucket of some table with high probability. Every pair that shares a bucket is checked by its exact
-cosine in double precision, in blocks of vectors, so a bucket of any size is done whole by many tasks. A pair is counted
-in the first table in which it meets. Blocks return counts and a forest of links, never lists of pairs.
+Vectors of unit length are hashed in several tables; a table's key is a number of random projections, each shifted by a
+random offset and quantised to WIDTH (Datar et al., 2004). On the unit sphere cosine c is distance sqrt(2 - 2c), so close
+vectors share a bucket of some table with high probability, and others seldom do. How many projections and tables there
+are follows from the number of vectors and the threshold: see `layout`.
+
+Buckets hold ids, not vectors. An id travels with the signs of 64 further projections; vectors within a bucket whose signs
+differ in more places than those of a wanted pair do are no candidates. Candidates are brought together with their vectors
+once and checked by their exact cosine in double precision. All but the projections is DataFrame joins and partial
+aggregates, and a bucket of any size is done whole, by as many tasks as Spark splits it into.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, holding, materialize, scratch
+
+WIDTH = 2.0
+#: Share of the pairs at the threshold that a layout finds at least; closer pairs are found more often.
+RECALL = 0.998
+#: Vectors that share a bucket of a table with a given one by chance, about; projections at least.
+MATES, LEAST_HASHES = 16, 8
+#: Signs compared; pairs at the threshold differ in more than the mean and SPREAD standard deviations once in ten million.
+SIGNS, SPREAD = 64, 5.2
+#: Of the first tables, 16 bits of the keys travel along: a pair that shares one of these is not reported again by others.
+FIRST = 4
+#: Vectors hashed at a time.
+CHUNK = 2000
+
+
+def collides(distance: float) -> float:
+    """The probability that one projection puts two vectors at this distance in one cell (Datar et al., 2004)."""
+    if distance == 0:
+        return 1.0
+    x = WIDTH / distance
+    return math.erf(x / math.sqrt(2)) - 2 / (math.sqrt(2 * math.pi) * x) * (1 - math.exp(-x * x / 2))
+
+
+def layout(n: int, threshold: float) -> tuple[int, int]:
+    """Projections a table and tables for n vectors that are compared with each other.
 
-#: For cosine 0.93 (distance 0.374), width 1.6 and 2 hashes a pair meets in a table with probability 0.66; over 10
-#: tables it is missed once in 50,000 times.
-TABLES, HASHES, WIDTH = 10, 2, 1.6
-#: Vectors of a bucket per block; a bucket of n vectors is n / BLOCK_ROWS blocks, compared pair by pair.
-BLOCK_ROWS = 1024
+    As many projections as leave about MATES vectors in a bucket by chance (at distance sqrt 2), and then tables for RECALL.
+    """
+    near, far = collides(math.sqrt(2 - 2 * threshold)), collides(math.sqrt(2))
+    hashes = max(LEAST_HASHES, math.ceil(math.log(max(1.0, n / MATES)) / -math.log(far)))
+    return hashes, math.ceil(math.log(1 - RECALL) / math.log(1 - near**hashes))
+
+
+def most_signs(threshold: float) -> int:
+    """Signs in which a pair at the threshold may differ."""
+    p = math.acos(threshold) / math.pi
+    return min(SIGNS, math.ceil(SIGNS * p + SPREAD * math.sqrt(SIGNS * p * (1 - p))))
 
 
-def projections(dims: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(seed + dims)
-    return rng.standard_normal((dims, TABLES * HASHES)), rng.uniform(0, WIDTH, TABLES * HASHES)
+class Hasher:
+    """Keys and signs of unit vectors of one length. Projections are the same for every worker."""
 
+    def __init__(self, dims: int, hashes: int, tables: int, seed: int = 11):
+        rng = np.random.default_rng([seed, dims])
+        self.shape = (tables, hashes)
+        self.lines = rng.standard_normal((dims, tables * hashes))
+        self.shifts = rng.uniform(0, WIDTH, tables * hashes)
+        self.planes = rng.standard_normal((dims, SIGNS))
+        self.odd = rng.integers(1 << 62, size=hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-def hash_keys(unit: np.ndarray, seed: int = 11) -> np.ndarray:
-    """A 64-bit key per vector and table."""
-    a, b = projections(unit.shape[1], seed)
-    cells = np.floor((unit @ a + b) / WIDTH).astype(np.int64).reshape(len(unit), TABLES, HASHES)
-    key = np.zeros((len(unit), TABLES), dtype=np.int64)
-    for h in range(HASHES):
-        key = key * 4096 + (cells[:, :, h] + 2048)
-    return key
+    def keys(self, unit: np.ndarray) -> np.ndarray:
+        """A 64-bit key per vector and table."""
+        cells = np.floor((unit @ self.lines + self.shifts) / WIDTH).astype(np.int64).view(np.uint64)
+        mixed = (cells.reshape(len(unit), *self.shape) * self.odd).sum(axis=2, dtype=np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
+    def signs(self, unit: np.ndarray) -> np.ndarray:
+        return np.packbits(unit @ self.planes > 0, axis=1).view(np.int64).reshape(-1)
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """Rows that can be linked: a label, and a vector of finite components that isn't zero."""
+
+def marked(vectors: DataFrame) -> DataFrame:
+    """All rows as vec_id, label, embedding and ok: whether a row can be linked, having an id, a label and finite
+    components that aren't all zero."""
     v = F.transform("embedding", lambda x: x.cast("double"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    return (
-        vectors.where("label is not null and embedding is not null and vec_id is not null")
-        .select("vec_id", F.col("label").cast("string").alias("label"), v.alias("v"), finite.alias("ok"), norm.alias("norm"))
-        .where("ok and norm > 0")
-        .select("vec_id", "label", "v")
+    some = F.exists(v, lambda x: x != 0)
+    known = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
+    return vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), "embedding",
+        F.coalesce(known & finite & some, F.lit(False)).alias("ok"),
     )
 
 
-def _forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Links that connect what ``pairs`` (rows i, j below n) connects, at most n - 1."""
-    above = list(range(n))
-
-    def top(x: int) -> int:
-        while above[x] != x:
-            above[x] = above[above[x]]
-            x = above[x]
-        return x
-
-    out = []
-    for i, j in pairs.tolist():
-        a, b = top(i), top(j)
-        if a != b:
-            above[max(a, b)] = min(a, b)
-            out.append((i, j))
-    return out
-
-
-def compare_blocks(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Compare a pair of blocks: side 0 with side 1, or side 0 with itself. Columns: vec, weight, side, tbl, keys, v."""
-    tbl = int(pdf["tbl"].iloc[0])
-    left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-    same = not len(right)
-    right = left if same else right
-    empty = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
-    if not len(left):
-        return empty
-    x, y = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-    kx, ky = np.stack(left["keys"].to_numpy()), np.stack(right["keys"].to_numpy())
-    i, j = np.nonzero(x @ y.T >= threshold - 1e-9)
-    keep = i < j if same else np.ones(len(i), dtype=bool)
-    i, j = i[keep], j[keep]
-    first = ~(kx[i, :tbl] == ky[j, :tbl]).any(axis=1)  # otherwise an earlier table has the pair
-    i, j = i[first], j[first]
-    if not len(i):
-        return empty
-    exact = np.empty(len(i))
-    rx, ry = np.stack(left["raw"].to_numpy()), np.stack(right["raw"].to_numpy())
-    nx, ny = np.sqrt((rx * rx).sum(axis=1)), np.sqrt((ry * ry).sum(axis=1))
-    for s in range(0, len(i), 65536):
-        p, q = i[s : s + 65536], j[s : s + 65536]
-        exact[s : s + 65536] = np.einsum("ij,ij->i", rx[p], ry[q]) / (nx[p] * ny[q])
-    i, j = i[exact >= threshold], j[exact >= threshold]
-    ids_x, ids_y = left["vec"].to_numpy(), right["vec"].to_numpy()
-    wx, wy = left["weight"].to_numpy(), right["weight"].to_numpy()
-    counts_x = np.bincount(i, weights=wy[j], minlength=len(left)).astype(np.int64)
-    counts_y = np.bincount(j, weights=wx[i], minlength=len(right)).astype(np.int64)
-    ids = np.concatenate([ids_x, ids_y])
-    counts = np.concatenate([counts_x, counts_y])
-    some = counts > 0
-    shift = 0 if same else len(left)
-    names = ids_x if same else ids
-    links = _forest(np.stack([i, j + shift], axis=1), len(names))
-    return pd.DataFrame(
-        {
-            "a": np.concatenate([ids[some], names[[p for p, _ in links]]]),
-            "b": np.concatenate([np.full(int(some.sum()), -1), names[[q for _, q in links]]]),
-            "n": np.concatenate([counts[some], np.zeros(len(links), dtype=np.int64)]),
-        }
+def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors of a label as nodes, and (vec_id, node) of all rows.
+
+    A hash that only one distinct vector of a label has stands for it, so vectors are shuffled once.
+    """
+    rows = rows.withColumn("hash", F.xxhash64("embedding"))
+    nodes = rows.groupBy("label", "hash", "embedding").agg(F.min("vec_id").alias("vec"), F.count(F.lit(1)).alias("weight"))
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
+    by_hash = nodes.groupBy("label", "hash").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    alone = materialize(by_hash.where("n = 1").select("label", "hash", "node"), "vector-hashes")
+    shared = materialize(by_hash.where("n > 1").select("label", "hash"), "shared-hashes")
+    told = rows.join(shared, ["label", "hash"], "left_semi").join(nodes.select("label", "hash", "embedding", "node"), ["label", "hash", "embedding"])
+    own = rows.select("vec_id", "label", "hash").join(alone, ["label", "hash"]).select("vec_id", "node")
+    return nodes, materialize(own.union(told.select("vec_id", "node")), "vector-rows")
+
+
+def _hashed(nodes: DataFrame, hashes: int, tables: int) -> DataFrame:
+    """node, label, dims, scale, norm, keys and signs. A vector times its scale, a power of 2, has the norm."""
+
+    def run(batches):
+        made: dict[int, Hasher] = {}
+        holding("vectors", made.clear)
+        for batch in batches:
+            for start in range(0, len(batch), CHUNK):
+                part = batch.slice(start, CHUNK)
+                sizes = np.array(part.column(2).value_lengths())
+                for dims in np.unique(sizes).tolist():
+                    some = part.take(pa.array(np.flatnonzero(sizes == dims)))
+                    v = some.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+                    scale = np.ldexp(1.0, -np.frexp(np.abs(v).max(axis=1))[1])
+                    v = v * scale[:, None]
+                    norm = np.sqrt((v * v).sum(axis=1))
+                    if dims not in made:
+                        made[dims] = Hasher(dims, hashes, tables)
+                    unit = v / norm[:, None]
+                    keys = pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(v) + 1) * tables, pa.int32()), pa.array(made[dims].keys(unit).reshape(-1))
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            some.column(0), some.column(1), pa.array(np.full(len(v), dims), pa.int32()), pa.array(scale),
+                            pa.array(norm), keys, pa.array(made[dims].signs(unit)),
+                        ],
+                        names=["node", "label", "dims", "scale", "norm", "keys", "signs"],
+                    )
+
+    schema = "node long, label string, dims int, scale double, norm double, keys array<long>, signs long"
+    return materialize(nodes.select("node", "label", "embedding").mapInArrow(run, schema), "hashed-vectors")
+
+
+def _candidates(hashed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes that share a bucket and differ in few enough signs."""
+    first = F.transform(F.slice("keys", 1, FIRST), lambda k: (F.pmod(k, F.lit(65536)) - 32768).cast("short"))
+    each = hashed.select("node", "label", "dims", "signs", first.alias("first"), F.posexplode("keys").alias("tbl", "key"))
+    rows = each.select("node", "signs", "first", "tbl", F.xxhash64("label", "dims", "tbl", "key").alias("bucket"))
+    # not told already by one of the first tables
+    again = " or ".join(f"(x.tbl > {i} and x.first[{i}] = y.first[{i}])" for i in range(FIRST))
+    met = rows.alias("x").join(
+        rows.alias("y"),
+        F.expr(f"x.bucket = y.bucket and x.node < y.node and bit_count(x.signs ^ y.signs) <= {most_signs(threshold)} and not coalesce({again}, false)"),
     )
+    return materialize(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "vector-pairs")
+
+
+def _linked(pairs: DataFrame, nodes: DataFrame, hashed: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose cosine is the threshold at least, with the nodes' weights."""
+    whole = nodes.select("node", "weight", "label", "embedding").join(hashed.select("node", "dims", "scale", "norm"), "node")
+    side = lambda n: F.struct("weight", "label", "dims", "embedding", "scale", "norm").alias(n)
+    both = pairs.join(whole.select(F.col("node").alias("a"), side("x")), "a").join(whole.select(F.col("node").alias("b"), side("y")), "b")
+    at = lambda n, v: v.cast("double") * F.col(f"{n}.scale")
+    products = F.zip_with("x.embedding", "y.embedding", lambda p, q: at("x", p) * at("y", q))
+    cosine = F.aggregate(products, F.lit(0.0), lambda s, p: s + p) / (F.col("x.norm") * F.col("y.norm"))
+    # buckets are told by a hash of label and length, so these are compared too
+    same = (F.col("x.label") == F.col("y.label")) & (F.col("x.dims") == F.col("y.dims"))
+    found = both.where(same & (cosine >= threshold))
+    return materialize(found.select("a", "b", F.col("x.weight").alias("wa"), F.col("y.weight").alias("wb")), "vector-links")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -121,69 +179,27 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     empty or hold null or non-finite components, and rows without a label, link with nothing; so does a null vec_id,
     whose component_id is null. Vectors of different lengths are never linked. Equal vectors of a label are one node with
     a weight, so thousands of copies cost one comparison. Rows that repeat a vec_id count as vectors of their own for
-    n_links and share a component. No rows give no rows.
+    n_links, and their vectors' components are one. No rows give no rows.
     """
-    rows = usable(vectors)
-    whole = materialize(
-        rows.select("vec_id", "label", "v", F.xxhash64("v").alias("vh")), "vectors"
-    )
-    nodes = (
-        whole.groupBy("label", "vh", "v").agg(F.min("vec_id").alias("vec"), F.count(F.lit(1)).alias("weight"))
-    )
-
-    def hashed(batches):
-        for pdf in batches:
-            for _, part in pdf.groupby(pdf["v"].map(len)):
-                raw = np.stack(part["v"].to_numpy())
-                top = np.abs(raw).max(axis=1, keepdims=True)
-                unit = raw / top
-                unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-                yield pd.DataFrame(
-                    {
-                        "vec": part["vec"], "weight": part["weight"], "label": part["label"], "dims": len(raw[0]),
-                        "v": list(unit), "raw": list(raw / top), "keys": list(hash_keys(unit)),
-                    }
-                )
-
-    schema = "vec long, weight long, label string, dims int, v array<double>, raw array<double>, keys array<long>"
-    made = materialize(nodes.select("vec", "weight", "label", "v").mapInPandas(hashed, schema), "hashed-vectors")
-    keyed = made.select("vec", "weight", "label", "dims", "keys", F.posexplode("keys").alias("tbl", "key"))
-    bucket = ["label", "dims", "tbl", "key"]
-    sizes = keyed.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int")
-    # each vector goes to a block by hash, and to every pair of blocks that its block is in
-    dealt = (
-        keyed.select("vec", *bucket)
-        .join(sizes, bucket)
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("vec", "tbl"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "vec", *bucket, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"),
+    with scratch() as here:
+        rows = marked(vectors)
+        nodes, own = _nodes(rows.where("ok").drop("ok"))
+        most = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        hashed = _hashed(nodes, *layout(most, threshold))
+        links = _linked(_candidates(hashed, threshold), nodes, hashed, threshold)
+        counted = links.select(F.col("a").alias("node"), F.col("wb").alias("w")).union(links.select("b", "wa"))
+        counted = counted.groupBy("node").agg(F.sum("w").alias("n"))
+        # a vec_id on several rows joins its nodes
+        several = own.groupBy("vec_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+        joined = own.join(several.select("vec_id", "lo"), "vec_id").select(F.col("lo").alias("a"), F.col("node").alias("b"))
+        parts = materialize(components(links.select("a", "b").union(joined)), "vector-components")
+        named = nodes.select("node", "vec", "weight").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = materialize(named, "vector-named")
+        least = materialize(named.groupBy("root").agg(F.min("vec").alias("component_id")), "component-names")
+        known = named.join(least, "root").join(counted, "node", "left").select(
+            "node", "component_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")
         )
-    )
-    pairs = dealt.join(made.drop("label", "dims"), "vec")
-    found = materialize(
-        pairs.groupBy(*bucket, "lo", "hi").applyInPandas(
-            lambda pdf: compare_blocks(pdf, threshold), "a long, b long, n long"
-        ),
-        "vector-links",
-    )
-    linked = found.where("b = -1").groupBy(F.col("a").alias("vec")).agg(F.sum("n").alias("n"))
-    roots = components(found.where("b <> -1").select("a", "b")).withColumnRenamed("node", "vec")
-    known = (
-        nodes.join(linked, "vec", "left")
-        .join(roots, "vec", "left")
-        .select(
-            "label", "vh", "v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-            F.coalesce("root", "vec").alias("root"),
-        )
-    )
-    own = whole.join(known, ["label", "vh", "v"]).select("vec_id", "n_links", "root")
-    rest = vectors.select("vec_id").where("vec_id is not null").exceptAll(own.select("vec_id")).union(
-        vectors.select("vec_id").where("vec_id is null")
-    )
-    return own.union(rest.select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))).select(
-        "vec_id", "n_links", F.col("root").alias("component_id"), (F.col("vec_id") == F.col("root")).alias("kept")
-    )
+        linked = own.join(materialize(known, "vector-known"), "node").select("vec_id", "n_links", "component_id")
+        rest = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+        out = linked.union(rest)
+        return here.keep(out.withColumn("kept", F.col("vec_id") == F.col("component_id")), "near-vectors")
