@@ -4,9 +4,9 @@ A message's content is a list of parts. A visitor turns each part into text of t
 an image, audio or document becomes a placeholder, in order; what it stands for goes to the attachment list with its
 expanded token count. Everything is DataFrame expressions.
 
-Format of a turn: ``<|im_start|>`` role newline content ``<|im_end|>`` newline. No text can forge these: ``<``, any
-number of backslashes, ``|`` gets one backslash more inside a text, so an escaped text never holds ``<|``, and taking one
-backslash away restores it. A newline in a role is written ``<|nl|>``.
+Format of a turn: ``<|im_start|>`` role newline content ``<|im_end|>`` newline. No text can forge these: inside a text
+``|`` and ``\\`` get a backslash in front, so ``<|`` never stands there, however a text is cut in parts, and taking the
+backslashes away restores it. A newline in a role is written ``<|nl|>``.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ PATCH, PER_SECOND, PER_PAGE = 28, 25, 256
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
+    return F.regexp_replace(text, r"([\\|])", r"\\$1")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\\\|", r"<$1|")
+    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
 def text_part(text: Column) -> Column:
@@ -68,13 +68,13 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
     """One row per conversation. messages: conv_id, turn, role, parts (array of PART); other columns are ignored.
 
     Returns conv_id; formatted; n_turns; attachments (turn_index, kind, ref, tokens), the k-th belonging to the k-th
-    placeholder; expanded_tokens, their sum; and loss_spans, the code points under the loss mask: turn_index, start in
-    that turn's block (from ``<|im_start|>``), length. Placeholders are outside the mask.
+    placeholder; expanded_tokens, their sum; and loss_spans, the code points under the loss mask: for each turn a list of
+    (start, length) in that turn's block, counted from ``<|im_start|>``. Placeholders are outside the mask.
 
-    Rows go by turn; null turns come first, equal turns go by role, then content. Null roles, parts and texts are
-    empty; a null conv_id is a conversation of its own; attachments of unknown kind are ``<|attachment|>`` of one token,
-    as are sizes that are null. No rows: no conversations. A conversation is one row of output, so its turns meet in
-    one task; nothing else is gathered.
+    Rows go by turn; null turns come first, equal turns go by role, then content, and repeated rows are turns each. Null
+    roles, parts and texts are empty; a null conv_id is a conversation of its own; attachments of unknown kind are
+    ``<|attachment|>`` of one token, as are sizes that are null. No rows: no conversations. A conversation is one row of
+    output, so its turns meet in one task; nothing else is gathered. Work is linear in the turns and their texts.
     """
     visited = F.transform(F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>")), _visit)
     role = F.regexp_replace(escape(F.coalesce(F.col("role").cast("string"), F.lit(""))), "\n", BREAK)
@@ -85,19 +85,18 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
     content = lambda t: F.array_join(F.transform(t["parts"], lambda p: p["out"]), "")
     block = lambda t: F.concat(F.lit(START), t["role"], F.lit("\n"), content(t), F.lit(END))
 
-    def spans(t: Column, i: Column) -> Column:
+    def spans(t: Column) -> Column:
         header = F.length(t["role"]) + F.lit(len(START) + 1)
-        sizes = F.transform(t["parts"], lambda p: F.length(p["out"]))
-        before = lambda k: F.aggregate(F.slice(sizes, 1, k), F.lit(0), lambda a, n: a + n)
-        every = F.transform(
-            t["parts"],
-            lambda p, k: F.struct(
-                i.alias("turn_index"), (header + before(k)).alias("start"), F.length(p["out"]).alias("length"),
-                (p["kind"] == "text").alias("text"),
-            ),
+        ends = F.aggregate(
+            t["parts"], F.array(header), lambda found, p: F.concat(found, F.array(F.element_at(found, -1) + F.length(p["out"])))
+        )
+        every = F.zip_with(
+            t["parts"], ends,
+            lambda p, start: F.struct(start.alias("start"), F.length(p["out"]).alias("length"), (p["kind"] == "text").alias("text")),
         )
-        trained = F.filter(every, lambda s: s["text"] & (s["length"] > 0))
-        return F.when(t["role"].isin(*loss_roles), trained).otherwise(F.slice(every, 1, 0))
+        trained = F.filter(every, lambda s: s["text"] & (s["length"] > 0))  # also drops what follows the last part
+        bare = F.transform(trained, lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
+        return F.when(t["role"].isin(*loss_roles), bare).otherwise(F.slice(bare, 1, 0))
 
     attached = F.flatten(
         F.transform(
@@ -114,9 +113,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
         F.size("turns").cast("long").alias("n_turns"),
         attached.alias("attachments"),
         F.aggregate(attached, F.lit(0).cast("long"), lambda a, x: a + x["tokens"]).alias("expanded_tokens"),
-        F.transform(
-            F.flatten(F.transform("turns", spans)), lambda s: s.dropFields("text")
-        ).alias("loss_spans"),
+        F.transform("turns", spans).alias("loss_spans"),
     )
 
 
@@ -143,8 +140,9 @@ def turn_blocks(formatted: Column) -> Column:
 
 def loss_texts(formatted: Column, spans: Column) -> Column:
     """The texts under the loss mask, unescaped, in order; each span is cut from its own turn's block."""
-    blocks = turn_blocks(formatted)
-    return F.transform(
-        spans,
-        lambda s: unescape(F.substring(F.element_at(blocks, s["turn_index"] + 1), s["start"] + 1, s["length"])),
+    return F.flatten(
+        F.zip_with(
+            turn_blocks(formatted), spans,
+            lambda block, own: F.transform(own, lambda s: unescape(F.substring(block, s["start"] + 1, s["length"]))),
+        )
     )

@@ -12,9 +12,8 @@ def op1_chat_format(spark, sf_dir):
     rows = read(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
     )
-    forged = spark.createDataFrame(
-        [(-1, 0, "user", FORGED), (-1, 1, "assistant", FORGED)], "conv_id long, turn long, role string, text string"
-    )
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    forged = spark.range(2).select(F.lit(-1).cast("long"), F.col("id"), role, F.lit(FORGED))
     messages = rows.union(forged).withColumn("parts", chat.text_part(F.col("text")))
     made = chat.format_conversations(messages)
     back = made.select(
@@ -43,8 +42,8 @@ WITH m AS (
   UNION ALL SELECT -1, 0, 'user', '{FORGED}'
   UNION ALL SELECT -1, 1, 'assistant', '{FORGED}'
 ), e AS (
-  SELECT *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS esc,
-    replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), chr(10), '<|nl|>') AS head
+  SELECT *, regexp_replace(text, '([\\|])', '\\\1', 'g') AS esc,
+    replace(regexp_replace(role, '([\\|])', '\\\1', 'g'), chr(10), '<|nl|>') AS head
   FROM m
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
