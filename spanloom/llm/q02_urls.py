@@ -12,7 +12,7 @@ def op2_url_filters(spark, sf_dir):
 
 QUERIES = {"op2_url_filters": op2_url_filters}
 #: The rules in SQL; pages that no rule fits are allowed, as the html of the test tables holds no alias links.
-#: Alias groups are tested on fixtures against a union-find.
+#: The query is tested on a table of pages with such links against a union-find and urllib.
 ORACLES = {
     "op2_url_filters": r"""
 WITH r(verdict, h, p) AS (

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, materialize, scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -27,9 +27,19 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1)
 
 
+#: Parts of a reference by RFC 3986, appendix B: scheme, authority, path and query, each with its marks.
+_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
+
+
+def _parts(url: Column) -> list[Column]:
+    return [F.regexp_extract(url, _PARTS, k) for k in (1, 2, 3, 4)]
+
+
 def key_of(url: Column) -> Column:
-    """A url as a node of the alias graph: without its fragment."""
-    return F.regexp_extract(url, r"^[^#]*", 0)
+    """A url as a node of the alias graph: scheme and host in lower case, a path, and no fragment."""
+    scheme, site, path, query = _parts(url)
+    path = F.when((site != "") & (path == ""), F.lit("/")).otherwise(path)
+    return F.concat(F.translate(F.concat(scheme, site), UPPER, LOWER), path, query)
 
 
 def match_rules(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -46,18 +56,51 @@ def match_rules(host: Column, path: Column, rules: list[tuple[str, str, str]]) -
     return chain if chain is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _absolute(target: Column, base: Column) -> Column:
-    """target as an absolute url, resolved against base where it has no scheme."""
-    site = F.regexp_extract(base, r"^[^:/?#]*://[^/?#]*", 0)
-    folder = F.regexp_extract(base, r"^([^:/?#]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments (RFC 3986, 5.2.4); ``..`` at the root stays there."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda found, p: F.when(p == ".", found)
+        .when(p == "..", F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(1))))
+        .otherwise(F.concat(found, F.array(p))),
+    )
+    closed = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.startswith("/"), F.array_join(closed, "/")).otherwise(path)
+
+
+def absolute(target: Column, base: Column) -> Column:
+    """The reference ``target`` resolved against the absolute url ``base`` (RFC 3986, 5.2.2), without its fragment."""
+    scheme, site, path, query = _parts(target)
+    own_scheme, own_site, own_path, own_query = _parts(base)
+    folder = F.regexp_extract(own_path, r"^(?s)(.*/)", 1)
+    folder = F.when((own_site != "") & (own_path == ""), F.lit("/")).otherwise(folder)
+    here = site == ""
+    merged = (
+        F.when(path == "", own_path)
+        .when(path.startswith("/"), _without_dots(path))
+        .otherwise(_without_dots(F.concat(folder, path)))
+    )
     return (
-        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"^[^:/?#]*:", 0), target))
-        .when(target.startswith("/"), F.concat(site, target))
-        .otherwise(F.concat(folder, F.when(folder.endswith("/"), F.lit("")).otherwise(F.lit("/")), target))
+        F.when(scheme != "", F.concat(scheme, site, _without_dots(path), query))
+        .when(~here, F.concat(own_scheme, site, _without_dots(path), query))
+        .otherwise(
+            F.concat(own_scheme, own_site, merged, F.when((path == "") & (query == ""), own_query).otherwise(query))
+        )
     )
 
 
+#: The character references of HTML that urls hold, the ampersand last.
+_MARKS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
+
+
+def _decoded(text: Column) -> Column:
+    for mark, char in _MARKS:
+        text = F.replace(text, F.lit(mark), F.lit(char))
+    return text
+
+
 def page_edges(pages: DataFrame) -> DataFrame:
     """Edges (a, b) from pages' html: the first canonical link and the first meta refresh to another url."""
     link = F.regexp_extract("html", r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
@@ -68,7 +111,7 @@ def page_edges(pages: DataFrame) -> DataFrame:
         pages.where("url is not null and html is not null")
         .select("url", F.explode(F.array(href, moved)).alias("to"))
         .where("to <> ''")
-        .select(key_of(F.col("url")).alias("a"), key_of(_absolute(F.col("to"), F.col("url"))).alias("b"))
+        .select(key_of(F.col("url")).alias("a"), key_of(absolute(_decoded(F.col("to")), F.col("url"))).alias("b"))
         .where("a <> b")
     )
 
@@ -82,31 +125,34 @@ def judge(
     connected component over redirect edges (``redirects``: a, b) and the canonical and refresh links in html: allow if a
     rule allows any url of the group (explicit allow goes before block), else block if a rule blocks one, else the
     default. A null url, or one without ``://``, has an empty host and path and no aliases. Rows that repeat are judged
-    each; no rows give no rows.
+    each; urls of any length are judged whole; no rows give no rows.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     judged = pages.select("page_id", "url", host.alias("host"), path.alias("path")).withColumn(
         "own", match_rules(F.col("host"), F.col("path"), rules)
     )
-    edges = page_edges(pages)
-    if redirects is not None:
-        edges = edges.union(redirects.select(key_of(F.col("a")), key_of(F.col("b"))))
-    edges = materialize(edges.where("a is not null and b is not null and a <> b").distinct(), "url-edges")
-    columns = ["page_id", "host", "path", F.col("own.rule").alias("rule")]
-    if edges.isEmpty():
-        return judged.select(*columns, F.coalesce("own.verdict", F.lit(default)).alias("verdict"))
-    nodes = components(edges)
-    ruled = match_rules(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
-    said = (
-        nodes.withColumn("v", ruled)
-        .groupBy("root")
-        .agg(F.max(F.col("v") == "allow").alias("allowed"), F.max(F.col("v") == "block").alias("blocked"))
-        .select("root", F.when(F.col("allowed"), "allow").when(F.col("blocked"), "block").alias("group_verdict"))
-        .where("group_verdict is not null")
-    )
-    decided = nodes.join(said, "root").select(F.col("node").alias("key"), "group_verdict")
+    with scratch() as here:
+        edges = page_edges(pages)
+        if redirects is not None:
+            edges = edges.union(redirects.select(key_of(F.col("a")), key_of(F.col("b"))))
+        edges = materialize(edges.where("a is not null and b is not null and a <> b").distinct(), "url-edges")
+        nodes = components(edges)
+        ruled = match_rules(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"]
+        said = (
+            nodes.withColumn("v", ruled)
+            .groupBy("root")
+            .agg(F.max(F.col("v") == "allow").alias("allowed"), F.max(F.col("v") == "block").alias("blocked"))
+            .select("root", F.when(F.col("allowed"), "allow").when(F.col("blocked"), "block").alias("group_verdict"))
+            .where("group_verdict is not null")
+        )
+        decided = here.keep(nodes.join(said, "root").select(F.col("node").alias("key"), "group_verdict"), "url-verdicts")
+    # a page without a url meets nobody, and goes to a place of its own
+    none = F.concat(F.lit("\n"), F.monotonically_increasing_id().cast("string"))
     return (
-        judged.withColumn("key", key_of(F.col("url")))
+        judged.withColumn("key", F.coalesce(key_of(F.col("url")), none))
         .join(decided, "key", "left")
-        .select(*columns, F.coalesce("own.verdict", "group_verdict", F.lit(default)).alias("verdict"))
+        .select(
+            "page_id", "host", "path", F.col("own.rule").alias("rule"),
+            F.coalesce("own.verdict", "group_verdict", F.lit(default)).alias("verdict"),
+        )
     )
