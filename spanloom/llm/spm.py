@@ -2,7 +2,10 @@
 
 Read from the protobuf: the pieces with scores and types, the model type, byte fallback, and the normaliser's flags
 and character map. Rebuilt from them: the normaliser, the metaspace marker, unigram scores (or for BPE models the merges
-that the scores imply) and byte fallback.
+that the scores imply) and byte fallback. Pieces that no text may become (control, unknown and unused ones and those of
+bytes) keep their ids under names with a space, which no normalised text holds. User symbols keep what they are while
+the text around them is normalised. Models that put the marker behind words, that don't mark spaces, or BPE models with
+unused pieces are refused.
 """
 
 from __future__ import annotations
@@ -60,11 +63,18 @@ class Model:
     charsmap: bytes = b""
     dummy_prefix: bool = True
     squeeze: bool = True
+    escapes: bool = True
+    suffix: bool = False
 
     @property
     def unknown(self) -> int | None:
         return next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), None)
 
+    @property
+    def symbols(self) -> list[str]:
+        """User symbols, longest first."""
+        return sorted((p for p, _, kind in self.pieces if kind == USER), key=lambda p: (-len(p), p))
+
 
 def parse(raw: bytes) -> Model:
     # field numbers of the public sentencepiece_model.proto
@@ -84,6 +94,8 @@ def parse(raw: bytes) -> Model:
             for n, v in _fields(value):
                 if n == 3:
                     out.kind = v
+                elif n == 24:
+                    out.suffix = bool(v)
                 elif n == 35:
                     out.byte_fallback = bool(v)
         elif number == 3:
@@ -94,6 +106,12 @@ def parse(raw: bytes) -> Model:
                     out.dummy_prefix = bool(v)
                 elif n == 4:
                     out.squeeze = bool(v)
+                elif n == 5:
+                    out.escapes = bool(v)
+    if out.suffix or not out.escapes:
+        raise ValueError("only models that mark spaces, in front of words, are supported")
+    if out.kind == BPE and any(kind == UNUSED for _, _, kind in out.pieces):
+        raise ValueError("BPE models with unused pieces aren't supported")
     if out.kind not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
     return out
@@ -111,13 +129,68 @@ def merges_of(model: Model) -> list[tuple[str, str]]:
     return [(f[4], f[5]) for f in sorted(found)]
 
 
+def _scores(model: Model) -> list[tuple[str, float]]:
+    """Names and scores of a unigram model. A user symbol's score is that of as many best pieces as it has bytes."""
+    normal = [score for _, score, kind in model.pieces if kind == NORMAL]
+    best = max(normal, default=0.0)
+    out = []
+    for i, (piece, score, kind) in enumerate(model.pieces):
+        if kind == NORMAL:
+            out.append((piece, score))
+        elif kind == USER:
+            out.append((piece.replace(" ", MARK), len(piece.encode()) * best - 0.1))
+        else:
+            out.append((f" {i}", best))  # can't match, and doesn't change the least score
+    return out
+
+
+def normaliser(model: Model, prefix: bool = True):
+    """The normaliser of a model without user symbols as a tokenizers.Normalizer."""
+    from tokenizers import Regex, normalizers
+
+    steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
+    if model.squeeze:
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+    if model.dummy_prefix and prefix:
+        steps.append(normalizers.Prepend(MARK))
+    steps.append(normalizers.Replace(" ", MARK))
+    if model.squeeze:  # a marker that ends the text goes, also one of the text's own
+        steps.append(normalizers.Replace(Regex(MARK + r"+\z"), ""))
+    return normalizers.Sequence(steps)
+
+
+def symbol_normaliser(model: Model):
+    """A function that normalises texts of a model with user symbols, which pass through it as they are."""
+    import re
+
+    from tokenizers import normalizers
+
+    found = re.compile("(" + "|".join(map(re.escape, model.symbols)) + ")")
+    mapped = normalizers.Precompiled(model.charsmap).normalize_str if model.charsmap else str
+
+    def run(text: str) -> str:
+        text = "".join(part if k % 2 else mapped(part) for k, part in enumerate(found.split(text)) if part)
+        if model.squeeze:
+            text = re.sub(" {2,}", " ", text.strip(" "))
+        if text and model.dummy_prefix:
+            text = " " + text
+        text = text.replace(" ", MARK)
+        return text.rstrip(MARK) if model.squeeze else text
+
+    return run
+
+
 def backend(model: Model, prefix: bool):
-    """A tokenizers.Tokenizer for the model; prefix False leaves out the marker in front of the text."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
+    """A tokenizers.Tokenizer for the model; prefix False leaves out the marker in front of the text.
+
+    With user symbols it takes texts that `symbol_normaliser` has normalised.
+    """
+    from tokenizers import AddedToken, Tokenizer, decoders, models
 
     unknown = model.unknown
     if model.kind == UNIGRAM:
-        core = models.Unigram([(p, s) for p, s, _ in model.pieces], unknown, model.byte_fallback)
+        # unknown characters come back as they are, and `SentencePieces` puts their bytes' ids there
+        core = models.Unigram(_scores(model), unknown, False)
     else:
         core = models.BPE(
             {p: i for i, (p, _, _) in enumerate(model.pieces)},
@@ -127,19 +200,31 @@ def backend(model: Model, prefix: bool):
             byte_fallback=model.byte_fallback,
         )
     made = Tokenizer(core)
-    steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
-    if model.squeeze:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
-    if model.dummy_prefix and prefix:
-        steps.append(normalizers.Prepend(MARK))
-    steps.append(normalizers.Replace(" ", MARK))
-    made.normalizer = normalizers.Sequence(steps)
+    if not model.symbols:
+        made.normalizer = normaliser(model, prefix)
+    elif model.kind == BPE:
+        made.add_tokens([AddedToken(p, normalized=False) for p in model.symbols])
     made.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
-    if own := [p for p, _, kind in model.pieces if kind == USER]:
-        made.add_tokens([AddedToken(p, normalized=False) for p in own])
     return made
 
 
+def with_bytes(tokenizer, model: Model):
+    """An encoder of whole texts that replaces unknown characters by the ids of their bytes, as `tokens.whole` for others."""
+    ids_of = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
+    unknown = model.unknown
+
+    def encode(texts: list[str], dtype) -> list[bytes]:
+        out = []
+        for e in tokenizer.encode_batch(texts, add_special_tokens=False):
+            ids = e.ids
+            if unknown in ids:
+                ids = [b for i, token in zip(ids, e.tokens, strict=True) for b in ([i] if i != unknown else map(ids_of.__getitem__, token.encode()))]
+            out.append(np.array(ids, dtype=dtype).tobytes())
+        return out
+
+    return encode
+
+
 def byte_table(model: Model) -> list[bytes]:
     """What each id stands for in a decoded text; control pieces stand for nothing."""
     out = []
@@ -166,7 +251,8 @@ def cuts_are_safe(model: Model) -> bool:
         for p, _, kind in model.pieces
     )
     user = any(kind == USER for _, _, kind in model.pieces)
-    return model.byte_fallback and not model.charsmap and not model.squeeze and not over and not user
+    whole_bytes = model.kind == BPE and model.byte_fallback
+    return whole_bytes and not model.charsmap and not model.squeeze and not over and not user
 
 
 class SentencePieces:
@@ -180,6 +266,9 @@ class SentencePieces:
         self.tokenizer = backend(self.model, prefix=True)
         self.table = byte_table(self.model)
         size = len(self.model.pieces)
+        bytes_apart = self.model.kind == UNIGRAM and self.model.byte_fallback
+        self.whole = with_bytes(self.tokenizer, self.model) if bytes_apart else whole(self.tokenizer)
+        self.normalise = symbol_normaliser(self.model) if self.model.symbols else None
         if cuts_are_safe(self.model):
             lengths = np.array([len(b) for b in self.table], dtype=np.int64)
             words = joined_by_length(backend(self.model, prefix=False), lengths)
@@ -191,7 +280,8 @@ class SentencePieces:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if self.encoder:
             return [self.encoder.ids(b) for b in self.encoder.encode(texts)]
-        return [np.frombuffer(b, dtype=self.dtype) for b in whole(self.tokenizer)([t or "" for t in texts], self.dtype)]
+        ready = [self.normalise(t) if self.normalise and t else t or "" for t in texts]
+        return [np.frombuffer(b, dtype=self.dtype) for b in self.whole(ready, self.dtype)]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.table.__getitem__, ids.tolist())).decode("utf-8", "replace")
