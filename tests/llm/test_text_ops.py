@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spanloom.llm import exact, huffman, jaccard, packing, spm, tokens
 from spanloom.llm.registry import queries
 
-from .conftest import CLASHES
+from .conftest import CLASHES, sentencepiece_model
 
 WHITE = " \t\n\x0b\x0c\r"
 WORDS = "the of and idiot scum thion ereat onsth blea ingth ndand hehe tion er re on".split()
@@ -137,9 +137,53 @@ def test_sentencepiece_parity():
     assert sp.model.kind == spm.BPE and sp.model.byte_fallback and len(sp.model.pieces) == 32000
 
 
+SP_PARTS = ["a", "Bc", " ", "  ", "\n", "\t", ".", "é", "Σ", "1", "가", "😀", "▁", "<s>", "</s>", "<unk>", "<0x41>", "\u200b", "the", "ing", "①", "\u3000", "[SEP]", "the quick"]
+
+
+@pytest.mark.parametrize("symbols", [(), ("[SEP]", "thequ")])
+@pytest.mark.parametrize("mapped", [False, True])
+@pytest.mark.parametrize(("prefix", "squeeze"), [(True, True), (False, False)])
+@pytest.mark.parametrize(("kind", "byte_fallback"), [(spm.UNIGRAM, True), (spm.UNIGRAM, False), (spm.BPE, True)])
+def test_sentencepiece_parity_of_other_models(tmp_path, kind, byte_fallback, prefix, squeeze, mapped, symbols):
+    import sentencepiece
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        known = spm.parse(f.read()).pieces
+    charsmap = b""
+    if mapped:
+        raw = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()
+        charsmap = next(v for n, v in spm._fields(next(v for n, v in spm._fields(raw) if n == 3)) if n == 2)
+    rng = random.Random(11)
+    own = [(p, 0.0, spm.USER) for p in symbols]
+    if kind == spm.BPE:
+        pieces = [*known[:3], *own, *known[3:]]
+    else:
+        normal = [p for p, _, k in known if k == spm.NORMAL][:4000]
+        texts = [(p, -2.0 - 0.001 * i - rng.random(), spm.UNUSED if i % 50 == 7 else spm.NORMAL) for i, p in enumerate(normal)]
+        pieces = [*known[:3], *own, *([p for p in known if p[2] == spm.BYTE] if byte_fallback else []), *texts]
+    path = str(tmp_path / "m.model")
+    with open(path, "wb") as f:
+        f.write(sentencepiece_model(pieces, kind, byte_fallback, charsmap, prefix, squeeze))
+    sp, library = spm.SentencePieces(path, 1), sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["".join(rng.choice(SP_PARTS) for _ in range(rng.randint(0, 25))) for _ in range(400)] + ["", " ", "\t", "▁", "x" * 3000]
+    assert [i.tolist() for i in sp.encode(texts)] == library.encode(texts)
+
+
+def test_sentencepiece_refuses_what_it_does_not_know():
+    pieces = [("<unk>", 0.0, spm.UNKNOWN), ("a", -1.0, spm.NORMAL), ("b", -2.0, spm.UNUSED)]
+    with pytest.raises(ValueError, match="in front"):
+        spm.parse(sentencepiece_model(pieces, spm.UNIGRAM, False, suffix=True))
+    with pytest.raises(ValueError, match="unused"):
+        spm.parse(sentencepiece_model(pieces, spm.BPE, False))
+    with pytest.raises(ValueError, match="unigram and BPE"):
+        spm.parse(sentencepiece_model(pieces[:2], 3, False))
+
+
 def test_sentencepiece_query(make_docs):
     rows = spm.verify_documents(make_docs(ODD, ("ids",)), public_tokenizers.path("piece_bpe_32k.model"), 1).collect()
     assert len(rows) == len(ODD) and all(r.same_ids and r.restored for r in rows)
+    rows = spm.verify_documents(make_docs([(None, "a b"), (1, "a b"), (1, "a b")]), public_tokenizers.path("piece_bpe_32k.model"), 1).collect()
+    assert sorted(r.doc_id is None for r in rows) == [False, False, True] and len({r.ids_crc32 for r in rows}) == 1
     assert spm.encode_documents(make_docs([]), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
 
 
@@ -186,9 +230,20 @@ def test_packing_is_valid_and_the_reduction_optimal():
 
 
 def test_packing_plan_does_not_grow_with_the_rows(spark):
-    for counts, sequences in (({1024: 300_000}, 150_000), ({700: 300_000, 600: 150_000}, 150_000), ({682: 300_000}, 100_000)):
+    million = 10**6
+    for counts, sequences in (
+        ({1024: 300_000}, 150_000), ({700: 300_000, 600: 150_000}, 150_000), ({682: 300_000}, 100_000),
+        ({1024: 3 * million}, 3 * million // 2), ({1000: million, 1020: million}, million),
+        ({1024: 300_000, 3: million}, 150_000 + -(-million // 682)),
+    ):
+        plan = packing.make_plan(counts, 2048)
+        assert plan.sequences == sequences and len(plan.rows) <= 2 * len(counts)
+    rng = np.random.default_rng(1)
+    for scale in (1, 1000):
+        sizes = np.minimum(2048, rng.lognormal(5.5, 1.2, 300_000).astype(int) + 1)
+        counts = {int(s): int(n) * scale for s, n in zip(*np.unique(sizes, return_counts=True), strict=True)}
         plan = packing.make_plan(counts, 2048)
-        assert plan.sequences == sequences and len(plan.rows) == len(counts)
+        assert len(plan.rows) < 16 * len(counts) and plan.sequences <= 1.001 * packing.lower_bound(counts, 2048) + 1
     items = spark.range(300_000).selectExpr("id AS doc_id", "0 AS piece", "1024L AS length", "id AS ids_crc32")
     placed = packing.pack(items, 2048).groupBy("sequence_id").agg(F.collect_set("offset").alias("at"), F.count("*").alias("n"))
     assert placed.where("n = 2 and array_sort(at) = array(0L, 1024L)").count() == placed.count() == 150_000
@@ -196,7 +251,17 @@ def test_packing_plan_does_not_grow_with_the_rows(spark):
 
 def test_packing_documents(make_docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    rows = packing.pack_documents(make_docs([*ODD, *some_texts(2, 20)], CLASHES[:4]), path, 0, 64).collect()
+    from tokenizers import Tokenizer
+
+    texts = [*ODD, *some_texts(2, 20)]
+    rows = packing.pack_documents(make_docs([*enumerate(texts), (None, "x y"), (1, "z")], CLASHES), path, 0, 64).collect()
+    assert sum(r.doc_id is None for r in rows) == 1 and len([r for r in rows if r.doc_id == 1]) == 2
+    rows = [r for r in rows if r.doc_id is not None and r.doc_id != 1]
+    t = Tokenizer.from_file(path)
+    for r in rows:  # each piece's ids are those of the tokenizers library
+        ids = [*t.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0][r.start : r.start + r.length]
+        assert r.length == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    rows = packing.pack_documents(make_docs(texts, CLASHES[:4]), path, 0, 64).collect()
     sequences, docs = {}, {}
     for r in rows:
         sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -221,7 +286,7 @@ def test_huffman_codes():
         counts[rng.choice(6000, n, replace=False)] = (rng.pareto(0.7, n) * 5 + 1).astype(np.int64)
         lengths = huffman.code_lengths(counts)
         used = lengths[counts > 0].astype(int)
-        assert used.min() >= 1 and used.max() <= huffman.MAX_BITS and (lengths[counts == 0] == 0).all()
+        assert used.min() >= 1 and used.max() <= huffman.TABLE_BITS and (lengths[counts == 0] == 0).all()
         assert (2.0 ** -used).sum() <= 1 + 1e-12
         ids = rng.choice(np.flatnonzero(counts), 3000).astype(np.int64)
         code = huffman.Code(lengths)
@@ -230,7 +295,38 @@ def test_huffman_codes():
             assert len(checks) == -(-k // huffman.BLOCK)
             assert (code.decode(payload, checks, k) == ids[:k]).all()
     fib = np.array([1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144, 233, 377, 610, 987, 1597, 2584, 4181, 6765, 10946])
-    assert huffman.code_lengths(fib).max() == huffman.MAX_BITS
+    assert huffman.code_lengths(fib).max() == huffman.TABLE_BITS
+
+
+def test_huffman_codes_of_many_ids():
+    rng = np.random.default_rng(4)
+    counts = (rng.pareto(0.5, 70_000) + 1).astype(np.int64)
+    lengths = huffman.code_lengths(counts)
+    assert 16 < lengths.max() <= huffman.longest_code(70_000) and (2.0 ** -lengths.astype(int)).sum() <= 1 + 1e-12
+    code = huffman.Code(lengths)
+    ids = rng.permutation(np.concatenate([np.arange(70_000), rng.choice(70_000, 30_000, p=counts / counts.sum())]))
+    payload, checks = code.encode(ids)
+    assert (code.decode(payload, checks, len(ids)) == ids).all()
+
+
+def test_huffman_files_stay_under_a_path(spark, make_docs, tmp_path):
+    path, at = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "ids")
+    texts = [*ODD, *some_texts(6, 30)]
+    made = huffman.store_documents(make_docs([*enumerate(texts), (None, "x"), (3, "x")]), path, False, 2, at)
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    digest = lambda files: sorted(map(str, huffman.read_documents(*files, huffman.crc_digest, schema).collect()))
+    assert digest(made) == digest(huffman.open_files(spark, at)) and len(digest(made)) == len(texts) + 2
+
+
+def test_huffman_segments_hold_whole_documents(make_docs, monkeypatch):
+    monkeypatch.setattr(huffman, "SEGMENT_IDS", 40)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = some_texts(7, 60)
+    book, segments = huffman.store_documents(make_docs(texts), path, False, 2)
+    found = huffman.read_documents(book, segments, huffman.crc_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = sorted(tuple(r) for r in found.collect())
+    assert [r[0] for r in rows] == list(range(len(texts)))
+    assert all(a[1] + a[2] == b[1] for a, b in itertools.pairwise(rows))
 
 
 def test_huffman_files(make_docs):
