@@ -153,7 +153,7 @@ def _candidates(hashed: DataFrame, threshold: float) -> DataFrame:
     again = " or ".join(f"(x.tbl > {i} and x.first[{i}] = y.first[{i}])" for i in range(FIRST))
     met = rows.alias("x").join(
         rows.alias("y"),
-        F.expr(f"x.bucket = y.bucket and x.node < y.node and bit_count(x.signs ^ y.signs) <= {most_signs(threshold)} and not coalesce({again}, false)"),
+        F.expr(f"x.bucket = y.bucket and x.tbl = y.tbl and x.node < y.node and bit_count(x.signs ^ y.signs) <= {most_signs(threshold)} and not coalesce({again}, false)"),
     )
     return materialize(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "vector-pairs")
 
