@@ -62,7 +62,7 @@ def identities(texts: DataFrame) -> DataFrame:
         "block-hashes",
     )
     # distinct blocks with one hash are told apart by their text
-    shared = hashes.where("shared").select("hash")
+    shared = materialize(hashes.where("shared").select("hash"), "shared-hashes")  # nearly always none, so Spark broadcasts it
     apart = each.join(shared, "hash").select("hash", "block")
     alone = hashes.where("not shared").select("hash", F.lit("").alias("block"))
     named = number(alone.union(apart), ["hash", "block"], "block-names")
