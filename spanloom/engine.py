@@ -1,7 +1,9 @@
-"""The library's API: TraceQL over a spans DataFrame."""
+"""The library's API: TraceQL over a spans DataFrame or a source of spans."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,60 +12,124 @@ from spanloom.operators import tags as tag_lists
 from spanloom.plans.ast import QueryError, UnsupportedQuery
 from spanloom.plans.parser import parse
 
-__all__ = ["QueryError", "TraceEngine", "UnsupportedQuery"]
+__all__ = ["Catalog", "MetricsResult", "QueryError", "TraceEngine", "UnsupportedQuery"]
+
+
+@dataclass(frozen=True)
+class MetricsResult:
+    """The series of a metrics query. partial: whether max_series left some out, which message then says."""
+
+    frame: DataFrame
+    partial: bool = False
+    message: str = ""
 
 
 class TraceEngine:
     """Answers TraceQL on canonical spans (see sources.adapters). Everything returned is a lazy DataFrame.
 
+    spans: a DataFrame, or a source with spans(start_ns, end_ns, trace_id), such as sources.adapters.OtelSource, which puts
+    the range and the id below its adapter, where the scan sees them.
+
     A time range is [start_ns, end_ns). Searches may see spans up to padding_ns around it, so that traces at its edges
-    are whole, but only match spans within.
+    are whole, but only match spans within. max_series and max_attributes bound the series of a metrics query and the
+    attributes of compare(); by default nothing is bounded. prefilter: see operators.search.candidates.
     """
 
-    def __init__(self, spans: DataFrame, max_series: int | None = None, padding_ns: int = 3600 * 10**9):
-        self.spans, self.max_series, self.padding_ns = spans, max_series, padding_ns
+    def __init__(
+        self, spans, max_series: int | None = None, padding_ns: int = 3600 * 10**9, max_attributes: int | None = None,
+        prefilter: bool = False,
+    ):
+        self.source = spans
+        self.max_series, self.padding_ns, self.max_attributes, self.prefilter = max_series, padding_ns, max_attributes, prefilter
+
+    @property
+    def spans(self) -> DataFrame:
+        return self._within(None, None)
 
     def _within(self, start_ns: int | None, end_ns: int | None) -> DataFrame:
-        out = self.spans
-        if start_ns is not None and end_ns is not None and end_ns <= start_ns:
+        if start_ns is not None and end_ns is not None and end_ns < start_ns:
             raise QueryError("the range ends before it starts")
-        if start_ns is not None:
-            out = out.where(F.col("start_ns") >= start_ns)
-        return out if end_ns is None else out.where(F.col("start_ns") < end_ns)
+        out = self.source if isinstance(self.source, DataFrame) else self.source.spans(start_ns, end_ns)
+        return _inside(out, start_ns, end_ns)
 
     def spans_of(self, query: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
         """All matching spans, with their columns and spanset."""
-        return search.matching_spans(self._within(start_ns, end_ns), parse(query))
+        return search.matching_spans(self._within(start_ns, end_ns), parse(query), prefilter=self.prefilter)
 
-    def search(self, query: str, start_ns: int | None = None, end_ns: int | None = None, limit: int = 20, spss: int | None = None) -> DataFrame:
+    def search(
+        self, query: str, start_ns: int | None = None, end_ns: int | None = None, limit: int = 20, spss: int | None = None,
+        services: bool = False,
+    ) -> DataFrame:
         low = None if start_ns is None else start_ns - self.padding_ns
         high = None if end_ns is None else end_ns + self.padding_ns
-        found = parse(query)
-        if low is None and high is None:
-            return search.search(self.spans, found, limit, 3 if spss is None else spss)
-        self._within(start_ns, end_ns)
+        if start_ns is not None and end_ns is not None and end_ns <= start_ns:
+            raise QueryError("the range ends before it starts")
+        within = None
+        if start_ns is not None:
+            within = F.col("start_ns") >= start_ns
+        if end_ns is not None:
+            before = F.col("start_ns") < end_ns
+            within = before if within is None else within & before
         seen = self._within(low, high)
-        inside = search.matching_spans(self._within(start_ns, end_ns), found).select("trace_id").distinct()
-        return search.search(seen.join(inside, "trace_id", "left_semi"), found, limit, 3 if spss is None else spss)
+        return search.search(seen, parse(query), limit, 3 if spss is None else spss, within, self.prefilter, services)
 
     def search_tags(self, tags: dict[str, str], min_duration: str | None = None, max_duration: str | None = None, **options) -> DataFrame:
         return self.search(search.legacy_query(tags, min_duration, max_duration), **options)
 
+    def metrics_result(self, query: str, start_ns: int, end_ns: int, step_ns: int = 0, exemplars: int = 0) -> MetricsResult:
+        window = metrics.Range(start_ns, end_ns, step_ns, most_attributes=self.max_attributes)
+        at = window.aligned()
+        made = metrics.query_range(self._within(at.start_ns, at.end_ns), parse(query), window, exemplars)
+        frame, partial = metrics.capped(made, self.max_series)
+        return MetricsResult(frame, partial, f"more than {self.max_series} series" if partial else "")
+
     def metrics(self, query: str, start_ns: int, end_ns: int, step_ns: int = 0, exemplars: int = 0) -> DataFrame:
-        made = metrics.query_range(self.spans, parse(query), metrics.Range(start_ns, end_ns, step_ns), exemplars)
-        return metrics.capped(made, self.max_series)[0]
+        return self.metrics_result(query, start_ns, end_ns, step_ns, exemplars).frame
 
     def instant(self, query: str, start_ns: int, end_ns: int) -> DataFrame:
-        return metrics.query_instant(self.spans, parse(query), start_ns, end_ns).frame
+        spans = self._within(start_ns, max(end_ns, start_ns + 1))
+        return metrics.query_instant(spans, parse(query), start_ns, end_ns).frame
 
     def trace(self, trace_id: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
-        return otlp.trace_by_id(self.spans, trace_id, start_ns, end_ns)
+        if isinstance(self.source, DataFrame):
+            return otlp.trace_by_id(self.source, trace_id, start_ns, end_ns)
+        return otlp.trace_by_id(self.source.spans(start_ns, end_ns, otlp.normal_id(trace_id)), trace_id, start_ns, end_ns)
 
     def trace_otlp(self, trace_id: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
         return otlp.nested(self.trace(trace_id, start_ns, end_ns))
 
-    def tags(self, scope: str | None = None) -> DataFrame:
-        return tag_lists.tag_names(self.spans, scope)
+    def tags(
+        self, scope: str | None = None, start_ns: int | None = None, end_ns: int | None = None, limit: int | None = None,
+        sampled: int | None = None,
+    ) -> DataFrame:
+        """Tag names from all rows; with ``sampled``, keys of maps come from that many rows."""
+        return tag_lists.tag_names(self._within(start_ns, end_ns), scope, sampled, limit)
+
+    def tag_values(
+        self, tag: str, query: str | None = None, limit: int | None = tag_lists.MOST_VALUES, start_ns: int | None = None,
+        end_ns: int | None = None,
+    ) -> DataFrame:
+        return tag_lists.tag_values(self._within(start_ns, end_ns), tag, query, limit)
+
+
+def _inside(spans: DataFrame, start_ns: int | None, end_ns: int | None) -> DataFrame:
+    if start_ns is not None:
+        spans = spans.where(F.col("start_ns") >= start_ns)
+    return spans if end_ns is None else spans.where(F.col("start_ns") < end_ns)
+
+
+class Catalog:
+    """Datasets by name, each a function that gives its spans or source; with ``allowed``, only those names are served."""
+
+    def __init__(self, datasets: dict, default: str | None = None, allowed: list[str] | None = None):
+        self._datasets = {n: d for n, d in datasets.items() if allowed is None or n in allowed}
+        self._default = default
+
+    def names(self) -> list[str]:
+        return sorted(self._datasets)
 
-    def tag_values(self, tag: str, query: str | None = None, limit: int = tag_lists.MOST_VALUES) -> DataFrame:
-        return tag_lists.tag_values(self.spans, tag, query, limit)
+    def engine(self, name: str | None = None, **options) -> TraceEngine:
+        name = self._default if name is None else name
+        if name not in self._datasets:
+            raise QueryError(f"no such dataset: {name!r}")
+        return TraceEngine(self._datasets[name](), **options)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spanloom.plans import ast as A
 
+from .regex import jvm_pattern
 from .resolve import Resolver, Value, quoted
 
 FLIP = {"<": ">", "<=": ">=", ">": "<", ">=": "<="}
@@ -33,6 +34,7 @@ def anchored(pattern: str) -> str:
 
     ``$`` would also match before a last newline, which ``\\z`` doesn't.
     """
+    pattern = jvm_pattern(pattern)
     if pattern.startswith("^") and pattern.endswith("$") and not pattern.endswith("\\$"):
         return pattern[:-1] + "\\z"
     return f"^(?:{pattern})\\z"

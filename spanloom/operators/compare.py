@@ -10,12 +10,15 @@ from spanloom.functions.predicate import Predicates, two_valued
 from spanloom.functions.resolve import RESOURCE_MAP, RESOURCE_PREFIX, SPAN_MAP, SPAN_PREFIX, TRACE, Resolver, quoted
 from spanloom.plans import ast as A
 
-#: Attributes examined at most, and the marker of attributes with more values than are shown.
-MOST_ATTRIBUTES, TOO_MANY = 40, "__too_many_values__"
+#: Fixed value: the marker of attributes with more values than are shown.
+TOO_MANY = "__too_many_values__"
 
 
-def compared_attributes(spans: DataFrame) -> list[tuple[str, str]]:
-    """(label, column) of what is compared: service, name, status, kind, then flat span and resource attributes."""
+def compared_attributes(spans: DataFrame, most: int | None = None) -> list[tuple[str, str]]:
+    """(label, column) of what is compared: service, name, status, kind, then flat span and resource attributes by label.
+
+    With ``most``, at most so many.
+    """
     first = [("resource.service.name", "service_name"), ("name", "name"), ("status", "status"), ("kind", "kind")]
     kinds = {f.name: f.dataType for f in spans.schema.fields}
     flat = []
@@ -23,7 +26,7 @@ def compared_attributes(spans: DataFrame) -> list[tuple[str, str]]:
         for name, kind in kinds.items():
             if name.startswith(prefix) and name != holder and not isinstance(kind, T.MapType | T.VariantType | T.ArrayType):
                 flat.append((scope + name[len(prefix) :], name))
-    return [(x, c) for x, c in first if c in kinds] + sorted(flat)[: MOST_ATTRIBUTES - len(first)]
+    return ([(x, c) for x, c in first if c in kinds] + sorted(flat))[:most]
 
 
 def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
@@ -32,7 +35,7 @@ def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
     Totals have neither attribute nor value. Of each attribute the ``top`` values by selected spans, then by all spans,
     then by text are shown; an attribute with more has one more row marked so, without a bucket or value.
     """
-    from .metrics import Series, bucket_ms, filtered
+    from .metrics import Series, filtered
     from .search import mentions
 
     agg = query.agg
@@ -42,11 +45,10 @@ def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
     chosen = two_valued(Predicates(Resolver(rows)).boolean(agg.selection.expr))
     if agg.start_ns is not None:
         chosen = chosen & (F.col("start_ns") >= agg.start_ns) & (F.col("start_ns") < agg.end_ns)
-    step_ms = window.step_ns // 1_000_000
-    bucket = bucket_ms(window.step_ns)
+    bucket = window.bucket_ms()
     pairs = [
         F.struct(F.lit(label).alias("attribute"), quoted(column).cast("string").alias("attribute_value"))
-        for label, column in compared_attributes(rows)
+        for label, column in compared_attributes(rows, window.most_attributes)
     ]
     total = F.struct(F.lit(None).cast("string").alias("attribute"), F.lit(None).cast("string").alias("attribute_value"))
     long = rows.select(bucket, chosen.alias("sel"), F.explode(F.array(total, *pairs)).alias("pair")).select(
@@ -61,9 +63,8 @@ def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
     shown = ranked.where((F.col("rank") <= agg.top) | F.col("attribute").isNull())
     more = ranked.where((F.col("rank") == agg.top + 1) & F.col("attribute").isNotNull()).select("attribute")
     sides = F.explode(F.array(F.lit(True), F.lit(False))).alias("sel")
-    first, last = window.start_ns // 1_000_000, (window.end_ns - window.step_ns) // 1_000_000
     grid = shown.select("attribute", "attribute_value", sides).select(
-        "*", F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(step_ms))).alias("bucket_ms")
+        "*", F.explode(window.buckets()).alias("bucket_ms")
     )
     on = [
         F.col("g.attribute").eqNullSafe(F.col("c.attribute")),

@@ -26,15 +26,32 @@ SECOND = 10**9
 
 @dataclass(frozen=True)
 class Range:
-    """A query's time range in nanoseconds. aligned() floors the start and ceils the end to the step."""
+    """A query's time range in nanoseconds. aligned() floors the start and ceils the end to the step.
+
+    Buckets begin at the origin and at multiples of the step from it. compare() looks at ``most_attributes`` attributes
+    at most, if that is given.
+    """
 
     start_ns: int
     end_ns: int
     step_ns: int = 0
+    origin_ns: int = 0
+    most_attributes: int | None = None
 
     def aligned(self) -> Range:
         step = self.step_ns or default_step(self.end_ns - self.start_ns)
-        return Range(self.start_ns // step * step, -(-self.end_ns // step) * step, step)
+        return Range(self.start_ns // step * step, -(-self.end_ns // step) * step, step, 0, self.most_attributes)
+
+    def bucket_ms(self) -> Column:
+        """The start of a span's bucket, in whole numbers throughout."""
+        o, step = self.origin_ns, self.step_ns
+        return F.expr(f"((start_ns - {o}) div {step} * {step} + {o}) div 1000000").alias("bucket_ms")
+
+    def buckets(self) -> Column:
+        """The starts of all buckets of the range."""
+        first, last = self.start_ns // 1_000_000, (self.end_ns - self.step_ns) // 1_000_000
+        step = max(1, self.step_ns // 1_000_000)
+        return F.sequence(*(F.lit(x).cast("long") for x in (first, max(first, last), step)))
 
 
 def default_step(window_ns: int) -> int:
@@ -58,11 +75,6 @@ class Series:
     key: list[str] = field(default_factory=list)
 
 
-def bucket_ms(step_ns: int) -> Column:
-    """The start of a span's bucket, in whole numbers throughout."""
-    return F.expr(f"(start_ns div {step_ns}) * {step_ns} div 1000000").alias("bucket_ms")
-
-
 def label_text(node) -> str:
     return node.text
 
@@ -94,11 +106,12 @@ def conjunction(parts: list):
 def filtered(spans: DataFrame, stages: tuple) -> DataFrame:
     """Spans that pass the filters of a metrics query.
 
-    Conditions on the trace are decided per trace, from all its spans in the range, and join as a semi-join: Spark
-    broadcasts the ids only if they are few. Root conditions first narrow the traces to those with such a root.
+    Conditions on the trace are decided per trace, from all its spans in the range whatever other filters leave, and join
+    as a semi-join: Spark broadcasts the ids only if they are few.
     """
     if any(isinstance(s, A.ScalarFilter | A.GroupBy | A.Coalesce) for s in stages):
         raise A.UnsupportedQuery("a metrics query takes spanset filters only")
+    whole = spans
     for stage in stages:
         if isinstance(stage, A.Select):
             continue
@@ -108,7 +121,6 @@ def filtered(spans: DataFrame, stages: tuple) -> DataFrame:
             spans = made.spans.where(flag).select(*map(quoted, spans.columns))
             continue
         on_trace, on_span = split_conditions(stage.expr)
-        whole = spans
         if on_span:
             condition = conjunction(on_span)
             ready = enrich(spans, spans, condition)
@@ -158,7 +170,7 @@ def evaluate(spans: DataFrame, query: A.MetricsQuery, window: Range, exemplars:
     if agg.attr is not None:
         value = predicates.value(agg.attr)
         missing |= value is None
-    bucket = bucket_ms(window.step_ns)
+    bucket = window.bucket_ms()
     labels = list(keys)
     rows = spans.select(
         *[c.alias(f"__k{i}") for i, c in enumerate(keys.values())], bucket, "start_ns", "duration_ns", "span_id", "trace_id",
@@ -244,20 +256,18 @@ def _aggregate(fn: str, window: Range, shown, value) -> Column:
 def _fill(frame: DataFrame, by: list[str], window: Range, always: bool) -> DataFrame:
     """A zero for every bucket in which a series has no span; a query without labels has one series at least.
 
-    The grid is of the labels of the result, so it is as large as the answer.
+    A series' buckets meet in one row, which is as large as its part of the answer, and the missing ones join them there:
+    the spans are read once.
     """
-    step = window.step_ns // 1_000_000
-    first, last = window.start_ns // 1_000_000, (window.end_ns - window.step_ns) // 1_000_000
-    times = F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(step))).alias("bucket_ms")
-    spark = frame.sparkSession
-    if by:
-        grid = frame.select(*by).distinct().select(*by, times)
-    elif always:
-        grid = spark.range(1).select(times)
-    else:
+    if not by and not always:
         return frame
-    joined = grid.join(frame, [*by, "bucket_ms"], "left")
-    return joined.withColumn("value", F.coalesce("value", F.lit(0.0)))
+    rest = [n for n in frame.columns if n not in (*by, "bucket_ms")]
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    found = frame.groupBy(*by).agg(F.collect_list(F.struct("bucket_ms", *rest)).alias("__found"))
+    missing = F.array_except(window.buckets(), F.transform("__found", lambda x: x["bucket_ms"]))
+    none = F.transform(missing, lambda b: F.struct(b.alias("bucket_ms"), *(F.lit(None).cast(kinds[n]).alias(n) for n in rest)))
+    filled = found.select(*by, F.explode(F.concat("__found", none)).alias("__at")).select(*by, "__at.*")
+    return filled.withColumn("value", F.coalesce("value", F.lit(0.0)))
 
 
 def series_key(labels: list[str]) -> Column:
@@ -351,7 +361,7 @@ def _fused(spans: DataFrame, node: A.Math, window: Range) -> Series | None:
         return None
     labels = [label_text(b) for b in node.left.agg.by]
     a, b = (predicates.boolean(e) for e in exprs)
-    bucket = bucket_ms(window.step_ns)
+    bucket = window.bucket_ms()
     by = [f"__k{i}" for i in range(len(keys))]
     rows = rows.where(a | b).select(*[k.text().alias(n) for k, n in zip(keys, by, strict=True)], bucket, a.alias("__a"), b.alias("__b"))
     for n in by:
@@ -418,11 +428,9 @@ def query_range(spans: DataFrame, query: A.Query, window: Range, exemplars: int
 
 
 def query_instant(spans: DataFrame, query: A.Query, start_ns: int, end_ns: int) -> Series:
-    """One value per series over exactly the range: a single bucket, whatever the function."""
-    length = end_ns - start_ns
-    shifted = spans.withColumn("__start", F.col("start_ns"))
-    offset = start_ns % length
-    # buckets begin at multiples of the step, so spans are moved for the range to be one bucket
-    moved = shifted.withColumn("start_ns", F.col("start_ns") - F.lit(offset)).drop("__start")
-    series = combine(moved, query.root, Range(start_ns - offset, end_ns - offset, length), 0)
-    return Series(series.frame.withColumn("bucket_ms", F.lit(start_ns // 1_000_000)), series.labels)
+    """One value per series over exactly the range: a single bucket that begins with it, whatever the function."""
+    length = max(1, end_ns - start_ns)
+    series = combine(spans, query.root, Range(start_ns, start_ns + length, length, start_ns), 0)
+    if isinstance(series, float):
+        raise A.QueryError("a query is more than a number")
+    return series

@@ -7,7 +7,9 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.resolve import RESOURCE_PREFIX, TOP_RESOURCE, quoted
+from pyspark.sql import types as T
+
+from spanloom.functions.resolve import RESOURCE_MAP, RESOURCE_PREFIX, SPAN_MAP, TOP_RESOURCE, quoted
 from spanloom.plans import ast as A
 
 
@@ -30,18 +32,33 @@ def trace_by_id(spans: DataFrame, trace_id: str, start_ns: int | None = None, en
     return rows
 
 
+def _json(spans: DataFrame, column: str) -> list:
+    """A map or variant column as JSON with its keys in order, so that equal ones are equal texts; [] without it."""
+    if column not in spans.columns:
+        return []
+    value = quoted(column)
+    if isinstance(spans.schema[column].dataType, T.MapType):
+        value = F.map_from_entries(F.array_sort(F.map_entries(value)))
+    return [F.to_json(value).alias("custom_attributes")]
+
+
 def nested(spans: DataFrame) -> DataFrame:
-    """trace_id and resource_spans: resources, each with scopes, each with spans by start."""
+    """trace_id and resource_spans: resources, each with scopes, each with spans by start.
+
+    Spans share a resource if all its attributes are equal, those of its map included.
+    """
     names = spans.columns
-    flat = [n for n in names if n in TOP_RESOURCE or (n.startswith(RESOURCE_PREFIX) and n != "resource.custom")]
+    flat = [n for n in names if n in TOP_RESOURCE or (n.startswith(RESOURCE_PREFIX) and n != RESOURCE_MAP)]
     resource = F.struct(
-        quoted("service_name").alias("service.name"), *[quoted(n).cast("string").alias(n.removeprefix(RESOURCE_PREFIX)) for n in flat]
+        quoted("service_name").alias("service.name"), *[quoted(n).cast("string").alias(n.removeprefix(RESOURCE_PREFIX)) for n in flat],
+        *_json(spans, RESOURCE_MAP),
     )
-    inner = [n for n in ("span_id", "parent_span_id", "start_ns", "duration_ns", "name", "kind", "status", "status_message", "events", "links") if n in names]
-    attributes = [n for n in names if n.startswith("attributes.") and n != "attributes.custom"]
-    custom = [F.to_json("`attributes.custom`").alias("custom_attributes")] if "attributes.custom" in names else []
+    inner = [n for n in ("span_id", "parent_span_id", "trace_state", "start_ns", "duration_ns", "name", "kind", "status", "status_message", "events", "links") if n in names]
+    attributes = [n for n in names if n.startswith("attributes.") and n != SPAN_MAP]
+    custom = _json(spans, SPAN_MAP)
     span = F.struct(
         "start_ns", "span_id", *[quoted(n) for n in inner if n not in ("start_ns", "span_id")],
+        (F.col("start_ns") + F.col("duration_ns")).alias("end_ns"),
         *([F.struct(*[quoted(n).alias(n.removeprefix("attributes.")) for n in attributes]).alias("attributes")] if attributes else []),
         *custom,
     )

@@ -14,7 +14,7 @@ from spanloom.functions.predicate import Predicates, compare
 from spanloom.functions.resolve import OWN, TRACE, TREE, Resolver, quoted
 from spanloom.plans import ast as A
 
-from .rollup import trace_rollup
+from .rollup import service_stats, trace_rollup
 from .tree import nested_sets, with_tree
 
 
@@ -94,21 +94,20 @@ class Spansets:
         if relation == "<<":
             after = order.rangeBetween(1, Window.unboundedFollowing)
             return here & (F.min(F.when(placed, F.col("nested_left"))).over(after) < F.col("nested_right"))
-        family = Window.partitionBy("trace_id", "nested_parent")
         if relation == "~":
+            family = Window.partitionBy("trace_id", "nested_parent")
             others = F.count_if(placed).over(family) - F.when(placed, 1).otherwise(0)
             return here & (others > 0)
-        # parents and children share a number: a parent's left is its children's nested_parent
-        if relation == ">":
-            keys = self.spans.where(placed).select("trace_id", F.col("nested_left").alias("nested_parent"))
-            return self._in(keys, "nested_parent", here)
-        keys = self.spans.where(placed).select("trace_id", F.col("nested_parent").alias("nested_left"))
-        return self._in(keys, "nested_left", here)
-
-    def _in(self, keys: DataFrame, column: str, here: Column) -> Column:
+        # a span stands twice: among its parent's children, and as the parent of its own. A parent's left is its
+        # children's nested_parent, so both stand in one family, and no span is looked up.
         self.made += 1
         name = f"__in{self.made}"
-        self.spans = self.spans.join(keys.distinct().withColumn(name, F.lit(True)), ["trace_id", column], "left")
+        both = self.spans.withColumn("__parent", F.explode(F.array(F.lit(False), F.lit(True))))
+        as_parent = F.col("__parent")
+        family = Window.partitionBy("trace_id", F.when(as_parent, F.col("nested_left")).otherwise(F.col("nested_parent")))
+        child = relation == ">"
+        met = F.max(placed & (as_parent if child else ~as_parent)).over(family)
+        self.spans = both.withColumn(name, met).where(~as_parent if child else as_parent).drop("__parent")
         return here & F.coalesce(F.col(name), F.lit(False))
 
     def _pipeline(self, node: A.Pipeline) -> Column:
@@ -140,14 +139,17 @@ def _scalar(node, spans: DataFrame, spanset) -> Column:
     return getattr(F, node.fn)(value.cast("double")).over(spanset)
 
 
-def run_stages(spans: DataFrame, stages: tuple) -> DataFrame:
-    """The spans that a pipeline returns, with a column ``spanset`` that by() fills and coalesce() empties."""
+def run_stages(spans: DataFrame, stages: tuple, within: Column | None = None) -> DataFrame:
+    """The spans that a pipeline returns, with a column ``spanset`` that by() fills and coalesce() empties.
+
+    Only spans for which ``within`` holds can match; others are there for the structure.
+    """
     now = spans if "spanset" in spans.columns else spans.withColumn("spanset", F.lit(None).cast("string"))
     for stage in stages:
         if isinstance(stage, A.SpansetFilter | A.SpansetOp | A.Pipeline):
             made = Spansets(now)
             flag = made.flag(stage)
-            now = made.spans.where(flag)
+            now = made.spans.where(flag if within is None else flag & within)
             now = now.drop(*[c for c in now.columns if c.startswith(("__flag", "__in"))])
         elif isinstance(stage, A.ScalarFilter):
             spanset = Window.partitionBy("trace_id", "spanset")
@@ -164,12 +166,46 @@ def run_stages(spans: DataFrame, stages: tuple) -> DataFrame:
     return now
 
 
-def matching_spans(spans: DataFrame, query: A.Query) -> DataFrame:
-    """All spans that a search query matches, with every column and their spanset."""
+def trace_needs(node, predicates: Predicates) -> Column | None:
+    """What a trace must have for a spanset expression to match any of its spans, as an aggregate over its spans.
+
+    None where nothing follows from single spans, as with negated relations of no left side.
+    """
+    if isinstance(node, A.SpansetFilter):
+        return None if mentions(node, (*TRACE, *TREE)) else F.max(predicates.boolean(node.expr))
+    if isinstance(node, A.Pipeline):
+        return trace_needs(node.stages[0], predicates)
+    if not isinstance(node, A.SpansetOp):
+        return None
+    left, right = trace_needs(node.left, predicates), trace_needs(node.right, predicates)
+    if node.op == "||":
+        return None if left is None or right is None else left | right
+    if node.op.startswith("!"):
+        return right
+    return right if left is None else left if right is None else left & right
+
+
+def candidates(spans: DataFrame, root: A.Pipeline) -> DataFrame:
+    """Spans of the traces that can match a pipeline's first stage: one partial aggregation and a semi-join, before any
+    tree is numbered."""
+    needed = trace_needs(root.stages[0], Predicates(Resolver(spans)))
+    if needed is None:
+        return spans
+    traces = spans.groupBy("trace_id").agg(needed.alias("__needed")).where("__needed").select("trace_id")
+    return spans.join(traces, "trace_id", "left_semi")
+
+
+def matching_spans(spans: DataFrame, query: A.Query, within: Column | None = None, prefilter: bool = False) -> DataFrame:
+    """All spans that a search query matches, with every column and their spanset.
+
+    With ``prefilter``, traces that can't match are left out first, which pays where conditions are selective.
+    """
     root = query.root
     if not isinstance(root, A.Pipeline):
         raise A.QueryError("a metrics query has no spans; use metrics()")
-    return run_stages(enrich(spans, spans, root), root.stages)
+    if prefilter:
+        spans = candidates(spans, root)
+    return run_stages(enrich(spans, spans, root), root.stages, within)
 
 
 def attribute_name(node) -> str:
@@ -186,14 +222,18 @@ def exposed(query: A.Query) -> list:
     return [n for k, n in out.items() if k not in ("name", "duration", "parent")]
 
 
-def search(spans: DataFrame, query: A.Query, limit: int = 20, spss: int = 3) -> DataFrame:
+def search(
+    spans: DataFrame, query: A.Query, limit: int = 20, spss: int = 3, within: Column | None = None, prefilter: bool = False,
+    services: bool = False,
+) -> DataFrame:
     """The best traces and their first spans.
 
     Traces go by the latest start of their first matching span; where the query selects attributes, traces with more of
     them present go first. At most ``limit`` traces, and ``spss`` spans per spanset by start (0: all). One row per span:
-    the trace's values, spanset, matched (spans of the spanset), the span, and attr.<name> for each exposed attribute.
+    the trace's values, spanset, matched (spans of the spanset), the span, and attr.<name> for each exposed attribute; with
+    ``services`` also service_stats, the spans and errors of each service of the trace.
     """
-    found = matching_spans(spans, query)
+    found = matching_spans(spans, query, within, prefilter)
     values, late = {}, {}
     predicates = Predicates(Resolver(found))
     for node in exposed(query):
@@ -225,11 +265,16 @@ def search(spans: DataFrame, query: A.Query, limit: int = 20, spss: int = 3) ->
     if late:
         rows = rows.join(nested_sets(whole), ["trace_id", "span_id"], "left").withColumns(late)
     traces = trace_rollup(whole)
+    extra = []
+    if services:
+        each = F.struct(F.col("service_name").alias("service"), "span_count", "error_count")
+        stats = service_stats(whole).groupBy("trace_id").agg(F.array_sort(F.collect_list(each)).alias("service_stats"))
+        rows, extra = rows.join(stats, "trace_id"), ["service_stats"]
     rows = rows.drop("trace_start_ns", "trace_duration_ns", "root_name", "root_service_name").join(traces, "trace_id")
     return rows.select(
         F.lpad("trace_id", 32, "0").alias("trace_id"), "root_service_name", "root_name", "trace_start_ns",
         F.floor(F.col("trace_duration_ns") / 1_000_000).cast("long").alias("trace_duration_ms"), "spanset", "matched",
-        "position", "span_id", "name", "start_ns", "duration_ns", *[quoted(v) for v in (values | late)],
+        "position", "span_id", "name", "start_ns", "duration_ns", *[quoted(v) for v in (values | late)], *extra,
     )
 
 

@@ -40,10 +40,10 @@ def _map_keys(spans: DataFrame, column: str, sampled: int | None) -> DataFrame |
     return None
 
 
-def tag_names(spans: DataFrame, scope: str | None = None, sampled: int | None = None) -> DataFrame:
+def tag_names(spans: DataFrame, scope: str | None = None, sampled: int | None = None, limit: int | None = None) -> DataFrame:
     """(scope, tag): flat columns by the schema, keys of maps, events and links from all rows.
 
-    With ``sampled``, keys come from that many rows with a map or an array, whichever Spark reads first.
+    With ``limit``, the first so many by scope and tag. With ``sampled``, keys come from that many rows with a map or an array, whichever Spark reads first.
     """
     spark = spans.sparkSession
     names = [f.name for f in spans.schema.fields]
@@ -65,7 +65,12 @@ def tag_names(spans: DataFrame, scope: str | None = None, sampled: int | None =
             keys = rows.select(F.explode(holder).alias("e")).select(F.explode(F.map_keys("e.attributes")).alias("tag"))
             found = found.union(keys.select(F.lit(where), "tag"))
     found = found.distinct()
-    return found.where(F.col("scope") == scope) if scope else found
+    found = found.where(F.col("scope") == scope) if scope else found
+    if limit is None:
+        return found
+    # scopes in their order, and tags within them
+    place = F.array_position(F.array(*map(F.lit, SCOPES)), F.col("scope"))
+    return found.orderBy(place, "tag").limit(limit)
 
 
 def tag_names_v1(spans: DataFrame) -> DataFrame:
@@ -73,21 +78,29 @@ def tag_names_v1(spans: DataFrame) -> DataFrame:
     return tag_names(spans).where("scope in ('resource', 'span')").select("tag").distinct().orderBy("tag")
 
 
-def tag_values(spans: DataFrame, tag: str, query: str | None = None, limit: int = MOST_VALUES) -> DataFrame:
-    """(value, type, n): the tag's most frequent values, ties by value. A query that can't be read filters nothing.
+def _matching(spans: DataFrame, query: str) -> DataFrame:
+    """Spans that the filters of a search query match; all of them if the query can't be read or isn't a search."""
+    out = spans
+    try:
+        root = parse(query).root
+        for stage in root.stages if isinstance(root, A.Pipeline) else ():
+            if isinstance(stage, A.SpansetFilter):
+                ready = enrich(out, spans, stage)
+                out = ready.where(Predicates(Resolver(ready)).boolean(stage.expr)).select(*map(quoted, spans.columns))
+    except A.QueryError:
+        return spans
+    return out
 
-    Filters come before events are expanded. Values of links and of event:timeSinceStart aren't listed.
+
+def tag_values(spans: DataFrame, tag: str, query: str | None = None, limit: int | None = MOST_VALUES) -> DataFrame:
+    """(value, type, n): the tag's most frequent values, ties by value; all of them with limit None.
+
+    A query that can't be read filters nothing. Filters come before events are expanded. Values of links and of
+    event:timeSinceStart aren't listed.
     """
     node = parse_attribute(tag)
     if query:
-        try:
-            stages = parse(query).root.stages
-            for stage in stages:
-                if isinstance(stage, A.SpansetFilter):
-                    ready = enrich(spans, spans, stage)
-                    spans = ready.where(Predicates(Resolver(ready)).boolean(stage.expr)).select(*map(quoted, spans.columns))
-        except (A.QueryError, AttributeError):
-            pass
+        spans = _matching(spans, query)
     empty = spans.sparkSession.createDataFrame([], "value string, type string, n long")
     if isinstance(node, A.Intrinsic):
         if node.name == "event:timeSinceStart" or node.name.startswith("link:") or node.name == "parent":
@@ -108,11 +121,6 @@ def tag_values(spans: DataFrame, tag: str, query: str | None = None, limit: int
             return empty
         kind = {"status": "keyword", "kind": "keyword", "unknown": "string", "array": "string"}.get(value.type, value.type)
         values = spans.select(value.text().alias("value"))
-    return (
-        values.where("value is not null")
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "value")
-        .limit(limit)
-        .select("value", F.lit(kind).alias("type"), "n")
-    )
+    counted = values.where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    ordered = counted.orderBy(F.desc("n"), "value")
+    return (ordered if limit is None else ordered.limit(limit)).select("value", F.lit(kind).alias("type"), "n")

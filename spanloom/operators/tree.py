@@ -65,17 +65,19 @@ def number_spans(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _whole_traces(batches):
-    """Batches in trace order, regrouped so that none ends within a trace."""
-    held = None
+    """Batches in trace order, regrouped so that none ends within a trace. Parts of a trace are joined once."""
+    held: list[pd.DataFrame] = []
     for pdf in batches:
-        held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-        last = held["trace_id"].iloc[-1]
-        cut = int(held["trace_id"].searchsorted(last, side="left"))
-        if cut:
-            yield held.iloc[:cut]
-            held = held.iloc[cut:].reset_index(drop=True)
-    if held is not None and len(held):
-        yield held
+        ids = pdf["trace_id"]
+        if held and ids.iloc[-1] == held[-1]["trace_id"].iloc[-1]:
+            held.append(pdf)  # all of one trace, as traces come in order
+            continue
+        cut = int(ids.searchsorted(ids.iloc[-1], side="left"))
+        if held or cut:
+            yield pd.concat([*held, pdf.iloc[:cut]], ignore_index=True)
+        held = [pdf.iloc[cut:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def nested_sets(spans: DataFrame) -> DataFrame:

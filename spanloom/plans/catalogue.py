@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.engine import TraceEngine
-from spanloom.operators import rollup, tree
+from spanloom.operators import rollup, tags, tree
 from spanloom.sources.adapters import events_as_spans, orders_as_spans
 
 DAY = 86_400_000_000_000
@@ -47,7 +47,7 @@ O_SQL = """
 lines AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS no FROM lineitem
-), spans AS (
+), spans AS MATERIALIZED (
   SELECT lpad(lower(to_hex(o_orderkey)), 32, '0') AS trace_id, lpad(lower(to_hex(o_orderkey * 1000)), 16, '0') AS span_id,
     CAST(NULL AS VARCHAR) AS parent_span_id, epoch_us(o_orderdate) * 1000 AS start_ns,
     CAST(round(o_totalprice * 100) AS BIGINT) * 1000 AS duration_ns, o_orderpriority AS name,
@@ -135,8 +135,8 @@ FROM spans WHERE duration_ns > 0 AND {INSIDE} GROUP BY ALL"""),
 SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY bucket_ms ORDER BY value DESC, name) <= 2"""),
     "m_bottomk": ("E", "{} | rate() by (name) | bottomk(2)", ", x AS (" + "WITH " + _filled(RATE, "true", {"name": "name"}).strip() + """)
 SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY bucket_ms ORDER BY value, name) <= 2"""),
-    "m_threshold": ("E", "{} | avg_over_time(duration) by (name) > 100ms",
-                    "SELECT * FROM (" + _grouped("sum(duration_ns)::DOUBLE / count(*) / 1e9") + ") WHERE value > 0.1"),
+    "m_threshold": ("E", "{} | avg_over_time(duration) by (name) > 50ms",
+                    "SELECT * FROM (" + _grouped("sum(duration_ns)::DOUBLE / count(*) / 1e9") + ") WHERE value > 0.05"),
     "m_math_ratio": ("E", "({ status = error } | rate()) / ({} | rate())", f""", {GRID}, c AS (
 SELECT {B}, count(*) FILTER (status = 'error') / 86400.0::DOUBLE AS a, count(*) / 86400.0::DOUBLE AS b FROM spans WHERE {INSIDE} GROUP BY 1)
 SELECT bucket_ms, coalesce(a, 0) / b AS value FROM grid LEFT JOIN c USING (bucket_ms) WHERE b > 0"""),
@@ -154,6 +154,10 @@ SELECT trace_id FROM spans GROUP BY 1 HAVING max(start_ns + duration_ns) - min(s
     "m_root_and_status": ("E", '{ rootName = "view" && status = error } | rate() by (name)', """, t AS (
 SELECT trace_id, min_by(name, struct_pack(c := (parent_span_id IS NOT NULL)::INT, s := start_ns, i := span_id)) AS root FROM spans GROUP BY 1), """
                           + _filled(RATE, "status = 'error' AND trace_id IN (SELECT trace_id FROM t WHERE root = 'view')", {"name": "name"})),
+    "m_chained_trace": ("E", "{ status = error } | { traceDuration > 2d } | rate()", """, t AS (
+SELECT trace_id FROM spans GROUP BY 1 HAVING max(start_ns + duration_ns) - min(start_ns) > 172800000000000), """
+                        + _filled(RATE, "status = 'error' AND trace_id IN (SELECT trace_id FROM t)")),
+    "m_absent": ("E", "{ span.missing != 3 || span.k = 2 } | count_over_time() by (name)", ", " + _filled(COUNT, "k = 2", {"name": "name"})),
     "m_roots": ("E", "{ nestedSetParent < 0 } | count_over_time() by (name)", ", " + _filled(COUNT, "parent_span_id IS NULL", {"name": "name"})),
     "m_structural": ("E", '{ name = "view" } >> { status = error } | count_over_time()', f""", RTREE, f AS (
 SELECT DISTINCT d.trace_id, d.span_id FROM closure c JOIN s a ON a.trace_id = c.trace_id AND a.span_id = c.up AND a.name = 'view'
@@ -182,6 +186,8 @@ FILTERS: dict[str, tuple[str, str]] = {
     "f_event_regex": ('{ event.exception.type =~ "E[12]" }', "exc IN ('E1', 'E2')"),
     "f_attr_attr": ("{ span.k < duration }", "k < duration_ns"),
     "f_root": ("{ nestedSetParent < 0 && duration > 0s }", "parent_span_id IS NULL AND duration_ns > 0"),
+    "f_minus": ("{ -span.k < -4 && -duration < 0s }", "-k < -4 AND -duration_ns < 0"),
+    "f_re2": ("{ name =~ `(?P<first>[[:alpha:]])li\\x63k` }", "name = 'click'"),
     "f_ids": ('{ span:id =~ ".*0" && span:parentID != nil }', "regexp_full_match(span_id, '.*0') AND parent_span_id IS NOT NULL"),
 }
 
@@ -273,6 +279,58 @@ def m_instant_all(spark, sf_dir: str) -> DataFrame:
     return TraceEngine(spans).instant("{} | count_over_time() by (name)", first - 5, after + 7)
 
 
+def m_instant_event(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(events_as_spans(spark, sf_dir))
+    return made.instant("{ event:timeSinceStart < 1s } | count_over_time() by (name)", START + 3 * DAY + 5, END - DAY)
+
+
+def m_default_step(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | count_over_time()", START, END)
+
+
+def m_hints(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | rate() by (name) with (exemplars=true)", START, END, DAY)
+
+
+def m_compare_time(spark, sf_dir: str) -> DataFrame:
+    query = f"{{}} | compare({{ status = error }}, 3, {START + 5 * DAY}, {START + 9 * DAY})"
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics(query, START, END, DAY)
+
+
+def t_descendant_prefiltered(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(events_as_spans(spark, sf_dir), prefilter=True)
+    return made.spans_of(STRUCTURAL["t_descendant"][0]).select("trace_id", "span_id")
+
+
+def s_window(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(events_as_spans(spark, sf_dir)).search("{ status = error }", START + 2 * DAY, START + 9 * DAY, limit=25, spss=0)
+    return made.select("trace_id", "span_id", "matched")
+
+
+def s_services(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(orders_as_spans(spark, sf_dir)).search("{ name = `1-URGENT` }", limit=10, services=True)
+    return made.select("trace_id", F.inline("service_stats"))
+
+
+def g_tags_v1(spark, sf_dir: str) -> DataFrame:
+    return tags.tag_names_v1(events_as_spans(spark, sf_dir))
+
+
+def g_root_values(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tag_values("rootName", limit=None)
+
+
+def x_otlp_resources(spark, sf_dir: str) -> DataFrame:
+    env = F.create_map(F.lit("zone"), F.lit("a"), F.lit("env"), F.when(F.col("kind") == "server", "prod").otherwise("dev"))
+    spans = events_as_spans(spark, sf_dir).withColumn("resource.custom", env)
+    made = TraceEngine(spans).trace_otlp(f"{3 * 100000 + 2819:x}")
+    rows = made.select("trace_id", F.explode("resource_spans").alias("r"))
+    return rows.select(
+        "trace_id", F.get_json_object("r.resource.custom_attributes", "$.env").alias("env"),
+        F.size(F.flatten(F.transform("r.scope_spans", lambda s: s["spans"]))).cast("long").alias("n_spans"),
+    )
+
+
 def m_exemplars(spark, sf_dir: str) -> DataFrame:
     return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | rate() by (name)", START, END, DAY, exemplars=100)
 
@@ -383,12 +441,14 @@ def o_rollup(spark, sf_dir: str) -> DataFrame:
 CALLS: dict[str, Callable] = {
     f.__name__: f
     for f in (
-        m_instant, m_instant_all, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
+        m_instant, m_instant_all, m_instant_event, m_default_step, m_hints, m_compare_time, t_descendant_prefiltered, s_window,
+        s_services, g_tags_v1, g_root_values, x_otlp_resources, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
         g_values_filtered, g_values_status, g_event_values, x_trace_by_id, x_otlp, e_spans, e_rollup, e_service_stats, o_rate,
         o_quantile, o_rate_all, o_quantile_all, o_child, o_rollup,
     )
 }
 
+_H3 = 10_800_000_000_000
 _O_B = f"start_ns // {O_STEP} * {O_STEP // 10**6} AS bucket_ms"
 _O_GRID = f"grid AS (SELECT unnest(generate_series({O_START // 10**6}, {(O_END - O_STEP) // 10**6}, {O_STEP // 10**6})) AS bucket_ms)"
 _RANK = "struct_pack(v := {v}, s := start_ns, i := span_id)"
@@ -399,6 +459,22 @@ CALL_SQL: dict[str, tuple[str, str]] = {
 WHERE start_ns >= {START + 3 * DAY + 5} AND start_ns < {END - DAY} GROUP BY 1"""),
     "m_instant_all": ("E", """SELECT name, ((SELECT min(start_ns) FROM spans) - 5) // 1000000 AS bucket_ms, count(*)::DOUBLE AS value
 FROM spans GROUP BY 1"""),
+    "m_instant_event": ("E", f"""SELECT name, {(START + 3 * DAY + 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans
+WHERE exc IS NOT NULL AND start_ns >= {START + 3 * DAY + 5} AND start_ns < {END - DAY} GROUP BY 1"""),
+    "m_default_step": ("E", f""", grid AS (SELECT unnest(generate_series({START // 10**6}, {(END - _H3) // 10**6}, {_H3 // 10**6})) AS bucket_ms),
+c AS (SELECT start_ns // {_H3} * {_H3 // 10**6} AS bucket_ms, count(*) AS n FROM spans WHERE {INSIDE} GROUP BY 1)
+SELECT bucket_ms, {COUNT} AS value FROM grid LEFT JOIN c USING (bucket_ms)"""),
+    "s_window": ("E", f""", f AS (SELECT * FROM spans WHERE status = 'error' AND start_ns >= {START + 2 * DAY} AND start_ns < {START + 9 * DAY}),
+best AS (SELECT trace_id, min(start_ns) AS first_ns FROM f GROUP BY 1 ORDER BY first_ns DESC, trace_id LIMIT 25)
+SELECT trace_id, span_id, count(*) OVER (PARTITION BY trace_id) AS matched FROM f JOIN best USING (trace_id)"""),
+    "s_services": ("O", """, best AS (SELECT trace_id, min(start_ns) AS first_ns FROM spans WHERE name = '1-URGENT' GROUP BY 1
+ORDER BY first_ns DESC, trace_id LIMIT 10)
+SELECT trace_id, service_name AS service, count(*) AS span_count, count(*) FILTER (status = 'error') AS error_count
+FROM spans JOIN best USING (trace_id) GROUP BY 1, 2"""),
+    "g_tags_v1": ("E", "SELECT tag FROM (VALUES ('k'), ('service.name')) v(tag)"),
+    "g_root_values": ("E", "SELECT name AS value, 'string' AS type, count(*) AS n FROM spans GROUP BY 1"),
+    "x_otlp_resources": ("E", f"""SELECT trace_id, CASE kind WHEN 'server' THEN 'prod' ELSE 'dev' END AS env, count(*) AS n_spans FROM spans
+WHERE trace_id = '{3 * 100000 + 2819:032x}' GROUP BY trace_id, service_name, env"""),
     "m_exemplars": ("E", f""", {GRID}, c AS (SELECT name, {B}, count(*) AS n, max_by(struct_pack(t := trace_id, s := start_ns),
   {_RANK.format(v='duration_ns')}) AS ex FROM spans WHERE {INSIDE} GROUP BY ALL), k AS (SELECT DISTINCT name FROM c)
 SELECT name, bucket_ms, {RATE} AS value, ex.t AS ex_trace_id, ex.s // 1000000 AS ex_ts_ms,
@@ -420,6 +496,7 @@ SELECT CASE WHEN g.sel THEN 'selection' ELSE 'baseline' END || CASE WHEN g.attri
 FROM (SELECT * FROM shown CROSS JOIN sides CROSS JOIN grid) g LEFT JOIN c ON c.attribute IS NOT DISTINCT FROM g.attribute
   AND c.attribute_value IS NOT DISTINCT FROM g.attribute_value AND c.sel = g.sel AND c.bucket_ms = g.bucket_ms
 UNION ALL SELECT 'baseline', attribute, NULL, '__too_many_values__', NULL, NULL FROM v WHERE rank = 4 AND attribute IS NOT NULL"""),
+    "t_descendant_prefiltered": ("E", ", RTREE\n" + STRUCTURAL["t_descendant"][1]),
     "t_nested_sets": ("E", """, RTREE
 SELECT trace_id, span_id, coalesce(l, 0)::INT AS nested_left, coalesce(r, 0)::INT AS nested_right,
   (CASE WHEN l IS NULL THEN 0 WHEN parent_path IS NULL THEN -1 ELSE (SELECT u.l FROM sets u WHERE u.trace_id = s.trace_id AND u.path = s.parent_path) END)::INT
@@ -465,6 +542,10 @@ SELECT bucket_ms, unnest(['0.5', '0.9']) AS p, round(unnest(v) / 1e9, 9) AS valu
 WHERE p.name = '1-URGENT' AND c.name = 'R' AND c.quantity >= 40"""),
     "o_rollup": ("O", ROLLUP_SQL),
 }
+CALL_SQL["m_hints"] = CALL_SQL["m_exemplars"]
+CALL_SQL["m_compare_time"] = ("E", CALL_SQL["m_compare"][1].replace(
+    "status = 'error' AS sel", f"(status = 'error' AND start_ns >= {START + 5 * DAY} AND start_ns < {START + 9 * DAY}) AS sel"
+))
 
 
 def queries() -> dict:

@@ -173,11 +173,41 @@ def otel_as_spans(rows: DataFrame, time: str = "_time") -> DataFrame:
     return made.where("trace_id is not null and span_id is not null")
 
 
+class OtelSource:
+    """Rows of an OpenTelemetry export as a source of spans whose range and trace id reach the scan.
+
+    Ranges are put on the time column itself if it is a timestamp. Trace ids are if ``canonical_ids``, which says that the
+    export holds them as 32 digits in lower case; otherwise they are compared after the adapter has padded them.
+    """
+
+    def __init__(self, rows: DataFrame, time: str = "_time", canonical_ids: bool = False):
+        self.rows, self.time, self.canonical_ids = rows, time, canonical_ids
+
+    def spans(self, start_ns: int | None = None, end_ns: int | None = None, trace_id: str | None = None) -> DataFrame:
+        rows = self.rows
+        if isinstance(rows.schema[self.time].dataType, T.TimestampType):
+            # whole microseconds around the range; the exact limits are put on the result
+            if start_ns is not None:
+                rows = rows.where(quoted(self.time) >= F.timestamp_micros(F.lit(start_ns // 1000)))
+            if end_ns is not None:
+                rows = rows.where(quoted(self.time) <= F.timestamp_micros(F.lit(-(-end_ns // 1000))))
+        if trace_id is not None and self.canonical_ids:
+            rows = rows.where(quoted("trace_id") == trace_id)
+        return otel_as_spans(rows, self.time)
+
+
+# Spellings of the fields of events and links in exports.
+ITEM_FIELDS = {
+    "trace_id": ("trace_id", "traceid"), "span_id": ("span_id", "spanid"), "trace_state": ("trace_state", "tracestate"), "name": ("name",),
+}
+ITEM_TIMES = ("timestamp", "time", "time_unix_nano", "timeunixnano", "_time", "time_ns")
+
+
 def _items(column: str, kind: T.DataType, texts: tuple[str, ...], timed: bool) -> Column:
     """Events or links with canonical fields; unknown fields join the attributes."""
     fields = {f.name.lower(): f for f in kind.fields}
-    alias = {"trace_id": ("trace_id", "traceid"), "span_id": ("span_id", "spanid"), "trace_state": ("trace_state", "tracestate"), "name": ("name",)}
-    times = [n for n in ("timestamp", "time", "time_unix_nano", "timeunixnano", "_time", "time_ns") if n in fields]
+    alias = ITEM_FIELDS
+    times = [n for n in ITEM_TIMES if n in fields]
     used = {a for t in texts for a in alias[t]} | set(times) | {"attributes"}
 
     def one(e: Column) -> Column:

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.engine import QueryError, TraceEngine, UnsupportedQuery
+from spanloom.engine import Catalog, QueryError, TraceEngine, UnsupportedQuery
+from spanloom.functions.regex import jvm_pattern
 from spanloom.operators import tags
 from spanloom.operators.tree import nested_sets
-from spanloom.sources.adapters import duration_text_ns, otel_as_spans
+from spanloom.sources.adapters import OtelSource, duration_text_ns, otel_as_spans
 from spanloom.streaming.red import red_metrics
 
 BASE = dt.datetime(2026, 9, 2, 12, tzinfo=dt.timezone.utc)
@@ -219,3 +220,99 @@ def test_arrays_and_variants(spark):
     assert isinstance(engine.spans.schema["attributes.custom"].dataType, T.VariantType)
     assert ids(engine.spans_of('{ span.list = "x" }')) == ["1"] and ids(engine.spans_of('{ span.list != "x" }')) == ["2"]
     assert ids(engine.spans_of("{ span.a.b > 2 }")) == ["1"] and ids(engine.spans_of("{ .s = 7 }")) == ["1"] and ids(engine.spans_of("{ .a.b != 5 }")) == ["3"]
+
+
+def test_trace_conditions_see_the_whole_trace(engine):
+    minute = 60 * 10**9
+    count = lambda q: sum(r.value for r in engine.metrics(q + " | count_over_time()", NS - minute, NS + minute, minute).collect())
+    assert count("{ status = error && traceDuration > 100ms }") == 1
+    assert count("{ status = error } | { traceDuration > 100ms }") == 1
+    assert count("{ traceDuration > 100ms } | { status = error }") == 1
+    assert count("{ status = error } | { rootName = `POST /checkout` }") == 0
+
+
+def test_instant_reads_events_at_their_time(engine):
+    minute = 60 * 10**9
+    query = "{ event:timeSinceStart > 29ms && event:timeSinceStart < 31ms } | count_over_time()"
+    assert [r.value for r in engine.instant(query, NS - minute - 7, NS + minute).collect()] == [1.0]
+    assert [r.value for r in engine.instant("{ name = `GET /cart` } | count_over_time()", NS, NS).collect()] == [1.0]
+
+
+def test_spans_in_the_padding_do_not_match(engine):
+    found = engine.search("{}", NS - 1, NS + 15 * 10**6, spss=0).collect()
+    assert sorted(r.span_id for r in found) == [A1, A2] and {r.matched for r in found} == {2}
+    assert found[0].trace_duration_ms == 120
+    assert engine.search("{ status = error } << { kind = client }", NS, NS + 15 * 10**6).count() == 1
+    assert engine.search("{} | count() > 2", NS, NS + 15 * 10**6).count() == 0
+
+
+def test_resources_differ_by_their_map(spans):
+    env = F.create_map(F.lit("zone"), F.lit("a"), F.lit("env"), F.when(F.col("span_id") == A2, "dev").otherwise("prod"))
+    r = TraceEngine(spans.withColumn("resource.custom", env)).trace_otlp(TRACE_A).first()
+    found = {(x.resource["service.name"], x.resource["custom_attributes"]) for x in r.resource_spans}
+    assert found == {("frontend", '{"env":"prod","zone":"a"}'), ("frontend", '{"env":"dev","zone":"a"}'), ("backend", '{"env":"prod","zone":"a"}')}
+    assert all(s.end_ns == s.start_ns + s.duration_ns for x in r.resource_spans for y in x.scope_spans for s in y.spans)
+
+
+def test_ranges_and_ids_reach_the_scan(spark, tmp_path):
+    rows = [(f"{i:032x}", f"{i:016x}", BASE + dt.timedelta(seconds=i), "1ms", "n") for i in range(20)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "trace_id string, span_id string, _time timestamp, duration string, name string").write.parquet(path)
+    engine = TraceEngine(OtelSource(spark.read.parquet(path), canonical_ids=True))
+    second = 10**9
+    found = engine.spans_of("{ name = `n` }", NS + 5 * second, NS + 8 * second)
+    assert ids(found) == [f"{i:016x}" for i in (5, 6, 7)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(_time" in plan and "LessThanOrEqual(_time" in plan
+    one = engine.trace("7")
+    assert ids(one) == [f"{7:016x}"] and f"EqualTo(trace_id,{7:032x})" in one._jdf.queryExecution().executedPlan().toString()
+    assert sum(r.value for r in engine.metrics("{} | count_over_time()", NS, NS + 10 * second, second).collect()) == 10
+
+
+def test_partial_results_are_told(engine):
+    minute = 60 * 10**9
+    few = TraceEngine(engine.spans, max_series=2)
+    found = few.metrics_result("{} | rate() by (name)", NS - minute, NS + minute, minute)
+    assert found.partial and "2" in found.message and found.frame.select("name").distinct().count() == 2
+    assert not engine.metrics_result("{} | rate() by (name)", NS - minute, NS + minute, minute).partial
+    few = TraceEngine(engine.spans, max_attributes=2)
+    rows = few.metrics("{} | compare({ status = error })", NS, NS + minute, minute).collect()
+    assert {r.attribute for r in rows} == {None, "resource.service.name", "name"}
+
+
+def test_catalog_of_datasets(spans):
+    data = Catalog({"a": lambda: spans, "b": lambda: spans.limit(0), "c": lambda: spans}, default="a", allowed=["a", "b"])
+    assert data.names() == ["a", "b"] and data.engine().spans.count() == 4 and data.engine("b").spans.count() == 0
+    with pytest.raises(QueryError):
+        data.engine("c")
+
+
+def test_services_and_prefilter(engine):
+    r = engine.search("{ status = error }", services=True).first()
+    assert [(s.service, s.span_count, s.error_count) for s in r.service_stats] == [("backend", 1, 1), ("frontend", 2, 0)]
+    fast = TraceEngine(engine.spans, prefilter=True)
+    for query in ("{ kind = server } >> { status = error }", "{} !> { }", "{ name = `GET /cart` } && { status = error }", "{ kind = client } &> { }",
+                  "{ status = error } || { name = `GET /health` }", "{ rootName = `GET /cart` }", "({ status = error } | count() > 0) && { kind = client }"):
+        assert ids(fast.spans_of(query)) == ids(engine.spans_of(query)), query
+
+
+def test_tag_ranges_and_limits(engine):
+    assert [r.value for r in engine.tag_values("name", start_ns=NS, end_ns=NS + 10**9).orderBy("value").collect()] == ["GET /cart", "POST /checkout", "call backend"]
+    assert engine.tag_values("name", limit=None).count() == 4
+    assert engine.tag_values("name", "{} | rate()").count() == 4
+    first = [(r.scope, r.tag) for r in engine.tags(limit=2).collect()]
+    assert first == [("resource", "deployment.environment"), ("resource", "k8s.pod.name")]
+
+
+@pytest.mark.parametrize(("text", "value", "expected"), [
+    ("(?P<x>r).*", "rst", True), ("(?<x>r)+", "rr", True), ("[[:alpha:]]+", "ab", True), ("[[:^alpha:]]+", "12", True), ("[]a]+", "]a", True),
+    ("[^]]", "]", False), ("[a&&b]+", "&a", True), ("[[]x", "[x", True), ("\\Qa.b\\E", "a.b", True), ("\\Qa.b\\E", "axb", False), ("a\\(b", "a(b", True), ("(?i)AB", "ab", True),
+])
+def test_patterns(spark, text, value, expected):
+    assert spark.range(1).select(F.lit(value).rlike(f"^(?:{jvm_pattern(text)})\\z")).first()[0] is expected
+
+
+@pytest.mark.parametrize("text", ["(?=a)", "(?<!a)b", "(a)\\1", "(a", "a)", "[a", "a\\"])
+def test_patterns_that_re2_refuses(text):
+    with pytest.raises(QueryError):
+        jvm_pattern(text)
