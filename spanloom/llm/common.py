@@ -46,7 +46,7 @@ def release_memory() -> None:
 def _lean() -> None:
     """Large arrays get pages of their own, which go back to the system once they are free."""
     if (libc := _libc()) is not None and hasattr(libc, "mallopt"):
-        for option, value in ((-3, 1 << 18), (-1, 1 << 18), (-8, 2)):  # mmap threshold, trim threshold, arenas
+        for option, value in ((-3, 4 << 20), (-1, 16 << 20), (-8, 2)):  # mmap threshold, trim threshold, arenas
             libc.mallopt(option, value)
     pa.set_memory_pool(pa.system_memory_pool())
 

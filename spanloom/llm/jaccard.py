@@ -216,18 +216,18 @@ def _near(percent: int) -> str:
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """met: x and y (g, n, at) of groups, a row per common prefix shingle. Returns the pairs (a, b, na, nb) that may be
-    similar; a is x's group.
+    """met: x and y (g, n, size, at) of groups, a row per common prefix shingle. Returns the pairs (a, b, na, nb) that may
+    be similar; a is the group of fewer members, or x's.
 
     They share SHARED shingles, or fewer where a set is so small; and behind the first common one both are long enough.
     """
     own = lambda n: f"least({SHARED}, ceil({percent} * {n} / 100.0))"
     return (
-        met.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+        met.groupBy(*(F.col(f"{side}.{n}").alias(f"{side}{n}") for side in "xy" for n in ("g", "n", "size")))
         .agg(F.count(F.lit(1)).alias("common"), F.min("x.at").alias("xat"), F.min("y.at").alias("yat"))
-        .where(f"common >= least({own('na')}, {own('nb')})")
-        .where(f"1 + least(na - xat - 1, nb - yat - 1) >= {_overlap(percent, 'na', 'nb')}")
-        .select("a", "b", "na", "nb")
+        .where(f"common >= least({own('xn')}, {own('yn')})")
+        .where(f"1 + least(xn - xat - 1, yn - yat - 1) >= {_overlap(percent, 'xn', 'yn')}")
+        .selectExpr(*(f"if(xsize <= ysize, {p}, {q}) AS {n}" for n, p, q in (("a", "xg", "yg"), ("b", "yg", "xg"), ("na", "xn", "yn"), ("nb", "yn", "xn"))))
     )
 
 
@@ -271,7 +271,7 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("n")) / step).cast("int")
     # how many shingles of other prefixes precede: only those can be common with another set
     inside = F.row_number().over(Window.partitionBy("g").orderBy("at")) - 1
-    postings = postings.drop("size").join(several, "shingle").withColumns({"band": band, "inside": inside})
+    postings = postings.join(several, "shingle").withColumns({"band": band, "inside": inside})
     postings = materialize(postings, "postings")
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -287,7 +287,10 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
         return materialize(found.select("a", "b"), "links")
 
     def expanded(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-        """Pairs (a, b) of members of different classes of group pairs (a, b, na, nb), as far as signatures allow."""
+        """Pairs (a, b) of members of different classes of group pairs (a, b, na, nb), as far as signatures allow.
+
+        The smaller groups are expanded first, and their members meet those of the larger ones by class and signature.
+        """
         x = left.select(F.col("g").alias("a"), F.col("node").alias("xn"), F.col("sig").alias("xs"), F.col("class").alias("xc"))
         y = right.select(F.col("g").alias("b"), F.col("node").alias("yn"), F.col("sig").alias("ys"), F.col("class").alias("yc"))
         met = pairs.join(x, "a").join(y, "b").where(f"xc <> yc and {_signed(percent, 'xs', 'ys', 'na', 'nb')}")
@@ -298,22 +301,23 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     # large classes are compared with all groups through the node in their middle
     classes = materialize(components(links), "classes")
-    classed, placed = _with_classes(members, postings, classes)
+    classed = _with_classes(members, classes)
     middles = materialize(classed.join(_middles(nodes, classes), "node", "left_semi"), "middles")
     posts = postings.drop("sig").join(middles.select("node", "g", "sig", "class"), "g")
-    posts = posts.select("shingle", F.col("node").alias("g"), "n", "at", "inside", "sig", "class")
-    other = "not (x.lo = x.hi and x.lo = y.class)"
-    met = placed.alias("x").join(posts.alias("y"), F.expr(f"x.shingle = y.shingle and {other} and {_near(percent)}"))
+    posts = posts.select("shingle", F.col("node").alias("g"), "n", F.lit(0).cast("long").alias("size"), "at", "inside", "sig")
+    posts = materialize(posts, "middle-postings")
+    met = postings.alias("x").join(posts.alias("y"), F.expr(f"x.shingle = y.shingle and {_near(percent)}"))
     pairs = _candidates(met, percent)
     central = middles.withColumn("g", F.col("node"))
-    links = links.union(similar(expanded(pairs, classed, central)))
+    links = links.union(similar(expanded(pairs, central, classed)))
 
     # all groups that aren't of one and the same class
     classes = materialize(components(links), "classes")
-    classed, placed = _with_classes(members, postings, classes)
-    met = _other_classes(placed, percent)
-    mixed = placed.where("lo < hi").select(F.col("g").alias("a"), F.col("g").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"))
-    pairs = materialize(_candidates(met, percent).union(mixed.distinct()), "group-pairs")
+    classed = _with_classes(members, classes)
+    spans = materialize(classed.groupBy("g").agg(F.min("class").alias("lo"), F.max("class").alias("hi")), "group-classes")
+    met = _other_classes(materialize(postings.join(spans, "g"), "postings-placed"), percent)
+    mixed = groups.join(spans.where("lo < hi").select("g"), "g").select(F.col("g").alias("a"), F.col("g").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"))
+    pairs = materialize(_candidates(met, percent).union(mixed), "group-pairs")
     roots = components(links.union(similar(expanded(pairs, classed, classed))))
 
     known = nodes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
@@ -349,17 +353,17 @@ def _hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b"))
 
 
-def _with_classes(members: DataFrame, postings: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with their class, and postings with the smallest and largest class of their group's members."""
+def _with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members with their class."""
     own = members.join(classes, "node", "left").select("node", "g", "sig", F.coalesce("root", "node").alias("class"))
-    own = materialize(own, "member-classes")
-    span = materialize(own.groupBy("g").agg(F.min("class").alias("lo"), F.max("class").alias("hi")), "group-classes")
-    return own, materialize(postings.join(span, "g"), "postings-placed")
+    return materialize(own, "member-classes")
 
 
 def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
     """Pairs x, y of postings of one shingle whose groups aren't of one and the same class, each pair in one order.
 
+    placed: postings with the smallest and largest class of their group's members, lo and hi.
+
     The class that most groups of a shingle have is its main class; groups wholly of that class meet the others only.
     """
     alone = F.col("lo") == F.col("hi")
@@ -372,7 +376,7 @@ def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
     )
     main = materialize(main.where("least < most").select("shingle", "main"), "main-classes")
     left = placed.join(main, "shingle").select(
-        "shingle", "g", "n", "at", "inside", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
+        "shingle", "g", "n", "size", "at", "inside", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
     )
     left = materialize(left, "postings-left")
     near = F.expr(
@@ -381,7 +385,7 @@ def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
     )
     met = left.where("not is_main").alias("x").join(left.alias("y"), near)
     # a pair may stand in either order, by the main class of a shingle
-    row = lambda side: F.struct(*(F.col(f"{side}.{n}").alias(n) for n in ("g", "n", "at")))
+    row = lambda side: F.struct(*(F.col(f"{side}.{n}").alias(n) for n in ("g", "n", "size", "at")))
     swap = F.col("x.g") > F.col("y.g")
     return met.select(
         F.when(swap, row("y")).otherwise(row("x")).alias("x"), F.when(swap, row("x")).otherwise(row("y")).alias("y")
