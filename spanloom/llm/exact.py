@@ -31,6 +31,10 @@ def blocks_of(norm: Column) -> Column:
     )
 
 
+def block_hash(block: Column) -> Column:
+    return F.xxhash64(block)
+
+
 def number(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Distinct rows with their rank from 0 in sort order as ``name``, written as a table.
 
@@ -56,7 +60,7 @@ def number(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
 
 def identities(texts: DataFrame) -> DataFrame:
     """texts: rid (unique), blocks, hashes. Returns rid, n_blocks, name; equal in both iff the blocks are equal."""
-    each = texts.select(F.explode("blocks").alias("block")).select(F.xxhash64("block").alias("hash"), "block")
+    each = texts.select(F.explode("blocks").alias("block")).select(block_hash(F.col("block")).alias("hash"), "block")
     hashes = materialize(
         each.distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n")).select("hash", (F.col("n") > 1).alias("shared")),
         "block-hashes",
@@ -69,7 +73,7 @@ def identities(texts: DataFrame) -> DataFrame:
     size = F.size("hashes").alias("n_blocks")
     placed = texts.select("rid", size, F.posexplode("hashes").alias("at", "hash"))
     level = placed.join(named.join(shared, "hash", "left_anti").select("hash", "name"), "hash")
-    told = texts.select("rid", size, F.posexplode("blocks").alias("at", "block")).withColumn("hash", F.xxhash64("block"))
+    told = texts.select("rid", size, F.posexplode("blocks").alias("at", "block")).withColumn("hash", block_hash(F.col("block")))
     told = told.join(shared, "hash", "left_semi").join(named, ["hash", "block"])
     columns = ["rid", "n_blocks", "at", "name"]
     level = materialize(level.select(columns).union(told.select(columns)), "blocks-named")
@@ -110,7 +114,7 @@ def find_copies(docs: DataFrame) -> DataFrame:
             normalise(F.col("text")).alias("norm"),
         )
         rows = base.select("rid", "doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"), blocks_of(F.col("norm")).alias("blocks"))
-        rows = materialize(rows.withColumn("hashes", F.transform("blocks", lambda b: F.xxhash64(b))), "texts")
+        rows = materialize(rows.withColumn("hashes", F.transform("blocks", lambda b: block_hash(b))), "texts")
         facts = rows.select("rid", "doc_id", "n_chars", "text_sha256")
         found = materialize(identities(rows).join(facts, "rid"), "identities")
         rank = F.struct("n_chars", (-F.col("doc_id")).alias("back"), (-F.col("rid")).alias("first"))

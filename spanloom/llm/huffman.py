@@ -23,8 +23,8 @@ from .common import local_table, materialize, scratch, write_table
 #: Bits of the first decoding table; up to 65536 ids have no longer codes. Codes of more ids are longer, up to MOST_BITS,
 #: and those beyond the first table are found in a second one.
 TABLE_BITS, MOST_BITS = 16, 32
-#: Ids between checkpoints, and ids after which a segment is closed.
-BLOCK = 512
+#: Ids between checkpoints, ids encoded at a time, which are whole blocks, and ids after which a segment is closed.
+BLOCK, CHUNK_IDS = 512, 1 << 15
 SEGMENT_IDS = 1 << 20
 
 SEGMENTS = "part int, segment int, doc_ids array<long>, lengths array<long>, n_ids long, payload binary, checkpoints array<long>"
@@ -71,6 +71,7 @@ class Code:
 
     def __init__(self, lengths: np.ndarray):
         self.lengths = lengths.astype(np.int64)
+        self.short = lengths.astype(np.uint8)
         self.codes = np.zeros(len(lengths), dtype=np.uint64)
         self.bits = bits = max(TABLE_BITS, int(self.lengths.max(initial=0)))
         used = np.flatnonzero(lengths)
@@ -92,22 +93,28 @@ class Code:
         return symbol, bits
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The payload and the bit offset of every BLOCK-th id."""
-        width = self.lengths[ids]
-        if len(ids) and not width.all():
-            raise ValueError("an id without a code")
-        end = np.cumsum(width)
-        start = end - width
-        total = int(end[-1]) if len(ids) else 0
-        words = np.zeros(total // 32 + 2, dtype=np.uint64)
-        if len(ids):
+        """The payload and the bit offset of every BLOCK-th id. Ids are taken CHUNK_IDS at a time, which caches hold."""
+        words = np.zeros(len(ids) * self.bits // 32 + 2, dtype=np.uint64)
+        checks, at = [np.zeros(0, dtype=np.int64)], 0
+        for k in range(0, len(ids), CHUNK_IDS):
+            part = ids[k : k + CHUNK_IDS]
+            width = self.short[part]
+            if not width.all():
+                raise ValueError("an id without a code")
+            end = np.cumsum(width, dtype=np.int64)
+            end += at
+            start = end - width
             word = start >> 5
-            high = self.codes[ids] << (64 - (start & 31) - width).astype(np.uint64)
-            first = np.flatnonzero(np.diff(word, prepend=-1))
+            high = self.codes[part] << (64 - (start & 31) - width).view(np.uint64)
+            first = np.flatnonzero(word[1:] != word[:-1])
+            first = np.concatenate([[0], first + 1])
             summed = np.bitwise_or.reduceat(high, first)
-            words[word[first]] |= summed >> np.uint64(32)
-            words[word[first] + 1] |= summed & np.uint64(0xFFFFFFFF)
-        return words.astype(">u4").tobytes()[: (total + 7) // 8], start[::BLOCK]
+            place = word[first]
+            words[place] |= summed >> np.uint64(32)
+            words[place + 1] |= summed & np.uint64(0xFFFFFFFF)
+            checks.append(start[::BLOCK])
+            at = int(end[-1])
+        return words[: -(-at // 32)].astype(">u4").tobytes()[: (at + 7) // 8], np.concatenate(checks)
 
     def decode(self, payload, checkpoints: np.ndarray, n_ids: int) -> np.ndarray:
         """All ids of a segment, its blocks read side by side from their checkpoints."""

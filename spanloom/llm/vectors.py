@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, holding, materialize, scratch
@@ -94,12 +94,16 @@ def marked(vectors: DataFrame) -> DataFrame:
     )
 
 
+def vector_hash(embedding: Column) -> Column:
+    return F.xxhash64(embedding)
+
+
 def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct vectors of a label as nodes, and (vec_id, node) of all rows.
 
     A hash that only one distinct vector of a label has stands for it, so vectors are shuffled once.
     """
-    rows = rows.withColumn("hash", F.xxhash64("embedding"))
+    rows = rows.withColumn("hash", vector_hash(F.col("embedding")))
     nodes = rows.groupBy("label", "hash", "embedding").agg(F.min("vec_id").alias("vec"), F.count(F.lit(1)).alias("weight"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
     by_hash = nodes.groupBy("label", "hash").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))

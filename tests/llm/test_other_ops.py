@@ -233,6 +233,14 @@ def test_vectors_crowd_and_repeated_ids(spark):
     assert got == [(3, 1, 3), (4, 0, 4), (5, 2, 5), (7, 1, 3), (7, 1, 3), (8, 1, 3), (9, 2, 5), (9, 2, 5)]
 
 
+def test_vectors_of_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "vector_hash", lambda embedding: F.lit(1).cast("long"))
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (4, [1.0, 0.01], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(df, 0.93).collect())
+    assert got == [(1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 2, 1)]
+
+
 def test_vector_hashes_select():
     assert vectors.layout(6000, 0.93)[0] >= 8 and vectors.layout(10**9, 0.93)[0] > vectors.layout(10**6, 0.93)[0]
     rng = np.random.default_rng(1)

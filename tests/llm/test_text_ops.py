@@ -52,6 +52,13 @@ def test_exact_against_brute_force(make_docs):
     assert got == brute_copies(list(enumerate(texts)))
 
 
+def test_exact_tells_blocks_of_one_hash_apart(make_docs, monkeypatch):
+    monkeypatch.setattr(exact, "block_hash", lambda block: F.length(block).cast("long"))
+    texts = ["ab", "ba", "a b", "y" * 2048 + "z" * 2048, "z" * 2048 + "y" * 2048, "y" * 4096, "y" * 2048 + " z" + "z" * 2047, None]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact.find_copies(make_docs(texts)).collect()}
+    assert got == brute_copies(list(enumerate(texts)))
+
+
 def test_exact_repeats_null_ids_and_no_rows(make_docs):
     rows = exact.find_copies(make_docs([(1, "t"), (1, "t"), (None, "t"), (2, "u")])).collect()
     assert sum(r.kept for r in rows) == 2
