@@ -7,7 +7,7 @@ from importlib import import_module
 #: Modules with QUERIES (name -> function of (spark, sf_dir)) and ORACLES (name -> SQL).
 MODULES = [
     "q01_chat", "q02_urls", "q03_jaccard", "q04_quality", "q05_toxicity", "q06_exact", "q07_huffman", "q08_vectors",
-    "q09_sentencepiece", "q10_packing",
+    "q09_sentencepiece", "q10_packing", "q11_repair", "q12_mixing", "q13_merkle",
 ]
 
 
