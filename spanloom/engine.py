@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from spanloom.operators import metrics, otlp, search
@@ -15,13 +13,33 @@ from spanloom.plans.parser import parse
 __all__ = ["Catalog", "MetricsResult", "QueryError", "TraceEngine", "UnsupportedQuery"]
 
 
-@dataclass(frozen=True)
 class MetricsResult:
-    """The series of a metrics query. partial: whether max_series left some out, which message then says."""
+    """The series of a metrics query: frame, a lazy DataFrame.
+
+    partial says whether max_series left some out, which message then tells. The query itself counts them while it runs, so
+    they are known once rows() has run it; before that, asking for them runs it.
+    """
+
+    def __init__(self, frame: DataFrame, most: int | None = None, seen: Observation | None = None):
+        self.frame, self._most, self._seen, self._ran = frame, most, seen, False
 
-    frame: DataFrame
-    partial: bool = False
-    message: str = ""
+    def rows(self) -> list[Row]:
+        found = self.frame.collect()
+        self._ran = True
+        return found
+
+    @property
+    def partial(self) -> bool:
+        if self._seen is None:
+            return False
+        if not self._ran:
+            self.frame.count()
+            self._ran = True
+        return self._seen.get["n"] > self._most
+
+    @property
+    def message(self) -> str:
+        return f"more than {self._most} series" if self.partial else ""
 
 
 class TraceEngine:
@@ -80,15 +98,15 @@ class TraceEngine:
         window = metrics.Range(start_ns, end_ns, step_ns, most_attributes=self.max_attributes)
         at = window.aligned()
         made = metrics.query_range(self._within(at.start_ns, at.end_ns), parse(query), window, exemplars)
-        frame, partial = metrics.capped(made, self.max_series)
-        return MetricsResult(frame, partial, f"more than {self.max_series} series" if partial else "")
+        kept, seen = metrics.capped(made, self.max_series)
+        return MetricsResult(metrics.shown(kept, at), self.max_series, seen)
 
     def metrics(self, query: str, start_ns: int, end_ns: int, step_ns: int = 0, exemplars: int = 0) -> DataFrame:
         return self.metrics_result(query, start_ns, end_ns, step_ns, exemplars).frame
 
     def instant(self, query: str, start_ns: int, end_ns: int) -> DataFrame:
         spans = self._within(start_ns, max(end_ns, start_ns + 1))
-        return metrics.query_instant(spans, parse(query), start_ns, end_ns).frame
+        return metrics.query_instant(spans, parse(query), start_ns, end_ns)
 
     def trace(self, trace_id: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
         if isinstance(self.source, DataFrame):

@@ -36,25 +36,28 @@ def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
     then by text are shown; an attribute with more has one more row marked so, without a bucket or value.
     """
     from .metrics import Series, filtered
-    from .search import mentions
+    from .search import mentions, needs_tree
+    from .tree import with_tree
 
     agg = query.agg
     if mentions(agg.selection, TRACE):
         raise A.UnsupportedQuery("a selection by values of the trace isn't supported")
-    rows = filtered(spans, query.stages)
+    if any(needs_tree(n) for n in (*query.stages, agg.selection)):
+        spans = with_tree(spans)
+    rows = filtered(spans, query.stages, spans)
     chosen = two_valued(Predicates(Resolver(rows)).boolean(agg.selection.expr))
     if agg.start_ns is not None:
         chosen = chosen & (F.col("start_ns") >= agg.start_ns) & (F.col("start_ns") < agg.end_ns)
-    bucket = window.bucket_ms()
+    bucket = window.bucket_ns()
     pairs = [
         F.struct(F.lit(label).alias("attribute"), quoted(column).cast("string").alias("attribute_value"))
         for label, column in compared_attributes(rows, window.most_attributes)
     ]
     total = F.struct(F.lit(None).cast("string").alias("attribute"), F.lit(None).cast("string").alias("attribute_value"))
     long = rows.select(bucket, chosen.alias("sel"), F.explode(F.array(total, *pairs)).alias("pair")).select(
-        "bucket_ms", "sel", "pair.*"
+        "bucket_ns", "sel", "pair.*"
     ).where("attribute is null or attribute_value is not null")
-    counts = long.groupBy("attribute", "attribute_value", "sel", "bucket_ms").agg(F.count(F.lit(1)).alias("n"))
+    counts = long.groupBy("attribute", "attribute_value", "sel", "bucket_ns").agg(F.count(F.lit(1)).alias("n"))
     per_value = counts.groupBy("attribute", "attribute_value").agg(
         F.sum(F.when(F.col("sel"), F.col("n")).otherwise(0)).alias("chosen"), F.sum("n").alias("all")
     )
@@ -64,21 +67,21 @@ def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
     more = ranked.where((F.col("rank") == agg.top + 1) & F.col("attribute").isNotNull()).select("attribute")
     sides = F.explode(F.array(F.lit(True), F.lit(False))).alias("sel")
     grid = shown.select("attribute", "attribute_value", sides).select(
-        "*", F.explode(window.buckets()).alias("bucket_ms")
+        "*", F.explode(window.buckets()).alias("bucket_ns")
     )
     on = [
         F.col("g.attribute").eqNullSafe(F.col("c.attribute")),
         F.col("g.attribute_value").eqNullSafe(F.col("c.attribute_value")),
-        F.col("g.sel") == F.col("c.sel"), F.col("g.bucket_ms") == F.col("c.bucket_ms"),
+        F.col("g.sel") == F.col("c.sel"), F.col("g.bucket_ns") == F.col("c.bucket_ns"),
     ]
     kind = F.concat(F.when(F.col("g.sel"), "selection").otherwise("baseline"), F.when(F.col("g.attribute").isNull(), "_total").otherwise(""))
     filled = grid.alias("g").join(counts.alias("c"), on, "left").select(
         kind.alias("__meta_type"), F.col("g.attribute").alias("attribute"), F.col("g.attribute_value").alias("attribute_value"),
-        F.lit(None).cast("string").alias("__meta_error"), F.col("g.bucket_ms").alias("bucket_ms"),
+        F.lit(None).cast("string").alias("__meta_error"), F.col("g.bucket_ns").alias("bucket_ns"),
         F.coalesce("c.n", F.lit(0)).cast("double").alias("value"),
     )
     marks = more.select(
         F.lit("baseline").alias("__meta_type"), "attribute", F.lit(None).cast("string").alias("attribute_value"),
-        F.lit(TOO_MANY).alias("__meta_error"), F.lit(None).cast("long").alias("bucket_ms"), F.lit(None).cast("double").alias("value"),
+        F.lit(TOO_MANY).alias("__meta_error"), F.lit(None).cast("long").alias("bucket_ns"), F.lit(None).cast("double").alias("value"),
     )
     return Series(filled.union(marks), ["__meta_type", "attribute", "attribute_value", "__meta_error"])

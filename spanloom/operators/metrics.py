@@ -1,14 +1,14 @@
 """TraceQL metrics: time-bucketed series as long DataFrames.
 
-A result has one row per series and bucket: the labels (a string column each), bucket_ms and value; with exemplars also
-ex_trace_id, ex_ts_ms and ex_value. All aggregates, the exemplar included, come from one partial aggregation.
+A result has one row per series and bucket: the labels (a string column each), bucket_ms and value, and bucket_ns where steps
+aren't whole milliseconds; with exemplars also ex_trace_id, ex_ts_ms and ex_value. Inside, buckets are in nanoseconds. All aggregates, the exemplar included, come from one partial aggregation.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.predicate import Predicates, compare
@@ -16,7 +16,9 @@ from spanloom.functions.resolve import TRACE, Resolver, quoted
 from spanloom.plans import ast as A
 
 from .rollup import trace_rollup
-from .search import Spansets, enrich, mentions
+from .quantiles import quantiles as exact_quantiles
+from .search import Spansets, enrich, mentions, needs_tree, with_root_like
+from .tree import with_tree
 
 #: Default and largest number of exemplars a series.
 EXEMPLARS, MOST_EXEMPLARS = 100, 1000
@@ -42,16 +44,15 @@ class Range:
         step = self.step_ns or default_step(self.end_ns - self.start_ns)
         return Range(self.start_ns // step * step, -(-self.end_ns // step) * step, step, 0, self.most_attributes)
 
-    def bucket_ms(self) -> Column:
+    def bucket_ns(self) -> Column:
         """The start of a span's bucket, in whole numbers throughout."""
         o, step = self.origin_ns, self.step_ns
-        return F.expr(f"((start_ns - {o}) div {step} * {step} + {o}) div 1000000").alias("bucket_ms")
+        return F.expr(f"(start_ns - {o}) div {step} * {step} + {o}").alias("bucket_ns")
 
     def buckets(self) -> Column:
         """The starts of all buckets of the range."""
-        first, last = self.start_ns // 1_000_000, (self.end_ns - self.step_ns) // 1_000_000
-        step = max(1, self.step_ns // 1_000_000)
-        return F.sequence(*(F.lit(x).cast("long") for x in (first, max(first, last), step)))
+        last = max(self.start_ns, self.end_ns - self.step_ns)
+        return F.sequence(*(F.lit(x).cast("long") for x in (self.start_ns, last, self.step_ns)))
 
 
 def default_step(window_ns: int) -> int:
@@ -103,31 +104,29 @@ def conjunction(parts: list):
     return out
 
 
-def filtered(spans: DataFrame, stages: tuple) -> DataFrame:
-    """Spans that pass the filters of a metrics query.
+def filtered(spans: DataFrame, stages: tuple, whole: DataFrame) -> DataFrame:
+    """Spans that pass the filters of a metrics query; ``whole`` are all spans in range, which decide what concerns traces.
 
-    Conditions on the trace are decided per trace, from all its spans in the range whatever other filters leave, and join
-    as a semi-join: Spark broadcasts the ids only if they are few.
+    Conditions on the trace join as a semi-join: Spark broadcasts the ids only if they are few. What they imply for single
+    spans narrows the traces that are rolled up.
     """
     if any(isinstance(s, A.ScalarFilter | A.GroupBy | A.Coalesce) for s in stages):
         raise A.UnsupportedQuery("a metrics query takes spanset filters only")
-    whole = spans
     for stage in stages:
         if isinstance(stage, A.Select):
             continue
         if not isinstance(stage, A.SpansetFilter):
-            made = Spansets(enrich(spans, spans, stage))
+            made = Spansets(enrich(spans, whole, stage))
             flag = made.flag(stage)
             spans = made.spans.where(flag).select(*map(quoted, spans.columns))
             continue
         on_trace, on_span = split_conditions(stage.expr)
         if on_span:
-            condition = conjunction(on_span)
-            ready = enrich(spans, spans, condition)
-            spans = ready.where(Predicates(Resolver(ready)).boolean(condition)).select(*map(quoted, spans.columns))
+            spans = spans.where(Predicates(Resolver(spans)).boolean(conjunction(on_span)))
         if on_trace:
-            traces = trace_rollup(whole)
-            ids = traces.where(Predicates(Resolver(traces)).boolean(conjunction(on_trace))).select("trace_id")
+            condition = conjunction(on_trace)
+            traces = trace_rollup(with_root_like(whole, condition))
+            ids = traces.where(Predicates(Resolver(traces)).boolean(condition)).select("trace_id")
             spans = spans.join(ids, "trace_id", "left_semi")
     return spans
 
@@ -155,10 +154,14 @@ def evaluate(spans: DataFrame, query: A.MetricsQuery, window: Range, exemplars:
         from .compare import compare_series
 
         return _second(compare_series(spans, query, window), query.second)
-    spans = filtered(spans, query.stages)
-    for node in (agg.attr, *agg.by):
-        if node is not None:
-            spans = enrich(spans, spans, node)
+    whole = spans
+    asked = [n for n in (agg.attr, *agg.by) if n is not None]
+    for node in (*query.stages, *asked):  # the tree of whole traces, once
+        if needs_tree(node) and "nested_left" not in spans.columns:
+            spans = with_tree(spans)
+    spans = filtered(spans, query.stages, whole)
+    for node in asked:
+        spans = enrich(spans, whole, node)
     predicates = Predicates(Resolver(spans))
     keys: dict[str, Column] = {}
     missing = False
@@ -170,7 +173,7 @@ def evaluate(spans: DataFrame, query: A.MetricsQuery, window: Range, exemplars:
     if agg.attr is not None:
         value = predicates.value(agg.attr)
         missing |= value is None
-    bucket = window.bucket_ms()
+    bucket = window.bucket_ns()
     labels = list(keys)
     rows = spans.select(
         *[c.alias(f"__k{i}") for i, c in enumerate(keys.values())], bucket, "start_ns", "duration_ns", "span_id", "trace_id",
@@ -195,13 +198,14 @@ def evaluate(spans: DataFrame, query: A.MetricsQuery, window: Range, exemplars:
     if agg.fn == "histogram_over_time":
         edge = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("__v"))))
         rows = rows.where("__v > 0").withColumn("__edge", (edge / F.lit(1e9) if seconds else edge))
-        frame = rows.groupBy(*by, "__edge", "bucket_ms").agg(F.count(F.lit(1)).cast("double").alias("value"), *extra)
+        frame = rows.groupBy(*by, "__edge", "bucket_ns").agg(F.count(F.lit(1)).cast("double").alias("value"), *extra)
         frame = frame.withColumn("__bucket", F.col("__edge").cast("string")).drop("__edge")
         out_labels.append("__bucket")
     elif agg.fn == "quantile_over_time":
-        quantiles = F.array(*(F.lit(q) for q in agg.quantiles))
-        found = F.percentile("__v", quantiles)
-        frame = rows.groupBy(*by, "bucket_ms").agg(found.alias("__q"), *extra)
+        group = [*by, "bucket_ns"]
+        frame = exact_quantiles(rows.select(*group, "__v"), group, "__v", list(agg.quantiles), "__q")
+        if exemplars:
+            frame = frame.join(rows.groupBy(*group).agg(*extra), group)
         pairs = F.arrays_zip(F.transform("__q", shown).alias("value"), F.array(*(F.lit(_plain(q)) for q in agg.quantiles)).alias("p"))
         if exemplars:  # the exemplar goes to the quantile nearest to it
             gaps = F.transform(F.col("__q"), lambda q: F.abs(q - F.col("__ex.value")))
@@ -213,7 +217,7 @@ def evaluate(spans: DataFrame, query: A.MetricsQuery, window: Range, exemplars:
             frame = frame.withColumn("__ex", F.when(F.col("__at") + 1 == F.col("__near"), F.col("__ex")))
         out_labels.append("p")
     else:
-        frame = rows.groupBy(*by, "bucket_ms").agg(_aggregate(agg.fn, window, shown, value).alias("value"), *extra)
+        frame = rows.groupBy(*by, "bucket_ns").agg(_aggregate(agg.fn, window, shown, value).alias("value"), *extra)
     if agg.fn in FILLED:
         frame = _fill(frame, by, window, not labels and not missing)
     if exemplars:
@@ -230,7 +234,7 @@ def evaluate(spans: DataFrame, query: A.MetricsQuery, window: Range, exemplars:
     named = [F.col(f"__k{i}").alias(name) for i, name in enumerate(labels)]
     named += [F.col(n) for n in out_labels[len(labels) :]]
     tail = ["ex_trace_id", "ex_ts_ms", "ex_value"] if exemplars else []
-    return _second(Series(frame.select(*named, "bucket_ms", "value", *tail), out_labels, bool(exemplars)), query.second)
+    return _second(Series(frame.select(*named, "bucket_ns", "value", *tail), out_labels, bool(exemplars)), query.second)
 
 
 def _plain(q: float) -> str:
@@ -261,11 +265,11 @@ def _fill(frame: DataFrame, by: list[str], window: Range, always: bool) -> DataF
     """
     if not by and not always:
         return frame
-    rest = [n for n in frame.columns if n not in (*by, "bucket_ms")]
+    rest = [n for n in frame.columns if n not in (*by, "bucket_ns")]
     kinds = {f.name: f.dataType for f in frame.schema.fields}
-    found = frame.groupBy(*by).agg(F.collect_list(F.struct("bucket_ms", *rest)).alias("__found"))
-    missing = F.array_except(window.buckets(), F.transform("__found", lambda x: x["bucket_ms"]))
-    none = F.transform(missing, lambda b: F.struct(b.alias("bucket_ms"), *(F.lit(None).cast(kinds[n]).alias(n) for n in rest)))
+    found = frame.groupBy(*by).agg(F.collect_list(F.struct("bucket_ns", *rest)).alias("__found"))
+    missing = F.array_except(window.buckets(), F.transform("__found", lambda x: x["bucket_ns"]))
+    none = F.transform(missing, lambda b: F.struct(b.alias("bucket_ns"), *(F.lit(None).cast(kinds[n]).alias(n) for n in rest)))
     filled = found.select(*by, F.explode(F.concat("__found", none)).alias("__at")).select(*by, "__at.*")
     return filled.withColumn("value", F.coalesce("value", F.lit(0.0)))
 
@@ -285,7 +289,7 @@ def _second(series: Series, stages: tuple) -> Series:
             continue
         frame = frame.where(F.col("value").isNotNull() & ~F.isnan("value"))
         order = F.desc("value") if stage.fn == "topk" else F.asc("value")
-        rank = F.row_number().over(Window.partitionBy("bucket_ms").orderBy(order, series_key(series.labels)))
+        rank = F.row_number().over(Window.partitionBy("bucket_ns").orderBy(order, series_key(series.labels)))
         frame = frame.withColumn("__rank", rank).where(F.col("__rank") <= stage.n).drop("__rank")
     return Series(frame, series.labels, series.exemplars)
 
@@ -326,16 +330,16 @@ def _join(op: str, left: Series, right: Series) -> Series:
     elif not left.labels or not right.labels:
         labels = left.labels or right.labels
     else:
-        return Series(left.frame.where(F.lit(False)).select(*map(quoted, left.labels), "bucket_ms", "value"), left.labels)
+        return Series(left.frame.where(F.lit(False)).select(*map(quoted, left.labels), "bucket_ns", "value"), left.labels)
     shared = [x for x in labels if x in left.labels and x in right.labels]
     x, y = left.frame.alias("x"), right.frame.alias("y")
-    on = F.col("x.bucket_ms") == F.col("y.bucket_ms")
+    on = F.col("x.bucket_ns") == F.col("y.bucket_ns")
     for name in shared:
         on = on & F.col(f"x.`{name}`").eqNullSafe(F.col(f"y.`{name}`"))
     side = {name: "x" if name in left.labels else "y" for name in labels}
     return Series(
         x.join(y, on).select(
-            *[F.col(f"{side[n]}.`{n}`").alias(n) for n in labels], F.col("x.bucket_ms").alias("bucket_ms"),
+            *[F.col(f"{side[n]}.`{n}`").alias(n) for n in labels], F.col("x.bucket_ns").alias("bucket_ns"),
             _compute(op, F.col("x.value"), F.col("y.value")).alias("value"),
         ),
         labels,
@@ -361,12 +365,12 @@ def _fused(spans: DataFrame, node: A.Math, window: Range) -> Series | None:
         return None
     labels = [label_text(b) for b in node.left.agg.by]
     a, b = (predicates.boolean(e) for e in exprs)
-    bucket = window.bucket_ms()
+    bucket = window.bucket_ns()
     by = [f"__k{i}" for i in range(len(keys))]
     rows = rows.where(a | b).select(*[k.text().alias(n) for k, n in zip(keys, by, strict=True)], bucket, a.alias("__a"), b.alias("__b"))
     for n in by:
         rows = rows.where(F.col(n).isNotNull())
-    frame = rows.groupBy(*by, "bucket_ms").agg(F.count_if("__a").alias("__na"), F.count_if("__b").alias("__nb"))
+    frame = rows.groupBy(*by, "bucket_ns").agg(F.count_if("__a").alias("__na"), F.count_if("__b").alias("__nb"))
     filled = _fill(frame.withColumn("value", F.lit(0.0)), by, window, not by)
     # a series exists on a side only if that side has a span with its labels
     if by:
@@ -378,13 +382,11 @@ def _fused(spans: DataFrame, node: A.Math, window: Range) -> Series | None:
     x, y = F.coalesce("__na", F.lit(0)) / per, F.coalesce("__nb", F.lit(0)) / per
     value = _compute(node.op, x, y)
     named = [F.col(n).alias(name) for n, name in zip(by, labels, strict=True)]
-    out = filled.select(*named, "bucket_ms", value.alias("value")).where("value is not null")
+    out = filled.select(*named, "bucket_ns", value.alias("value")).where("value is not null")
     return Series(out, labels)
 
 
 def _row_only(expr) -> bool:
-    from .search import needs_tree
-
     return not needs_tree(expr)
 
 
@@ -395,7 +397,7 @@ def thin(series: Series, wanted: int) -> Series:
     key = series_key(series.labels)
     some = F.col("ex_trace_id").isNotNull()
     whole = Window.partitionBy(key, some)
-    at = F.row_number().over(whole.orderBy("bucket_ms")) - 1
+    at = F.row_number().over(whole.orderBy("bucket_ns")) - 1
     n = F.count(F.lit(1)).over(whole)
     # i is kept if it is the integer part of k * n / wanted for some k
     kept = (n <= wanted) | (
@@ -406,16 +408,29 @@ def thin(series: Series, wanted: int) -> Series:
     return Series(frame.withColumns(cleared).drop("__keep"), series.labels, True)
 
 
-def capped(series: Series, most: int | None) -> tuple[DataFrame, bool]:
-    """The series of the first ``most`` label keys, and whether some were left out."""
+def capped(series: Series, most: int | None) -> tuple[Series, Observation | None]:
+    """The series of the first ``most`` label keys; what is observed as n when they are read tells if there are more.
+
+    One row per series is kept, ``most`` and one at the most, so the query runs once.
+    """
     if not most:
-        return series.frame, False
-    keyed = series.frame.withColumn("__key", series_key(series.labels))
-    keys = keyed.select("__key").distinct().orderBy("__key").limit(most + 1)
-    rows = [r[0] for r in keys.collect()]  # at most most + 1 keys
-    if len(rows) <= most:
-        return series.frame, False
-    return keyed.where(F.col("__key") < F.lit(rows[-1])).drop("__key"), True
+        return series, None
+    rest = [c for c in series.frame.columns if c not in series.labels]
+    keyed = series.frame.groupBy(series_key(series.labels).alias("__key"), *map(quoted, series.labels))
+    first = keyed.agg(F.collect_list(F.struct(*map(quoted, rest))).alias("__rows")).orderBy("__key").limit(most + 1)
+    seen = Observation()
+    first = first.observe(seen, F.count(F.lit(1)).alias("n"))
+    ranked = first.withColumn("__rank", F.row_number().over(Window.orderBy("__key"))).where(F.col("__rank") <= most)
+    frame = ranked.select(*map(quoted, series.labels), F.inline("__rows"))
+    return Series(frame, series.labels, series.exemplars), seen
+
+
+def shown(series: Series, window: Range) -> DataFrame:
+    """The result's columns: labels, bucket_ms, value and exemplars; bucket_ns too if whole milliseconds don't tell buckets apart."""
+    ms = F.expr("bucket_ns div 1000000").alias("bucket_ms")
+    whole = window.origin_ns == window.start_ns or window.step_ns % 1_000_000 == 0  # a single bucket, or whole steps
+    tail = [c for c in series.frame.columns if c not in (*series.labels, "bucket_ns")]
+    return series.frame.select(*map(quoted, series.labels), ms, *([] if whole else ["bucket_ns"]), *map(quoted, tail))
 
 
 def query_range(spans: DataFrame, query: A.Query, window: Range, exemplars: int = 0) -> Series:
@@ -427,10 +442,11 @@ def query_range(spans: DataFrame, query: A.Query, window: Range, exemplars: int
     return thin(series, wanted)
 
 
-def query_instant(spans: DataFrame, query: A.Query, start_ns: int, end_ns: int) -> Series:
+def query_instant(spans: DataFrame, query: A.Query, start_ns: int, end_ns: int) -> DataFrame:
     """One value per series over exactly the range: a single bucket that begins with it, whatever the function."""
     length = max(1, end_ns - start_ns)
-    series = combine(spans, query.root, Range(start_ns, start_ns + length, length, start_ns), 0)
+    window = Range(start_ns, start_ns + length, length, start_ns)
+    series = combine(spans, query.root, window, 0)
     if isinstance(series, float):
         raise A.QueryError("a query is more than a number")
-    return series
+    return shown(series, window)

@@ -45,10 +45,40 @@ def enrich(spans: DataFrame, whole: DataFrame, node) -> DataFrame:
     if mentions(node, TRACE) and "trace_duration_ns" not in spans.columns:
         spans = spans.join(trace_rollup(whole), "trace_id")
     if needs_tree(node) and "nested_left" not in spans.columns:
-        spans = with_tree(spans)
+        spans = with_tree(spans) if spans is whole else spans.join(nested_sets(whole), ["trace_id", "span_id"])
     return spans
 
 
+#: Values of a trace's root, and the span's own values that they are.
+ROOT = {"rootName": A.Intrinsic("name"), "rootServiceName": A.Attr("resource", "service.name")}
+
+
+def root_like(expr) -> list:
+    """Conditions that a trace's root meets as a span if the trace meets expr: conjuncts on the root's values alone."""
+    if isinstance(expr, A.Binary) and expr.op == "&&":
+        return root_like(expr.left) + root_like(expr.right)
+    asked = {n.name for n in A.walk(expr) if isinstance(n, A.Intrinsic)}
+    attributes = any(isinstance(n, A.Attr) for n in A.walk(expr))
+    if expr is None or attributes or not asked or not asked <= ROOT.keys():
+        return []
+    return [A.replace(expr, lambda n: ROOT.get(n.name, n) if isinstance(n, A.Intrinsic) else n)]
+
+
+def with_root_like(spans: DataFrame, expr) -> DataFrame:
+    """Spans of the traces that can meet a condition on their root: those with any span that would meet it as the root.
+
+    The ids are distinct before they are shuffled. Spark broadcasts them if they are few, or else filters the spans by them
+    before their shuffle.
+    """
+    conditions = root_like(expr)
+    if not conditions:
+        return spans
+    like = F.lit(True)
+    for c in conditions:
+        like = like & Predicates(Resolver(spans)).boolean(c)
+    return spans.join(spans.where(like).select("trace_id").distinct(), "trace_id", "left_semi")
+
+
 class Spansets:
     """Evaluates spanset expressions on spans, adding columns as needed."""
 
@@ -140,11 +170,11 @@ def _scalar(node, spans: DataFrame, spanset) -> Column:
 
 
 def run_stages(spans: DataFrame, stages: tuple, within: Column | None = None) -> DataFrame:
-    """The spans that a pipeline returns, with a column ``spanset`` that by() fills and coalesce() empties.
+    """The spans that a pipeline returns, with a column ``spanset``, a list of values that by() adds to and coalesce() drops.
 
     Only spans for which ``within`` holds can match; others are there for the structure.
     """
-    now = spans if "spanset" in spans.columns else spans.withColumn("spanset", F.lit(None).cast("string"))
+    now = spans if "spanset" in spans.columns else spans.withColumn("spanset", F.lit(None).cast("array<string>"))
     for stage in stages:
         if isinstance(stage, A.SpansetFilter | A.SpansetOp | A.Pipeline):
             made = Spansets(now)
@@ -158,11 +188,10 @@ def run_stages(spans: DataFrame, stages: tuple, within: Column | None = None) ->
         elif isinstance(stage, A.GroupBy):
             value = Predicates(Resolver(now)).value(stage.expr)
             key = value.text() if value is not None else F.lit(None).cast("string")
-            now = now.withColumn(
-                "spanset", F.concat(F.coalesce(F.col("spanset"), F.lit("")), F.lit("|"), F.coalesce(key, F.lit("nil")))
-            )
+            above = F.coalesce("spanset", F.array().cast("array<string>"))
+            now = now.withColumn("spanset", F.concat(above, F.array(key)))
         elif isinstance(stage, A.Coalesce):
-            now = now.withColumn("spanset", F.lit(None).cast("string"))
+            now = now.withColumn("spanset", F.lit(None).cast("array<string>"))
     return now
 
 

@@ -80,16 +80,17 @@ def tag_names_v1(spans: DataFrame) -> DataFrame:
 
 def _matching(spans: DataFrame, query: str) -> DataFrame:
     """Spans that the filters of a search query match; all of them if the query can't be read or isn't a search."""
-    out = spans
     try:
         root = parse(query).root
-        for stage in root.stages if isinstance(root, A.Pipeline) else ():
-            if isinstance(stage, A.SpansetFilter):
-                ready = enrich(out, spans, stage)
-                out = ready.where(Predicates(Resolver(ready)).boolean(stage.expr)).select(*map(quoted, spans.columns))
+        stages = [s for s in (root.stages if isinstance(root, A.Pipeline) else ()) if isinstance(s, A.SpansetFilter)]
+        out = spans
+        for stage in stages:  # values of traces and trees are those of all spans
+            out = enrich(out, spans, stage)
+        for stage in stages:
+            out = out.where(Predicates(Resolver(out)).boolean(stage.expr))
     except A.QueryError:
         return spans
-    return out
+    return out.select(*map(quoted, spans.columns))
 
 
 def tag_values(spans: DataFrame, tag: str, query: str | None = None, limit: int | None = MOST_VALUES) -> DataFrame:
@@ -99,6 +100,7 @@ def tag_values(spans: DataFrame, tag: str, query: str | None = None, limit: int
     event:timeSinceStart aren't listed.
     """
     node = parse_attribute(tag)
+    whole = spans
     if query:
         spans = _matching(spans, query)
     empty = spans.sparkSession.createDataFrame([], "value string, type string, n long")
@@ -108,7 +110,7 @@ def tag_values(spans: DataFrame, tag: str, query: str | None = None, limit: int
         plain = {"rootName": A.Intrinsic("name"), "rootServiceName": A.Attr("resource", "service.name")}
         node = plain.get(node.name, node)
         if node.name in TREE or node.name in TRACE:
-            spans = enrich(spans, spans, node)
+            spans = enrich(spans, whole, node)
     if _is_nested(node):
         if isinstance(node, A.Attr) and node.scope == "link" or "events" not in spans.columns:
             return empty

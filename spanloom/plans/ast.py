@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from dataclasses import dataclass, field
 
 
@@ -155,3 +156,12 @@ def walk(node):
             for child in value if isinstance(value, tuple) else (value,):
                 if hasattr(child, "__dataclass_fields__"):
                     yield from walk(child)
+
+
+def replace(node, change):
+    """The tree with change applied to every node, the leaves first."""
+    if not hasattr(node, "__dataclass_fields__"):
+        return node
+    inner = {n: getattr(node, n) for n in node.__dataclass_fields__}
+    made = {n: tuple(replace(c, change) for c in v) if isinstance(v, tuple) else replace(v, change) for n, v in inner.items()}
+    return change(dataclasses.replace(node, **made))
