@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from spanloom.plans import ast as A
 
+from .variants import at_key
+
 # Fixed values of the data model: resource attributes with a column of their own, and the columns of attribute maps.
 TOP_RESOURCE = (
     "service.name", "service.version", "service.instance.id", "service.namespace", "telemetry.sdk.language",
@@ -119,10 +121,15 @@ class Resolver:
         kind = self.fields.get(flat)
         if kind is not None and not isinstance(kind, T.MapType | T.VariantType):
             return self._column(flat)
+        if isinstance(kind, T.VariantType) and flat != holder:
+            return Value("unknown", read=lambda t: F.try_variant_get(quoted(flat), "$", t))
         kind = self.fields.get(holder)
+        own = self._inside_column(flat)
         if isinstance(kind, T.VariantType):
-            path = '$["' + key.replace("\\", "\\\\").replace('"', '\\"') + '"]'
-            return Value("unknown", read=lambda t: F.try_variant_get(quoted(holder), path, t))
+            read = lambda t: at_key(quoted(holder), key, t)
+            return Value("unknown", read=read if own is None else lambda t: F.coalesce(own.cast(t), read(t)))
+        if own is not None:
+            return own
         if isinstance(kind, T.MapType):
             return Value(
                 "unknown" if isinstance(kind.valueType, T.StringType) else type_of(kind.valueType),
@@ -130,6 +137,16 @@ class Resolver:
             )
         return None
 
+    def _inside_column(self, flat: str) -> Value | None:
+        """A key inside a VARIANT column: attributes.a.b.c may be b.c of attributes.a."""
+        place = flat.rfind(".")
+        while place > 0:
+            column, rest = flat[:place], flat[place + 1 :]
+            if column not in (SPAN_MAP, RESOURCE_MAP) and isinstance(self.fields.get(column), T.VariantType):
+                return Value("unknown", read=lambda t: at_key(quoted(column), rest, t))
+            place = flat.rfind(".", 0, place)
+        return None
+
     def _either(self, first: A.Attr, second: A.Attr) -> Value | None:
         a, b = self.resolve(first), self.resolve(second)
         if a is None or b is None:

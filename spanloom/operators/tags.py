@@ -10,6 +10,7 @@ from spanloom.functions.predicate import Predicates, _is_nested, _item_value
 from spanloom.functions.resolve import (
     RESOURCE_MAP, RESOURCE_PREFIX, SPAN_MAP, SPAN_PREFIX, TOP_RESOURCE, TRACE, TREE, Resolver, quoted,
 )
+from spanloom.functions.variants import flattened
 from spanloom.plans import ast as A
 from spanloom.plans.parser import parse, parse_attribute
 
@@ -36,7 +37,7 @@ def _map_keys(spans: DataFrame, column: str, sampled: int | None) -> DataFrame |
     if isinstance(kind, T.MapType):
         return rows.select(F.explode(F.map_keys("m")).alias("tag"))
     if isinstance(kind, T.VariantType):
-        return rows.select(F.explode(F.map_keys(F.try_variant_get("m", "$", "map<string,variant>"))).alias("tag"))
+        return rows.select(F.explode(F.transform(flattened(F.col("m")), lambda e: e["key"])).alias("tag"))
     return None
 
 
@@ -59,6 +60,10 @@ def tag_names(spans: DataFrame, scope: str | None = None, sampled: int | None =
     for where, holder in (("span", SPAN_MAP), ("resource", RESOURCE_MAP)):
         if (keys := _map_keys(spans, holder, sampled)) is not None:
             found = found.union(keys.select(F.lit(where), "tag"))
+    for prefix, where in ((SPAN_PREFIX, "span"), (RESOURCE_PREFIX, "resource")):
+        for n in flat[where]:
+            if (keys := _map_keys(spans, prefix + n, sampled)) is not None:  # an object in a column of its own
+                found = found.union(keys.select(F.lit(where), F.concat(F.lit(n + "."), "tag")))
     for where, holder in (("event", "events"), ("link", "links")):
         if holder in names:
             rows = _sampled(spans.where(F.size(holder) > 0).select(holder), sampled)

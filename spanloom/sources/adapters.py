@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.functions.resolve import TOP_RESOURCE, quoted
+from spanloom.functions.variants import as_object, flattened, text_of
 
 #: Canonical columns of every spans DataFrame; attribute columns come beside them.
 CANONICAL = {
@@ -137,8 +140,9 @@ def event_time_ns(c: Column, kind: T.DataType) -> Column:
 def otel_as_spans(rows: DataFrame, time: str = "_time") -> DataFrame:
     """Rows of an OpenTelemetry export: known names become canonical columns, others become attributes.
 
-    attributes.* and resource.* stay flat; names that begin with _ are dropped; any other column is a span attribute under
-    its own name. Rows without a trace id or span id, such as logs, are dropped.
+    attributes.* and resource.* stay flat, fields of structs become columns of their own; names that begin with _ are dropped;
+    any other column is a span attribute under its own name. Events and links may be arrays of structs, or VARIANT or JSON text
+    of any fields, one value or an array of them. Rows without a trace id or span id, such as logs, are dropped.
     """
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     get = lambda n, t="string": quoted(n).cast(t) if n in kinds else F.lit(None).cast(t)
@@ -163,37 +167,87 @@ def otel_as_spans(rows: DataFrame, time: str = "_time") -> DataFrame:
         if n in used or (n.startswith("_")):
             continue
         known = n.startswith(("attributes.", "resource.")) or n in TOP_RESOURCE
-        rest[n if known else f"attributes.{n}"] = quoted(n)
+        rest |= _columns(n if known else f"attributes.{n}", quoted(n), kinds[n])
     extra = {}
     if "events" in kinds:
-        extra["events"] = _items("events", kinds["events"].elementType, ("name",), True)
+        extra["events"] = _items("events", kinds["events"], ("name",), True)
     if "links" in kinds:
-        extra["links"] = _items("links", kinds["links"].elementType, ("trace_id", "span_id", "trace_state"), False)
+        extra["links"] = _items("links", kinds["links"], ("trace_id", "span_id", "trace_state"), False)
     made = rows.select(*[c.alias(n) for n, c in (own | rest | extra).items()], error.alias("error"))
     return made.where("trace_id is not null and span_id is not null")
 
 
+def _columns(name: str, value: Column, kind: T.DataType) -> dict[str, Column]:
+    """A column, or one for each field of a struct, names joined by dots."""
+    if not isinstance(kind, T.StructType):
+        return {name: value}
+    out = {}
+    for f in kind.fields:
+        out |= _columns(f"{name}.{f.name}", value.getField(f.name), f.dataType)
+    return out
+
+
+#: Whole seconds around a range that time zones of texts without one, or of local timestamps, may shift.
+ZONES = 26 * 3600
+
+
 class OtelSource:
     """Rows of an OpenTelemetry export as a source of spans whose range and trace id reach the scan.
 
-    Ranges are put on the time column itself if it is a timestamp. Trace ids are if ``canonical_ids``, which says that the
-    export holds them as 32 digits in lower case; otherwise they are compared after the adapter has padded them.
+    Ranges are put on the time column itself: on timestamps; on whole numbers, as bounds in each unit that their size may
+    tell; on texts if ``dated_text`` says that all are RFC 3339. ``date`` names a column, best a partition's, with the day of the
+    time in UTC, as a date or as YYYY-MM-DD (see with_date). Such filters only narrow the scan; the exact limits are put on
+    the spans. Trace ids are put there if ``canonical_ids``, which says that the export holds them as 32 digits in lower
+    case; otherwise they are compared after the adapter has padded them.
     """
 
-    def __init__(self, rows: DataFrame, time: str = "_time", canonical_ids: bool = False):
-        self.rows, self.time, self.canonical_ids = rows, time, canonical_ids
+    def __init__(self, rows: DataFrame, time: str = "_time", canonical_ids: bool = False, date: str | None = None, dated_text: bool = False):
+        self.rows, self.time, self.canonical_ids, self.date, self.dated_text = rows, time, canonical_ids, date, dated_text
 
     def spans(self, start_ns: int | None = None, end_ns: int | None = None, trace_id: str | None = None) -> DataFrame:
-        rows = self.rows
-        if isinstance(rows.schema[self.time].dataType, T.TimestampType):
-            # whole microseconds around the range; the exact limits are put on the result
-            if start_ns is not None:
-                rows = rows.where(quoted(self.time) >= F.timestamp_micros(F.lit(start_ns // 1000)))
-            if end_ns is not None:
-                rows = rows.where(quoted(self.time) <= F.timestamp_micros(F.lit(-(-end_ns // 1000))))
+        rows = self.rows.where(self._near(start_ns, end_ns))
         if trace_id is not None and self.canonical_ids:
             rows = rows.where(quoted("trace_id") == trace_id)
-        return otel_as_spans(rows, self.time)
+        return otel_as_spans(rows.drop(self.date) if self.date else rows, self.time)
+
+    def _near(self, start_ns: int | None, end_ns: int | None) -> Column:
+        """A condition that all rows of the range meet, and few others."""
+        if start_ns is None and end_ns is None:
+            return F.lit(True)
+        kind, c = self.rows.schema[self.time].dataType, quoted(self.time)
+        found = F.lit(True)
+        if isinstance(kind, T.TimestampType):
+            stamp = lambda ns: F.timestamp_micros(F.lit(ns))
+            found = _bounds(c, start_ns, end_ns, 1000, 0, stamp)
+        elif isinstance(kind, T.TimestampNTZType):
+            local = lambda us: F.lit(dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us))
+            found = _bounds(c, start_ns, end_ns, 1000, ZONES * 10**6, local)
+        elif isinstance(kind, T.IntegralType):
+            found = F.lit(False)
+            for unit in (10**9, 10**6, 1000, 1):
+                found = found | _bounds(c, start_ns, end_ns, unit, 0, lambda n: F.lit(n).cast("bigint"))
+        elif isinstance(kind, T.StringType) and self.dated_text:
+            found = _bounds(c, start_ns, end_ns, 10**9, ZONES, lambda s: F.lit(_day(s)), after=86_400)
+        if self.date is not None:
+            day = (lambda s: F.lit(_day(s))) if isinstance(self.rows.schema[self.date].dataType, T.StringType) else lambda s: F.lit(_day(s)).cast("date")
+            found = found & _bounds(quoted(self.date), start_ns, end_ns, 10**9, 0, day)
+        return found
+
+
+def _day(seconds: int) -> str:
+    return (dt.date(1970, 1, 1) + dt.timedelta(days=seconds // 86_400)).isoformat()
+
+
+def _bounds(c: Column, start_ns: int | None, end_ns: int | None, unit: int, around: int, literal, after: int = 0) -> Column:
+    """c between the range's limits in a unit, widened by ``around`` on both sides and ``after`` at the end."""
+    found = F.lit(True) if start_ns is None else c >= literal(start_ns // unit - around)
+    return found if end_ns is None else found & (c <= literal(-(-end_ns // unit) + around + after))
+
+
+def with_date(rows: DataFrame, time: str = "_time", name: str = "date") -> DataFrame:
+    """rows with the day of their time in UTC, to partition a table by."""
+    days = F.floor(event_time_ns(quoted(time), rows.schema[time].dataType) / (86_400 * 10**9))
+    return rows.withColumn(name, F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int")))
 
 
 # Spellings of the fields of events and links in exports.
@@ -203,12 +257,55 @@ ITEM_FIELDS = {
 ITEM_TIMES = ("timestamp", "time", "time_unix_nano", "timeunixnano", "_time", "time_ns")
 
 
+#: Fields of events and links that aren't attributes.
+DROPPED = ("dropped_attributes_count", "droppedattributescount")
+
+
 def _items(column: str, kind: T.DataType, texts: tuple[str, ...], timed: bool) -> Column:
     """Events or links with canonical fields; unknown fields join the attributes."""
+    inner = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    if isinstance(inner, T.StructType):
+        return _struct_items(column, inner, texts, timed)
+    whole = quoted(column)
+    if isinstance(kind, T.ArrayType) and isinstance(inner, T.VariantType):
+        items = whole
+    elif isinstance(kind, T.ArrayType):
+        items = F.transform(whole, (lambda x: F.try_parse_json(x)) if isinstance(inner, T.StringType) else lambda x: F.try_parse_json(F.to_json(x)))
+    else:
+        v = whole if isinstance(kind, T.VariantType) else F.try_parse_json(whole.cast("string"))
+        one = F.when(as_object(v).isNotNull(), F.array(v))
+        items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), one)
+    return F.transform(F.filter(items, lambda e: as_object(e).isNotNull()), lambda e: _variant_item(e, texts, timed))
+
+
+def _variant_item(e: Column, texts: tuple[str, ...], timed: bool) -> Column:
+    """An event or link of any fields, in any case; nested objects join the attributes under dotted keys."""
+    entries = as_object(e)
+
+    def field(names: tuple[str, ...]) -> Column:
+        found = F.filter(entries, lambda x: F.lower(x["key"]).isin(*names))
+        return F.try_variant_get(F.try_element_at(found, F.lit(1))["value"], "$", "string")
+
+    out = [field(ITEM_FIELDS[t]).alias(t) for t in texts]
+    if timed:
+        out.append(event_time_ns(field(ITEM_TIMES), T.StringType()).alias("time_ns"))
+    known = [*(a for t in texts for a in ITEM_FIELDS[t]), *(ITEM_TIMES if timed else ()), *DROPPED]
+    # what stands under attributes goes by its own keys, and all other fields by theirs
+    inner = F.transform(flattened(e), lambda x: F.struct(
+        F.regexp_replace(x["key"], r"^(?i:attributes)\.", "").alias("key"), text_of(x["value"]).alias("value"), x["key"].alias("path"),
+    ))
+    kept = F.filter(inner, lambda x: ~F.lower(x["path"]).isin(*known) & (F.lower(x["path"]) != "attributes") & x["value"].isNotNull())
+    names = F.array_distinct(F.transform(kept, lambda x: x["key"]))
+    first = F.transform(names, lambda k: F.element_at(F.filter(kept, lambda x: x["key"] == k), 1)["value"])
+    out.append(F.coalesce(F.map_from_arrays(names, first), F.create_map().cast("map<string,string>")).alias("attributes"))
+    return F.struct(*out)
+
+
+def _struct_items(column: str, kind: T.StructType, texts: tuple[str, ...], timed: bool) -> Column:
     fields = {f.name.lower(): f for f in kind.fields}
     alias = ITEM_FIELDS
     times = [n for n in ITEM_TIMES if n in fields]
-    used = {a for t in texts for a in alias[t]} | set(times) | {"attributes"}
+    used = {a for t in texts for a in alias[t]} | set(times) | {"attributes", *DROPPED}
 
     def one(e: Column) -> Column:
         out = []
