@@ -1,8 +1,9 @@
 """Exact quantiles of groups of any size, by radix selection.
 
-Values become whole numbers of the same order, 64 bits each. Of each group the values are counted by their leading 16 bits;
-the bins that hold a wanted rank are kept and counted by the next 16 bits, and so on. So a task never holds more of a group
-than 65,536 counts, and no list of its values. Distinct values are counted once, in one shuffle that all passes share.
+Values become whole numbers of the same order, 64 bits each. Of each group the values are counted by their leading bits; the
+bins that hold a wanted rank are kept and counted by the next bits, and so on, in three passes. So a task sorts no more of a
+group than the counts of one pass, and holds no list of its values. Distinct values are counted once, in one shuffle that all
+passes share.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BITS, PASSES = 16, 4
+#: Bits that a pass counts by, and those below them.
+PASSES = ((22, 42), (21, 21), (21, 0))
 #: In how many parts a bin's values are joined, so that a bin that holds most of a group isn't one task's.
 PARTS = 32
 LARGEST = (1 << 63) - 1
@@ -34,19 +36,17 @@ def ordered_key(v: Column, kind: T.DataType) -> Column:
 
 def _bin(level: int) -> Column:
     """The bits of a key that a pass counts by; the first keep the sign, so that all bins ascend with the key."""
-    down = 64 - BITS * (level + 1)
-    return F.shiftright("__key", down) if level == 0 else F.shiftright("__key", down).bitwiseAND(F.lit((1 << BITS) - 1))
+    bits, below = PASSES[level]
+    top = F.shiftright("__key", below)
+    return top if level == 0 else top.bitwiseAND(F.lit((1 << bits) - 1))
 
 
 def _within(counts: DataFrame, path: list[str], order: str, wanted: Column) -> DataFrame:
-    """Counts (path, order, n) with the wanted ranks that fall in each, as (at, rank in it); others are left out.
-
-    ``wanted`` are (at, rank) in the rows of a path, by the number of rows before and, for the first pass, their total.
-    """
+    """Counts (path, order, n) with those of the wanted (at, rank, weight) that fall in each, ranked in it; others are left out."""
     before = Window.partitionBy(*path).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("__wanted", wanted)
     inside = F.filter("__wanted", lambda w: (w["rank"] >= F.col("__before")) & (w["rank"] < F.col("__before") + F.col("n")))
-    inside = F.transform(inside, lambda w: F.struct(w["at"].alias("at"), (w["rank"] - F.col("__before")).alias("rank")))
+    inside = F.transform(inside, lambda w: F.struct(w["at"].alias("at"), (w["rank"] - F.col("__before")).alias("rank"), w["weight"].alias("weight")))
     return placed.withColumn("__wanted", inside).where(F.size("__wanted") > 0).drop("__before", "n")
 
 
@@ -59,34 +59,32 @@ def quantiles(rows: DataFrame, by: list[str], value: str, asked: list[float], na
         return quantiles(rows.withColumn("__all", F.lit(0)), ["__all"], value, asked, name).drop("__all")
     held = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
     held = held.withColumn("__key", ordered_key(F.col(value), rows.schema[value].dataType))
-    ranks = lambda total, q: (F.floor(F.lit(q) * (total - 1)), F.ceil(F.lit(q) * (total - 1)))
-    total = F.sum("n").over(Window.partitionBy(*by))
-    wanted = F.array(*(
-        F.struct(F.lit(2 * i + j).alias("at"), r.cast("bigint").alias("rank")) for i, q in enumerate(asked) for j, r in enumerate(ranks(total, q))
-    ))
-    bins = [f"__bin{i}" for i in range(PASSES - 1)]
+    last = F.sum("n").over(Window.partitionBy(*by)) - 1
+    wanted = []
+    for i, q in enumerate(asked):
+        place = F.lit(q) * last
+        low, high = F.floor(place), F.ceil(place)
+        for j, (rank, weight) in enumerate(((low, high - place), (high, place - low))):
+            wanted.append(F.struct(F.lit(2 * i + j).alias("at"), rank.cast("bigint").alias("rank"), weight.cast("double").alias("weight")))
+    bins = [f"__bin{i}" for i in range(len(PASSES) - 1)]
     for i, b in enumerate(bins):
         held = held.withColumn(b, _bin(i))
-    kept = _within(held.groupBy(*by, bins[0]).agg(F.sum("n").alias("n")), by, bins[0], wanted)
-    for i in range(1, PASSES):
+    kept = _within(held.groupBy(*by, bins[0]).agg(F.sum("n").alias("n")), by, bins[0], F.array(*wanted))
+    for i in range(1, len(PASSES)):
         path = [*by, *bins[:i]]
         part = F.pmod(F.xxhash64("__key"), F.lit(PARTS)).alias("__part")
         parts = kept.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)).cast("array<bigint>")))
         found = held.withColumn("__part", part).join(parts, [*path, "__part"])
-        if i < PASSES - 1:
+        if i < len(PASSES) - 1:
             counts = found.groupBy(*path, "__wanted", bins[i]).agg(F.sum("n").alias("n"))
             kept = _within(counts, path, bins[i], F.col("__wanted"))
         else:
             kept = _within(found.select(*path, "__wanted", "__key", value, "n"), path, "__key", F.col("__wanted"))
-    each = kept.select(*by, F.col(value).alias("__v"), F.explode("__wanted.at").alias("__at"))
-    picked = [F.max(F.when(F.col("__at") == k, F.col("__v"))).alias(f"__v{k}") for k in range(2 * len(asked))]
-    totals = held.groupBy(*by).agg(F.sum("n").alias("__total"))
-    out = each.groupBy(*by).agg(*picked).join(totals, by)
+    each = kept.select(*by, F.col(value).alias("__v"), F.explode("__wanted").alias("__w"))
+    pick = lambda k, c: F.max(F.when(F.col("__w.at") == k, F.col(c)))
 
-    def between(i: int, q: float) -> Column:
-        low, high = F.col(f"__v{2 * i}"), F.col(f"__v{2 * i + 1}")
-        place = F.lit(q) * (F.col("__total") - 1)
-        share = (F.ceil(place) - place) * low.cast("double") + (place - F.floor(place)) * high.cast("double")
-        return F.when(low == high, low.cast("double")).otherwise(share)
+    def between(i: int) -> Column:
+        (low, a), (high, b) = ((pick(k, "__v"), pick(k, "__w.weight")) for k in (2 * i, 2 * i + 1))
+        return F.when(low == high, low.cast("double")).otherwise(a * low.cast("double") + b * high.cast("double"))
 
-    return out.select(*by, F.array(*(between(i, q) for i, q in enumerate(asked))).alias(name))
+    return each.groupBy(*by).agg(F.array(*(between(i) for i in range(len(asked)))).alias(name))

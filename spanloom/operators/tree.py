@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import PandasUDFType
+
+from spanloom.functions.resolve import quoted
 
 SCHEMA = (
     "trace_id string, span_id string, nested_left int, nested_right int, nested_parent int, child_count int"
@@ -92,5 +98,27 @@ def nested_sets(spans: DataFrame) -> DataFrame:
     return ordered.mapInPandas(run, SCHEMA)
 
 
+NUMBERS = "struct<nested_left: int, nested_right: int, nested_parent: int, child_count: int>"
+
+
+def _number_rows(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    """The numbers of rows in trace order, for each row; rows that repeat an id have the same."""
+    names = ["trace_id", "span_id", "parent_span_id", "start_ns"]
+    for pdf in _whole_traces(pd.concat(c, axis=1, keys=names) for c in columns if len(c[0])):
+        found = number_spans(pdf)
+        if len(found) < len(pdf):
+            found = pdf[["trace_id", "span_id"]].merge(found, "left", ["trace_id", "span_id"])
+        yield found.drop(columns=["trace_id", "span_id"])
+
+
 def with_tree(spans: DataFrame) -> DataFrame:
-    return spans.join(nested_sets(spans), ["trace_id", "span_id"])
+    """spans with the numbers of nested_sets, by one shuffle.
+
+    The numbers are a column that is computed over the sorted rows of a partition: workers see four columns of them, and all
+    others wait in Spark, on disk if need be, until the trace is numbered. The column isn't deterministic to Spark, which
+    therefore puts no filter below it.
+    """
+    ordered = spans.repartition("trace_id").sortWithinPartitions("trace_id", "start_ns", "span_id")
+    numbers = F.pandas_udf(_number_rows, NUMBERS, PandasUDFType.SCALAR_ITER).asNondeterministic()
+    made = ordered.withColumn("__tree", numbers("trace_id", "span_id", "parent_span_id", "start_ns"))
+    return made.select(*map(quoted, spans.columns), "__tree.*")
