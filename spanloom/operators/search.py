@@ -195,13 +195,31 @@ def run_stages(spans: DataFrame, stages: tuple, within: Column | None = None) ->
     return now
 
 
+def conjuncts(expr) -> list:
+    if isinstance(expr, A.Binary) and expr.op == "&&":
+        return conjuncts(expr.left) + conjuncts(expr.right)
+    return [] if expr is None else [expr]
+
+
+def _own(expr, predicates: Predicates) -> Column:
+    """What a filter asks of a span's own row: the conjuncts that ask nothing of the trace or its tree."""
+    out = F.lit(True)
+    for c in conjuncts(expr):
+        out = out if mentions(c, (*TRACE, *TREE)) else out & predicates.boolean(c)
+    return out
+
+
 def trace_needs(node, predicates: Predicates) -> Column | None:
     """What a trace must have for a spanset expression to match any of its spans, as an aggregate over its spans.
 
-    None where nothing follows from single spans, as with negated relations of no left side.
+    Conditions on the root alone ask for a span that would meet them as the root. None where nothing follows from single
+    spans, as with negated relations of no left side.
     """
     if isinstance(node, A.SpansetFilter):
-        return None if mentions(node, (*TRACE, *TREE)) else F.max(predicates.boolean(node.expr))
+        like = F.lit(True)
+        for c in root_like(node.expr):
+            like = like & predicates.boolean(c)
+        return F.max(_own(node.expr, predicates)) & F.max(like)
     if isinstance(node, A.Pipeline):
         return trace_needs(node.stages[0], predicates)
     if not isinstance(node, A.SpansetOp):
@@ -214,6 +232,10 @@ def trace_needs(node, predicates: Predicates) -> Column | None:
     return right if left is None else left if right is None else left & right
 
 
+def _filters(node) -> list:
+    return [n.expr for n in A.walk(node) if isinstance(n, A.SpansetFilter)]
+
+
 def candidates(spans: DataFrame, root: A.Pipeline) -> DataFrame:
     """Spans of the traces that can match a pipeline's first stage: one partial aggregation and a semi-join, before any
     tree is numbered."""
@@ -224,15 +246,55 @@ def candidates(spans: DataFrame, root: A.Pipeline) -> DataFrame:
     return spans.join(traces, "trace_id", "left_semi")
 
 
+#: Parts of the range of starts by which a budget is cut; their sums are the rows of one small table.
+PARTS = 4096
+
+
+def within_budget(spans: DataFrame, query: A.Query, most: int, within: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Spans of the candidate traces that come first, whole traces only, ``most`` spans together at the most; and the
+    candidates, trace_id and fits.
+
+    Candidates go by the latest start of their first span that a filter can match. The first trace that doesn't fit ends the
+    row: it and all after it are left out. The prefix sum has two levels: parts of the range of starts are summed, and only in
+    the part where the budget ends are traces put in order.
+    """
+    root = query.root
+    if not isinstance(root, A.Pipeline):
+        raise A.QueryError("a metrics query has no spans; use metrics()")
+    predicates = Predicates(Resolver(spans))
+    matches = F.lit(False)
+    for expr in _filters(root.stages[0]):
+        matches = matches | _own(expr, predicates)
+    if within is not None:
+        matches = matches & within
+    needed = trace_needs(root.stages[0], predicates)
+    traces = spans.groupBy("trace_id").agg(
+        F.min(F.when(matches, F.col("start_ns"))).alias("first"), F.count(F.lit(1)).alias("n"), (F.lit(True) if needed is None else needed).alias("needed")
+    ).where("needed and first is not null").drop("needed")
+    ends = traces.agg(F.min("first").alias("low"), F.max("first").alias("high"))  # one row
+    part = F.floor((F.col("high") - F.col("first")).cast("double") / (F.col("high") - F.col("low") + 1) * PARTS)
+    parted = traces.join(F.broadcast(ends)).withColumn("part", part).drop("low", "high")
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    sums = parted.groupBy("part").agg(F.sum("n").alias("all")).withColumn("through", F.sum("all").over(order))
+    sums = sums.select("part", "through", (F.col("through") - F.col("all")).alias("before"))
+    placed = parted.join(F.broadcast(sums), "part")  # PARTS rows at the most
+    cut = (F.col("before") <= most) & (F.col("through") > most)
+    inner = Window.partitionBy("part").orderBy(F.desc("first"), "trace_id").rowsBetween(Window.unboundedPreceding, 0)
+    split = placed.where(cut).withColumn("fits", F.col("before") + F.sum("n").over(inner) <= most)
+    marked = placed.where(~cut).withColumn("fits", F.col("through") <= most).unionByName(split).select("trace_id", "fits")
+    return spans.join(marked.where("fits").select("trace_id"), "trace_id", "left_semi"), marked
+
+
 def matching_spans(spans: DataFrame, query: A.Query, within: Column | None = None, prefilter: bool = False) -> DataFrame:
     """All spans that a search query matches, with every column and their spanset.
 
-    With ``prefilter``, traces that can't match are left out first, which pays where conditions are selective.
+    With ``prefilter``, traces that can't match are left out first, which pays where conditions are selective; conditions on
+    the root alone always narrow so.
     """
     root = query.root
     if not isinstance(root, A.Pipeline):
         raise A.QueryError("a metrics query has no spans; use metrics()")
-    if prefilter:
+    if prefilter or any(root_like(e) for e in _filters(root.stages[0])):
         spans = candidates(spans, root)
     return run_stages(enrich(spans, spans, root), root.stages, within)
 

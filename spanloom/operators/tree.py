@@ -12,6 +12,8 @@ from pyspark.sql.pandas.functions import PandasUDFType
 
 from spanloom.functions.resolve import quoted
 
+from .tour import checkpointed, large_traces, tour_sets
+
 SCHEMA = (
     "trace_id string, span_id string, nested_left int, nested_right int, nested_parent int, child_count int"
 )
@@ -86,8 +88,32 @@ def _whole_traces(batches):
         yield pd.concat(held, ignore_index=True)
 
 
+#: A session's setting: traces of more spans than this are numbered over the cluster. Where it is set, traces are measured.
+LARGEST = "spanloom.largestTrace"
+
+
+def _apart(spans: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Spans of the traces that one task numbers, and of those that are too large for it, if any."""
+    most = spans.sparkSession.conf.get(LARGEST, None)
+    if most is None:
+        return spans, None
+    large = checkpointed(large_traces(spans, int(most)))
+    if large.isEmpty():
+        return spans, None
+    return spans.join(large, "trace_id", "left_anti"), spans.join(large, "trace_id", "left_semi")
+
+
 def nested_sets(spans: DataFrame) -> DataFrame:
-    """One row per distinct (trace_id, span_id). One shuffle by trace; a task holds one batch and the trace at its end."""
+    """One row per distinct (trace_id, span_id). One shuffle by trace; a task holds one batch and the trace at its end.
+
+    Where LARGEST is set, larger traces are ranked over the cluster, see tour.tour_sets.
+    """
+    spans, large = _apart(spans)
+    found = _nested_sets(spans)
+    return found if large is None else found.union(tour_sets(large))
+
+
+def _nested_sets(spans: DataFrame) -> DataFrame:
     keys = spans.select("trace_id", "span_id", "parent_span_id", "start_ns")
     ordered = keys.repartition("trace_id").sortWithinPartitions("trace_id", "start_ns", "span_id")
 
@@ -118,7 +144,9 @@ def with_tree(spans: DataFrame) -> DataFrame:
     others wait in Spark, on disk if need be, until the trace is numbered. The column isn't deterministic to Spark, which
     therefore puts no filter below it.
     """
+    spans, large = _apart(spans)
     ordered = spans.repartition("trace_id").sortWithinPartitions("trace_id", "start_ns", "span_id")
     numbers = F.pandas_udf(_number_rows, NUMBERS, PandasUDFType.SCALAR_ITER).asNondeterministic()
     made = ordered.withColumn("__tree", numbers("trace_id", "span_id", "parent_span_id", "start_ns"))
-    return made.select(*map(quoted, spans.columns), "__tree.*")
+    made = made.select(*map(quoted, spans.columns), "__tree.*")
+    return made if large is None else made.unionByName(large.join(tour_sets(large), ["trace_id", "span_id"]))

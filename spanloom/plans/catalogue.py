@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from spanloom.engine import TraceEngine
 from spanloom.operators import rollup, tags, tree
-from spanloom.sources.adapters import events_as_spans, orders_as_spans
+from spanloom.sources.adapters import events_as_export, events_as_spans, orders_as_spans, otel_as_spans
+from spanloom.streaming.red import red_metrics
 
 DAY = 86_400_000_000_000
 #: 2024-01-01 to 2024-01-31, day buckets.
 START, END = 1_704_067_200_000_000_000, 1_706_659_200_000_000_000
-#: A range within the orders' dates, in buckets of 28 days; o_rate_all and o_quantile_all take all of them.
+#: Orders are counted in buckets of 28 days, over the range that their table has.
 O_STEP = 28 * DAY
-O_START, O_END = 694_224_000_000_000_000 // O_STEP * O_STEP, 915_148_800_000_000_000 // O_STEP * O_STEP + O_STEP
 
 ADAPTERS = {"E": events_as_spans, "O": orders_as_spans}
 
@@ -159,6 +159,18 @@ SELECT trace_id FROM spans GROUP BY 1 HAVING max(start_ns + duration_ns) - min(s
                         + _filled(RATE, "status = 'error' AND trace_id IN (SELECT trace_id FROM t)")),
     "m_absent": ("E", "{ span.missing != 3 || span.k = 2 } | count_over_time() by (name)", ", " + _filled(COUNT, "k = 2", {"name": "name"})),
     "m_roots": ("E", "{ nestedSetParent < 0 } | count_over_time() by (name)", ", " + _filled(COUNT, "parent_span_id IS NULL", {"name": "name"})),
+    "m_by_root": ("E", "{ status = error } | count_over_time() by (rootName)", """, t AS (
+SELECT trace_id, min_by(name, struct_pack(c := (parent_span_id IS NOT NULL)::INT, s := start_ns, i := span_id)) AS root FROM spans GROUP BY 1),
+r AS (SELECT * FROM spans JOIN t USING (trace_id)), """ + _filled(COUNT, "status = 'error'", {"rootName": "root"}).replace("FROM spans", "FROM r")),
+    "m_trace_value": ("E", "{ status = error } | max_over_time(traceDuration)", f""", t AS (
+SELECT trace_id, max(start_ns + duration_ns) - min(start_ns) AS d FROM spans GROUP BY 1)
+SELECT {B}, max(d)::DOUBLE / 1e9 AS value FROM spans JOIN t USING (trace_id) WHERE status = 'error' AND {INSIDE} GROUP BY 1"""),
+    "m_chained_tree": ("E", "{ status = error } | { childCount > 1 } | count_over_time()", ", " + _filled(
+        COUNT, "status = 'error' AND (SELECT count(*) FROM spans c WHERE c.trace_id = spans.trace_id AND c.parent_span_id = spans.span_id) > 1")),
+    "m_root_narrowed": ("E", '{ rootName = "view" && rootServiceName != "svc-1" && traceDuration > 1d } | count_over_time()', """, t AS (
+SELECT trace_id, min_by(struct_pack(n := name, v := service_name), struct_pack(c := (parent_span_id IS NOT NULL)::INT, s := start_ns, i := span_id)) AS root,
+  max(start_ns + duration_ns) - min(start_ns) AS d FROM spans GROUP BY 1), """
+                        + _filled(COUNT, "trace_id IN (SELECT trace_id FROM t WHERE root.n = 'view' AND root.v <> 'svc-1' AND d > 86400000000000)")),
     "m_structural": ("E", '{ name = "view" } >> { status = error } | count_over_time()', f""", RTREE, f AS (
 SELECT DISTINCT d.trace_id, d.span_id FROM closure c JOIN s a ON a.trace_id = c.trace_id AND a.span_id = c.up AND a.name = 'view'
 JOIN s d ON d.trace_id = c.trace_id AND d.span_id = c.down AND d.status = 'error'), """
@@ -269,7 +281,8 @@ def whole(spans: DataFrame) -> tuple[int, int]:
 
 
 def m_instant(spark, sf_dir: str) -> DataFrame:
-    return TraceEngine(events_as_spans(spark, sf_dir)).instant("{} | count_over_time() by (name)", START + 3 * DAY + 5, END - DAY)
+    """An unaligned range around the month that holds every event."""
+    return TraceEngine(events_as_spans(spark, sf_dir)).instant("{} | count_over_time() by (name)", START - 5, END + 7)
 
 
 def m_instant_all(spark, sf_dir: str) -> DataFrame:
@@ -281,7 +294,7 @@ def m_instant_all(spark, sf_dir: str) -> DataFrame:
 
 def m_instant_event(spark, sf_dir: str) -> DataFrame:
     made = TraceEngine(events_as_spans(spark, sf_dir))
-    return made.instant("{ event:timeSinceStart < 1s } | count_over_time() by (name)", START + 3 * DAY + 5, END - DAY)
+    return made.instant("{ event:timeSinceStart >= 1s } | count_over_time() by (name)", START - 5, END + 7)
 
 
 def m_default_step(spark, sf_dir: str) -> DataFrame:
@@ -410,11 +423,13 @@ def e_service_stats(spark, sf_dir: str) -> DataFrame:
 
 
 def o_rate(spark, sf_dir: str) -> DataFrame:
-    return TraceEngine(orders_as_spans(spark, sf_dir)).metrics("{ status = ok } | rate() by (name)", O_START, O_END, O_STEP)
+    spans = orders_as_spans(spark, sf_dir)
+    return TraceEngine(spans).metrics("{ status != error } | rate() by (resource.service.name)", *whole(spans), O_STEP)
 
 
 def o_quantile(spark, sf_dir: str) -> DataFrame:
-    made = TraceEngine(orders_as_spans(spark, sf_dir)).metrics("{ span.quantity > 10 } | quantile_over_time(duration, 0.5, 0.9)", O_START, O_END, O_STEP)
+    spans = orders_as_spans(spark, sf_dir)
+    made = TraceEngine(spans).metrics("{ span.quantity > 10 } | quantile_over_time(span.quantity, 0.25, 0.75) by (name)", *whole(spans), O_STEP)
     return made.withColumn("value", F.round("value", 9))
 
 
@@ -434,6 +449,75 @@ def o_child(spark, sf_dir: str) -> DataFrame:
     return made.select("trace_id", "span_id")
 
 
+def m_step_fraction(spark, sf_dir: str) -> DataFrame:
+    """Steps of one and a half milliseconds."""
+    return TraceEngine(events_as_spans(spark, sf_dir)).metrics("{} | max_over_time(duration) by (name)", START, END, 1_500_000)
+
+
+def m_series_cap(spark, sf_dir: str) -> DataFrame:
+    made = TraceEngine(events_as_spans(spark, sf_dir), max_series=3)
+    return made.metrics("{} | count_over_time() by (name, kind)", START, END, DAY)
+
+
+def s_by_null(spark, sf_dir: str) -> DataFrame:
+    """Groups by a name that some spans don't have and others have as the text nil."""
+    name = F.when(F.col("name") == "view", "nil").when(F.col("name") != "click", F.col("name"))
+    spans = events_as_spans(spark, sf_dir).withColumn("name", name)
+    return TraceEngine(spans).spans_of("{} | by(name) | count() > 4").select("trace_id", "span_id")
+
+
+def s_budget(spark, sf_dir: str) -> DataFrame:
+    """Whole traces of 700 spans together at the most."""
+    made = TraceEngine(events_as_spans(spark, sf_dir), max_spans=700)
+    return made.search("{ status = error && duration > 50ms }", limit=10_000, spss=0).select("trace_id", "span_id", "matched")
+
+
+def g_trace_values(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(events_as_spans(spark, sf_dir)).tag_values("traceDuration", "{ status = error }", limit=None)
+
+
+def g_intrinsics(spark, sf_dir: str) -> DataFrame:
+    """The intrinsic tags of which the events' spans have values, and how many different ones."""
+    made = TraceEngine(events_as_spans(spark, sf_dir))
+    names = [r.tag for r in made.tags("intrinsic").collect()]  # a fixed list
+    each = [made.tag_values(n, limit=None).select(F.lit(n).alias("tag"), "value") for n in names]
+    found = each[0]
+    for df in each[1:]:
+        found = found.union(df)
+    return found.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _export(spark, sf_dir: str) -> DataFrame:
+    return otel_as_spans(events_as_export(spark, sf_dir))
+
+
+def a_spans(spark, sf_dir: str) -> DataFrame:
+    return _export(spark, sf_dir).select("trace_id", "span_id", "start_ns", "duration_ns", "kind", "status")
+
+
+def a_events(spark, sf_dir: str) -> DataFrame:
+    return _export(spark, sf_dir).select("span_id", F.inline("events")).select(
+        "span_id", "name", "time_ns", F.try_element_at("attributes", F.lit("exception.type")).alias("exc")
+    )
+
+
+def f_flag(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(_export(spark, sf_dir)).spans_of("{ span.flag }").select("trace_id", "span_id")
+
+
+def f_nested_key(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(_export(spark, sf_dir)).spans_of("{ span.a.k >= 4 && event.exception.type = nil }").select("trace_id", "span_id")
+
+
+def g_nested_tags(spark, sf_dir: str) -> DataFrame:
+    return TraceEngine(_export(spark, sf_dir)).tags().where("scope <> 'intrinsic'")
+
+
+def r_red(spark, sf_dir: str) -> DataFrame:
+    """The plan of the streaming metrics over a table."""
+    return red_metrics(events_as_spans(spark, sf_dir), "{ kind != client } | rate() by (resource.service.name)", "1 hour")
+
+
 def o_rollup(spark, sf_dir: str) -> DataFrame:
     return rollup.trace_rollup(orders_as_spans(spark, sf_dir))
 
@@ -444,23 +528,22 @@ CALLS: dict[str, Callable] = {
         m_instant, m_instant_all, m_instant_event, m_default_step, m_hints, m_compare_time, t_descendant_prefiltered, s_window,
         s_services, g_tags_v1, g_root_values, x_otlp_resources, m_exemplars, m_exemplars_thin, m_compare, t_nested_sets, s_select_rank, s_legacy_tags, g_tags, g_values,
         g_values_filtered, g_values_status, g_event_values, x_trace_by_id, x_otlp, e_spans, e_rollup, e_service_stats, o_rate,
-        o_quantile, o_rate_all, o_quantile_all, o_child, o_rollup,
+        o_quantile, o_rate_all, o_quantile_all, o_child, o_rollup, m_step_fraction, m_series_cap, s_by_null, s_budget, g_trace_values,
+        g_intrinsics, a_spans, a_events, f_flag, f_nested_key, g_nested_tags, r_red,
     )
 }
 
 _H3 = 10_800_000_000_000
 _O_B = f"start_ns // {O_STEP} * {O_STEP // 10**6} AS bucket_ms"
-_O_GRID = f"grid AS (SELECT unnest(generate_series({O_START // 10**6}, {(O_END - O_STEP) // 10**6}, {O_STEP // 10**6})) AS bucket_ms)"
 _RANK = "struct_pack(v := {v}, s := start_ns, i := span_id)"
 _THINNED = """, n AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY bucket_ms) - 1 AS i, count(*) OVER (PARTITION BY name) AS n FROM x),
 kept AS (SELECT *, n <= 7 OR ceil(i * 7 / n::DOUBLE) * n < (i + 1) * 7 AS keep FROM n)"""
 CALL_SQL: dict[str, tuple[str, str]] = {
-    "m_instant": ("E", f"""SELECT name, {(START + 3 * DAY + 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans
-WHERE start_ns >= {START + 3 * DAY + 5} AND start_ns < {END - DAY} GROUP BY 1"""),
+    "m_instant": ("E", f"SELECT name, {(START - 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans GROUP BY 1"),
     "m_instant_all": ("E", """SELECT name, ((SELECT min(start_ns) FROM spans) - 5) // 1000000 AS bucket_ms, count(*)::DOUBLE AS value
 FROM spans GROUP BY 1"""),
-    "m_instant_event": ("E", f"""SELECT name, {(START + 3 * DAY + 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans
-WHERE exc IS NOT NULL AND start_ns >= {START + 3 * DAY + 5} AND start_ns < {END - DAY} GROUP BY 1"""),
+    "m_instant_event": ("E", f"""SELECT name, {(START - 5) // 10**6} AS bucket_ms, count(*)::DOUBLE AS value FROM spans
+WHERE exc IN ('E4', 'E5', 'E6') GROUP BY 1"""),
     "m_default_step": ("E", f""", grid AS (SELECT unnest(generate_series({START // 10**6}, {(END - _H3) // 10**6}, {_H3 // 10**6})) AS bucket_ms),
 c AS (SELECT start_ns // {_H3} * {_H3 // 10**6} AS bucket_ms, count(*) AS n FROM spans WHERE {INSIDE} GROUP BY 1)
 SELECT bucket_ms, {COUNT} AS value FROM grid LEFT JOIN c USING (bucket_ms)"""),
@@ -471,7 +554,7 @@ SELECT trace_id, span_id, count(*) OVER (PARTITION BY trace_id) AS matched FROM
 ORDER BY first_ns DESC, trace_id LIMIT 10)
 SELECT trace_id, service_name AS service, count(*) AS span_count, count(*) FILTER (status = 'error') AS error_count
 FROM spans JOIN best USING (trace_id) GROUP BY 1, 2"""),
-    "g_tags_v1": ("E", "SELECT tag FROM (VALUES ('k'), ('service.name')) v(tag)"),
+    "g_tags_v1": ("E", "SELECT DISTINCT unnest(json_keys(props)) AS tag FROM events UNION SELECT 'service.name' FROM spans"),
     "g_root_values": ("E", "SELECT name AS value, 'string' AS type, count(*) AS n FROM spans GROUP BY 1"),
     "x_otlp_resources": ("E", f"""SELECT trace_id, CASE kind WHEN 'server' THEN 'prod' ELSE 'dev' END AS env, count(*) AS n_spans FROM spans
 WHERE trace_id = '{3 * 100000 + 2819:032x}' GROUP BY trace_id, service_name, env"""),
@@ -515,7 +598,8 @@ FROM x JOIN t USING (trace_id) WHERE position <= 2"""),
 best AS (SELECT trace_id, min(start_ns) AS first_ns FROM f GROUP BY 1 ORDER BY first_ns DESC, trace_id LIMIT 10), t AS ({ROLLUP_SQL})
 SELECT trace_id, span_id, count(*) OVER (PARTITION BY trace_id) AS matched, root_name, trace_duration_ns // 1000000 AS trace_duration_ms
 FROM f JOIN best USING (trace_id) JOIN t USING (trace_id)"""),
-    "g_tags": ("E", """SELECT scope, tag FROM (VALUES ('resource', 'service.name'), ('span', 'k'), ('event', 'exception.type')) v(scope, tag)"""),
+    "g_tags": ("E", """SELECT DISTINCT 'span' AS scope, unnest(json_keys(props)) AS tag FROM events
+UNION SELECT 'resource', 'service.name' FROM spans UNION SELECT 'event', 'exception.type' FROM spans WHERE exc IS NOT NULL"""),
     "g_values": ("E", "SELECT service_name AS value, 'string' AS type, count(*) AS n FROM spans GROUP BY 1"),
     "g_values_filtered": ("E", "SELECT k::VARCHAR AS value, 'string' AS type, count(*) AS n FROM spans WHERE status = 'error' GROUP BY 1 ORDER BY n DESC, value LIMIT 5"),
     "g_values_status": ("E", "SELECT status AS value, 'keyword' AS type, count(*) AS n FROM spans GROUP BY 1"),
@@ -527,21 +611,61 @@ WHERE trace_id = '{3 * 100000 + 2819:032x}' GROUP BY 1, 2"""),
     "e_spans": ("E", "SELECT trace_id, span_id, parent_span_id, start_ns, duration_ns, name, kind, status, service_name, k, exc FROM spans"),
     "e_rollup": ("E", ROLLUP_SQL),
     "e_service_stats": ("O", "SELECT trace_id, service_name, count(*) AS span_count, count(*) FILTER (status = 'error') AS error_count FROM spans GROUP BY 1, 2"),
-    "o_rate": ("O", f""", {_O_GRID}, c AS (SELECT name, {_O_B}, count(*) AS n FROM spans WHERE status = 'ok' AND start_ns >= {O_START} AND start_ns < {O_END} GROUP BY ALL),
-k AS (SELECT DISTINCT name FROM c)
-SELECT name, bucket_ms, coalesce(n, 0) / {O_STEP / 1e9}::DOUBLE AS value FROM k CROSS JOIN grid LEFT JOIN c USING (name, bucket_ms)"""),
-    "o_quantile": ("O", f""", q AS (SELECT {_O_B}, quantile_cont(duration_ns, [0.5, 0.9]) AS v FROM spans WHERE quantity > 10
-AND start_ns >= {O_START} AND start_ns < {O_END} GROUP BY 1) SELECT bucket_ms, unnest(['0.5', '0.9']) AS p, round(unnest(v) / 1e9, 9) AS value FROM q"""),
+    "o_rate": ("O", f""", r AS (SELECT min(start_ns) // {O_STEP} AS lo, max(start_ns) // {O_STEP} AS hi FROM spans),
+grid AS (SELECT unnest(generate_series(lo, hi)) * {O_STEP // 10**6} AS bucket_ms FROM r),
+c AS (SELECT service_name, {_O_B}, count(*) AS n FROM spans WHERE status <> 'error' GROUP BY ALL), k AS (SELECT DISTINCT service_name FROM c)
+SELECT service_name AS "resource.service.name", bucket_ms, coalesce(n, 0) / {O_STEP / 1e9}::DOUBLE AS value
+FROM k CROSS JOIN grid LEFT JOIN c USING (service_name, bucket_ms)"""),
+    "o_quantile": ("O", f""", q AS (SELECT name, {_O_B}, quantile_cont(quantity, [0.25, 0.75]) AS v FROM spans WHERE quantity > 10 GROUP BY 1, 2)
+SELECT name, bucket_ms, unnest(['0.25', '0.75']) AS p, round(unnest(v), 9) AS value FROM q"""),
     "o_rate_all": ("O", f""", r AS (SELECT min(start_ns) // {O_STEP} AS lo, max(start_ns) // {O_STEP} AS hi FROM spans),
 grid AS (SELECT unnest(generate_series(lo, hi)) * {O_STEP // 10**6} AS bucket_ms FROM r),
 c AS (SELECT name, {_O_B}, count(*) AS n FROM spans WHERE status = 'ok' GROUP BY ALL), k AS (SELECT DISTINCT name FROM c)
 SELECT name, bucket_ms, coalesce(n, 0) / {O_STEP / 1e9}::DOUBLE AS value FROM k CROSS JOIN grid LEFT JOIN c USING (name, bucket_ms)"""),
     "o_quantile_all": ("O", f""", q AS (SELECT {_O_B}, quantile_cont(duration_ns, [0.5, 0.9]) AS v FROM spans WHERE quantity > 10 GROUP BY 1)
 SELECT bucket_ms, unnest(['0.5', '0.9']) AS p, round(unnest(v) / 1e9, 9) AS value FROM q"""),
-    "o_child": ("O", """SELECT c.trace_id, c.span_id FROM spans c JOIN spans p ON p.trace_id = c.trace_id AND p.span_id = c.parent_span_id
-WHERE p.name = '1-URGENT' AND c.name = 'R' AND c.quantity >= 40"""),
+    "o_child": ("", """WITH lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS no FROM lineitem)
+SELECT lpad(lower(to_hex(l_orderkey)), 32, '0') AS trace_id, lpad(lower(to_hex(l_orderkey * 1000 + no)), 16, '0') AS span_id
+FROM lines JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' AND l_returnflag = 'R' AND l_quantity >= 40"""),
     "o_rollup": ("O", ROLLUP_SQL),
 }
+X_SQL = """
+x AS (
+  SELECT *, epoch_us(ts) * 1000 AS start_ns, lpad(lower(to_hex(user_id + 10)), 32, '0') AS trace_id, lpad(lower(to_hex(event_id)), 16, '0') AS span_id,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+  FROM events WHERE event_id % 11 <> 0
+)"""
+CALL_SQL |= {
+    "m_step_fraction": ("E", f"""SELECT name, start_ns // 1500000 * 1500000 // 1000000 AS bucket_ms, start_ns // 1500000 * 1500000 AS bucket_ns,
+max(duration_ns)::DOUBLE / 1e9 AS value FROM spans WHERE {INSIDE} GROUP BY ALL"""),
+    "m_series_cap": ("E", f""", {GRID}, c AS (SELECT name, kind, {B}, count(*) AS n FROM spans WHERE {INSIDE} GROUP BY ALL),
+k AS (SELECT DISTINCT name, kind FROM c ORDER BY name, kind LIMIT 3)
+SELECT name, kind, bucket_ms, {COUNT} AS value FROM k CROSS JOIN grid LEFT JOIN c USING (name, kind, bucket_ms)"""),
+    "s_by_null": ("E", """, n AS (SELECT trace_id, span_id, CASE WHEN name = 'view' THEN 'nil' WHEN name <> 'click' THEN name END AS name FROM spans)
+SELECT trace_id, span_id FROM n QUALIFY count(*) OVER (PARTITION BY trace_id, name) > 4"""),
+    "s_budget": ("E", """, m AS (SELECT *, status = 'error' AND duration_ns > 50000000 AS hit FROM spans),
+t AS (SELECT trace_id, min(start_ns) FILTER (hit) AS first_ns, count(*) AS n FROM m GROUP BY 1 HAVING bool_or(hit)),
+w AS (SELECT trace_id, sum(n) OVER (ORDER BY first_ns DESC, trace_id) AS through FROM t)
+SELECT trace_id, span_id, count(*) OVER (PARTITION BY trace_id) AS matched FROM m JOIN w USING (trace_id) WHERE through <= 700 AND hit"""),
+    "g_trace_values": ("E", """, t AS (SELECT trace_id, max(start_ns + duration_ns) - min(start_ns) AS d FROM spans GROUP BY 1)
+SELECT d::VARCHAR AS value, 'duration' AS type, count(*) AS n FROM spans JOIN t USING (trace_id) WHERE status = 'error' GROUP BY 1"""),
+    "g_intrinsics": ("E", """, t AS (SELECT max(start_ns + duration_ns) - min(start_ns) AS d FROM spans GROUP BY trace_id),
+c AS (SELECT count(DISTINCT duration_ns) AS duration, count(DISTINCT name) AS name, count(DISTINCT kind) AS kind, count(DISTINCT status) AS status,
+  count(DISTINCT service_name) AS service, max(CASE WHEN exc IS NULL THEN 0 ELSE 1 END) AS event, (SELECT count(DISTINCT d) FROM t) AS trace FROM spans)
+SELECT unnest(['duration', 'span:duration', 'name', 'span:name', 'kind', 'span:kind', 'status', 'span:status', 'rootName', 'trace:rootName',
+  'rootServiceName', 'trace:rootService', 'event:name', 'traceDuration', 'trace:duration']) AS tag,
+  unnest([duration, duration, name, name, kind, kind, status, status, name, name, service, service, event, trace, trace])::BIGINT AS n FROM c"""),
+    "a_spans": ("X", """SELECT trace_id, span_id, start_ns, CAST(round(value * 100) AS BIGINT) * 10000 AS duration_ns,
+CASE event_type WHEN 'view' THEN 'server' ELSE 'unspecified' END AS kind, CASE event_type WHEN 'error' THEN 'error' ELSE 'ok' END AS status FROM x"""),
+    "a_events": ("X", "SELECT span_id, 'exception' AS name, start_ns + 7 AS time_ns, 'E' || (event_id % 7) AS exc FROM x WHERE event_type = 'error'"),
+    "f_flag": ("X", "SELECT trace_id, span_id FROM x WHERE event_id % 4 = 0"),
+    "f_nested_key": ("X", "SELECT trace_id, span_id FROM x WHERE k >= 4 AND event_type <> 'error'"),
+    "g_nested_tags": ("X", """SELECT DISTINCT 'span' AS scope, 'a.' || unnest(json_keys(props)) AS tag FROM x UNION SELECT 'span', 'flag' FROM x
+UNION SELECT 'resource', 'service.name' FROM x UNION SELECT 'event', 'exception.type' FROM x WHERE event_type = 'error'"""),
+    "r_red": ("E", """SELECT start_ns // 3600000000000 * 3600000 AS bucket_ms, service_name AS "resource.service.name", count(*) AS spans,
+count(*) FILTER (status = 'error') AS errors, sum(duration_ns)::BIGINT AS duration_ns FROM spans WHERE kind <> 'client' GROUP BY ALL"""),
+}
 CALL_SQL["m_hints"] = CALL_SQL["m_exemplars"]
 CALL_SQL["m_compare_time"] = ("E", CALL_SQL["m_compare"][1].replace(
     "status = 'error' AS sel", f"(status = 'error' AND start_ns >= {START + 5 * DAY} AND start_ns < {START + 9 * DAY}) AS sel"
@@ -557,8 +681,10 @@ def queries() -> dict:
 
 def _sql(adapter: str, rest: str) -> str:
     """Adapter CTEs and the rest, which begins with a comma if it adds CTEs of its own."""
-    head = {"E": E_SQL, "O": O_SQL}[adapter]
     rest = rest.strip()
+    if not adapter:
+        return rest
+    head = {"E": E_SQL, "O": O_SQL, "X": X_SQL}[adapter]
     if "RTREE" in rest:
         return "WITH RECURSIVE " + head + rest.replace("RTREE", TREE_SQL, 1)
     return "WITH " + head + (rest if rest.startswith(",") else "\n" + rest)

@@ -48,7 +48,7 @@ def events_as_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_ns = F.col("start_us") * 1000
     exception = F.array(
         F.struct(
-            F.lit("exception").alias("name"), start_ns.alias("time_ns"),
+            F.lit("exception").alias("name"), (start_ns + F.col("event_id") % 7 * 300_000_000).alias("time_ns"),
             F.create_map(F.lit("exception.type"), F.concat(F.lit("E"), (F.col("event_id") % 7).cast("string"))).alias("attributes"),
         )
     )
@@ -64,6 +64,26 @@ def events_as_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_as_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as an OpenTelemetry export would hold it, in the spellings that exports have, logs included."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ident, us = F.col("event_id"), F.unix_micros(F.col("ts").cast("timestamp"))
+    iso = F.concat(F.date_format(F.timestamp_micros(us), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    kind = F.when(F.col("event_type") == "view", F.element_at(F.array(*map(F.lit, ("SPAN_KIND_SERVER", "2", "Server"))), (ident % 3 + 1).cast("int")))
+    status = F.when(F.col("event_type") == "error", F.when(ident % 2 == 0, "STATUS_CODE_ERROR").otherwise("Unset")).otherwise("OK")
+    k = F.get_json_object("props", "$.k")
+    nested = F.when(ident % 2 == 0, F.concat(F.lit('{"a": {"k": '), k, F.lit("}}"))).otherwise(F.concat(F.lit('{"a.k": '), k, F.lit("}")))
+    happened = F.concat(F.lit('[{"Name": "exception", "timeUnixNano": "'), (us * 1000 + 7).cast("string"), F.lit('", "attributes": {"exception": {"type": "E'), (ident % 7).cast("string"), F.lit('"}}}]'))
+    return e.select(
+        F.when(ident % 11 != 0, F.upper(F.hex(F.col("user_id") + 10))).alias("trace_id"), F.hex(ident).alias("span_id"),
+        F.when(ident % 5 == 0, iso).otherwise(us.cast("string")).alias("_time"),
+        F.concat((F.round(F.col("value") * 100).cast("long") * 10).cast("string"), F.lit("us")).alias("duration"), F.col("event_type").alias("name"),
+        kind.alias("kind"), status.alias("status.code"), (F.col("event_type") == "error").alias("error"),
+        F.concat(F.lit("svc-"), (F.col("user_id") % 5).cast("string")).alias("service.name"), (ident % 4 == 0).cast("string").alias("attributes.flag"),
+        F.try_parse_json(nested).alias("attributes.custom"), F.when(F.col("event_type") == "error", happened).alias("events"),
+    )
+
+
 def orders_as_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as roots, their line items as children."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")

@@ -275,6 +275,13 @@ def test_partial_results_are_told(engine):
     found = few.metrics_result("{} | rate() by (name)", NS - minute, NS + minute, minute)
     assert found.partial and "2" in found.message and found.frame.select("name").distinct().count() == 2
     assert not engine.metrics_result("{} | rate() by (name)", NS - minute, NS + minute, minute).partial
+    found = few.metrics_result("{} | rate() by (name)", NS - minute, NS + minute, minute)
+    tracker = engine.spans.sparkSession.sparkContext.statusTracker()
+    rows, jobs = found.rows(), set(tracker.getJobIdsForGroup(None))
+    assert found.partial and found.message == "more than 2 series" and set(tracker.getJobIdsForGroup(None)) == jobs  # no more jobs
+    assert {r.name for r in rows} == {"GET /cart", "GET /health"} and len(rows) == 4
+    found = TraceEngine(engine.spans, max_series=4).metrics_result("{ name = `none` } | rate() by (name)", NS, NS + minute, minute)
+    assert not found.partial and found.rows() == []
     few = TraceEngine(engine.spans, max_attributes=2)
     rows = few.metrics("{} | compare({ status = error })", NS, NS + minute, minute).collect()
     assert {r.attribute for r in rows} == {None, "resource.service.name", "name"}
