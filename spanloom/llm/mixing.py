@@ -4,7 +4,7 @@ A source's documents are dealt to shards by a seeded hash and stand there in its
 cut in blocks of BLOCK_WORDS. Blocks go to sources by the highest quotients target / (2 k - 1), and a source's blocks in
 the same way to its shards. A shard of m blocks that gets q takes every block q div m times, and q mod m of them, evenly
 spaced from a seeded start, once more. How many blocks before a place are chosen is one division, so what a document gives
-follows from its place, and no row is made for a block.
+follows from its place alone.
 
 Only sizes, sources and hashes are shuffled. There are at most MOST_SHARDS shards and one for each source, so what is
 sorted in one task is a shard's documents, or a row for each shard or source.
@@ -97,17 +97,43 @@ def apportion(units: DataFrame, within: list[str], seats: Column, weight: Column
     return ranked.groupBy(*units.columns, "_low").agg(won.alias("_won")).select(*units.columns, (F.col("_low") + F.col("_won")).alias("quota"))
 
 
-def chosen_before(place: Column, blocks: Column, more: Column, start: Column) -> Column:
-    """Words before place that lie in the blocks chosen once more: more of them, evenly spaced from start."""
-    at = F.floor(place / BLOCK_WORDS)
+def spans_of(begin: Column, end: Column, blocks: Column, again: Column, more: Column, start: Column) -> Column:
+    """What a document of the words from begin to end of its shard gives: (start, length, times) in its own words.
+
+    It gives all of it ``again`` times, if that isn't 0, and then what lies in the blocks that are chosen once more: ``more`` of
+    them, evenly spaced from start. The c-th of them ends where b * more + start reaches c * blocks.
+    """
     count = lambda b: F.floor((b * more + start) / blocks)
-    return count(at) * BLOCK_WORDS + (place - at * BLOCK_WORDS) * (count(at + 1) - count(at))
+    first, last = count(F.floor(begin / BLOCK_WORDS)) + 1, count(F.floor((end - 1) / BLOCK_WORDS) + 1)
+
+    def span(c: Column) -> Column:
+        at = (F.ceil((c * blocks - start) / more) - 1) * BLOCK_WORDS
+        low, high = F.greatest(at, begin), F.least(at + BLOCK_WORDS, end)
+        return F.struct((low - begin).alias("start"), (high - low).alias("length"), F.lit(1).cast("long").alias("times"))
+
+    none = F.array().cast("array<struct<start: long, length: long, times: long>>")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), (end - begin).alias("length"), again.alias("times")))
+    chosen = F.when((more > 0) & (last >= first), F.transform(F.sequence(first, last), span))
+    given = F.concat(F.when(again > 0, whole).otherwise(none), F.coalesce(chosen, none))
+    return F.when(end > begin, given).otherwise(none)
+
+
+def words_taken(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["length"] * s["times"])
+
+
+def text_taken(text: Column, spans: Column) -> Column:
+    """The words that spans give of a text, one space between."""
+    words = F.regexp_extract_all(text, F.lit(WORD), 0)
+    each = F.transform(spans, lambda s: F.flatten(F.array_repeat(F.slice(words, (s["start"] + 1).cast("int"), s["length"].cast("int")), s["times"].cast("int"))))
+    return F.array_join(F.flatten(each), " ")
 
 
 def mix(docs: DataFrame, share_percent: int = SHARE_PERCENT, weights: tuple = WEIGHTS) -> DataFrame:
-    """One row per row of docs (doc_id, text, source; others are ignored): doc_id, size, source_size, target, taken.
+    """One row per row of docs (doc_id, text, source; others are ignored): doc_id, size, source_size, target, spans.
 
-    taken counts the words that the mix takes of a document, at most MOST_REPEATS times its size. A null text has no words,
+    spans (start, length, times) are the words that the mix takes of a document, none more than MOST_REPEATS times; see
+    words_taken and text_taken. A null text has no words,
     a null source is a source of its own, and a null doc_id is dealt by the text. Rows of one doc_id, text and source may
     change places. Sources without words have target 0. No rows give no rows. The same rows give the same mix.
     """
@@ -128,12 +154,12 @@ def mix(docs: DataFrame, share_percent: int = SHARE_PERCENT, weights: tuple = WE
         shards = materialize(shards.withColumn("blocks", F.ceil(F.col("words") / BLOCK_WORDS)), "shards")
         limits = shards.groupBy("source").agg((F.sum("blocks") * MOST_REPEATS).alias("most"))
         named = sources.join(limits, sources["source"].eqNullSafe(limits["source"])).select(sources["*"], "most")
-        named = named.withColumn("all_seats", F.round(F.sum("target").over(every) / BLOCK_WORDS).cast("long"))
+        named = named.withColumn("all_seats", F.round(F.sum("source_size").over(every) * share_percent / 100 / BLOCK_WORDS).cast("long"))
         by_name = [F.col("source").asc_nulls_last()]
         quotas = apportion(named, [], F.col("all_seats"), F.col("target"), F.col("most"), by_name).withColumnRenamed("quota", "source_quota")
         units = shards.join(quotas, shards["source"].eqNullSafe(quotas["source"])).select(shards["*"], "source_size", "target", "source_quota")
         taken = apportion(units, ["source"], F.col("source_quota"), F.col("words"), F.col("blocks") * MOST_REPEATS, [F.col("shard")])
-        again = F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0)
+        again = F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0).cast("long")
         start = number_of(hash_of(F.coalesce("source", F.lit("")), F.col("shard").cast("string")))
         taken = taken.withColumn("again", again).select(
             "source", "shard", "source_size", "target", "blocks", "again",
@@ -144,7 +170,6 @@ def mix(docs: DataFrame, share_percent: int = SHARE_PERCENT, weights: tuple = WE
         order = Window.partitionBy("source", "shard").orderBy("seeded", F.col("doc_id").asc_nulls_first(), "size")
         streamed = dealt.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         both = streamed.join(taken, streamed["source"].eqNullSafe(taken["source"]) & (streamed["shard"] == taken["shard"]))
-        chosen = lambda place: chosen_before(place, F.col("blocks"), F.col("more"), F.col("start"))
-        gives = F.col("again") * F.col("size") + chosen(F.col("end")) - chosen(F.col("end") - F.col("size"))
-        mixed = both.select("doc_id", "size", "source_size", "target", F.when(F.col("size") > 0, gives).otherwise(0).cast("long").alias("taken"))
+        given = spans_of(F.col("end") - F.col("size"), F.col("end"), *map(F.col, ("blocks", "again", "more", "start")))
+        mixed = both.select("doc_id", "size", "source_size", "target", given.alias("spans"))
         return here.keep(mixed, "mix")

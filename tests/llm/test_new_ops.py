@@ -216,7 +216,8 @@ def test_mix_meets_targets(spark, monkeypatch, shard):
     rng = random.Random(4)
     rows = documents(rng, 900, ["a", "a", "a", "a", "a", "b", "c", "Z", "é", None, "tiny"]) + [(2000, None, "empty"), (None, "x y", "b"), (None, "x y", "b"), (3, "again", "c")]
     df = spark.createDataFrame(rows, DOCS).withColumn("size", F.lit("x")).withColumn("shard", F.lit(1))
-    got = mixing.mix(df).collect()
+    result = lambda df: (m := mixing.mix(df)).select("*", mixing.words_taken(m["spans"]).alias("taken"))
+    got = result(df).collect()
     assert len(got) == len(rows)
     sizes = {}
     for _, text, source in rows:
@@ -234,11 +235,35 @@ def test_mix_meets_targets(spark, monkeypatch, shard):
         by_pair[r.source_size, round(r.target, 6)] += r.taken
     for (_, goal), n in by_pair.items():
         assert abs(n - goal) <= 2 * mixing.BLOCK_WORDS * (1 if shard > 700 else max(sizes.values()) // shard + 2), (n, goal)
-    again = mixing.mix(df.repartition(7)).collect()
+    again = result(df.repartition(7)).collect()
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r.size, r.taken)
     assert sorted(got, key=key) == sorted(again, key=key)
     assert mixing.mix(df.limit(0)).count() == 0
-    assert {r.taken for r in mixing.mix(df.where("source = 'empty'")).collect()} == {0}
+    assert {r.taken for r in result(df.where("source = 'empty'")).collect()} == {0}
+    texts = {r.doc_id: r.t for r in df.where("doc_id < 900 and doc_id <> 3").join(mixing.mix(df).select("doc_id", "spans"), "doc_id").select("doc_id", mixing.text_taken(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert {i: len(t.split()) for i, t in texts.items()} == {r.doc_id: r.taken for r in got if r.doc_id in texts}
+    assert all(0 <= s.start and s.start + s.length <= r.size and s.length > 0 for r in got for s in r.spans)
+
+
+def test_mix_equals_its_sql(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from spanloom.llm import q12_mixing
+
+    rng = random.Random(12)
+    rows = documents(rng, 700, ["a", "a", "a", "b", "c", "Z", "é", None, "tiny"]) + [(2000, None, "empty"), (None, "x y", "b"), (4, "again", "c")]
+    df = spark.createDataFrame(rows, DOCS)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = sorted(map(str, map(tuple, q12_mixing.op12_mixing(spark, str(tmp_path)).select("doc_id", "size", "source_size", "taken").collect())))
+    sql = q12_mixing.ORACLES["op12_mixing"]
+    want = con.sql(f"SELECT doc_id, size, source_size, taken FROM ({sql})").fetchall()
+    assert got == sorted(map(str, want))
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 900)  # many shards
+    got = sorted(map(str, map(tuple, q12_mixing.op12_mixing(spark, str(tmp_path)).select("doc_id", "size", "source_size", "taken").collect())))
+    want = con.sql(f"SELECT doc_id, size, source_size, taken FROM ({sql.replace(str(1 << 18), '900')})").fetchall()
+    assert got == sorted(map(str, want))
 
 
 def test_targets_stop_at_limits(spark):
