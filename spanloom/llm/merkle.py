@@ -112,22 +112,25 @@ def build_top(nodes: list, height: int) -> tuple[str | None, dict]:
     return (upper[-1][0] if trees else None), paths
 
 
-def _prover(height: int, top) -> Callable[[pa.Table], pa.Table]:
+def _prover(height: int, top, paths: bool) -> Callable[[pa.Table], pa.Table]:
     def prove(block: pa.Table) -> pa.Table:
-        root, paths = top.value
+        root, suffixes = top.value
         block = block.sort_by("p")
         leaves = block["leaf"].to_pylist()
-        subroot, suffix = paths[block["skey"][0].as_py(), block["block"][0].as_py()]
+        subroot, suffix = suffixes[block["skey"][0].as_py(), block["block"][0].as_py()]
         levels = levels_of(leaves, min(height, height_of(block["n"][0].as_py())))
-        proofs, folded = [], []
+        proofs, folded, held = [], [], []
         for i, (leaf, now) in enumerate(zip(leaves, block["now"].to_pylist(), strict=True)):
             path = path_of(levels, i) + suffix
             proofs.append(digest([side for pair in path for side in pair]))
             folded.append(fold(now or leaf, path))
-        return pa.table({
+            if paths:
+                held.append([{"left": left, "right": right} for left, right in path])
+        made = pa.table({
             "doc_id": block["doc_id"], "leaf": block["leaf"], "subroot": pa.array([subroot] * len(leaves)), "root": pa.array([root] * len(leaves)),
             "proof_sha256": pa.array(proofs), "folded_root": pa.array(folded), "verified": pa.array([f == root for f in folded]),
         })
+        return made.append_column("path", pa.array(held, pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())])))) if paths else made
 
     return prove
 
@@ -135,11 +138,24 @@ def _prover(height: int, top) -> Callable[[pa.Table], pa.Table]:
 PROOF = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def prove(docs: DataFrame, now: Column) -> DataFrame:
+PATH = ", path array<struct<left: string, right: string>>"
+
+
+def verify(rows: DataFrame, root: str) -> DataFrame:
+    """rows (FIELDS and path) with verified: whether the row, as it is now, and its path lead to the root.
+
+    Needs nothing but the rows: it can be asked of any part of a dataset.
+    """
+    up = lambda leaf, p: F.sha2(F.concat(p["left"], leaf, p["right"]), 256)
+    return rows.withColumn("verified", F.aggregate("path", leaf_of(F.col("text")), up) == root)
+
+
+def prove(docs: DataFrame, now: Column, paths: bool = False) -> DataFrame:
     """One row per row of docs (FIELDS; other columns are ignored): doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     now is the text as it is found when it is verified: folded_root is what its leaf and the siblings of the manifest lead
-    to. A null source is a source of its own, the first; a null doc_id comes first in its source; equal doc_ids go by their
+    to. With ``paths``, path holds these siblings, what stands left and right level by level, so that anyone who has the root
+    can check a row by itself, see verify. A null source is a source of its own, the first; a null doc_id comes first in its source; equal doc_ids go by their
     leaves. No rows give no rows. All passes but the first handle digests only, and each task a block of ARITY ** k of them.
     """
     with scratch() as here:
@@ -156,4 +172,4 @@ def prove(docs: DataFrame, now: Column) -> DataFrame:
         placed = placed.withColumn("block", F.floor(F.col("p") / ARITY**height))
         nodes = placed.select("skey", "block", "p", "n", "leaf").groupBy("skey", "block").applyInArrow(_reducer(height), "skey string, block long, n long, node string")
         top = here.share(docs.sparkSession, build_top(nodes.collect(), height))
-        return here.keep(placed.groupBy("skey", "block").applyInArrow(_prover(height, top), PROOF), "proofs")
+        return here.keep(placed.groupBy("skey", "block").applyInArrow(_prover(height, top, paths), PROOF + PATH * paths), "proofs")

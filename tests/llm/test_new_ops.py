@@ -334,3 +334,16 @@ def test_manifest(spark, monkeypatch, least, n):
     got = [tuple(r) for r in merkle.prove(df, q13_merkle.tampered()).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()]
     key = lambda r: tuple((v is None, v or 0) if i == 0 else v for i, v in enumerate(r))
     assert sorted(got, key=key) == sorted(plain_manifest(rows), key=key)
+
+
+def test_paths_of_a_manifest_verify_rows_by_themselves(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "LEAST_HEIGHT", 1)
+    rows = [(i, f"text\n{i}", "en", "s" if i % 3 else None, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    made = merkle.prove(df, F.col("text"), paths=True)
+    root = made.first().root
+    assert made.where("not verified").isEmpty()
+    held = df.join(made.select("doc_id", "path"), "doc_id")
+    assert merkle.verify(held, root).where("not verified").isEmpty()
+    changed = merkle.verify(held.withColumn("text", F.when(F.col("doc_id") == 7, "other").otherwise(F.col("text"))), root)
+    assert [r.doc_id for r in changed.where("not verified").collect()] == [7]
