@@ -91,27 +91,60 @@ def absolute(target: Column, base: Column) -> Column:
     )
 
 
-#: The character references of HTML that urls hold, the ampersand last.
-_MARKS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
+#: The named character references of HTML that urls hold.
+_MARKS = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&", "&colon;": ":", "&sol;": "/", "&num;": "#", "&quest;": "?", "&equals;": "="}
+#: Where no tag is a tag: comments, and elements whose content is text. Ended by the end of the page if by nothing else.
+_TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_TEXT_ONLY = rf"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|template|noembed|iframe|xmp)\b{_TAG_REST}.*?(?:</\1\s*>|\z)"
+#: An attribute of a tag: a name, and perhaps a value in quotes or bare.
+_ATTRIBUTE = r"""[^\s=/>"']+(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?"""
 
 
 def _decoded(text: Column) -> Column:
-    for mark, char in _MARKS:
-        text = F.replace(text, F.lit(mark), F.lit(char))
-    return text
+    """A text with its character references read, numeric ones of any code point; each once, so ``&amp;lt;`` is ``&lt;``."""
+    parts = F.regexp_extract_all(text, F.lit(r"(?i)&#x[0-9a-f]+;?|&#[0-9]+;?|&[a-z]+;|[^&]+|&"), F.lit(0))
+
+    def one(p: Column) -> Column:
+        digits = F.regexp_extract(p, r"(?i)^&#x?([0-9a-f]+)", 1)
+        hexed = F.when(p.rlike("(?i)^&#x"), digits).otherwise(F.conv(digits, 10, 16))
+        code = F.ltrim(hexed, F.lit("0"))
+        point = F.when((F.length(code) > 0) & (F.length(code) <= 6), F.lpad(code, 8, "0"))
+        valid = F.conv(point, 16, 10).cast("long")
+        point = F.when((valid < 0xD800) | ((valid > 0xDFFF) & (valid <= 0x10FFFF)), point)
+        named = F.try_element_at(F.create_map(*(F.lit(x) for kv in _MARKS.items() for x in kv)), F.lower(p))
+        return F.when(p.startswith("&#"), F.coalesce(F.decode(F.unhex(point), "UTF-32"), p)).otherwise(F.coalesce(named, p))
+
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(parts, one), "")).otherwise(text)
+
+
+def _tags(html: Column, name: str) -> Column:
+    """The attributes of each tag of a name, as lists of texts ``name=value``."""
+    tags = F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b{_TAG_REST}"), F.lit(0))
+    return F.transform(tags, lambda t: F.regexp_extract_all(F.substring(t, F.lit(len(name) + 2), F.length(t)), F.lit(_ATTRIBUTE), F.lit(0)))
+
+
+def _attribute(attributes: Column, name: str) -> Column:
+    """The value of the first attribute of a name, without its quotes; null without one."""
+    found = F.try_element_at(F.filter(attributes, lambda a: a.rlike(rf"(?i)^{name}\s*(?:=|$)")), F.lit(1))
+    return _decoded(F.regexp_extract(found, r"""(?s)^[^=]*=\s*["']?(.*?)["']?\s*$""", 1))
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
-    """Edges (a, b) from pages' html: the first canonical link and the first meta refresh to another url."""
-    link = F.regexp_extract("html", r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
-    meta = F.regexp_extract("html", r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0)
-    href = F.regexp_extract(link, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    moved = F.regexp_extract(meta, r"""(?is)\burl\s*=\s*["']?([^"'\s>;]+)""", 1)
+    """Edges (a, b) from pages' html: the first canonical link and the first meta refresh to another url.
+
+    Tags in comments, scripts and other elements of text don't count. A page whose url has no ``://`` has no edges.
+    """
+    bare = F.regexp_replace("html", _TEXT_ONLY, "")
+    links = F.filter(_tags(bare, "link"), lambda t: F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical"))
+    metas = F.filter(_tags(bare, "meta"), lambda t: F.lower(F.trim(_attribute(t, "http-equiv"))) == "refresh")
+    href = F.trim(_attribute(F.try_element_at(links, F.lit(1)), "href"))
+    content = _attribute(F.try_element_at(metas, F.lit(1)), "content")
+    moved = F.regexp_extract(content, r"""(?is)^[\s\d.]*[;,]?\s*url\s*=\s*["']?([^"'\s]+)""", 1)
     return (
-        pages.where("url is not null and html is not null")
+        pages.where("html is not null and instr(url, '://') > 0")
         .select("url", F.explode(F.array(href, moved)).alias("to"))
         .where("to <> ''")
-        .select(key_of(F.col("url")).alias("a"), key_of(absolute(_decoded(F.col("to")), F.col("url"))).alias("b"))
+        .select(key_of(F.col("url")).alias("a"), key_of(absolute(F.col("to"), F.col("url"))).alias("b"))
         .where("a <> b")
     )
 
@@ -149,7 +182,7 @@ def judge(
     # a page without a url meets nobody, and goes to a place of its own
     none = F.concat(F.lit("\n"), F.monotonically_increasing_id().cast("string"))
     return (
-        judged.withColumn("key", F.coalesce(key_of(F.col("url")), none))
+        judged.withColumn("key", F.when(F.instr("url", "://") > 0, key_of(F.col("url"))).otherwise(none))
         .join(decided, "key", "left")
         .select(
             "page_id", "host", "path", F.col("own.rule").alias("rule"),

@@ -68,6 +68,58 @@ def test_url_aliases(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 5: "block", 6: "block", 7: "block"}
 
 
+@pytest.mark.parametrize(("html", "blocked"), [
+    ('<!-- <link rel="canonical" href="http://a.net/x"> -->', False), ('<!-- <link rel=canonical href="http://a.net/x">', False),
+    ("""<script>x = '<meta http-equiv="refresh" content="0;url=http://a.net/">'</script>""", False),
+    ('<style><link rel=canonical href=http://a.net/></style><link rel=canonical href=http://b.com/>', False),
+    ('<link rel="canonical" href="http&#x3A;//a&#46;net/x">', True), ('<link rel="canonical" href="http&colon;//a.net/&amp;x">', True),
+    ('<LINK data-x="a>b" rel=canonical href=http://a.net/>', True), ("<link title='rel=canonical' href='http://a.net/'>", False),
+    ('<link rel="alternate CANONICAL" href="http://a.net/">', True), ('<link rel=canonicals href=http://a.net/>', False),
+    ('<link rel=icon href=http://b.com/i><link\nhref = "http://a.net/q?a=1;b=2"\nrel = "canonical"/>', True),
+    ('<script>"<!--"</script><link rel=canonical href=http://a.net/>', True), ('<META CONTENT="5; URL=\'http://a.net/\'" HTTP-EQUIV=Refresh>', True),
+    ('<meta name="refresh" content="0;url=http://a.net/">', False), ('<meta http-equiv=refresh content=0;url=//a.net/>', True), ("<link rel=canonical>", False),
+    ("<link " * 3000 + ">", False), ("<!--" + "-" * 200_000, False),
+])
+def test_links_of_pages(spark, html, blocked):
+    rows = [(1, "http://me.com/p", html), (2, "foo", html), (3, "foo", html)]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, PAGES), RULES).collect()}
+    assert got == {1: "block" if blocked else "allow", 2: "allow", 3: "allow"}
+
+
+def test_aliases_equal_their_sql(spark):
+    """Group verdicts by a recursive query over edges that are given as such."""
+    import duckdb
+
+    rng = random.Random(5)
+    hosts = ["a.com", "b.com", "bad.net", "d.org", "example.net", "x.example.com"]
+    url = lambda: f"http://{rng.choice(hosts)}/{rng.choice(['fr', 'en', 'de', 'x'])}/{rng.randrange(40)}"
+    rows, edges = [], []
+    for i in range(300):
+        here, there = url(), url()
+        rows.append((i, here, f'<link rel="canonical" href="{there}">' if i % 3 else "<p>"))
+        edges += [(here, there)] * bool(i % 3)
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, PAGES), RULES).collect()}
+
+    def said(u):
+        site = urlsplit(u)
+        fits = [(len(h + p), v) for v, h, p in RULES if (site.hostname == h or site.hostname.endswith("." + h)) and site.path.startswith(p)]
+        return max(fits)[1] if fits else None
+
+    con = duckdb.connect()
+    con.sql("CREATE TABLE p (page_id INT, url VARCHAR)")
+    con.executemany("INSERT INTO p VALUES (?, ?)", [r[:2] for r in rows])
+    con.sql("CREATE TABLE e (a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO e VALUES (?, ?)", edges)
+    con.sql("CREATE TABLE v (url VARCHAR, said VARCHAR)")
+    con.executemany("INSERT INTO v VALUES (?, ?)", [(u, said(u)) for u in {*(r[1] for r in rows), *(x for e in edges for x in e)}])
+    want = dict(con.sql("""
+WITH RECURSIVE both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e), reach(url, other) AS (
+  SELECT url, url FROM v UNION SELECT url, b FROM reach JOIN both_ways ON a = other
+), g AS (SELECT r.url, bool_or(said = 'allow') AS allowed, bool_or(said = 'block') AS blocked FROM reach r JOIN v ON v.url = other GROUP BY 1)
+SELECT page_id, coalesce(said, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' END, 'allow') FROM p JOIN v USING (url) JOIN g USING (url)""").fetchall())
+    assert got == want and len(set(want.values())) == 2
+
+
 BASE = "http://a.Com/b/c;d?q#f"
 
 
