@@ -58,30 +58,30 @@ def compare_series(spans: DataFrame, query: A.MetricsQuery, window):
         "bucket_ns", "sel", "pair.*"
     ).where("attribute is null or attribute_value is not null")
     counts = long.groupBy("attribute", "attribute_value", "sel", "bucket_ns").agg(F.count(F.lit(1)).alias("n"))
+    n_of = lambda side: F.filter("cells", lambda c: c["sel"] == F.lit(side))
+    chosen_n = F.sum(F.when(F.col("sel"), F.col("n")).otherwise(0)).alias("chosen")
     per_value = counts.groupBy("attribute", "attribute_value").agg(
-        F.sum(F.when(F.col("sel"), F.col("n")).otherwise(0)).alias("chosen"), F.sum("n").alias("all")
+        chosen_n, F.sum("n").alias("all"), F.collect_list(F.struct("sel", "bucket_ns", "n")).alias("cells")
     )
     rank = Window.partitionBy("attribute").orderBy(F.desc("chosen"), F.desc("all"), "attribute_value")
-    ranked = per_value.withColumn("rank", F.row_number().over(rank))
-    shown = ranked.where((F.col("rank") <= agg.top) | F.col("attribute").isNull())
-    more = ranked.where((F.col("rank") == agg.top + 1) & F.col("attribute").isNotNull()).select("attribute")
-    sides = F.explode(F.array(F.lit(True), F.lit(False))).alias("sel")
-    grid = shown.select("attribute", "attribute_value", sides).select(
-        "*", F.explode(window.buckets()).alias("bucket_ns")
-    )
-    on = [
-        F.col("g.attribute").eqNullSafe(F.col("c.attribute")),
-        F.col("g.attribute_value").eqNullSafe(F.col("c.attribute_value")),
-        F.col("g.sel") == F.col("c.sel"), F.col("g.bucket_ns") == F.col("c.bucket_ns"),
-    ]
-    kind = F.concat(F.when(F.col("g.sel"), "selection").otherwise("baseline"), F.when(F.col("g.attribute").isNull(), "_total").otherwise(""))
-    filled = grid.alias("g").join(counts.alias("c"), on, "left").select(
-        kind.alias("__meta_type"), F.col("g.attribute").alias("attribute"), F.col("g.attribute_value").alias("attribute_value"),
-        F.lit(None).cast("string").alias("__meta_error"), F.col("g.bucket_ns").alias("bucket_ns"),
-        F.coalesce("c.n", F.lit(0)).cast("double").alias("value"),
+    # Spark takes the first of each task before it shuffles them; totals are the only value of theirs
+    ranked = per_value.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= agg.top + 1)
+
+    def filled(side: bool):
+        """A value's counts on a side, zeros in the buckets that it isn't in."""
+        missing = F.array_except(window.buckets(), F.transform(n_of(side), lambda c: c["bucket_ns"]))
+        return F.concat(n_of(side), F.transform(missing, lambda t: F.struct(F.lit(side).alias("sel"), t.alias("bucket_ns"), F.lit(0).cast("long").alias("n"))))
+
+    mark = F.array(F.struct(F.lit(None).cast("boolean").alias("sel"), F.lit(None).cast("long").alias("bucket_ns"), F.lit(None).cast("long").alias("n")))
+    cells = ranked.select(
+        "attribute", "attribute_value",
+        F.explode(F.when((F.col("rank") > agg.top) & F.col("attribute").isNotNull(), mark).otherwise(F.concat(filled(True), filled(False)))).alias("c"),
     )
-    marks = more.select(
-        F.lit("baseline").alias("__meta_type"), "attribute", F.lit(None).cast("string").alias("attribute_value"),
-        F.lit(TOO_MANY).alias("__meta_error"), F.lit(None).cast("long").alias("bucket_ns"), F.lit(None).cast("double").alias("value"),
+    side = F.when(F.col("c.sel"), "selection").otherwise("baseline")
+    made = cells.select(
+        F.concat(side, F.when(F.col("attribute").isNull(), "_total").otherwise("")).alias("__meta_type"), "attribute",
+        F.when(F.col("c.sel").isNotNull(), F.col("attribute_value")).alias("attribute_value"),
+        F.when(F.col("c.sel").isNull(), TOO_MANY).alias("__meta_error"), F.col("c.bucket_ns").alias("bucket_ns"),
+        F.col("c.n").cast("double").alias("value"),
     )
-    return Series(filled.union(marks), ["__meta_type", "attribute", "attribute_value", "__meta_error"])
+    return Series(made, ["__meta_type", "attribute", "attribute_value", "__meta_error"])
