@@ -8,7 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import PandasUDFType
 
 from spanloom.functions.resolve import quoted
 
@@ -146,7 +145,7 @@ def with_tree(spans: DataFrame) -> DataFrame:
     """
     spans, large = _apart(spans)
     ordered = spans.repartition("trace_id").sortWithinPartitions("trace_id", "start_ns", "span_id")
-    numbers = F.pandas_udf(_number_rows, NUMBERS, PandasUDFType.SCALAR_ITER).asNondeterministic()
+    numbers = F.pandas_udf(_number_rows, NUMBERS).asNondeterministic()
     made = ordered.withColumn("__tree", numbers("trace_id", "span_id", "parent_span_id", "start_ns"))
     made = made.select(*map(quoted, spans.columns), "__tree.*")
     return made if large is None else made.unionByName(large.join(tour_sets(large), ["trace_id", "span_id"]))
