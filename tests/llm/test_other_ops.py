@@ -418,6 +418,52 @@ def test_learned_ops_on_odd_tables(spark, make_docs):
         toxicity.score(docs, model, "rank")
 
 
+def test_learned_ops_fit_on_odd_rows(spark, make_docs):
+    from .conftest import CLASHES
+
+    rng = random.Random(4)
+    toxic, clean = "you vile grumbleton", "a calm and kindly sentence about the weather"
+    texts = [(i % 40, (toxic if i % 3 == 0 else clean) + f" number {rng.randrange(9)}") for i in range(240)]
+    odd = [(0, None), (1, ""), (1, ""), (2, "x " * 20_000), (3, "y" * 200_000), (None, toxic), (None, None), (5, "\u5730" * 3000)]
+    docs = make_docs([*texts, *odd], [c for c in CLASHES if c not in ("score",)])
+    labels = spark.createDataFrame([(i % 40, int(i % 3 != 0), int(i % 3 == 0)) for i in range(60)] + [(None, 1, 1), (0, None, None), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    model, ensemble = toxicity.fit(docs, labels), rules.fit(docs, labels)
+    for made in (toxicity.score(docs, model), rules.score(docs, ensemble)):
+        rows = made.select("doc_id", "text", "score").collect()
+        assert len(rows) == len(texts) + len(odd) and all(0 <= r.score <= 1 for r in rows)
+        assert set(made.columns) == {*docs.columns, "score"}
+        by_text = {}
+        for r in rows:  # equal texts are scored alike, and null as empty
+            assert by_text.setdefault(r.text or "", r.score) == r.score
+
+
+def test_scores_equal_a_plain_reading(spark, sf_dir):
+    """Every row of a table scored word by word, without workers, caches or compiled rules."""
+    from spanloom.llm import q04_quality, q05_toxicity
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    model = q05_toxicity.fit_outside_fold(docs, labels)
+    ensemble = q04_quality.fit_outside_fold(docs, labels)
+    for name, plain in (
+        ("op5_toxicity", lambda t: 1 / (1 + np.exp(-model.bias - sum(model.weights[f] for f in {f for w in (t or "").split() for f in toxicity.features_of(w)} if f in model.weights)))),
+        ("op4_quality_rules", lambda t: ensemble.predict(np.array([rules.statistics(t)]))[0]),
+    ):
+        got = {r.doc_id: r.score for r in queries()[name](spark, sf_dir).collect()}
+        assert got.keys() == texts.keys()
+        assert max(abs(got[i] - plain(t)) for i, t in texts.items()) < 1e-6
+
+
+def test_toxic_recall_and_order(spark):
+    sf = "/root/testdata/sf0.1"
+    held = queries()["op5_toxicity"](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("score", "predicted", "toxic").toPandas()
+    toxic, clean = held[held.toxic == 1], held[held.toxic == 0]
+    assert toxic.predicted.mean() >= 0.75 and clean.predicted.mean() <= 0.01
+    ranks = held.score.rank()
+    auc = (ranks[held.toxic == 1].sum() - len(toxic) * (len(toxic) + 1) / 2) / (len(toxic) * len(clean))
+    assert auc >= 0.9
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op4_quality_rules", "quality", 0.97), ("op5_toxicity", "toxic", 0.95)])
 def test_held_out_accuracy(spark, name, label, least):
     sf = "/root/testdata/sf0.1"

@@ -1,3 +1,5 @@
+import numpy as np
+
 import corpus_pipeline as p
 from spanloom.llm.common import materialize
 
@@ -17,11 +19,26 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert after == {i for i, v in brute_copies(before).items() if v[2]}
     before, after = seen["ngram_jaccard"]
     assert after == {i for i, v in brute_classes(before, 5, 80).items() if v[1] == i}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = p.q05_toxicity.fit_outside_fold(whole, labels)
+    before, after = seen["toxicity"]
+    assert after == {i for i, t in before if model.scores([t])[0] < p.q05_toxicity.THRESHOLD}
+    left = spark.createDataFrame([(i, t) for i, t in before if i in after], "doc_id long, text string")
+    ensemble = p.q04_quality.fit_outside_fold(left, labels)
+    before, after = seen["quality"]
+    assert after == {i for i, t in before if ensemble.predict(np.array([p.rules.statistics(t)]))[0] >= p.q04_quality.THRESHOLD}
     for name in ("toxicity", "quality"):
         before, after = seen[name]
         assert 0.5 * len(before) < len(after) <= len(before)
-    packed = p.STAGES[-1][1](spark, docs, sf_dir)
-    assert {r.doc_id for r in packed.select("doc_id").collect()} == seen["ngram_jaccard"][1]
+    packed = p.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in packed} == seen["ngram_jaccard"][1]
+    sequences = {}
+    for r in packed:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sequences.values():
+        pieces.sort()
+        assert [o for o, _ in pieces] == [sum(n for _, n in pieces[:k]) for k in range(len(pieces))] and sum(n for _, n in pieces) <= 2048
 
 
 def test_pipeline_on_odd_rows(spark, sf_dir, make_docs):
