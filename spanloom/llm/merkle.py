@@ -19,7 +19,8 @@ from .common import materialize, scratch
 
 ARITY = 3
 LEAST_HEIGHT = 7
-MOST_BLOCKS = 1 << 14
+#: Blocks whose paths are broadcast, some 3 kB each; of 3 * 10 ** 10 rows a block then has 3 ** 13.
+MOST_BLOCKS = 1 << 15
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
