@@ -285,6 +285,26 @@ def test_vectors_crowd_and_repeated_ids(spark):
     assert got == [(3, 1, 3), (4, 0, 4), (5, 2, 5), (7, 1, 3), (7, 1, 3), (8, 1, 3), (9, 2, 5), (9, 2, 5)]
 
 
+def test_columns_and_rows_that_nobody_expects(spark):
+    from .conftest import CLASHES
+
+    extra = [c for c in (*CLASHES, "x", "y", "b", "dims", "key", "own", "t", "turns", "parts_", "url_", "formatted", "verdict", "rule", "n_links", "kept") if c]
+    more = lambda df: df.select("*", *(F.lit("z").alias(c) for c in extra if c not in df.columns))
+    rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (3, [0.0, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    plain = sorted(map(str, vectors.near_duplicates(df).collect()))
+    assert sorted(map(str, vectors.near_duplicates(more(df)).collect())) == plain and len(plain) == 5
+    got = [r for r in vectors.near_duplicates(more(df)).collect() if r.vec_id is None]
+    assert len(got) == 2 and all(r.n_links == 0 and r.component_id is None for r in got)
+    pages = spark.createDataFrame([(1, "http://a.net/", "<p>"), (1, "http://a.net/", "<p>"), (None, None, None), (2, "x" * 100_000, "<" * 100_000)], PAGES)
+    plain = sorted(map(str, urls.judge(pages, RULES).collect()))
+    assert sorted(map(str, urls.judge(more(pages), RULES).collect())) == plain and len(plain) == 4
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 0, "user", "hi"), (None, None, None, None), (2, 1, "assistant", "w " * 50_000)], "conv_id long, turn long, role string, text string")
+    turns = turns.withColumn("parts", chat.text_part(F.col("text")))
+    plain = sorted(map(str, chat.format_conversations(turns).collect()))
+    assert sorted(map(str, chat.format_conversations(more(turns)).collect())) == plain and len(plain) == 3
+
+
 def test_vectors_of_one_hash_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(vectors, "vector_hash", lambda embedding: F.lit(1).cast("long"))
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (4, [1.0, 0.01], 1)]
