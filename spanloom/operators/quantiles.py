@@ -1,9 +1,8 @@
-"""Exact quantiles of groups of any size, by radix selection.
+"""Exact quantiles of groups of any size, by selection in bins.
 
-Values become whole numbers of the same order, 64 bits each. Of each group the values are counted by their leading bits; the
-bins that hold a wanted rank are kept and counted by the next bits, and so on, in three passes. So a task sorts no more of a
-group than the counts of one pass, and holds no list of its values. Distinct values are counted once, in one shuffle that all
-passes share.
+Of each group the values are counted in bins: first by their leading bits or cube root, then, in the bins that hold a wanted
+rank, by all but the last bits, and last one by one. So a task sorts no more of a group than the counts of one pass, some 2 ** 25
+at the most, and holds no list of its values. Distinct values are counted once, in one shuffle that all passes share.
 """
 
 from __future__ import annotations
@@ -12,10 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bits that a pass counts by, and those below them.
-PASSES = ((22, 42), (21, 21), (21, 0))
 #: In how many parts a bin's values are joined, so that a bin that holds most of a group isn't one task's.
-PARTS = 32
+PARTS = 8
 LARGEST = (1 << 63) - 1
 
 
@@ -34,20 +31,25 @@ def ordered_key(v: Column, kind: T.DataType) -> Column:
     return F.when(v < 0, -whole).otherwise(whole)
 
 
-def _bin(level: int) -> Column:
-    """The bits of a key that a pass counts by; the first keep the sign, so that all bins ascend with the key."""
-    bits, below = PASSES[level]
-    top = F.shiftright("__key", below)
-    return top if level == 0 else top.bitwiseAND(F.lit((1 << bits) - 1))
+#: Bits below those of the first pass, and below those of the second for whole numbers and for keys of doubles.
+COARSE, FINE_WHOLE, FINE_DOUBLE = 38, 24, 14
 
 
-def _within(counts: DataFrame, path: list[str], order: str, wanted: Column) -> DataFrame:
-    """Counts (path, order, n) with those of the wanted (at, rank, weight) that fall in each, ranked in it; others are left out."""
+def _placed(counts: DataFrame, path: list[str], order: str) -> DataFrame:
+    """Counts (path, order, n) with the number of a path's rows before each."""
     before = Window.partitionBy(*path).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("__wanted", wanted)
-    inside = F.filter("__wanted", lambda w: (w["rank"] >= F.col("__before")) & (w["rank"] < F.col("__before") + F.col("n")))
+    return counts.withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("__before")) & (rank < F.col("__before") + F.col("n"))
+
+
+def _within(placed: DataFrame, wanted: Column) -> DataFrame:
+    """Placed counts with those of the wanted (at, rank, weight) that fall in each, ranked in it; others are left out."""
+    inside = F.filter(wanted, lambda w: _holds(w["rank"]))
     inside = F.transform(inside, lambda w: F.struct(w["at"].alias("at"), (w["rank"] - F.col("__before")).alias("rank"), w["weight"].alias("weight")))
-    return placed.withColumn("__wanted", inside).where(F.size("__wanted") > 0).drop("__before", "n")
+    return placed.withColumn("__wanted", inside).where(F.size("__wanted") > 0).drop("__before", "n", "__last")
 
 
 def quantiles(rows: DataFrame, by: list[str], value: str, asked: list[float], name: str = "quantiles") -> DataFrame:
@@ -58,28 +60,31 @@ def quantiles(rows: DataFrame, by: list[str], value: str, asked: list[float], na
     if not by:
         return quantiles(rows.withColumn("__all", F.lit(0)), ["__all"], value, asked, name).drop("__all")
     held = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    held = held.withColumn("__key", ordered_key(F.col(value), rows.schema[value].dataType))
-    last = F.sum("n").over(Window.partitionBy(*by)) - 1
-    wanted = []
+    kind = rows.schema[value].dataType
+    real = isinstance(kind, T.FloatType | T.DoubleType)
+    bins = ["__bin0", "__bin1"]
+    held = held.withColumn("__key", ordered_key(F.col(value), kind))
+    # of whole numbers the cube root, which ascends with them and is fine where they are small
+    coarse = F.shiftright("__key", COARSE) if real else F.floor(F.cbrt(F.col(value).cast("double")))
+    held = held.withColumns({bins[0]: coarse, bins[1]: F.shiftright("__key", FINE_DOUBLE if real else FINE_WHOLE)})
+    wanted, needed = [], F.lit(False)
     for i, q in enumerate(asked):
-        place = F.lit(q) * last
-        low, high = F.floor(place), F.ceil(place)
+        place = F.lit(q) * F.col("__last")
+        low, high = F.floor(place).cast("bigint"), F.ceil(place).cast("bigint")
+        needed = needed | _holds(low) | _holds(high)
         for j, (rank, weight) in enumerate(((low, high - place), (high, place - low))):
-            wanted.append(F.struct(F.lit(2 * i + j).alias("at"), rank.cast("bigint").alias("rank"), weight.cast("double").alias("weight")))
-    bins = [f"__bin{i}" for i in range(len(PASSES) - 1)]
-    for i, b in enumerate(bins):
-        held = held.withColumn(b, _bin(i))
-    kept = _within(held.groupBy(*by, bins[0]).agg(F.sum("n").alias("n")), by, bins[0], F.array(*wanted))
-    for i in range(1, len(PASSES)):
-        path = [*by, *bins[:i]]
-        part = F.pmod(F.xxhash64("__key"), F.lit(PARTS)).alias("__part")
+            wanted.append(F.struct(F.lit(2 * i + j).alias("at"), rank.alias("rank"), weight.cast("double").alias("weight")))
+    found = held.withColumn("__part", F.pmod(F.xxhash64("__key"), F.lit(PARTS)))
+    first = _placed(held.groupBy(*by, bins[0]).agg(F.sum("n").alias("n")), by, bins[0])
+    first = first.withColumn("__last", F.sum("n").over(Window.partitionBy(*by)) - 1).where(needed)  # lists are made for few bins only
+    kept = _within(first, F.array(*wanted))
+    for path in ([*by, bins[0]], [*by, *bins]):
         parts = kept.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)).cast("array<bigint>")))
-        found = held.withColumn("__part", part).join(parts, [*path, "__part"])
-        if i < len(PASSES) - 1:
-            counts = found.groupBy(*path, "__wanted", bins[i]).agg(F.sum("n").alias("n"))
-            kept = _within(counts, path, bins[i], F.col("__wanted"))
-        else:
-            kept = _within(found.select(*path, "__wanted", "__key", value, "n"), path, "__key", F.col("__wanted"))
+        found = found.drop("__wanted").join(parts, [*path, "__part"])
+        if path[-1] == bins[0]:
+            counts = found.groupBy(*path, "__wanted", bins[1]).agg(F.sum("n").alias("n"))
+            kept = _within(_placed(counts, path, bins[1]), F.col("__wanted"))
+    kept = _within(_placed(found.select(*path, "__wanted", "__key", value, "n"), path, "__key"), F.col("__wanted"))
     each = kept.select(*by, F.col(value).alias("__v"), F.explode("__wanted").alias("__w"))
     pick = lambda k, c: F.max(F.when(F.col("__w.at") == k, F.col(c)))
 
