@@ -362,9 +362,11 @@ def test_queries_have_the_contracts_columns(spark, sf_dir):
         "op3": "doc_id n_shingles component_id", "op6": "doc_id keep_id group_size kept text_sha256",
         "op7": "doc_id start n_tokens ids_crc32", "op8": "vec_id n_links component_id kept",
         "op10": "doc_id piece start length ids_crc32 sequence_id offset",
+        "op11": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256", "op12": "doc_id size source_size target taken",
+        "op13": "doc_id leaf subroot root proof_sha256 folded_root verified",
     }
     made = queries()
-    assert len(made) == 10
+    assert len(made) == 13
     for op, names in columns.items():
         (name,) = [n for n in made if n.startswith(op + "_")]
         assert set(names.split()) <= set(made[name](spark, sf_dir).columns)
