@@ -8,7 +8,12 @@ are follows from the number of vectors and the threshold: see `layout`.
 Buckets hold ids, not vectors. An id travels with the signs of 64 further projections; vectors within a bucket whose signs
 differ in more places than those of a wanted pair do are no candidates. Candidates are brought together with their vectors
 once and checked by their exact cosine in double precision. All but the projections is DataFrame joins and partial
-aggregates, and a bucket of any size is done whole, by as many tasks as Spark splits it into.
+aggregates.
+
+Buckets of DENSE vectors or more, which clusters of close vectors make, are multiplied in blocks instead: a task has two
+blocks of a bucket, and gives how many links each vector has and edges that connect what is linked. Their output is linear
+in their input, no row is made for a pair, and a bucket of any size is done whole by as many tasks as it has pairs of
+blocks. A pair that shares several such buckets counts in the least of them, and isn't looked for in small buckets.
 """
 
 from __future__ import annotations
@@ -33,6 +38,10 @@ SIGNS, SPREAD = 64, 5.2
 FIRST = 4
 #: Vectors hashed at a time.
 CHUNK = 2000
+#: Vectors from which a bucket is dense, and of a block about; rows of a block that are multiplied at a time.
+DENSE, BLOCK, TILE = 256, 4096, 512
+#: Cosines nearer to the threshold than this are summed up again in the order in which all others are.
+UNSURE = 1e-9
 
 
 def collides(distance: float) -> float:
@@ -148,16 +157,140 @@ def _hashed(nodes: DataFrame, hashes: int, tables: int) -> DataFrame:
     return materialize(nodes.select("node", "label", "embedding").mapInArrow(run, schema), "hashed-vectors")
 
 
-def _candidates(hashed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket and differ in few enough signs."""
+def _bucket(key: str, tbl: str) -> Column:
+    return F.xxhash64("label", "dims", tbl, key).alias("bucket")
+
+
+def _dense(hashed: DataFrame) -> DataFrame:
+    """(node, dense) of the nodes in dense buckets: these buckets in ascending order, each with its number of blocks."""
+    each = hashed.select("node", "label", "dims", F.posexplode("keys").alias("tbl", "key")).select("node", _bucket("key", "tbl"))
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+    large = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), blocks).where(F.col("n") >= DENSE)
+    large = materialize(large.select("bucket", "blocks"), "dense-buckets")
+    # at most one entry for each table
+    own = each.join(large, "bucket").groupBy("node").agg(F.array_sort(F.collect_set(F.struct("bucket", "blocks"))).alias("dense"))
+    return materialize(own, "dense-nodes")
+
+
+def _cosines(x: np.ndarray, y: np.ndarray, norm_x: np.ndarray, norm_y: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the cosine of each row of x with each of y is the threshold at least."""
+    linked = np.empty((len(x), len(y)), dtype=bool)
+    for at in range(0, len(x), TILE):
+        cosine = (x[at : at + TILE] @ y.T) / (norm_x[at : at + TILE, None] * norm_y)
+        part = linked[at : at + TILE]
+        np.greater_equal(cosine, threshold, out=part)
+        rows, columns = np.nonzero(np.abs(cosine - threshold) < UNSURE)
+        for i in range(0, len(rows), TILE):
+            r, c = rows[i : i + TILE], columns[i : i + TILE]
+            total = np.add.accumulate(x[at + r] * y[c], axis=1)[:, -1]
+            part[r, c] = total / (norm_x[at + r] * norm_y[c]) >= threshold
+    return linked
+
+
+def _weights(linked: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of each row the sum of the weights that it is linked with."""
+    parts = [linked[i : i + TILE].astype(np.float64) @ weight.astype(np.float64) for i in range(0, len(linked), TILE)]
+    return np.concatenate([np.zeros(0), *parts]).astype(np.int64)
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of edges that connect what a matrix of links does, fewer than it has rows and columns."""
+    rows, columns = [], []
+    new_row, new_column = linked.any(axis=1), linked.any(axis=0)
+    for start in np.flatnonzero(new_row):
+        if not new_row[start]:
+            continue
+        new_row[start] = False
+        front = np.array([start])
+        while len(front):
+            some = np.flatnonzero(new_column)
+            reached = linked[np.ix_(front, some)]
+            hit = reached.any(axis=0)
+            found = some[hit]
+            rows.append(front[reached[:, hit].argmax(axis=0)])
+            columns.append(found)
+            new_column[found] = False
+            some = np.flatnonzero(new_row)
+            reached = linked[np.ix_(some, found)]
+            hit = reached.any(axis=1)
+            front = some[hit]
+            rows.append(front)
+            columns.append(found[reached[hit].argmax(axis=1)] if len(front) else front)
+            new_row[front] = False
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *rows]), np.concatenate([none, *columns])
+
+
+def _multiplied(dense: DataFrame, nodes: DataFrame, hashed: DataFrame, threshold: float) -> DataFrame:
+    """What dense buckets link: rows (a, null, n) say that n rows' vectors are linked with node a, others (a, b, null) are
+    edges."""
+    whole = dense.join(nodes.select("node", "weight", "label", "embedding"), "node")
+    whole = whole.join(hashed.select("node", "dims", "scale", "norm"), "node")
+    each = whole.withColumn("of", F.explode("dense")).withColumn("block", F.expr("cast(pmod(xxhash64(node), of.blocks) as int)"))
+    each = each.withColumn("other", F.explode(F.expr("sequence(0, of.blocks - 1)")))
+    pairs = each.select(
+        F.col("of.bucket").alias("bucket"), "label", "dims", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "node", "weight", "embedding", "scale", "norm", F.col("dense.bucket").alias("buckets"),
+    )
+
+    def run(key, table):
+        holding("vectors")
+        bucket, _, dims, i, j = (k.as_py() for k in key)
+        block, node, weight, scale, norm = (table[n].to_numpy() for n in ("block", "node", "weight", "scale", "norm"))
+        vector = table["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        vector = vector.reshape(-1, dims) * scale[:, None]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        linked = _cosines(vector[left], vector[right], norm[left], norm[right], threshold)
+        if i == j:
+            np.fill_diagonal(linked, False)
+        # what shares a lesser bucket counts there
+        lists = table["buckets"].combine_chunks()
+        owner = np.repeat(np.arange(len(node)), np.array(lists.value_lengths()))
+        shared = lists.flatten().to_numpy()
+        owner, shared = owner[shared < bucket], shared[shared < bucket]
+        order = np.argsort(shared, kind="stable")
+        row, column = np.full((2, len(node)), -1)
+        row[left], column[right] = np.arange(len(left)), np.arange(len(right))
+        for have in np.split(owner[order], np.flatnonzero(np.diff(shared[order])) + 1):
+            r, c = row[have], column[have]
+            linked[np.ix_(r[r >= 0], c[c >= 0])] = False
+        a, b = forest(linked)
+        n, of, edges = _weights(linked, weight[right]), left, len(a)
+        if i < j:
+            n, of = np.concatenate([n, _weights(linked.T, weight[left])]), np.concatenate([left, right])
+        of, n = of[n > 0], n[n > 0]
+        return pa.table({
+            "a": pa.array(np.concatenate([node[of], node[left[a]]])),
+            "b": pa.concat_arrays([pa.nulls(len(of), pa.int64()), pa.array(node[right[b]])]),
+            "n": pa.concat_arrays([pa.array(n), pa.nulls(edges, pa.int64())]),
+        })
+
+    met = pairs.groupBy("bucket", "label", "dims", "i", "j").applyInArrow(run, "a long, b long, n long")
+    return materialize(met, "dense-links")
+
+
+def _candidates(hashed: DataFrame, dense: DataFrame | None, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes that share a bucket, but no dense one, and differ in few enough signs."""
     first = F.transform(F.slice("keys", 1, FIRST), lambda k: (F.pmod(k, F.lit(65536)) - 32768).cast("short"))
-    each = hashed.select("node", "label", "dims", "signs", first.alias("first"), F.posexplode("keys").alias("tbl", "key"))
-    rows = each.select("node", "signs", "first", "tbl", F.xxhash64("label", "dims", "tbl", "key").alias("bucket"))
+    columns = ["node", "signs", "first", "tbl"]
+    apart = ""
+    if dense is not None:
+        hashed = hashed.join(dense.select("node", F.col("dense.bucket").alias("dense")), "node", "left")
+        columns.append("dense")
+        apart = " and not coalesce(arrays_overlap(x.dense, y.dense), false)"
+    own = [c for c in columns if c not in ("first", "tbl")]
+    each = hashed.select(*own, "label", "dims", first.alias("first"), F.posexplode("keys").alias("tbl", "key"))
+    rows = each.select(*columns, _bucket("key", "tbl"))
+    if dense is not None:
+        rows = rows.where("not coalesce(array_contains(dense, bucket), false)")
     # not told already by one of the first tables
     again = " or ".join(f"(x.tbl > {i} and x.first[{i}] = y.first[{i}])" for i in range(FIRST))
     met = rows.alias("x").join(
         rows.alias("y"),
-        F.expr(f"x.bucket = y.bucket and x.tbl = y.tbl and x.node < y.node and bit_count(x.signs ^ y.signs) <= {most_signs(threshold)} and not coalesce({again}, false)"),
+        F.expr(
+            f"x.bucket = y.bucket and x.tbl = y.tbl and x.node < y.node and bit_count(x.signs ^ y.signs) <= {most_signs(threshold)} "
+            f"and not coalesce({again}, false){apart}"
+        ),
     )
     return materialize(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "vector-pairs")
 
@@ -190,13 +323,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
         nodes, own = _nodes(rows.where("ok").drop("ok"))
         most = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
         hashed = _hashed(nodes, *layout(most, threshold))
-        links = _linked(_candidates(hashed, threshold), nodes, hashed, threshold)
+        dense = _dense(hashed)
+        some = not dense.isEmpty()
+        links = _linked(_candidates(hashed, dense if some else None, threshold), nodes, hashed, threshold)
         counted = links.select(F.col("a").alias("node"), F.col("wb").alias("w")).union(links.select("b", "wa"))
+        edges = links.select("a", "b")
+        if some:
+            more = _multiplied(dense, nodes, hashed, threshold)
+            counted = counted.union(more.where("b is null").select("a", "n"))
+            edges = edges.union(more.where("b is not null").select("a", "b"))
         counted = counted.groupBy("node").agg(F.sum("w").alias("n"))
         # a vec_id on several rows joins its nodes
         several = own.groupBy("vec_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
         joined = own.join(several.select("vec_id", "lo"), "vec_id").select(F.col("lo").alias("a"), F.col("node").alias("b"))
-        parts = materialize(components(links.select("a", "b").union(joined)), "vector-components")
+        parts = materialize(components(edges.union(joined)), "vector-components")
         named = nodes.select("node", "vec", "weight").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
         named = materialize(named, "vector-named")
         least = materialize(named.groupBy("root").agg(F.min("vec").alias("component_id")), "component-names")

@@ -285,6 +285,54 @@ def test_vectors_crowd_and_repeated_ids(spark):
     assert got == [(3, 1, 3), (4, 0, 4), (5, 2, 5), (7, 1, 3), (7, 1, 3), (8, 1, 3), (9, 2, 5), (9, 2, 5)]
 
 
+@pytest.mark.parametrize("block", [7, 4096])
+def test_vectors_in_dense_buckets_give_what_pairs_give(spark, monkeypatch, block):
+    """Clusters in blocks: every link counts once, though its vectors share several dense buckets, and copies by weight."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((4, 12))
+    rows = [(i, (centres[i % 4] + 0.25 * rng.standard_normal(12)).tolist(), i % 8 // 4) for i in range(400)]
+    rows += [(1000 + i, rows[i % 5][1], rows[i % 5][2]) for i in range(20)]
+    # a chain of steps that link neighbours only: one component however it is cut
+    turn = [(2000 + i, [float(np.cos(0.2 * i)), float(np.sin(0.2 * i))] + [0.0] * 10, 2) for i in range(8)]
+    df = spark.createDataFrame(rows + turn, "vec_id long, embedding array<double>, label int")
+    read = lambda: sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(df, 0.93).collect())
+    pairs = read()
+    monkeypatch.setattr(vectors, "DENSE", 12)
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    links = brute_links(rows + turn, 0.93)
+    total = sum(map(len, links.values()))
+    dense = read()
+    assert sum(n for _, n, _ in dense) >= sum(n for _, n, _ in pairs) >= 0.99 * total and total > 5000
+    assert all(n <= len(links.get(i, ())) for i, n, _ in dense)
+    roots = union_find([(a, b) for a, s in links.items() for b in s])
+    assert sum(c == roots.get(i, i) for i, _, c in dense) >= 0.99 * len(dense)
+
+
+def test_forest_connects_what_a_matrix_does():
+    rng = np.random.default_rng(9)
+    for share in (0.0, 0.005, 0.02, 0.1, 1.0):
+        for rows, columns in ((60, 90), (1, 5), (5, 1)):
+            linked = rng.random((rows, columns)) < share
+            a, b = vectors.forest(linked)
+            assert linked[a, b].all() and len(a) < rows + columns
+            whole = union_find([(i, rows + j) for i, j in zip(*np.nonzero(linked))])
+            assert union_find([(i, rows + j) for i, j in zip(a, b)]) == whole
+    linked = rng.random((80, 80)) < 0.02
+    linked |= linked.T
+    assert union_find(list(zip(*vectors.forest(linked)))) == union_find(list(zip(*np.nonzero(linked))))
+
+
+def test_cosines_at_the_threshold():
+    rng = np.random.default_rng(10)
+    x, y = rng.standard_normal((40, 9)), rng.standard_normal((30, 9))
+    norm = lambda v: np.sqrt((v * v).sum(axis=1))
+    one = lambda i, j: sum((p * q for p, q in zip(x[i], y[j])), 0.0) / (norm(x)[i] * norm(y)[j])
+    for i, j in ((0, 0), (3, 29), (39, 7)):
+        for threshold in (one(i, j), np.nextafter(one(i, j), 2.0)):
+            got = vectors._cosines(x, y, norm(x), norm(y), threshold)
+            assert got.tolist() == [[bool(one(a, b) >= threshold) for b in range(30)] for a in range(40)]
+
+
 def test_columns_and_rows_that_nobody_expects(spark):
     from .conftest import CLASHES
 
