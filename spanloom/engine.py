@@ -71,14 +71,15 @@ class TraceEngine:
     A time range is [start_ns, end_ns). Searches may see spans up to padding_ns around it, so that traces at its edges
     are whole, but only match spans within. max_series and max_attributes bound the series of a metrics query and the
     attributes of compare(); max_spans bounds the spans that a search pulls, whole traces only. By default nothing is
-    bounded. prefilter: see operators.search.candidates.
+    bounded. prefilter: see operators.search.candidates. infinite: whether arithmetic of metrics keeps buckets whose value
+    is infinite or NaN, as in a division by zero.
     """
 
     def __init__(
         self, spans, max_series: int | None = None, padding_ns: int = 3600 * 10**9, max_attributes: int | None = None,
-        prefilter: bool = False, max_spans: int | None = None,
+        prefilter: bool = False, max_spans: int | None = None, infinite: bool = False,
     ):
-        self.source, self.max_spans = spans, max_spans
+        self.source, self.max_spans, self.infinite = spans, max_spans, infinite
         self.max_series, self.padding_ns, self.max_attributes, self.prefilter = max_series, padding_ns, max_attributes, prefilter
 
     @property
@@ -125,7 +126,7 @@ class TraceEngine:
         return self.search(search.legacy_query(tags, min_duration, max_duration), **options)
 
     def metrics_result(self, query: str, start_ns: int, end_ns: int, step_ns: int = 0, exemplars: int = 0) -> MetricsResult:
-        window = metrics.Range(start_ns, end_ns, step_ns, most_attributes=self.max_attributes)
+        window = metrics.Range(start_ns, end_ns, step_ns, most_attributes=self.max_attributes, infinite=self.infinite)
         at = window.aligned()
         made = metrics.query_range(self._within(at.start_ns, at.end_ns), parse(query), window, exemplars)
         kept, seen = metrics.capped(made, self.max_series)
@@ -136,7 +137,7 @@ class TraceEngine:
 
     def instant(self, query: str, start_ns: int, end_ns: int) -> DataFrame:
         spans = self._within(start_ns, max(end_ns, start_ns + 1))
-        return metrics.query_instant(spans, parse(query), start_ns, end_ns)
+        return metrics.query_instant(spans, parse(query), start_ns, end_ns, self.infinite)
 
     def trace(self, trace_id: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
         if isinstance(self.source, DataFrame):

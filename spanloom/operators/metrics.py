@@ -31,7 +31,8 @@ class Range:
     """A query's time range in nanoseconds. aligned() floors the start and ceils the end to the step.
 
     Buckets begin at the origin and at multiples of the step from it. compare() looks at ``most_attributes`` attributes
-    at most, if that is given.
+    at most, if that is given. With ``infinite``, arithmetic keeps infinite values and NaN, as in a division by zero;
+    otherwise it leaves such buckets out.
     """
 
     start_ns: int
@@ -39,10 +40,11 @@ class Range:
     step_ns: int = 0
     origin_ns: int = 0
     most_attributes: int | None = None
+    infinite: bool = False
 
     def aligned(self) -> Range:
         step = self.step_ns or default_step(self.end_ns - self.start_ns)
-        return Range(self.start_ns // step * step, -(-self.end_ns // step) * step, step, 0, self.most_attributes)
+        return Range(self.start_ns // step * step, -(-self.end_ns // step) * step, step, 0, self.most_attributes, self.infinite)
 
     def bucket_ns(self) -> Column:
         """The start of a span's bucket, in whole numbers throughout."""
@@ -294,8 +296,11 @@ def _second(series: Series, stages: tuple) -> Series:
     return Series(frame, series.labels, series.exemplars)
 
 
-def _compute(op: str, x: Column, y: Column) -> Column:
-    return {"+": lambda: x + y, "-": lambda: x - y, "*": lambda: x * y, "/": lambda: F.try_divide(x, y)}[op]()
+def _compute(op: str, x: Column, y: Column, infinite: bool) -> Column:
+    """A division by zero is null, or with ``infinite`` that of IEEE 754: infinity by the signs of both, NaN of two zeros."""
+    by_zero = x * F.pow(y, F.lit(-1.0)) if infinite else F.lit(None).cast("double")
+    quotient = lambda: F.when(y == 0, by_zero).otherwise(F.try_divide(x, y))
+    return {"+": lambda: x + y, "-": lambda: x - y, "*": lambda: x * y, "/": quotient}[op]()
 
 
 def combine(spans: DataFrame, node, window: Range, exemplars: int = 0) -> Series | float:
@@ -315,15 +320,17 @@ def combine(spans: DataFrame, node, window: Range, exemplars: int = 0) -> Series
         series = right if isinstance(left, float) else left
         x = F.lit(left) if isinstance(left, float) else F.col("value")
         y = F.lit(right) if isinstance(right, float) else F.col("value")
-        frame = series.frame.withColumn("value", _compute(node.op, x, y))
+        frame = series.frame.withColumn("value", _compute(node.op, x, y, window.infinite))
         made = Series(frame, series.labels, series.exemplars)
     else:
-        made = _join(node.op, left, right)
-    frame = made.frame.where(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < F.lit(float("inf"))))
+        made = _join(node.op, left, right, window.infinite)
+    frame = made.frame.where(F.col("value").isNotNull())
+    if not window.infinite:
+        frame = frame.where(~F.isnan("value") & (F.abs("value") < F.lit(float("inf"))))
     return _second(Series(frame, made.labels, made.exemplars), node.second)
 
 
-def _join(op: str, left: Series, right: Series) -> Series:
+def _join(op: str, left: Series, right: Series, infinite: bool) -> Series:
     """Series of equal labels by bucket; a single series without labels goes with each of the other side's."""
     if left.labels == right.labels or set(left.labels) == set(right.labels):
         labels = left.labels
@@ -340,7 +347,7 @@ def _join(op: str, left: Series, right: Series) -> Series:
     return Series(
         x.join(y, on).select(
             *[F.col(f"{side[n]}.`{n}`").alias(n) for n in labels], F.col("x.bucket_ns").alias("bucket_ns"),
-            _compute(op, F.col("x.value"), F.col("y.value")).alias("value"),
+            _compute(op, F.col("x.value"), F.col("y.value"), infinite).alias("value"),
         ),
         labels,
     )
@@ -380,7 +387,7 @@ def _fused(spans: DataFrame, node: A.Math, window: Range) -> Series | None:
         )
     per = F.lit(window.step_ns / 1e9 if node.left.agg.fn == "rate" else 1.0)
     x, y = F.coalesce("__na", F.lit(0)) / per, F.coalesce("__nb", F.lit(0)) / per
-    value = _compute(node.op, x, y)
+    value = _compute(node.op, x, y, window.infinite)
     named = [F.col(n).alias(name) for n, name in zip(by, labels, strict=True)]
     out = filled.select(*named, "bucket_ns", value.alias("value")).where("value is not null")
     return Series(out, labels)
@@ -442,10 +449,10 @@ def query_range(spans: DataFrame, query: A.Query, window: Range, exemplars: int
     return thin(series, wanted)
 
 
-def query_instant(spans: DataFrame, query: A.Query, start_ns: int, end_ns: int) -> DataFrame:
+def query_instant(spans: DataFrame, query: A.Query, start_ns: int, end_ns: int, infinite: bool = False) -> DataFrame:
     """One value per series over exactly the range: a single bucket that begins with it, whatever the function."""
     length = max(1, end_ns - start_ns)
-    window = Range(start_ns, start_ns + length, length, start_ns)
+    window = Range(start_ns, start_ns + length, length, start_ns, infinite=infinite)
     series = combine(spans, query.root, window, 0)
     if isinstance(series, float):
         raise A.QueryError("a query is more than a number")
