@@ -52,10 +52,23 @@ def _within(placed: DataFrame, wanted: Column) -> DataFrame:
     return placed.withColumn("__wanted", inside).where(F.size("__wanted") > 0).drop("__before", "n", "__last")
 
 
+def _join(x: DataFrame, y: DataFrame, names: list[str]) -> DataFrame:
+    """An inner join by names that are equal or null on both sides.
+
+    A plain join filters nulls out of its keys. Those filters go down below the counts of distinct values, differ from pass
+    to pass, and so each pass would read and count all rows anew instead of sharing one shuffle.
+    """
+    y = y.withColumnsRenamed({n: f"__y_{n}" for n in names})
+    on = F.lit(True)
+    for n in names:
+        on = on & F.col(n).eqNullSafe(F.col(f"__y_{n}"))
+    return x.join(y, on).drop(*(f"__y_{n}" for n in names))
+
+
 def quantiles(rows: DataFrame, by: list[str], value: str, asked: list[float], name: str = "quantiles") -> DataFrame:
     """One row per group: by and ``name``, the exact quantiles of a group's values as an array of doubles.
 
-    rows: by and value, without nulls. Between two values they are interpolated by rank, as ``percentile`` does.
+    rows: by and value; values without nulls. Between two values they are interpolated by rank, as ``percentile`` does.
     """
     if not by:
         return quantiles(rows.withColumn("__all", F.lit(0)), ["__all"], value, asked, name).drop("__all")
@@ -80,7 +93,7 @@ def quantiles(rows: DataFrame, by: list[str], value: str, asked: list[float], na
     kept = _within(first, F.array(*wanted))
     for path in ([*by, bins[0]], [*by, *bins]):
         parts = kept.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)).cast("array<bigint>")))
-        found = found.drop("__wanted").join(parts, [*path, "__part"])
+        found = _join(found.drop("__wanted"), parts, [*path, "__part"])
         if path[-1] == bins[0]:
             counts = found.groupBy(*path, "__wanted", bins[1]).agg(F.sum("n").alias("n"))
             kept = _within(_placed(counts, path, bins[1]), F.col("__wanted"))

@@ -50,3 +50,14 @@ def test_one_group_of_ten_million_values(spark):
     df = spark.range(n).select(F.lit("g").alias("g"), (F.col("id") * 7_919 + 3).alias("v"))
     got = quantiles(df, ["g"], "v", [0.5, 0.9]).first().quantiles
     assert got == [7_919 * 0.5 * (n - 1) + 3, pytest.approx(7_919 * 0.9 * (n - 1) + 3)]
+
+
+def test_all_passes_share_one_count_of_the_rows(spark, tmp_path):
+    rows = [(g, i % 7 * 1.5 if i % 11 else None) for g in (1, 2, None) for i in range(200)]
+    spark.createDataFrame(rows, "g long, v double").repartition(3).write.parquet(f"{tmp_path}/rows")
+    read = spark.read.parquet(f"{tmp_path}/rows").select((F.col("g") * 2).alias("h"), F.col("v")).where("v is not null")
+    got = quantiles(read, ["h"], "v", ASKED)
+    wanted = read.groupBy("h").agg(F.percentile("v", F.array(*map(F.lit, ASKED))).alias("q"))
+    assert {r.h: r.quantiles for r in got.collect()} == {r.h: r.q for r in wanted.collect()}
+    final = plan_of(got).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
