@@ -96,12 +96,17 @@ def _runs(core: str) -> list[str]:
 
 
 class Finder:
-    """Finds the features of a vocabulary (feature -> number) in texts; remembers words that aren't long."""
+    """Finds the features of a vocabulary (feature -> number) in texts; remembers words that aren't long.
 
-    def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary = vocabulary
+    keyed: whether copy_key will be asked for.
+    """
+
+    def __init__(self, vocabulary: dict[str, int], keyed: bool = True):
+        self.vocabulary, self.keyed = vocabulary, keyed
         self.whole = {f[1:]: n for f, n in vocabulary.items() if f[0] == "="}
         self.starts = {f[1:]: n for f, n in vocabulary.items() if f[0] == "^"}
+        #: the first letters of both, which most words don't begin with
+        self.heads = {f[: PREFIXES[0]] for f in (*self.whole, *self.starts)}
         self.hits: dict[str, tuple[int, ...]] = {}
         #: word -> crc32 of a word that tells near copies apart, SHORT of any other
         self.codes: dict[str, int] = {}
@@ -113,6 +118,8 @@ class Finder:
             if len(core) < 2:
                 return ()
             core = core.lower()
+            if core[: PREFIXES[0]] not in self.heads:
+                return ()
             at = (self.whole.get(core), *(self.starts.get(core[:n]) for n in PREFIXES if len(core) >= n))
             return tuple(n for n in at if n is not None)
         return tuple(n for f in features_of(word) if (n := self.vocabulary.get(f)) is not None)
@@ -123,12 +130,13 @@ class Finder:
         if len(self.codes) > SEEN_WORDS:
             self.clear()
         found: set[int] = set()
-        for word in words.difference(self.codes):
+        codes, keyed = self.codes, self.keyed
+        for word in words.difference(codes):
             numbers = self._numbers(word)
             if len(word) > MOST_LETTERS:
                 found.update(numbers)
                 continue
-            self.codes[word] = _code(word)
+            codes[word] = _code(word) if keyed else SHORT
             if numbers:
                 self.hits[word] = numbers
         found.update(*map(self.hits.__getitem__, self.hits.keys() & words))
@@ -136,7 +144,10 @@ class Finder:
 
     def copy_key(self, words: set[str]) -> bytes:
         """A key that most near copies share: of the words that `look` gave, the longer ones of least hash."""
-        codes = np.fromiter((self.codes[w] if len(w) <= MOST_LETTERS else _code(w) for w in words), dtype=np.int64, count=len(words))
+        held = list(map(self.codes.get, words))
+        if None in held:  # long words aren't remembered
+            held = [_code(w) if c is None else c for w, c in zip(words, held, strict=True)]
+        codes = np.array(held, dtype=np.int64)
         least = np.sort(np.partition(codes, 3)[:4] if len(codes) > 4 else codes)
         least = least[least < SHORT]
         key = least.tobytes() if len(least) else "\n".join(sorted(words)).encode("utf-8", "surrogatepass")
@@ -164,7 +175,7 @@ class Model:
     def scores(self, texts) -> np.ndarray:
         """Scores from 0 to 1 of an iterable of texts (or None); looks at every word of the whole text."""
         if self._finder is None:
-            self._finder = Finder({f: i for i, f in enumerate(self.weights)})
+            self._finder = Finder({f: i for i, f in enumerate(self.weights)}, keyed=False)
         holding("toxicity", self._finder.clear)
         weights = list(self.weights.values())
         look = self._finder.look
@@ -336,7 +347,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         shared = here.share(docs.sparkSession, {f: i for i, f in enumerate(names)})
 
         def run(batches):
-            finder = Finder(shared.value)
+            finder = Finder(shared.value, keyed=False)
             holding("toxicity", finder.clear)
             for batch in batches:
                 hits = [_packed(finder.look(t.as_py())[0]) for t in batch.column(0)]
