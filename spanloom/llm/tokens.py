@@ -52,7 +52,8 @@ class PieceEncoder:
             for words in cut:
                 if words:
                     words[0] = " " + words[0]
-        new = set().union(*cut).difference(kept)
+        met = set().union(*cut)
+        new = met.difference(kept)
         if self.spaced:
             # a first or last character that is white space, besides the key's own mark in front
             odd = {w for w in new if not w or w[-1].isspace() or w[w[0] in " \n"].isspace()}
@@ -63,7 +64,8 @@ class PieceEncoder:
                 whole = dict(zip(at, self.encode_whole([texts[i] for i in at], self.dtype), strict=True))
                 for i in at:
                     cut[i] = []
-                new = set().union(*cut).difference(kept)
+                met = set().union(*cut)
+                new = met.difference(kept)
             firsts = [w for w in new if w[0] == " "]
             kept.update(zip(firsts, self.encode_whole([w[1:] for w in firsts], self.dtype), strict=True))
             words = [w for w in new if w[0] != " "]
@@ -89,7 +91,9 @@ class PieceEncoder:
             kept.update(zip(words, self.encode_words(words, self.dtype), strict=True))
             kept.update((w, kept[core] + kept[signs]) for w, (core, signs) in parts.items())
             new.update(words)
-        out = [whole[i] if i in whole else b"".join(map(kept.__getitem__, words)) for i, words in enumerate(cut)]
+        # a text's words are looked up in a table of these texts alone, which caches hold
+        here = dict(zip(met, map(kept.__getitem__, met), strict=True)).__getitem__
+        out = [whole[i] if i in whole else b"".join(map(here, words)) for i, words in enumerate(cut)]
         most, longest = (CACHE_PIECES, CACHED_CHARS) if self.spaced else (CACHE_WORDS, CACHED_WORD_CHARS)
         full = len(kept) > most
         for w in new:

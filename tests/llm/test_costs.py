@@ -1,10 +1,29 @@
 """What operators do once rather than for each row or word."""
 
-from spanloom.llm import toxicity
+import public_tokenizers
+
+from spanloom.llm import tokens, toxicity
 
 WORDS = ["cart", "Cartons,", "checkout", "(checkouts)", "ab", "a", "x1y2", "日本語", "Ärzte", "don't", "w" * 70, "w" * 70 + "cart", "carte"]
 
 
+def test_encoder_looks_a_word_up_once_for_many_texts():
+    class Counting(dict):
+        looked = 0
+
+        def __getitem__(self, key):
+            Counting.looked += 1
+            return dict.__getitem__(self, key)
+
+    for name, keeps in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        enc = tokens.tokenizer_encoder(public_tokenizers.path(name), keeps)
+        texts = ["the cart was full"] * 50
+        wanted = enc.encode(texts)
+        enc.kept, Counting.looked = Counting(enc.kept), 0
+        assert enc.encode(texts) == wanted and Counting.looked <= 5
+        enc.kept = dict(enc.kept)
+
+
 def test_finder_finds_what_features_say_and_scores_without_keys(monkeypatch):
     names = sorted({f for w in WORDS[::2] for f in toxicity.features_of(w)})
     vocabulary = {f: i for i, f in enumerate(names)}
