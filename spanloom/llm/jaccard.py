@@ -8,7 +8,9 @@
    of groups with one member within the join, of others when they are expanded.
 
 Prefixes are longer by SHARED - 1 than step 2 needs, so that a similar pair shares SHARED shingles of its prefixes; pairs
-with fewer, which common phrases make, are never fetched.
+with fewer, which common phrases make, are never fetched. Shingles that stand in the prefixes of just the same groups, as
+those of near copies do, are joined as one bundle, whose name is a hash of these groups. Where this module says shingle of
+a posting, it is a bundle.
 
 What is wanted are classes, so pairs within a class already known needn't be compared. First, groups with a crowded
 shingle are compared with a few others of that shingle and size band (linear in the postings), and groups with their own
@@ -22,7 +24,7 @@ crowded ones come after all others of that part. The part is large enough for mo
 crowded shingles are kept in a table that may be coarse, as any order is right that is the same everywhere.
 
 Sets are of 64-bit hashes, so what is exact is so up to collisions of these: two shingles of a pair of sets collide with
-a probability of about their number squared / 2^65.
+a probability of about their number squared / 2^65. So do the names of bundles.
 """
 
 from __future__ import annotations
@@ -216,7 +218,7 @@ def _near(percent: int) -> str:
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """met: x and y (g, n, size, at) of groups, a row per common prefix shingle. Returns the pairs (a, b, na, nb) that may
+    """met: x and y (g, n, size, at, w) of groups, a row per common bundle of w prefix shingles. Returns the pairs (a, b, na, nb) that may
     be similar; a is the group of fewer members, or x's.
 
     They share SHARED shingles, or fewer where a set is so small; and behind the first common one both are long enough.
@@ -224,7 +226,7 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
     own = lambda n: f"least({SHARED}, ceil({percent} * {n} / 100.0))"
     return (
         met.groupBy(*(F.col(f"{side}.{n}").alias(f"{side}{n}") for side in "xy" for n in ("g", "n", "size")))
-        .agg(F.count(F.lit(1)).alias("common"), F.min("x.at").alias("xat"), F.min("y.at").alias("yat"))
+        .agg(F.sum("x.w").alias("common"), F.min("x.at").alias("xat"), F.min("y.at").alias("yat"))
         .where(f"common >= least({own('xn')}, {own('yn')})")
         .where(f"1 + least(xn - xat - 1, yn - yat - 1) >= {_overlap(percent, 'xn', 'yn')}")
         .selectExpr(*(f"if(xsize <= ysize, {p}, {q}) AS {n}" for n, p, q in (("a", "xg", "yg"), ("b", "yg", "xg"), ("na", "xn", "yn"), ("nb", "yn", "xn"))))
@@ -263,15 +265,24 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
         nodes.select("px", "n", "node", "sig").join(groups.select("px", "n", "g"), ["px", "n"]).select("node", "g", "sig"),
         "group-members",
     )
-    # a group of one member has its signature
-    own = F.when(F.col("size") == 1, F.col("sig")).alias("sig")
-    postings = groups.select("g", "size", F.col("n").cast("int").alias("n"), own, F.inline("prefix"))
-    several = postings.groupBy("shingle").agg(F.sum("size").alias("k")).where("k > 1")  # by nodes
+    postings = groups.select("g", "size", F.inline("prefix"))
+    several = postings.groupBy("shingle").agg(  # by nodes; and which groups have it
+        F.sum("size").alias("k"), F.bit_xor(F.xxhash64("g")).alias("who")
+    )
+    several = several.where("k > 1").select("shingle", "k", F.xxhash64("who", "k").alias("bundle"))
     step = F.lit(float(np.log(100 / percent)))
     band = F.floor(F.log(F.col("n")) / step).cast("int")
     # how many shingles of other prefixes precede: only those can be common with another set
     inside = F.row_number().over(Window.partitionBy("g").orderBy("at")) - 1
-    postings = postings.join(several, "shingle").withColumns({"band": band, "inside": inside})
+    postings = postings.drop("size").join(several, "shingle").withColumn("inside", inside)
+    # shingles of the same groups are one bundle of w shingles, which stands where its first one does in all of them
+    postings = postings.groupBy("g", "k", "bundle").agg(
+        F.count(F.lit(1)).cast("int").alias("w"), F.min("at").alias("at"), F.min("inside").alias("inside")
+    )
+    # a group of one member has its signature
+    own = F.when(F.col("size") == 1, F.col("sig")).alias("sig")
+    facts = groups.select("g", "size", F.col("n").cast("int").alias("n"), own, band.alias("band"))
+    postings = postings.withColumnRenamed("bundle", "shingle").join(facts, "g")
     postings = materialize(postings, "postings")
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -304,7 +315,7 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
     classed = _with_classes(members, classes)
     middles = materialize(classed.join(_middles(nodes, classes), "node", "left_semi"), "middles")
     posts = postings.drop("sig").join(middles.select("node", "g", "sig", "class"), "g")
-    posts = posts.select("shingle", F.col("node").alias("g"), "n", F.lit(0).cast("long").alias("size"), "at", "inside", "sig")
+    posts = posts.select("shingle", F.col("node").alias("g"), "n", F.lit(0).cast("long").alias("size"), "at", "inside", "w", "sig")
     posts = materialize(posts, "middle-postings")
     met = postings.alias("x").join(posts.alias("y"), F.expr(f"x.shingle = y.shingle and {_near(percent)}"))
     pairs = _candidates(met, percent)
@@ -376,7 +387,7 @@ def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
     )
     main = materialize(main.where("least < most").select("shingle", "main"), "main-classes")
     left = placed.join(main, "shingle").select(
-        "shingle", "g", "n", "size", "at", "inside", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
+        "shingle", "g", "n", "size", "at", "inside", "w", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
     )
     left = materialize(left, "postings-left")
     near = F.expr(
@@ -385,7 +396,7 @@ def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
     )
     met = left.where("not is_main").alias("x").join(left.alias("y"), near)
     # a pair may stand in either order, by the main class of a shingle
-    row = lambda side: F.struct(*(F.col(f"{side}.{n}").alias(n) for n in ("g", "n", "size", "at")))
+    row = lambda side: F.struct(*(F.col(f"{side}.{n}").alias(n) for n in ("g", "n", "size", "at", "w")))
     swap = F.col("x.g") > F.col("y.g")
     return met.select(
         F.when(swap, row("y")).otherwise(row("x")).alias("x"), F.when(swap, row("x")).otherwise(row("y")).alias("y")

@@ -1,12 +1,33 @@
 """What operators do once rather than for each row or word."""
 
+import random
+
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from spanloom.llm import tokens, toxicity
+from spanloom.llm import jaccard, tokens, toxicity
 
 WORDS = ["cart", "Cartons,", "checkout", "(checkouts)", "ab", "a", "x1y2", "日本語", "Ärzte", "don't", "w" * 70, "w" * 70 + "cart", "carte"]
 
 
+def test_near_copies_meet_by_bundles(make_docs, monkeypatch):
+    rng = random.Random(3)
+    long = [f"word{rng.randrange(10**6)}" for _ in range(1500)]
+    texts = [" ".join(long), " ".join(long[:700] + ["other"] + long[700:]), "a short text of its own " * 3]
+    met = []
+    plain = jaccard._candidates
+
+    def counted(rows, percent):
+        met.append(rows.groupBy("x.g", "y.g").agg(F.count(F.lit(1)).alias("n"), F.sum("x.w").alias("w")).collect())
+        return plain(rows, percent)
+
+    monkeypatch.setattr(jaccard, "_candidates", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.link_classes(make_docs(texts), 5, 80).collect()}
+    assert len(set(got.values())) == 2
+    (pair,) = met[-1]
+    assert pair.n == 1 and pair.w > 100
+
+
 def test_encoder_looks_a_word_up_once_for_many_texts():
     class Counting(dict):
         looked = 0
