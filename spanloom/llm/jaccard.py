@@ -5,7 +5,8 @@
    n - ceil(t n) + 1 of each. Groups are joined on prefix shingles and filtered by size and by the shingles' positions.
 3. Group pairs are expanded to their members, which are verified on the whole sets. Signatures, the parity of a set's
    shingles by hash, differ in no more bits than the sets do in shingles, which leaves out most pairs that aren't similar:
-   of groups with one member within the join, of others when they are expanded.
+   of groups with one member within the join, of others when they are expanded. Sets of many shingles differ in more than
+   a signature can tell, so that theirs is longer; it is looked at in the last join, on crowded shingles.
 
 Prefixes are longer by SHARED - 1 than step 2 needs, so that a similar pair shares SHARED shingles of its prefixes; pairs
 with fewer, which common phrases make, are never fetched. Shingles that stand in the prefixes of just the same groups, as
@@ -52,9 +53,12 @@ SHARED = 4
 CROWD, HUBS = 8, 8
 #: Longs of a set's signature, the parity of its shingles by hash modulo 64 * SIGNATURE.
 SIGNATURE = 4
+#: Longs of the longer signature at most. It has two bits or more for each shingle; sets that SIGNATURE serves have none.
+FAR = 64
 
 SETS = (
-    "doc_id long, n_shingles long, print binary, px binary, prefix array<struct<shingle:long,at:int>>, sig array<long>"
+    "doc_id long, n_shingles long, print binary, px binary, prefix array<struct<shingle:long,at:int>>, sig array<long>, "
+    "far array<long>"
 )
 
 
@@ -125,6 +129,18 @@ def prefix_length(n: int, percent: int) -> int:
     return n - least + min(SHARED, least)
 
 
+def parity(s: np.ndarray, words: int) -> np.ndarray:
+    """The parity of a set's shingles by hash modulo 64 * words, a power of two."""
+    odd = np.bincount((s >> 9) & (64 * words - 1), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def far_words(n: int) -> int:
+    """Longs of the longer signature of n shingles; 0 for none."""
+    words = min(table_size(2 * n, (64, 64 * FAR)) // 64, FAR)
+    return words if words > SIGNATURE else 0
+
+
 def sets_and_prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataFrame:
     """One row per document in SETS: print of its set, px of its prefix, and the prefix shingles that can be shared.
 
@@ -137,7 +153,7 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataF
         weight, twice = shared.value
         bits = 64 * len(twice)
         for batch in batches:
-            sizes, prints, marks, kept, places, sigs = [], [], [], [], [], []
+            sizes, prints, marks, kept, places, sigs, fars = [], [], [], [], [], [], []
             for s in column_sets(batch.column(1), size):
                 n = len(s)
                 rank = np.where(s < below, weight[np.mod(s, len(weight))], last)
@@ -150,8 +166,8 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataF
                 place = np.flatnonzero((prefix >= below) | ((twice[bit >> 6] >> (bit & 63)) & 1 == 1))
                 kept.append(prefix[place])
                 places.append(place)
-                odd = np.bincount((s >> 9) & (64 * SIGNATURE - 1), minlength=64 * SIGNATURE) & 1
-                sigs.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                sigs.append(parity(s, SIGNATURE))
+                fars.append(parity(s, words) if (words := far_words(n)) else None)
             ends = np.cumsum([0, *map(len, kept)])
             flat = pa.StructArray.from_arrays(
                 [pa.array(np.concatenate([*kept, np.zeros(0, dtype=np.int64)])), pa.array(np.concatenate([*places, np.zeros(0, dtype=np.int64)]).astype(np.int32))],
@@ -161,8 +177,9 @@ def sets_and_prefixes(docs: DataFrame, size: int, percent: int, shared) -> DataF
                 [
                     batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(marks, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(sigs, pa.list_(pa.int64())),
+                    pa.array(fars, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "print", "px", "prefix", "sig"],
+                names=["doc_id", "n_shingles", "print", "px", "prefix", "sig", "far"],
             )
 
     return _texts(docs).mapInArrow(run, SETS)
@@ -205,6 +222,23 @@ def _signed(percent: int, x: str, y: str, n_x: str, n_y: str) -> str:
     return f"coalesce({differ} <= {n_x} + {n_y} - 2 * {_overlap(percent, n_x, n_y)}, true)"
 
 
+def _far_signed(percent: int) -> str:
+    """Whether longer signatures allow x and y to be similar; where one has none, they do.
+
+    That of the larger set may be twice as long; its halves are laid over each other, which gives the shorter one.
+    """
+    half = lambda far, other: (
+        f"if(size({far}) > size({other}), zip_with(slice({far}, 1, size({other})), "
+        f"slice({far}, 1 + size({other}), size({other})), (p, q) -> p ^ q), {far})"
+    )
+    differ = f"zip_with({half('x.far', 'y.far')}, {half('y.far', 'x.far')}, (p, q) -> bit_count(p ^ q))"
+    most = f"x.n + y.n - 2 * {_overlap(percent, 'x.n', 'y.n')}"
+    return (
+        f"if(x.far is null or y.far is null or greatest(size(x.far), size(y.far)) > 2 * least(size(x.far), size(y.far)), "
+        f"true, aggregate({differ}, 0, (sum, one) -> sum + one) <= {most})"
+    )
+
+
 def _near(percent: int) -> str:
     """A filter of postings x and y of one shingle.
 
@@ -326,7 +360,11 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
     classes = materialize(components(links), "classes")
     classed = _with_classes(members, classes)
     spans = materialize(classed.groupBy("g").agg(F.min("class").alias("lo"), F.max("class").alias("hi")), "group-classes")
-    met = _other_classes(materialize(postings.join(spans, "g"), "postings-placed"), percent)
+    # a group of one member has its longer signature; rows that share a doc_id are told apart by their prefix
+    alone = groups.where("size = 1").select("g", "px", "n")
+    fars = base.where("far is not null").select(F.col("doc_id").alias("g"), "px", F.col("n_shingles").alias("n"), "far")
+    fars = fars.join(alone, ["g", "px", "n"]).groupBy("g").agg(F.first("far").alias("far"))
+    met = _other_classes(materialize(postings.join(spans, "g"), "postings-placed"), fars, percent)
     mixed = groups.join(spans.where("lo < hi").select("g"), "g").select(F.col("g").alias("a"), F.col("g").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"))
     pairs = materialize(_candidates(met, percent).union(mixed), "group-pairs")
     roots = components(links.union(similar(expanded(pairs, classed, classed))))
@@ -370,10 +408,11 @@ def _with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
     return materialize(own, "member-classes")
 
 
-def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
+def _other_classes(placed: DataFrame, fars: DataFrame, percent: int) -> DataFrame:
     """Pairs x, y of postings of one shingle whose groups aren't of one and the same class, each pair in one order.
 
-    placed: postings with the smallest and largest class of their group's members, lo and hi.
+    placed: postings with the smallest and largest class of their group's members, lo and hi. fars: the longer signature,
+    far, of groups g that have one; crowded shingles are given it.
 
     The class that most groups of a shingle have is its main class; groups wholly of that class meet the others only.
     """
@@ -387,12 +426,13 @@ def _other_classes(placed: DataFrame, percent: int) -> DataFrame:
     )
     main = materialize(main.where("least < most").select("shingle", "main"), "main-classes")
     left = placed.join(main, "shingle").select(
-        "shingle", "g", "n", "size", "at", "inside", "w", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
+        "shingle", "k", "g", "n", "size", "at", "inside", "w", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
     )
+    left = left.join(fars, "g", "left").withColumn("far", F.when(F.col("k") >= CROWD, F.col("far"))).drop("k")
     left = materialize(left, "postings-left")
     near = F.expr(
         "x.shingle = y.shingle and x.g <> y.g and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo) "
-        f"and (y.is_main or x.g < y.g) and {_near(percent)}"
+        f"and (y.is_main or x.g < y.g) and {_near(percent)} and {_far_signed(percent)}"
     )
     met = left.where("not is_main").alias("x").join(left.alias("y"), near)
     # a pair may stand in either order, by the main class of a shingle

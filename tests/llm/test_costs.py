@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -28,6 +29,58 @@ def test_near_copies_meet_by_bundles(make_docs, monkeypatch):
     assert pair.n == 1 and pair.w > 100
 
 
+def test_long_variants_that_are_not_similar_do_not_meet(make_docs, monkeypatch):
+    rng = random.Random(5)
+    source = [f"word{rng.randrange(10**6)}" for _ in range(1030)]
+
+    def variant(changes, less=0):
+        words = list(source[less:])
+        for at in rng.sample(range(len(words)), changes):
+            words[at] = f"other{rng.randrange(10**6)}"
+        return words
+
+    # similar to none of the others, and two close to one of them, the longer on the other side of 1,024 shingles
+    crowd = [variant(75) for _ in range(24)]
+    near = [[*crowd[3][:-12]], [*crowd[3][:500], "between", *crowd[3][500:]]]
+    texts = [" ".join(words) for words in crowd + near]
+    met = []
+    plain = jaccard._other_classes
+
+    def counted(*args):
+        rows = plain(*args)
+        met.append((rows.count(), rows.select("x.g", "y.g").distinct().count()))
+        return rows
+
+    monkeypatch.setattr(jaccard, "_other_classes", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.link_classes(make_docs(texts), 5, 80).collect()}
+    sets = [set(zip(*(words[k:] for k in range(5)), strict=False)) for words in crowd + near]
+    wanted = {i: i for i in range(len(sets))}
+    for i in range(len(sets)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                wanted = {n: min(wanted[i], wanted[j]) if c in (wanted[i], wanted[j]) else c for n, c in wanted.items()}
+    assert got == wanted and len(set(wanted.values())) == 24
+    assert met[-1][1] < 30  # of 325 pairs
+
+
+def test_longer_signatures_of_two_lengths(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(-(2**63), 2**63 - 1, 2200)
+    rows, differ = [], []
+    for x, y in ((base[:1020], base[:1040]), (base[:1040], base[20:1030]), (base[:2000], base[100:2100]), (base[:100], base[:101]), (base[:120], base[:140])):
+        fars = [jaccard.parity(np.sort(s), w).tolist() if (w := jaccard.far_words(len(s))) else None for s in (x, y)]
+        assert all(f is None or len(f) <= jaccard.FAR for f in fars)
+        rows.append(((len(x), fars[0]), (len(y), fars[1])))
+        words = min(len(f or []) for f in fars)
+        differ.append(int((sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(*(jaccard.parity(np.sort(s), words).tolist() for s in (x, y)), strict=True)))) if words else 0)
+    kind = "struct<n:int,far:array<long>>"
+    table = spark.createDataFrame(rows, f"x {kind}, y {kind}").coalesce(1)
+    for percent in (50, 80, 99):
+        got = [r.ok for r in table.selectExpr(f"{jaccard._far_signed(percent)} AS ok").collect()]
+        least = [-(-percent * (x[0] + y[0]) // (100 + percent)) for x, y in rows]
+        assert got == [d <= x[0] + y[0] - 2 * n for d, (x, y), n in zip(differ, rows, least, strict=True)]
+
+
 def test_encoder_looks_a_word_up_once_for_many_texts():
     class Counting(dict):
         looked = 0
