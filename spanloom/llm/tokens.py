@@ -9,9 +9,12 @@ other white space at a cut is encoded whole by the tokenizer itself.
 from __future__ import annotations
 
 import os
+import string
 from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import holding
 
@@ -23,8 +26,13 @@ CACHE_PIECES, CACHE_WORDS = 300_000, 900_000
 CACHED_CHARS, CACHED_WORD_CHARS = 14, 40
 #: Pieces joined in one text for the tokenizers library.
 GROUP = 400
-#: Signs behind a word that a tokenizer which drops white space also keeps apart from letters.
-SIGNS = ".,;:!?"
+#: Signs behind a word that a tokenizer which drops white space also keeps apart from letters, in one run.
+SIGNS = string.punctuation
+
+
+def latin(word: str) -> bool:
+    """Whether a word is of letters below U+0100, which are the same to all versions of Unicode."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0100")
 
 
 class PieceEncoder:
@@ -42,71 +50,108 @@ class PieceEncoder:
         self.dtype = np.dtype("<u2" if vocab_size <= 65536 else "<u4")
         self.kept: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Packed ids of each text; null and empty texts have none."""
+        column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if not len(column):
+            return []
         kept = self.kept
-        line = " \n" if self.spaced else " "
-        cut = [text.replace("\n", line).split(" ") if text else [] for text in texts]
-        whole: dict[int, bytes] = {}
+        # all texts' words as numbers in one list of distinct ones; number 0 is no word
+        filled = pc.fill_null(column, "")
+        line = pc.replace_substring(filled, "\n", " \n" if self.spaced else " ")
+        cut = pc.split_pattern(line, " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        coded = cut.flatten().dictionary_encode()
+        met = [None, *coded.dictionary.to_pylist()]
+        codes = coded.indices.to_numpy() + 1
         if self.spaced:
-            for words in cut:
-                if words:
-                    words[0] = " " + words[0]
-        met = set().union(*cut)
-        new = met.difference(kept)
+            firsts: dict[str, int] = {}
+            heads = [" " + met[k] for k in codes[bounds[:-1]].tolist()]
+            codes[bounds[:-1]] = [firsts.setdefault(w, len(met) + len(firsts)) for w in heads]
+            met += firsts
+        codes[bounds[:-1][pc.equal(filled, "").to_numpy(zero_copy_only=False)]] = 0
+        whole: dict[int, bytes] = {}
+
+        def look() -> tuple[np.ndarray, list, set]:
+            """The numbers in use, what is known of their words, and the words that aren't."""
+            used = np.bincount(codes, minlength=len(met)) > 0
+            used[0] = False
+            used = np.flatnonzero(used)
+            words = [met[k] for k in used.tolist()]
+            known = list(map(kept.get, words))
+            return used, known, {w for w, ids in zip(words, known, strict=True) if ids is None}
+
+        used, known, new = look()
         if self.spaced:
             # a first or last character that is white space, besides the key's own mark in front
             odd = {w for w in new if not w or w[-1].isspace() or w[w[0] in " \n"].isspace()}
             if self.odd_char:
                 odd.update(w for w in new if self.odd_char in w)
             if odd:
-                at = [i for i, words in enumerate(cut) if not odd.isdisjoint(words)]
-                whole = dict(zip(at, self.encode_whole([texts[i] for i in at], self.dtype), strict=True))
-                for i in at:
-                    cut[i] = []
-                met = set().union(*cut)
-                new = met.difference(kept)
-            firsts = [w for w in new if w[0] == " "]
-            kept.update(zip(firsts, self.encode_whole([w[1:] for w in firsts], self.dtype), strict=True))
-            words = [w for w in new if w[0] != " "]
-            led = [w if w[0] == "\n" else " " + w for w in words]
-            kept.update(zip(words, self.encode_words(led, self.dtype), strict=True))
-        else:
-            # letters and the signs behind them are separate words to the tokenizer, which lower-cases as well
-            parts: dict[str, tuple[str, str]] = {}
-            words = set()
-            for w in new:
-                core = w.rstrip(SIGNS)
-                if core.isalpha() and (core.isascii() or normalize("NFC", core).lower().isalpha()):
-                    signs = w[len(core) :]
-                    if self.folds and core.isascii():
-                        core = core.lower()
-                    if core != w:
-                        parts[w] = core, signs
-                        words.add(core)
-                        words.add(signs)
-                        continue
-                words.add(w)
-            words = list(words.difference(kept))
-            kept.update(zip(words, self.encode_words(words, self.dtype), strict=True))
-            kept.update((w, kept[core] + kept[signs]) for w, (core, signs) in parts.items())
-            new.update(words)
-        # a text's words are looked up in a table of these texts alone, which caches hold
-        here = dict(zip(met, map(kept.__getitem__, met), strict=True)).__getitem__
-        out = [whole[i] if i in whole else b"".join(map(here, words)) for i, words in enumerate(cut)]
+                is_odd = np.fromiter((w in odd for w in met), dtype=bool, count=len(met))
+                of_text = np.repeat(np.arange(len(column)), np.diff(bounds))
+                at = np.unique(of_text[is_odd[codes]])
+                found = self.encode_whole(column.take(pa.array(at)).to_pylist(), self.dtype)
+                whole = dict(zip(at.tolist(), found, strict=True))
+                codes[np.isin(of_text, at)] = 0
+                used, known, new = look()
+        words, parts = self._parted(new)
+        firsts = [w for w in words if self.spaced and w[0] == " "]
+        kept.update(zip(firsts, self.encode_whole([w[1:] for w in firsts], self.dtype), strict=True))
+        words = [w for w in words if not self.spaced or w[0] != " "]
+        led = [w if w[0] == "\n" else " " + w for w in words] if self.spaced else words
+        kept.update(zip(words, self.encode_words(led, self.dtype), strict=True))
+        kept.update((w, kept[core] + kept[signs]) for w, (core, signs) in parts.items())
+        # the words' ids one after another, and each text's taken from them
+        known = [kept[met[k]] if ids is None else ids for k, ids in zip(used.tolist(), known, strict=True)]
+        size, start = np.zeros(len(met), dtype=np.int64), np.zeros(len(met), dtype=np.int64)
+        size[used] = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // self.dtype.itemsize
+        start[used] = np.cumsum(size[used]) - size[used]
+        each = size[codes]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        place = np.repeat(start[codes] - ends[:-1], each)
+        place += np.arange(len(place))
+        packed = np.frombuffer(b"".join(known), dtype=self.dtype)[place].tobytes()
+        stops = (ends[bounds] * self.dtype.itemsize).tolist()
+        out = [packed[a:b] for a, b in zip(stops, stops[1:], strict=False)]
+        for i, ids in whole.items():
+            out[i] = ids
         most, longest = (CACHE_PIECES, CACHED_CHARS) if self.spaced else (CACHE_WORDS, CACHED_WORD_CHARS)
         full = len(kept) > most
-        for w in new:
+        for w in new.union(firsts, words):
             if full or len(w) > longest:
                 del kept[w]
-        if full and 4 * len(new) > sum(map(len, cut)):
+        if full and 4 * len(new) > len(codes):
             kept.clear()
         return out
 
+    def _parted(self, new: set[str]) -> tuple[list[str], dict[str, tuple[str, str]]]:
+        """Words to encode, and by word of ``new`` what else it is made of: letters, and the signs behind them.
+
+        These are separate words to a tokenizer that drops white space, which may lower-case as well.
+        """
+        words, parts = set(), {}
+        if self.spaced:
+            return list(new), parts
+        for w in new:
+            core = w.rstrip(SIGNS)
+            if core.isalpha() and (core.isascii() or normalize("NFC", core).lower().isalpha()):
+                signs = w[len(core) :]
+                if self.folds and (core.isascii() or latin(core)):
+                    core = core.lower()
+                if core != w:
+                    parts[w] = core, signs
+                    words.add(core)
+                    words.add(signs)
+                    continue
+            words.add(w)
+        return list(words.difference(self.kept)), parts
+
     def encode_column(self, column, chunk: int = 500):
         """Packed ids of an Arrow column of texts, a few hundred texts at a time."""
         for i in range(0, len(column), chunk):
-            yield from self.encode(column.slice(i, chunk).to_pylist())
+            yield from self.encode(column.slice(i, chunk))
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, dtype=self.dtype)
@@ -148,7 +193,7 @@ def joined_by_length(tokenizer, id_bytes: np.ndarray):
 def joined_by_mark(tokenizer, mark: str = "\x01"):
     """For tokenizers that drop white space: a mark of one id of its own stands between words.
 
-    Words of small ASCII letters go to a copy of the tokenizer without normaliser and with no cut but at white space, if
+    Words of small letters below U+0100 go to a copy of the tokenizer without normaliser and with no cut but at white space, if
     that gives a sample the same ids.
     """
     from tokenizers import Tokenizer, pre_tokenizers
@@ -159,7 +204,7 @@ def joined_by_mark(tokenizer, mark: str = "\x01"):
     plain.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
-    sample = f"the {mark} quick {mark} brownish foxes jumped zqxjk {mark} a"
+    sample = f"the {mark} quick {mark} brownish foxes jumped zqxjk {mark} größer {mark} a"
     if plain.encode(sample, add_special_tokens=False).ids != tokenizer.encode(sample, add_special_tokens=False).ids:
         plain = tokenizer
 
@@ -172,7 +217,7 @@ def joined_by_mark(tokenizer, mark: str = "\x01"):
         out: list[bytes] = [b""] * len(words)
         sides: tuple[list[int], list[int]] = ([], [])
         for i, w in enumerate(words):
-            sides[w.isascii() and w.isalpha() and w.islower()].append(i)
+            sides[w.islower() and latin(w)].append(i)
         for t, side in zip((tokenizer, plain), sides, strict=True):
             found = _joined(t, [words[i] for i in side], dtype, f" {mark} ".join, ends, 1)
             for i, ids in zip(side, found, strict=True):

@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from spanloom.llm import jaccard, tokens, toxicity
 
@@ -98,6 +100,33 @@ def test_encoder_looks_a_word_up_once_for_many_texts():
         enc.kept = dict(enc.kept)
 
 
+def test_words_with_signs_or_accents_ask_little_of_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc = tokens.tokenizer_encoder(path, False)
+    texts = ["Größe Größe### größe*** größe,*** ÉTÉ été&&& can't can't' x_ _x a(b) don'###", " ʼn### İ### ſ,* Σας### ΣΑΣ, µ* ª# e\u0301t\u0301* \u0338= =\u0338"]
+    texts += [f"straße{sign}" for sign in tokens.SIGNS] + ["", " ", "###", None]
+    plain = tokens.whole(Tokenizer.from_file(path))
+    wanted = [plain([t], enc.dtype)[0] if t else b"" for t in texts]
+    asked, ask = [], enc.encode_words
+    enc.kept.clear()
+    enc.encode_words = lambda words, dtype: asked.extend(words) or ask(words, dtype)
+    try:
+        assert enc.encode(texts) == wanted == enc.encode(pa.array(["cut off", *texts]).slice(1))
+    finally:
+        enc.encode_words = ask
+    assert not [w for w in asked if w[:2].lower() in ("gr", "st") and not w.isalpha()] and asked.count("größe") == 1
+
+
+def test_ids_of_a_batch_are_gathered_from_arrow():
+    for name, keeps in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = public_tokenizers.path(name)
+        enc = tokens.tokenizer_encoder(path, keeps)
+        texts = pa.array(["the cart was full", None, "", "two  spaces", "line\nline", " led", "the cart", "end\n", "x" * 50 + " y"] * 40)
+        plain = tokens.whole(Tokenizer.from_file(path))
+        wanted = [plain([t], enc.dtype)[0] if t else b"" for t in texts.to_pylist()]
+        assert enc.encode(texts) == wanted == list(enc.encode_column(texts, 7))
+
+
 def test_finder_finds_what_features_say_and_scores_without_keys(monkeypatch):
     names = sorted({f for w in WORDS[::2] for f in toxicity.features_of(w)})
     vocabulary = {f: i for i, f in enumerate(names)}
