@@ -42,7 +42,7 @@ def test_long_variants_that_are_not_similar_do_not_meet(make_docs, monkeypatch):
         return words
 
     # similar to none of the others, and two close to one of them, the longer on the other side of 1,024 shingles
-    crowd = [variant(75) for _ in range(24)]
+    crowd = [variant(17) for _ in range(24)]
     near = [[*crowd[3][:-12]], [*crowd[3][:500], "between", *crowd[3][500:]]]
     texts = [" ".join(words) for words in crowd + near]
     met = []
