@@ -5,8 +5,9 @@
    n - ceil(t n) + 1 of each. Groups are joined on prefix shingles and filtered by size and by the shingles' positions.
 3. Group pairs are expanded to their members, which are verified on the whole sets. Signatures, the parity of a set's
    shingles by hash, differ in no more bits than the sets do in shingles, which leaves out most pairs that aren't similar:
-   of groups with one member within the join, of others when they are expanded. Sets of many shingles differ in more than
-   a signature can tell, so that theirs is longer; it is looked at in the last join, on crowded shingles.
+   of groups with one member within the join, of others when they are expanded. The last join is of members, each by its
+   own signature. Sets of many shingles differ in more than a signature can tell, so that theirs is longer; it is looked
+   at in the last join, on crowded shingles.
 
 Prefixes are longer by SHARED - 1 than step 2 needs, so that a similar pair shares SHARED shingles of its prefixes; pairs
 with fewer, which common phrases make, are never fetched. Shingles that stand in the prefixes of just the same groups, as
@@ -16,8 +17,8 @@ a posting, it is a bundle.
 What is wanted are classes, so pairs within a class already known needn't be compared. First, groups with a crowded
 shingle are compared with a few others of that shingle and size band (linear in the postings), and groups with their own
 members; what is similar becomes a class. Large classes are then compared with all others through the node in their
-middle. The last round joins all groups that aren't of one and the same class. Within a shingle, those of the class
-that most of its groups have are met by the others only, so a crowd of near copies that are one class costs nothing.
+middle. The last round joins all nodes that aren't of the same class. Within a shingle, those of the class that most of
+its nodes have are met by the others only, so a crowd of near copies that are one class costs nothing.
 No link between classes is lost.
 
 Shingles whose hash is in the lowest part of its range come first; these are counted exactly over all documents, and
@@ -213,7 +214,7 @@ def whole_sets(docs: DataFrame, size: int, ids: DataFrame) -> DataFrame:
 
 def _overlap(percent: int, x: str, y: str) -> str:
     """Least number of common shingles of similar sets of x and y shingles."""
-    return f"ceil({percent} * ({x} + {y}) / {100 + percent}.0)"
+    return f"(({percent}L * ({x} + {y}) + {99 + percent}) div {100 + percent})"
 
 
 def _signed(percent: int, x: str, y: str, n_x: str, n_y: str) -> str:
@@ -257,7 +258,7 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
 
     They share SHARED shingles, or fewer where a set is so small; and behind the first common one both are long enough.
     """
-    own = lambda n: f"least({SHARED}, ceil({percent} * {n} / 100.0))"
+    own = lambda n: f"least({SHARED}, ({percent}L * {n} + 99) div 100)"
     return (
         met.groupBy(*(F.col(f"{side}.{n}").alias(f"{side}{n}") for side in "xy" for n in ("g", "n", "size")))
         .agg(F.sum("x.w").alias("common"), F.min("x.at").alias("xat"), F.min("y.at").alias("yat"))
@@ -356,18 +357,16 @@ def _link_classes(here, docs: DataFrame, size: int, percent: int) -> DataFrame:
     central = middles.withColumn("g", F.col("node"))
     links = links.union(similar(expanded(pairs, central, classed)))
 
-    # all groups that aren't of one and the same class
+    # all nodes of different classes: members of a group differ behind its prefix as much as those of others do
     classes = materialize(components(links), "classes")
     classed = _with_classes(members, classes)
-    spans = materialize(classed.groupBy("g").agg(F.min("class").alias("lo"), F.max("class").alias("hi")), "group-classes")
-    # a group of one member has its longer signature; rows that share a doc_id are told apart by their prefix
-    alone = groups.where("size = 1").select("g", "px", "n")
-    fars = base.where("far is not null").select(F.col("doc_id").alias("g"), "px", F.col("n_shingles").alias("n"), "far")
-    fars = fars.join(alone, ["g", "px", "n"]).groupBy("g").agg(F.first("far").alias("far"))
-    met = _other_classes(materialize(postings.join(spans, "g"), "postings-placed"), fars, percent)
-    mixed = groups.join(spans.where("lo < hi").select("g"), "g").select(F.col("g").alias("a"), F.col("g").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"))
-    pairs = materialize(_candidates(met, percent).union(mixed), "group-pairs")
-    roots = components(links.union(similar(expanded(pairs, classed, classed))))
+    placed = postings.drop("sig", "size").join(classed, "g").drop("g").withColumnRenamed("node", "g").withColumn("size", F.lit(1))
+    # rows that share a doc_id are told apart by their size; those that aren't have no longer signature
+    fars = base.where("far is not null").select(F.col("doc_id").alias("g"), F.col("n_shingles").cast("int").alias("n"), "px", "far")
+    fars = fars.join(nodes.select(F.col("node").alias("g"), F.col("n").cast("int").alias("n"), "px"), ["g", "n", "px"])
+    fars = fars.groupBy("g", "n").agg(F.expr("if(min(far) = max(far), min(far), null)").alias("far"))
+    met = _other_classes(materialize(placed, "postings-placed"), fars, percent)
+    roots = components(links.union(similar(_candidates(met, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))))
 
     known = nodes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
     whole = linkable.select("doc_id", "n_shingles", "print").join(known, "print").select("doc_id", "n_shingles", F.col("root").alias("component_id"))
@@ -409,29 +408,25 @@ def _with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _other_classes(placed: DataFrame, fars: DataFrame, percent: int) -> DataFrame:
-    """Pairs x, y of postings of one shingle whose groups aren't of one and the same class, each pair in one order.
+    """Pairs x, y of postings of one shingle whose nodes are of different classes, each pair in one order.
 
-    placed: postings with the smallest and largest class of their group's members, lo and hi. fars: the longer signature,
-    far, of groups g that have one; crowded shingles are given it.
+    placed: postings of nodes g with their class and signature. fars: the longer signature, far, of nodes g of n shingles
+    that have one; crowded shingles are given it.
 
-    The class that most groups of a shingle have is its main class; groups wholly of that class meet the others only.
+    The class that most nodes of a shingle have is its main class; its nodes meet the others only.
     """
-    alone = F.col("lo") == F.col("hi")
-    per_class = placed.groupBy("shingle", F.when(alone, F.col("lo")).alias("class")).agg(
-        F.count(F.lit(1)).alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
+    per_class = placed.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("k"))
     main = per_class.groupBy("shingle").agg(
-        F.max_by("class", F.when(F.col("class").isNotNull(), F.struct("k", "class"))).alias("main"),
-        F.min("lo").alias("least"), F.max("hi").alias("most"),
+        F.max_by("class", F.struct("k", "class")).alias("main"), F.count(F.lit(1)).alias("several")
     )
-    main = materialize(main.where("least < most").select("shingle", "main"), "main-classes")
+    main = materialize(main.where("several > 1").select("shingle", "main"), "main-classes")
     left = placed.join(main, "shingle").select(
-        "shingle", "k", "g", "n", "size", "at", "inside", "w", "sig", "lo", "hi", F.coalesce(alone & (F.col("lo") == F.col("main")), F.lit(False)).alias("is_main")
+        "shingle", "k", "g", "n", "size", "at", "inside", "w", "sig", "class", (F.col("class") == F.col("main")).alias("is_main")
     )
-    left = left.join(fars, "g", "left").withColumn("far", F.when(F.col("k") >= CROWD, F.col("far"))).drop("k")
+    left = left.join(fars, ["g", "n"], "left").withColumn("far", F.when(F.col("k") >= CROWD, F.col("far"))).drop("k")
     left = materialize(left, "postings-left")
     near = F.expr(
-        "x.shingle = y.shingle and x.g <> y.g and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo) "
+        "x.shingle = y.shingle and x.class <> y.class "
         f"and (y.is_main or x.g < y.g) and {_near(percent)} and {_far_signed(percent)}"
     )
     met = left.where("not is_main").alias("x").join(left.alias("y"), near)

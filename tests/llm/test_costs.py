@@ -65,6 +65,35 @@ def test_long_variants_that_are_not_similar_do_not_meet(make_docs, monkeypatch):
     assert met[-1][1] < 30  # of 325 pairs
 
 
+def test_variants_of_one_prefix_meet_only_if_signatures_are_near(make_docs, monkeypatch):
+    rng = random.Random(11)
+    source = [f"word{rng.randrange(10**6)}" for _ in range(150)]
+    crowd = [list(source) for _ in range(150)]
+    for words in crowd:
+        for at in rng.sample(range(len(words)), 3):
+            words[at] = f"other{rng.randrange(10**6)}"
+    crowd += [[*words[:-2], "end"] for words in crowd[:5]]
+    texts = [" ".join(words) for words in crowd]
+    met, sizes = [], []
+    plain, candidates = jaccard._other_classes, jaccard._hub_pairs
+
+    def counted(*args):
+        rows = plain(*args)
+        met.append(rows.select("x.g", "y.g").distinct().count())
+        return rows
+
+    def hubs(postings, percent):
+        sizes.append(postings.agg(F.max("size")).first()[0])
+        return candidates(postings, percent)
+
+    monkeypatch.setattr(jaccard, "_other_classes", counted)
+    monkeypatch.setattr(jaccard, "_hub_pairs", hubs)
+    got = {r.doc_id: r.component_id for r in jaccard.link_classes(make_docs(texts), 3, 90).collect()}
+    assert got == {i: i - 150 if i >= 150 else i for i in range(155)}
+    assert sizes[0] >= 2  # some have one prefix
+    assert met[-1] < 20  # of 11,935 pairs
+
+
 def test_longer_signatures_of_two_lengths(spark):
     rng = np.random.default_rng(7)
     base = rng.integers(-(2**63), 2**63 - 1, 2200)
